@@ -93,3 +93,17 @@ def strict_json_object(text: Column | str) -> Column:
     b = F.from_json(wrapped, probe, {"allowSingleQuotes": "false"})
     ok = (t.startswith("{")) & a["__end"].isNotNull() & b["__end"].isNotNull() & a["x"].isNotNull()
     return F.when(ok, a["x"])
+
+
+def strict_json_value(text: Column | str) -> Column:
+    """True when the whole text is exactly one JSON value of any kind.
+
+    Same sentinel trick as ``strict_json_object``; the value is read as raw
+    text, so arrays, strings, numbers and literals qualify too.
+    """
+    t = _c(text)
+    wrapped = F.concat(F.lit('{"x":'), t, F.lit(',"__end":true}'))
+    probe = "x string, __end boolean"
+    a = F.from_json(wrapped, probe)
+    b = F.from_json(wrapped, probe, {"allowSingleQuotes": "false"})
+    return F.coalesce(a["__end"].isNotNull() & b["__end"].isNotNull() & (F.trim(t) != ""), F.lit(False))

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.functions.text import strict_json_object, utf8_repair
+from orrery.functions.text import strict_json_object, strict_json_value, utf8_repair
 from orrery.operators import series as S
 
 PARSED_FIELDS = "fields"
@@ -47,11 +47,19 @@ def parse_lenient(df: DataFrame, line: str = "raw", arrival: Column | None = Non
     return _finish(df, trimmed, strict_json_object(candidate), arrival)
 
 
-def parse_strict(df: DataFrame, line: str = "raw", arrival: Column | None = None) -> DataFrame:
-    """Alternative reader's parse (P2): the whole trimmed line must be JSON."""
+def parse_strict(df: DataFrame, line: str = "raw", arrival: Column | None = None,
+                 with_rejects: bool = False) -> DataFrame:
+    """Alternative reader's parse (P2): the whole trimmed line must be a JSON
+    object.  A line that is valid JSON but not an object (array, string,
+    number) cannot take a ``_time`` field; the reference skips it (ST4), so it
+    is dropped here, or kept with ``rejected = true`` when ``with_rejects``
+    (the dead-letter view)."""
     arrival = F.current_timestamp() if arrival is None else arrival
     trimmed = F.trim(utf8_repair(F.col(line)))
-    return _finish(df, trimmed, strict_json_object(trimmed), arrival)
+    obj = strict_json_object(trimmed)
+    rejected = obj.isNull() & strict_json_value(trimmed)
+    out = _finish(df.withColumn("rejected", rejected), trimmed, obj, arrival)
+    return out if with_rejects else out.filter(~F.col("rejected")).drop("rejected")
 
 
 def relabel_streams(df: DataFrame, path: str = "container", keep_service: str | None = None) -> DataFrame:
