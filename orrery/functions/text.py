@@ -77,33 +77,34 @@ def format_bytes(n: Column | str) -> Column:
     return F.concat(sign, whole, F.lit("."), frac, F.lit(" "), F.element_at(units, unit_idx + 1))
 
 
-def strict_json_object(text: Column | str) -> Column:
-    """``MAP<STRING,STRING>`` when the *whole* text is one JSON object, else NULL.
-
-    Spark's JSON readers stop after the first complete value and ignore
-    trailing text; wrapping the candidate inside a larger object and requiring
-    a sentinel field after it turns that into a strict check.  The parse is
-    done twice, with and without single-quote tolerance, because each form
-    alone lets one kind of non-standard input through.
+def _sentinel_ok(t: Column, probe: str) -> tuple[Column, Column]:
+    """Parse ``{"x":<t>,"__end":true}``; returns (parsed struct, strictly-ok flag).
+
+    Spark's JSON reader accepts trailing text after a complete value; the
+    sentinel field after the candidate turns that into a strict check.  With
+    default options single quotes are accepted; with an options map trailing
+    commas are accepted instead.  So the default parse decides, and only text
+    that contains a single quote is parsed a second time with
+    ``allowSingleQuotes=false``.
     """
-    t = _c(text)
     wrapped = F.concat(F.lit('{"x":'), t, F.lit(',"__end":true}'))
-    probe = "x map<string,string>, __end boolean"
     a = F.from_json(wrapped, probe)
-    b = F.from_json(wrapped, probe, {"allowSingleQuotes": "false"})
-    ok = (t.startswith("{")) & a["__end"].isNotNull() & b["__end"].isNotNull() & a["x"].isNotNull()
-    return F.when(ok, a["x"])
+    a_ok = a["__end"].isNotNull()
+    b_ok = F.from_json(wrapped, probe, {"allowSingleQuotes": "false"})["__end"].isNotNull()
+    ok = F.when(~t.contains("'"), a_ok).otherwise(a_ok & b_ok)
+    return a, ok
 
 
-def strict_json_value(text: Column | str) -> Column:
-    """True when the whole text is exactly one JSON value of any kind.
+def strict_json_object(text: Column | str) -> Column:
+    """``MAP<STRING,STRING>`` when the *whole* text is one JSON object, else NULL
+    (Python ``json.loads`` strictness; nested values kept as JSON text)."""
+    t = _c(text)
+    a, ok = _sentinel_ok(t, "x map<string,string>, __end boolean")
+    return F.when(t.startswith("{") & ok & a["x"].isNotNull(), a["x"])
 
-    Same sentinel trick as ``strict_json_object``; the value is read as raw
-    text, so arrays, strings, numbers and literals qualify too.
-    """
+
+def strict_json_value(text: Column | str) -> Column:
+    """True when the whole text is exactly one JSON value of any kind."""
     t = _c(text)
-    wrapped = F.concat(F.lit('{"x":'), t, F.lit(',"__end":true}'))
-    probe = "x string, __end boolean"
-    a = F.from_json(wrapped, probe)
-    b = F.from_json(wrapped, probe, {"allowSingleQuotes": "false"})
-    return F.coalesce(a["__end"].isNotNull() & b["__end"].isNotNull() & (F.trim(t) != ""), F.lit(False))
+    _, ok = _sentinel_ok(t, "x string, __end boolean")
+    return F.coalesce(ok & (F.trim(t) != ""), F.lit(False))

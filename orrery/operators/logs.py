@@ -56,10 +56,16 @@ def parse_strict(df: DataFrame, line: str = "raw", arrival: Column | None = None
     (the dead-letter view)."""
     arrival = F.current_timestamp() if arrival is None else arrival
     trimmed = F.trim(utf8_repair(F.col(line)))
-    obj = strict_json_object(trimmed)
-    rejected = obj.isNull() & strict_json_value(trimmed)
-    out = _finish(df.withColumn("rejected", rejected), trimmed, obj, arrival)
-    return out if with_rejects else out.filter(~F.col("rejected")).drop("rejected")
+    parsed = df.withColumn("_pobj", strict_json_object(trimmed))
+    rejected = F.col("_pobj").isNull() & strict_json_value(trimmed)
+    out = _finish(parsed.withColumn("rejected", rejected), trimmed, F.col("_pobj"), arrival).drop("_pobj")
+    if with_rejects:
+        return out
+    # Drop rejected rows with a generator rather than a Filter: a filter on a
+    # parse result is pushed below the projection with the parse inlined, so
+    # every line would be parsed twice.
+    keep = F.when(F.col("rejected"), F.array().cast("array<int>")).otherwise(F.array(F.lit(1)))
+    return out.withColumn("_keep", F.explode(keep)).drop("_keep", "rejected")
 
 
 def relabel_streams(df: DataFrame, path: str = "container", keep_service: str | None = None) -> DataFrame:

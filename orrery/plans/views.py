@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
 from orrery.operators.sequence import with_running_sum
-from orrery.sources.tables import read_table
+from orrery.sources.tables import cpu_parallelism, read_table
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
 METRIC_NAME = "event_value"
@@ -80,7 +80,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     10th event is plain text, every 3rd otherwise carries a container-runtime
     prefix before the JSON.  ``container``: stream path ``/<service>``.
     """
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"],
+                    min_partitions=cpu_parallelism(spark))
     severity = F.when(F.col("event_type") == "error", F.lit(SEVERITY_ERROR)).otherwise(F.lit(SEVERITY_DEFAULT))
     service = F.element_at(F.array(*[F.lit(s) for s in SERVICES]), (F.col("user_id") % 5 + 1).cast("int"))
     line = F.concat(
@@ -150,7 +151,8 @@ def exposition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     a comment, the next a blank line, the next an unparsable value; labels
     include a value with a space.
     """
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"],
+                    min_partitions=cpu_parallelism(spark))
     service = F.element_at(F.array(*[F.lit(s) for s in SERVICES]), (F.col("user_id") % 5 + 1).cast("int"))
     name = F.concat(F.lit("events_"), F.col("event_type"), F.lit("_total"))
     labels = F.concat(

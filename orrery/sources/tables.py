@@ -16,6 +16,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               min_partitions: int | None = None) -> DataFrame:
+    """Scan with an explicit column list (pruned at the Parquet reader).
+
+    ``min_partitions``: for CPU-heavy per-row work, spread a scan that has
+    fewer input splits than that (small or single-row-group files) with a
+    round-robin repartition.  Large inputs already have many splits, so on a
+    cluster this is a no-op and adds no shuffle.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        df = df.repartition(min_partitions)
+    return df
+
+
+def cpu_parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (the target split count for per-row work)."""
+    return spark.sparkContext.defaultParallelism
