@@ -23,13 +23,19 @@ def tag_json_to_map(tags: Column | str) -> Column:
 
 
 def attrs_match(attrs: Column | str, wanted: Column | Mapping[str, str]) -> Column:
-    """Every wanted key is present in ``attrs`` with the wanted value."""
+    """Every wanted key is present in ``attrs`` with the wanted value.
+
+    With a literal mapping the result is a plain conjunction of equalities
+    (NULL when a key is missing, which a filter treats as false), so Catalyst
+    can fold map lookups and push the predicates into the scan.
+    """
     a = _c(attrs)
     if isinstance(wanted, Mapping):
-        cond = F.lit(True)
+        cond = None
         for k, v in wanted.items():
-            cond = cond & F.coalesce(a[k] == F.lit(v), F.lit(False))
-        return cond
+            eq = a[k] == F.lit(v)
+            cond = eq if cond is None else cond & eq
+        return F.lit(True) if cond is None else cond
     return F.forall(F.map_entries(wanted), lambda e: F.coalesce(a[e["key"]] == e["value"], F.lit(False)))
 
 

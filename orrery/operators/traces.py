@@ -9,6 +9,7 @@ shuffled on the trace id; AQE splits a hot trace id).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,21 +24,40 @@ def search(spans: DataFrame, predicate: Column, trace: str = "trace_id") -> Data
     return spans.join(hits, trace, "left_semi")
 
 
-def tag_search(spans: DataFrame, tags: str, attrs: str = "attrs") -> DataFrame:
-    """``tags="k=v k=v"`` search."""
-    return search(spans, attrs_match(attrs, tag_string_to_map(F.lit(tags))))
+def parse_tag_string(tags: str) -> dict[str, str]:
+    """``"k=v k2=v2"`` -> dict: pairs split on spaces, key/value on the first ``=``."""
+    out = {}
+    for pair in tags.split(" "):
+        if pair:
+            k, _, v = pair.partition("=")
+            out[k] = v
+    return out
 
 
-def service_tag_search(spans: DataFrame, service: str, tags_json: str, attrs: str = "attrs",
+def tag_search(spans: DataFrame, tags: str | Column, attrs: str = "attrs") -> DataFrame:
+    """``tags="k=v k=v"`` search.
+
+    A literal tag string is parsed up front into plain equalities, which
+    Catalyst can simplify and push into the scan; a column of tag strings is
+    matched with ``str_to_map`` per row.
+    """
+    if isinstance(tags, str):
+        return search(spans, attrs_match(attrs, parse_tag_string(tags)))
+    return search(spans, attrs_match(attrs, tag_string_to_map(tags)))
+
+
+def service_tag_search(spans: DataFrame, service: str, tags_json: str | Column, attrs: str = "attrs",
                        service_col: str = "service") -> DataFrame:
     """Service equality AND JSON map of tags."""
-    pred = (F.col(service_col) == F.lit(service)) & attrs_match(attrs, tag_json_to_map(F.lit(tags_json)))
-    return search(spans, pred)
+    wanted = json.loads(tags_json) if isinstance(tags_json, str) else tag_json_to_map(tags_json)
+    if isinstance(wanted, dict):
+        wanted = {str(k): str(v) for k, v in wanted.items()}
+    return search(spans, (F.col(service_col) == F.lit(service)) & attrs_match(attrs, wanted))
 
 
 def field_search(spans: DataFrame, field: str, value: str, attrs: str = "attrs") -> DataFrame:
     """``field="value"`` on span attributes."""
-    return search(spans, F.coalesce(F.col(attrs)[field] == F.lit(value), F.lit(False)))
+    return search(spans, F.col(attrs)[field] == F.lit(value))
 
 
 def trace_counts(found: DataFrame, by: Sequence[str] = (), trace: str = "trace_id") -> DataFrame:
@@ -95,7 +115,9 @@ def process_tag_traces(process_tags: DataFrame, a: tuple[str, str], b: tuple[str
     """Traces where one process carries both tags (P14), on flat
     ``(trace, process, key, value)`` rows: aggregate per (trace, process)."""
     k, v = F.col("key"), F.col("value")
-    per_proc = process_tags.groupBy(trace, process).agg(
+    is_a, is_b = (k == a[0]) & (v == a[1]), (k == b[0]) & (v == b[1])
+    # Only the two wanted tags matter: drop every other tag row before the shuffle.
+    per_proc = process_tags.filter(is_a | is_b).groupBy(trace, process).agg(
         F.max((k == a[0]) & (v == a[1])).alias("_a"), F.max((k == b[0]) & (v == b[1])).alias("_b")
     )
     return per_proc.filter(F.col("_a") & F.col("_b")).select(trace).distinct()

@@ -218,14 +218,14 @@ def trace_service_tag_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trace_field_search(spark: SparkSession, sf: str) -> DataFrame:
-    found = T.field_search(V.spans(spark, sf), "test.batch", "P")
+    found = T.field_search(V.spans(spark, sf, with_batch=True), "test.batch", "P")
     return T.trace_counts(found)
 
 
 def reconcile_expected_found(spark: SparkSession, sf: str) -> DataFrame:
     orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"])
     expected = orders.groupBy(F.col("o_orderstatus").alias("batch")).agg(F.count(F.lit(1)).alias("expected"))
-    spans = V.spans(spark, sf)
+    spans = V.spans(spark, sf, with_batch=True)
     found = spans.groupBy(F.col("attrs")["test.batch"].alias("batch")).agg(
         F.count_distinct(F.nullif("trace_id", F.lit(""))).alias("found")
     )

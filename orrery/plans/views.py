@@ -119,16 +119,23 @@ def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Span rows from lineitem; ``test.batch`` from the order status (join on the order key)."""
+def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFrame:
+    """Span rows from lineitem (trace = order).
+
+    ``with_batch`` adds the ``test.batch`` attribute from the order status,
+    which needs a join with orders on the order key; queries that do not use
+    it do not pay for that join.
+    """
     li = read_table(
         spark, sf_dir, "lineitem",
-        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"],
+        ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"],
     )
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+    if with_batch:
+        orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+        li = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
+    batch = [F.lit("test.batch"), F.col("o_orderstatus")] if with_batch else []
     service = F.element_at(F.array(*[F.lit(s) for s in SERVICES]), (F.col("l_partkey") % 5 + 1).cast("int"))
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
-    return j.select(
+    return li.select(
         F.col("l_orderkey").cast("string").alias("trace_id"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
@@ -138,7 +145,7 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("return.flag"), F.col("l_returnflag"),
             F.lit("line.status"), F.col("l_linestatus"),
             F.lit("service.name"), service,
-            F.lit("test.batch"), F.col("o_orderstatus"),
+            *batch,
         ).alias("attrs"),
         F.col("l_shipdate").alias("start"),
     )
