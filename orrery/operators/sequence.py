@@ -18,6 +18,20 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_SECONDS = 86400
 
 
+def bucket_column(bucket_seconds: int) -> str:
+    """Name of the bucket column; helpers that find it already present reuse
+    it, so a chain of them keeps one ``(series, bucket)`` partitioning and the
+    data is shuffled once."""
+    return f"_bucket_{bucket_seconds}"
+
+
+def _with_bucket(df: DataFrame, ts: str, bucket_seconds: int) -> tuple[DataFrame, str, bool]:
+    b = bucket_column(bucket_seconds)
+    if b in df.columns:
+        return df, b, True
+    return df.withColumn(b, time_bucket(ts, bucket_seconds)), b, False
+
+
 def time_bucket(ts: Column | str, bucket_seconds: int) -> Column:
     """Integer bucket index of a timestamp (or timestamp_ntz) column."""
     ts = F.col(ts) if isinstance(ts, str) else ts
@@ -32,6 +46,7 @@ def with_previous(
     ts: str,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     prefix: str = "prev_",
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``prev_<c>`` = value of ``c`` on the previous row of the same series.
 
@@ -39,8 +54,7 @@ def with_previous(
     its first element must be monotone with ``ts`` so buckets are ordered.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    b = "_bucket"
-    data = df.withColumn(b, time_bucket(ts, bucket_seconds))
+    data, b, had = _with_bucket(df, ts, bucket_seconds)
     in_bucket = Window.partitionBy(*keys, b).orderBy(*order)
     for c in cols:
         data = data.withColumn(prefix + c, F.lag(c).over(in_bucket))
@@ -58,7 +72,8 @@ def with_previous(
             prefix + c,
             F.when(F.col("_first_in_bucket"), F.col("_carry")[c]).otherwise(F.col(prefix + c)),
         )
-    return joined.drop(b, "_carry", "_first_in_bucket")
+    out = joined.drop("_carry", "_first_in_bucket")
+    return out if (keep_bucket or had) else out.drop(b)
 
 
 def with_running_sum(
@@ -69,12 +84,13 @@ def with_running_sum(
     out: str,
     ts: str,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per series in ``order`` (inclusive)."""
     keys, order = list(keys), list(order)
     value = F.col(value) if isinstance(value, str) else value
-    b = "_bucket"
-    data = df.withColumn(b, time_bucket(ts, bucket_seconds)).withColumn("_v", value)
+    data, b, had = _with_bucket(df, ts, bucket_seconds)
+    data = data.withColumn("_v", value)
     in_bucket = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     data = data.withColumn("_local", F.sum("_v").over(in_bucket))
 
@@ -84,6 +100,7 @@ def with_running_sum(
 
     joined = data.join(offsets, on=[*keys, b], how="left")
     zero = F.lit(0).cast(joined.schema["_local"].dataType)
-    return joined.withColumn(out, F.coalesce(F.col("_offset"), zero) + F.col("_local")).drop(
-        b, "_v", "_local", "_offset"
+    res = joined.withColumn(out, F.coalesce(F.col("_offset"), zero) + F.col("_local")).drop(
+        "_v", "_local", "_offset"
     )
+    return res if (keep_bucket or had) else res.drop(b)

@@ -83,6 +83,7 @@ def counter_rate(counters: DataFrame, seconds: int, end=None, value: str = "coun
     extrapolation to the range edges.  Exact when ``value`` is decimal.
     """
     s = in_range(counters, seconds, end, ts)
+    # Reuses the (series, bucket) partitioning when the input carries it.
     s = with_previous(s, [key], [ts, tiebreak], [value], ts, bucket_seconds)
     v, p = F.col(value), F.col("prev_" + value)
     inc = F.when(p.isNull(), None).when(v >= p, v - p).otherwise(v)

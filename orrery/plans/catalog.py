@@ -51,12 +51,12 @@ def topk_rate(spark: SparkSession, sf: str) -> DataFrame:
     end = S.resolve_end(samples)
     # Series-local filter first: a counter only depends on its own series.
     sel = samples.filter(F.col("event_type") == "purchase")
-    counters = V.counters_from(sel)
+    counters = V.counters_from(sel, keep_bucket=True)
     return S.topk_rate(counters, k=10, seconds=WEEK, end=end)
 
 
 def rate_per_series(spark: SparkSession, sf: str) -> DataFrame:
-    return S.counter_rate(V.counter_samples(spark, sf), WEEK)
+    return S.counter_rate(V.counter_samples(spark, sf, keep_bucket=True), WEEK)
 
 
 def count_over_time_tumbling(spark: SparkSession, sf: str) -> DataFrame:

@@ -58,19 +58,22 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def counters_from(s: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
+def counters_from(s: DataFrame, bucket_seconds: int = 86400, keep_bucket: bool = False) -> DataFrame:
     """Monotone counters: running decimal sum of the value per series.
 
     The counter stays decimal, so increases and their sums are exact.
+    ``keep_bucket`` keeps the (series, day) partitioning column so a following
+    ``counter_rate`` with the same bucket width reuses it without a shuffle.
     """
     return with_running_sum(
         s, ["series_key"], ["ts", "event_id"], F.col("value").cast("decimal(18,2)"), "counter", "ts",
-        bucket_seconds,
+        bucket_seconds, keep_bucket=keep_bucket,
     )
 
 
-def counter_samples(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400) -> DataFrame:
-    return counters_from(samples(spark, sf_dir), bucket_seconds)
+def counter_samples(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400,
+                    keep_bucket: bool = False) -> DataFrame:
+    return counters_from(samples(spark, sf_dir), bucket_seconds, keep_bucket)
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
