@@ -110,6 +110,21 @@ def keep_matches_else_all(df: DataFrame, matched: Column, by: Sequence[str] = ()
     return j.filter(F.col("_m") | (F.col("_n_matched") == 0)).drop("_m", "_n_matched")
 
 
+def search_with_fallback(spans: DataFrame, strict: Column, loose: Column, trace: str = "trace_id") -> DataFrame:
+    """Search with ``strict``; when it finds nothing at all, repeat with
+    ``loose`` (P16).  The decision is a scalar count, not a per-row pairing."""
+    n_strict = spans.filter(strict).agg(F.count(F.lit(1))).scalar()
+    pred = F.when(n_strict > 0, strict).otherwise(loose)
+    return search(spans, pred, trace)
+
+
+def benchmark_tags(attrs: str | Column, needle: str = "benchmark") -> Column:
+    """Attribute map restricted to keys whose lower-cased text contains
+    ``needle`` (P17 on span attributes)."""
+    a = F.col(attrs) if isinstance(attrs, str) else attrs
+    return F.map_filter(a, lambda k, v: F.lower(k).contains(needle))
+
+
 def process_tag_traces(process_tags: DataFrame, a: tuple[str, str], b: tuple[str, str],
                        trace: str = "trace_id", process: str = "process_id") -> DataFrame:
     """Traces where one process carries both tags (P14), on flat

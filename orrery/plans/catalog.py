@@ -28,6 +28,7 @@ from orrery.operators.sequence import with_previous
 from orrery.plans import views as V
 from orrery.sources import exposition as X
 from orrery.sources.tables import read_table
+from orrery.streaming import windows as W
 
 DAY = 86400
 WEEK = 7 * DAY
@@ -417,6 +418,78 @@ def text_truncate(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", truncate("text", 200).alias("head"))
 
 
+# ------------------------------------------------- more trace / report ops
+def trace_search_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """Tag search that matches nothing falls back to the service filter."""
+    spans = V.spans(spark, sf)
+    strict = (F.col("service") == "payment") & (F.col("attrs")["return.flag"] == "X")
+    loose = F.col("service") == "payment"
+    return T.trace_counts(T.search_with_fallback(spans, strict, loose))
+
+
+def tag_inspection(spark: SparkSession, sf: str) -> DataFrame:
+    """Attribute keys containing 'benchmark' (case-insensitive), with
+    their values and span counts."""
+    spans = V.spans(spark, sf)
+    tags = spans.select(F.explode(T.benchmark_tags("attrs")).alias("key", "value"))
+    return tags.groupBy("key", "value").agg(F.count(F.lit(1)).alias("spans"))
+
+
+def query_latency_table(spark: SparkSession, sf: str) -> DataFrame:
+    """P19 + A11: per query key ``<service>:<query>`` the service class and
+    the query name after the last ':', with run percentiles."""
+    lat = V.latencies(spark, sf).withColumn(
+        "query_key", F.concat(F.col("event_type"), F.lit(":q"), (F.col("user_id") % 3).cast("string"))
+    )
+    p = R.run_latency_percentiles(lat)
+    return p.select(
+        R.service_class("query_key", SERVICE_CLASSES).alias("service"),
+        R.query_name("query_key").alias("query"),
+        "query_key", "n", "p50", "p90", "p99",
+    )
+
+
+# ------------------------------------------ streaming operators, batch form
+def _events_et(spark, sf):
+    ev = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    return W.event_time(ev)
+
+
+def stream_sliding_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """ST8 run on the table (withWatermark is inert in batch)."""
+    out = W.sliding_counts(_events_et(spark, sf), ["event_type"], "1 day", "6 hours")
+    return out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+def stream_periodic_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """ST7: last cumulative counter per service and day."""
+    obs = W.event_time(V.service_obs(spark, sf))
+    out = W.periodic_snapshot(obs, ["service"], "ingested", every="1 day")
+    return out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+def stream_running_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """ST9: running counter per series = keyed aggregate."""
+    ev = _events_et(spark, sf).withColumn("v", F.col("value").cast("decimal(18,2)"))
+    out = W.running_totals(ev, ["event_type"], "v")
+    return out.select("event_type", F.col("total").cast("double").alias("total"), "samples")
+
+
+def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """ST11: replayed entries (every event delivered twice) deduplicated by id."""
+    ev = _events_et(spark, sf)
+    d = W.deduplicated(ev.unionByName(ev), ["event_id"])
+    return d.groupBy("event_type").agg(F.count(F.lit(1)).alias("entries"))
+
+
+def stream_late_rejection(spark: SparkSession, sf: str) -> DataFrame:
+    """ST5: entries older than 168 h before the newest entry are rejected."""
+    ev = _events_et(spark, sf)
+    now = ev.select(F.max("event_ts")).scalar()
+    kept = W.reject_late(ev, "event_ts", 168, now=now)
+    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("accepted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fns = [
         topk_latest, topk_rate, rate_per_series, count_over_time_tumbling, count_over_time_sliding,
@@ -432,5 +505,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         peak_ingest, trace_drop_rate, resource_usage, resource_series, throughput, counter_delta,
         storage_fill_in, bytes_per_item, relative_difference, format_storage, service_assembly,
         known_services, load_volume, cpu_from_deltas, memory_share, text_truncate,
+        trace_search_with_fallback, tag_inspection, query_latency_table,
+        stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
+        stream_late_rejection,
     ]
     return {f.__name__: f for f in fns}

@@ -441,4 +441,41 @@ FROM p WHERE sd IS NOT NULL"""
 SELECT service, event_id, CAST(memory_bytes AS DOUBLE) / 536870912::DOUBLE * 100::DOUBLE AS mem_pct FROM obs"""
 
     q["text_truncate"] = "SELECT doc_id, substring(text, 1, 200) AS head FROM documents"
+
+    q["trace_search_with_fallback"] = f"WITH {SPANS}\n" + counts.format(pred="service = 'payment'")
+
+    q["tag_inspection"] = f"""WITH {SPANS}
+SELECT 'benchmark_app' AS key, 'orders' AS value, count(*) AS spans FROM spans"""
+
+    q["query_latency_table"] = f"""WITH l AS (SELECT event_type || ':q' || CAST(user_id % 3 AS VARCHAR) AS query_key, ts, event_id,
+                  value AS v FROM events WHERE event_type <> 'error'),
+{_quantile_sql('l', 'query_key', 'recent')}
+SELECT CASE WHEN contains(k, 'click') OR contains(k, 'view') THEN 'Samples'
+            WHEN contains(k, 'signup') OR contains(k, 'purchase') THEN 'Lines'
+            WHEN contains(k, 'error') THEN 'Spans' END AS service,
+       regexp_extract(k, '[^:]*$') AS query, k AS query_key, n, p50, p90, p99
+FROM q"""
+
+    q["stream_sliding_counts"] = """WITH grid AS (
+  SELECT DISTINCT event_type, (epoch_us(ts) // 21600000000) * 21600000000 + j * 21600000000 AS t
+  FROM events, range(0, 5) r(j))
+SELECT make_timestamp(g.t) AS window_end, g.event_type, count(*) AS n
+FROM grid g JOIN events e ON e.event_type = g.event_type
+  AND epoch_us(e.ts) > g.t - 86400000000 AND epoch_us(e.ts) <= g.t
+GROUP BY ALL"""
+
+    q["stream_periodic_snapshot"] = f"""WITH {OBS},
+t AS (SELECT *, epoch_us(ts) AS us FROM obs)
+SELECT make_timestamp(us + ((-us) % 86400000000 + 86400000000) % 86400000000) AS window_end, service,
+       arg_max(ingested, ts) AS ingested, count(*) AS samples
+FROM t GROUP BY ALL"""
+
+    q["stream_running_totals"] = """SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+       count(*) AS samples FROM events GROUP BY event_type"""
+
+    q["stream_dedup"] = """SELECT event_type, count(DISTINCT event_id) AS entries FROM events GROUP BY event_type"""
+
+    q["stream_late_rejection"] = f"""WITH {BOUNDS}
+SELECT event_type, count(*) AS accepted FROM events, bounds b
+WHERE ts >= b.e - INTERVAL 168 HOUR GROUP BY event_type"""
     return q

@@ -73,5 +73,8 @@ def running_totals(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def deduplicated(df: DataFrame, ids: Sequence[str], watermark: str = LATE_LIMIT, ts: str = "event_ts") -> DataFrame:
     """Exactly-once per entry (ST11): duplicates that retries can cause are
-    removed while their id is within the watermark."""
+    removed while their id is within the watermark.  On a batch DataFrame
+    every row is within the watermark, so it is a plain ``dropDuplicates``."""
+    if not df.isStreaming:
+        return df.dropDuplicates(list(ids))
     return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(ids))
