@@ -48,6 +48,14 @@ def peak_ingest(service_obs: DataFrame, ingested: Sequence[str], dropped: str,
     ).withColumn("type", service_class(service, classes))
 
 
+def nonzero_or_fail(counts: DataFrame, col: str, message: str) -> DataFrame:
+    """Fail the job when a count is 0 (P21): no fallback value.  The check
+    runs inside the query (``raise_error``), so no driver round trip."""
+    c = F.col(col)
+    return counts.withColumn(col, F.when(c == 0, F.raise_error(F.lit(message)).cast(counts.schema[col].dataType))
+                             .otherwise(c))
+
+
 def error_counts(query_obs: DataFrame, key: str = "query_key", success: str = "success") -> DataFrame:
     """Rows whose success is false or absent, per query key."""
     return query_obs.groupBy(key).agg(

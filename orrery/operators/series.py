@@ -65,6 +65,11 @@ def top_k(df: DataFrame, k: int, by: str = "value", key: str = "series_key") ->
     return df.orderBy(F.col(by).desc_nulls_last(), F.col(key)).limit(k)
 
 
+def newest(df: DataFrame, n: int, ts: str = "ts", tiebreak: str = "event_id") -> DataFrame:
+    """The ``n`` most recent rows (T2), order fixed by (ts desc, tiebreak)."""
+    return df.orderBy(F.col(ts).desc(), F.col(tiebreak)).limit(n)
+
+
 def topk_latest(samples: DataFrame, k: int = 10, seconds: int = 7 * 86400, labels=None, end=None) -> DataFrame:
     """Top k series by current value over a time range (P4 + P8 + W3 + T1)."""
     e = resolve_end(samples, "ts", end)  # anchored on the whole input, not the selection

@@ -127,9 +127,18 @@ def log_error_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_window_count(spark: SparkSession, sf: str) -> DataFrame:
+    """A6, failing loudly when nothing matched."""
     logs = V.log_lines(spark, sf)
     end = S.resolve_end(logs)
-    return L.window_count(logs, end - F.make_dt_interval(days=F.lit(7)), end, {"severity": "ERROR"})
+    n = L.window_count(logs, end - F.make_dt_interval(days=F.lit(7)), end, {"severity": "ERROR"})
+    return R.nonzero_or_fail(n, "n", "log window count returned 0 lines")
+
+
+def log_latest_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest 100 error lines of one stream (a limit is the feature)."""
+    sel = L.json_fields_equal(L.relabel_streams(V.log_lines(spark, sf), keep_service="checkout"),
+                              {"severity": "ERROR"})
+    return S.newest(sel.select("event_id", "ts", "line"), 100)
 
 
 def _logs_arrival(spark, sf):
@@ -200,11 +209,8 @@ def exposition_named(spark: SparkSession, sf: str) -> DataFrame:
 def exposition_drop_prefix_sum(spark: SparkSession, sf: str) -> DataFrame:
     """A14 + A15: drops = sum of metrics with a name prefix, plus a second counter."""
     s = X.metric_sums(V.exposition_lines(spark, sf), _PAGE)
-    agg = s.groupBy(*_PAGE).agg(
-        F.sum(F.when(F.col("name").startswith("events_error"), F.col("value"))).alias("_prefix"),
-        F.sum(F.when(F.col("name") == "events_signup_total", F.col("value"))).alias("_other"),
-    )
-    return agg.select(*_PAGE, _r6(F.coalesce("_prefix", F.lit(0.0)) + F.coalesce("_other", F.lit(0.0))).alias("drops"))
+    d = X.total_drops(s, _PAGE, "events_error", "events_signup_total")
+    return d.select(*_PAGE, _r6(F.col("drops")).alias("drops"))
 
 
 # ----------------------------------------------------------------- traces
@@ -495,7 +501,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_latest, topk_rate, rate_per_series, count_over_time_tumbling, count_over_time_sliding,
         count_over_time_last_step_total, count_over_time_plain_total, series_cardinality, series_churn,
         histogram_buckets, label_cardinality,
-        log_error_lines, log_window_count, log_parse_lenient, log_parse_strict, log_stream_counts,
+        log_error_lines, log_window_count, log_latest_lines, log_parse_lenient, log_parse_strict, log_stream_counts,
         log_range_count_total,
         exposition_sum, exposition_selected, exposition_first, exposition_last, exposition_active_series,
         exposition_named, exposition_drop_prefix_sum,

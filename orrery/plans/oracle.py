@@ -227,6 +227,11 @@ WHERE regexp_extract(container, '^/(.*)$', 1) = 'payment'
   AND json_extract_string(line, '$.event_type') = 'error'
   AND contains(line, 'ERROR')"""
 
+    q["log_latest_lines"] = f"""WITH {LOGS}
+SELECT event_id, ts, line FROM log_lines
+WHERE service = 'checkout' AND json_extract_string(line, '$.severity') = 'ERROR'
+ORDER BY ts DESC, event_id LIMIT 100"""
+
     q["log_window_count"] = f"""WITH {LOGS}, {BOUNDS}
 SELECT count(*) AS n FROM log_lines, bounds b
 WHERE ts >= b.e - INTERVAL 7 DAY AND ts <= b.e AND json_extract_string(line, '$.severity') = 'ERROR'"""

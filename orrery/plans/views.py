@@ -6,7 +6,7 @@ mirrored column for column by the SQL in ``plans/oracle.py``.
 
 * samples          events: series = (event_type, user_id), gauge value
 * counter_samples  running sum of the value per series, ordered by (ts, event_id)
-* log_lines        events rendered as JSON log lines (+ docker-style prefix / plain lines)
+* log_lines        events rendered as JSON log lines (+ container-runtime prefix / plain lines)
 * latencies        events: query key, latency_ms = value, success = not an error
 * spans            lineitem: trace = order, batch tag from the order status
 * exposition       events rendered as exposition-format lines of scrape pages

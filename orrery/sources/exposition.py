@@ -105,3 +105,18 @@ def named_metrics(sums: DataFrame, page: Sequence[str], names: Sequence[str]) ->
     """Pick named counters from S1 output, missing = 0 (S12): one column per name."""
     cols = [F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0.0)).alias(n) for n in names]
     return sums.filter(F.col("name").isin(list(names))).groupBy(*page).agg(*cols)
+
+
+def prefix_sum(sums: DataFrame, page: Sequence[str], prefix: str, out: str = "value") -> DataFrame:
+    """Sum of all metrics whose name starts with ``prefix`` (A14); 0 when none."""
+    v = F.when(F.col("name").startswith(prefix), F.col("value"))
+    return sums.groupBy(*page).agg(F.coalesce(F.sum(v), F.lit(0.0)).alias(out))
+
+
+def total_drops(sums: DataFrame, page: Sequence[str], dropped_prefix: str, rejected_name: str) -> DataFrame:
+    """Dropped (prefix sum) plus rejections (one named counter)."""
+    rej = F.when(F.col("name") == rejected_name, F.col("value"))
+    drop = F.when(F.col("name").startswith(dropped_prefix), F.col("value"))
+    return sums.groupBy(*page).agg(
+        (F.coalesce(F.sum(drop), F.lit(0.0)) + F.coalesce(F.sum(rej), F.lit(0.0))).alias("drops")
+    )
