@@ -32,24 +32,33 @@ def pages_to_lines(pages: DataFrame, text: str = "text") -> DataFrame:
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Per line: metric ``name`` and ``value`` (last whitespace token).
 
-    Comment (``#``) and blank lines, lines with fewer than two tokens and
-    values Python's ``float()`` rejects are dropped.
+    Comment (``#``) and blank lines are dropped.  Lines with fewer than two
+    tokens get a NULL name, values Python's ``float()`` rejects a NULL value;
+    they are discarded after aggregation (``metric_sums``), so the tokenizer
+    is never inlined into a pushed-down filter and run twice.
     """
-    toks = line_tokens(F.col(line))
-    parsed = lines.select(
+    l = F.col(line)
+    body = lines.filter(~l.startswith("#") & (F.trim(l) != ""))
+    toks = line_tokens(l)
+    two = F.size(toks) >= 2
+    return body.select(
         "*",
-        toks.alias("_tok"),
-    ).filter(~F.col(line).startswith("#") & (F.trim(F.col(line)) != "") & (F.size("_tok") >= 2))
-    out = parsed.withColumn("name", metric_name(F.col("_tok")[0])).withColumn(
-        "value", py_float(F.element_at(F.col("_tok"), -1))
+        F.when(two, metric_name(toks[0])).alias("name"),
+        F.when(two, py_float(F.element_at(toks, -1))).alias("value"),
     )
-    return out.filter(F.col("value").isNotNull()).drop("_tok")
 
 
 def metric_sums(lines: DataFrame, page: Sequence[str], line: str = "line") -> DataFrame:
-    """``{name: sum of values over all label sets}`` per page."""
+    """``{name: sum of values over all label sets}`` per page.
+
+    Names whose every value failed to parse do not appear (the check runs on
+    the aggregated rows).
+    """
     p = parse_lines(lines, line)
-    return p.groupBy(*page, "name").agg(F.sum("value").alias("value"))
+    agg = p.groupBy(*page, "name").agg(F.sum("value").alias("value"), F.count("value").alias("_n"))
+    # value is NULL whenever name is, so one test on the aggregated count
+    # drops both; a test on ``name`` would be pushed below the aggregate.
+    return agg.filter(F.col("_n") > 0).drop("_n")
 
 
 def selected_sums(lines: DataFrame, page: Sequence[str], ingested: tuple[str, str], dropped: tuple[str, str],
@@ -83,16 +92,17 @@ def matched_value(lines: DataFrame, page: Sequence[str], literal: str, which: st
     """
     l = F.col(line)
     toks = line_tokens(l)
-    v = py_float(F.element_at(toks, -1))
-    cand = lines.filter(l.contains(literal) & ~F.trim(l).startswith("#") & (F.size(toks) >= 2)).select(
-        *page, line_no, v.alias("_v")
+    two = F.size(toks) >= 2
+    # Only cheap predicates filter rows; the token checks become NULL
+    # orderings (ignored by min_by / max_by) so each line is split once.
+    cand = lines.filter(l.contains(literal) & ~F.trim(l).startswith("#")).select(
+        *page, line_no, two.alias("_two"), F.when(two, py_float(F.element_at(toks, -1))).alias("_v")
     )
     if which == "first":
-        agg = F.min_by(F.coalesce("_v", F.lit(0.0)), line_no)
+        agg = F.min_by(F.coalesce("_v", F.lit(0.0)), F.when(F.col("_two"), F.col(line_no)))
     else:
-        cand = cand.filter(F.col("_v").isNotNull())
-        agg = F.max_by("_v", line_no)
-    return cand.groupBy(*page).agg(agg.alias("value"))
+        agg = F.max_by("_v", F.when(F.col("_two") & F.col("_v").isNotNull(), F.col(line_no)))
+    return cand.groupBy(*page).agg(agg.alias("value")).filter(F.col("value").isNotNull())
 
 
 def active_series(lines: DataFrame, page: Sequence[str], prefix: str, line: str = "line") -> DataFrame:
@@ -102,9 +112,10 @@ def active_series(lines: DataFrame, page: Sequence[str], prefix: str, line: str
 
 
 def named_metrics(sums: DataFrame, page: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Pick named counters from S1 output, missing = 0 (S12): one column per name."""
+    """Pick named counters from S1 output, missing = 0 (S12): one row per
+    page, one column per name."""
     cols = [F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0.0)).alias(n) for n in names]
-    return sums.filter(F.col("name").isin(list(names))).groupBy(*page).agg(*cols)
+    return sums.groupBy(*page).agg(*cols)
 
 
 def prefix_sum(sums: DataFrame, page: Sequence[str], prefix: str, out: str = "value") -> DataFrame:
