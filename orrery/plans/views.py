@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
-from orrery.operators.sequence import with_running_sum
+from orrery.operators.sequence import bucket_column, with_running_sum
 from orrery.sources.tables import cpu_parallelism, read_table
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
@@ -196,11 +196,13 @@ def service_obs(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400) -
         F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit("steady"))
         .otherwise(F.lit("burst")).alias("scenario"),
     )
-    c = with_running_sum(base, ["service"], ["ts", "event_id"], F.lit(1).cast("long"), "ingested", "ts", bucket_seconds)
+    # Both counters share one (service, day) partitioning: one shuffle.
+    c = with_running_sum(base, ["service"], ["ts", "event_id"], F.lit(1).cast("long"), "ingested", "ts",
+                         bucket_seconds, keep_bucket=True)
     c = with_running_sum(
         c, ["service"], ["ts", "event_id"], F.when(F.col("value") > 400, 1).otherwise(0).cast("long"), "dropped", "ts",
         bucket_seconds,
-    )
+    ).drop(bucket_column(bucket_seconds))
     return c.select(
         "event_id", "ts", "service", "scenario", "ingested", "dropped",
         (F.col("value") % 100).alias("cpu_percent"),
