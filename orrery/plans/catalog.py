@@ -259,7 +259,8 @@ def trace_process_exists(spark: SparkSession, sf: str) -> DataFrame:
     """P14 on flat process tags: the process of a span is its service; tags
     are the span attributes."""
     spans = V.spans(spark, sf)
-    tags = spans.select("trace_id", F.col("service").alias("process_id"), F.explode("attrs").alias("key", "value"))
+    wanted = F.map_filter("attrs", lambda k, v: k.isin("benchmark_app", "return.flag"))
+    tags = spans.select("trace_id", F.col("service").alias("process_id"), F.explode(wanted).alias("key", "value"))
     hits = T.process_tag_traces(tags, ("benchmark_app", "orders"), ("return.flag", "N"))
     return hits.agg(F.count(F.lit(1)).alias("traces"))
 
