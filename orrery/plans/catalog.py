@@ -30,6 +30,20 @@ from orrery.sources import exposition as X
 from orrery.sources.tables import read_table
 from orrery.streaming import windows as W
 
+# Label derivation of the reference's metric generator, in its
+# order.  Each rule is (label, value prefix, modulus of the series index);
+# env picks from a list by index modulo its length.
+BASE_LABEL_RULES = [("job", "test-job-", 10), ("instance", "instance-", 100)]
+HIGH_CARDINALITY_LABEL_RULES = [
+    ("host", "host-", 1000),
+    ("pod", "pod-", 5000),
+    ("region", "region-", 10),
+    ("version", "v", 20),
+    ("customer", "customer-", 100),
+    ("env", ["prod", "staging", "dev"], 3),
+    ("team", "team-", 50),
+]
+
 DAY = 86400
 WEEK = 7 * DAY
 HIST_BOUNDS = [10.0, 50.0, 100.0, 250.0, 500.0]
@@ -93,21 +107,15 @@ def label_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     high-cardinality mode, distinct canonical keys per mode."""
     ev = read_table(spark, sf, "events", ["event_id"])
     i = F.col("event_id")
-    base = {
-        "job": modulo_label(i, "test-job-", 10),
-        "instance": modulo_label(i, "instance-", 100),
-        "benchmark_app": F.lit("events"),
-    }
-    high = dict(base)
-    high.update({
-        "host": modulo_label(i, "host-", 1000),
-        "pod": modulo_label(i, "pod-", 5000),
-        "region": modulo_label(i, "region-", 10),
-        "version": modulo_label(i, "v", 20),
-        "customer": modulo_label(i, "customer-", 100),
-        "env": pick_label(i, ["prod", "staging", "dev"]),
-        "team": modulo_label(i, "team-", 50),
-    })
+
+    def derive(rules):
+        out = {}
+        for label, rule, mod in rules:
+            out[label] = pick_label(i, rule) if isinstance(rule, list) else modulo_label(i, rule, mod)
+        return out
+
+    base = {**derive(BASE_LABEL_RULES), "benchmark_app": F.lit("events")}
+    high = {**base, **derive(HIGH_CARDINALITY_LABEL_RULES)}
 
     def keyed(mode, labels):
         m = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), v)])
