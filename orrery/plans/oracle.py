@@ -281,7 +281,7 @@ SELECT service, scrape_ts, arg_max(v, line_no) AS value FROM (
   FROM expo WHERE contains(line, 'zone="zone 2"')) WHERE v IS NOT NULL GROUP BY service, scrape_ts"""
 
     q["exposition_active_series"] = f"""WITH {EXPO}
-SELECT service, scrape_ts, count_if(starts_with(line, 'events_') AND contains(line, '{{')) AS series
+SELECT service, scrape_ts, CAST(count_if(starts_with(line, 'events_') AND contains(line, '{{')) AS BIGINT) AS series
 FROM expo GROUP BY service, scrape_ts"""
 
     q["exposition_named"] = f"""WITH {EXPO}
@@ -353,10 +353,10 @@ SELECT q.k AS event_type, n, p50, p90, p99, mean, min, max FROM q JOIN s USING (
 
     q["errors_per_query"] = f"""WITH {lat_ok}, ok AS (SELECT * FROM l WHERE success),
 {_quantile_sql('ok', 'query_key', 'recent')},
-e AS (SELECT query_key AS k, count_if(NOT coalesce(success, false)) AS errors FROM l GROUP BY 1)
+e AS (SELECT query_key AS k, CAST(count_if(NOT coalesce(success, false)) AS BIGINT) AS errors FROM l GROUP BY 1)
 SELECT q.k AS query_key, n, p50, p90, p99, coalesce(errors, 0) AS errors FROM q LEFT JOIN e USING (k)"""
 
-    q["peak_ingest"] = """SELECT event_type AS service, count(*) AS total_ingested, count_if(value > 400) AS total_dropped,
+    q["peak_ingest"] = """SELECT event_type AS service, count(*) AS total_ingested, CAST(count_if(value > 400) AS BIGINT) AS total_dropped,
   CASE WHEN contains(event_type, 'click') OR contains(event_type, 'view') THEN 'Samples'
        WHEN contains(event_type, 'signup') OR contains(event_type, 'purchase') THEN 'Lines'
        WHEN contains(event_type, 'error') THEN 'Spans' END AS type
@@ -398,8 +398,8 @@ SELECT service, items, el / 1000000::DOUBLE AS elapsed_s,
 FROM t"""
 
     q["counter_delta"] = """SELECT event_type AS service,
-       count_if(ts < TIMESTAMP '2024-01-15 00:00:00') + 1 AS before, count(*) AS after,
-       count(*) - count_if(ts < TIMESTAMP '2024-01-15 00:00:00') - 1 AS delta
+       CAST(count_if(ts < TIMESTAMP '2024-01-15 00:00:00') + 1 AS BIGINT) AS before, count(*) AS after,
+       CAST(count(*) - count_if(ts < TIMESTAMP '2024-01-15 00:00:00') - 1 AS BIGINT) AS delta
 FROM events GROUP BY event_type HAVING count_if(ts >= TIMESTAMP '2024-01-15 00:00:00') > 0"""
 
     q["storage_fill_in"] = f"WITH {STORAGE}\nSELECT service, storage_bytes FROM storage WHERE storage_bytes > 0"
