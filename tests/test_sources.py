@@ -103,3 +103,20 @@ def test_nonzero_or_fail(spark):
     bad = spark.createDataFrame([(0,)], "n long")
     with pytest.raises(Exception, match="empty"):
         R.nonzero_or_fail(bad, "n", "empty").collect()
+
+
+def test_partitioned_layout_prunes_dates(spark, scratch):
+    from orrery.plans import views as V
+    from orrery.sources import layout
+    from tests.conftest import SF_SMALL
+
+    s = V.samples(spark, SF_SMALL).select("series_key", "ts", "event_id", "value")
+    path = os.path.join(scratch, "samples")
+    layout.write_partitioned(s, path)
+    start, end = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12, 12)
+    df = layout.read_range(spark, path, start, end)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(date" in plan
+    want = s.filter((F.col("ts") > F.lit(start)) & (F.col("ts") <= F.lit(end))).count()
+    assert df.count() == want > 0
+    assert len([p for p in os.listdir(path) if p.startswith("date=")]) == 30
