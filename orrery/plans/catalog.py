@@ -188,6 +188,12 @@ def exposition_sum(spark: SparkSession, sf: str) -> DataFrame:
     return s.select(*_PAGE, "name", _r6(F.col("value")).alias("value"))
 
 
+def exposition_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 in labelled mode: label sets parsed into maps, summed per series."""
+    s = X.series_sums(V.exposition_lines(spark, sf), _PAGE)
+    return s.select(*_PAGE, "series_key", _r6(F.col("value")).alias("value"))
+
+
 def exposition_selected(spark: SparkSession, sf: str) -> DataFrame:
     s = X.selected_sums(V.exposition_lines(spark, sf), _PAGE, ("events_click_total", "zone 1"),
                         ("events_error_total", "zone 2"))
@@ -512,7 +518,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         histogram_buckets, label_cardinality,
         log_error_lines, log_window_count, log_latest_lines, log_parse_lenient, log_parse_strict, log_stream_counts,
         log_range_count_total,
-        exposition_sum, exposition_selected, exposition_first, exposition_last, exposition_active_series,
+        exposition_sum, exposition_labelled, exposition_selected, exposition_first, exposition_last, exposition_active_series,
         exposition_named, exposition_drop_prefix_sum,
         trace_span_counts, trace_service_tag_search, trace_field_search, reconcile_expected_found,
         backend_ratio, trace_keep_matches_else_all, trace_process_exists, search_result_counts,

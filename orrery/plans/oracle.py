@@ -259,6 +259,11 @@ sel AS (SELECT service AS stream, ts FROM log_lines WHERE json_extract_string(li
     q["exposition_sum"] = f"""WITH {EXPO}
 SELECT service, scrape_ts, name, round(value, 6) AS value FROM expo_sums"""
 
+    q["exposition_labelled"] = ("WITH " + EXPO + """
+SELECT service, scrape_ts, regexp_extract(line, '^([^{]*[{][^}]*[}])', 1) AS series_key,
+       round(sum(v), 6) AS value
+FROM expo_parsed WHERE v IS NOT NULL AND contains(line, '{') GROUP BY ALL""")
+
     q["exposition_selected"] = f"""WITH {EXPO},
 t AS (SELECT service, scrape_ts, line, TRY_CAST(regexp_extract(line, '(\\S+)\\s*$', 1) AS DOUBLE) AS v,
              (trim(line) <> '' AND NOT starts_with(line, '#') AND regexp_matches(line, '\\S+\\s+\\S+')) AS body

@@ -12,8 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orrery.functions.keys import series_key
 from orrery.functions.text import line_tokens, metric_name, py_float
 
+# Label pair inside ``{...}``: name="value" with backslash escapes.
+LABEL_PAIR = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"' 
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed scrape snapshots, one file per page: (path, text)."""
@@ -131,3 +135,22 @@ def total_drops(sums: DataFrame, page: Sequence[str], dropped_prefix: str, rejec
     return sums.groupBy(*page).agg(
         (F.coalesce(F.sum(drop), F.lit(0.0)) + F.coalesce(F.sum(rej), F.lit(0.0))).alias("drops")
     )
+
+
+def labelled_samples(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Per sample line: ``name``, ``labels`` map, canonical ``series_key`` and
+    ``value`` (labelled mode: one row per series instead of one sum per name)."""
+    p = parse_lines(lines, line)
+    label_text = F.regexp_extract(F.col(line), r"\{(.*)\}", 1)
+    labels = F.map_from_arrays(
+        F.regexp_extract_all(label_text, F.lit(LABEL_PAIR), 1),
+        F.regexp_extract_all(label_text, F.lit(LABEL_PAIR), 2),
+    )
+    return p.withColumn("labels", labels).withColumn("series_key", series_key(F.col("name"), F.col("labels")))
+
+
+def series_sums(lines: DataFrame, page: Sequence[str], line: str = "line") -> DataFrame:
+    """Sum per (page, series) — the labelled counterpart of ``metric_sums``."""
+    p = labelled_samples(lines, line)
+    agg = p.groupBy(*page, "series_key").agg(F.sum("value").alias("value"), F.count("value").alias("_n"))
+    return agg.filter(F.col("_n") > 0).drop("_n")

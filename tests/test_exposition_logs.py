@@ -73,3 +73,9 @@ def test_log_filters(spark):
          ("/app", '{"svc":"a"} error')], "container string, line string")
     got = L.error_lines(df, "app", {"svc": "a"}, "ERROR").collect()
     assert len(got) == 1
+
+
+def test_labelled_series_sorted_keys(spark):
+    lines = ['m{b="2",a="x \\"y\\""} 1', 'm{a="x \\"y\\"",b="2"} 2', "m 5", "m{} 1", "# m{a=\"1\"} 9"]
+    got = {r.series_key: r.value for r in X.series_sums(_lines(spark, lines), ["page"]).collect()}
+    assert got == {'m{a="x \\"y\\"",b="2"}': 3.0, "m{}": 6.0}
