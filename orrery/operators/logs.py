@@ -121,7 +121,11 @@ def stream_counts(logs: DataFrame, seconds: int, step_seconds: int, stream: Sequ
 
 
 def range_count_total(logs: DataFrame, seconds: int, step_seconds: int, end=None,
-                      stream: Sequence[str] = ("container",), ts: str = "ts", mode: str = "last_step") -> DataFrame:
-    """Log range count, last step per stream, summed (A3)."""
+                      stream: Sequence[str] = ("container",), ts: str = "ts", mode: str = "last_step",
+                      range_seconds: int | None = None) -> DataFrame:
+    """Log range count, last step per stream, summed (A3): ``count_over_time
+    [w]`` evaluated over a query range (the reference: 1 h windows over the
+    last 5 minutes)."""
     keyed = logs.withColumn("stream_key", F.concat_ws("|", *stream))
-    return S.count_last_step_total(keyed, seconds, step_seconds, end, key="stream_key", ts=ts, mode=mode)
+    return S.count_last_step_total(keyed, seconds, step_seconds, end, key="stream_key", ts=ts, mode=mode,
+                                   range_seconds=range_seconds)

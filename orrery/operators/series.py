@@ -141,28 +141,33 @@ def count_sliding(df: DataFrame, seconds: int, step_seconds: int, key: str = "se
 
 
 def count_last_step_total(df: DataFrame, seconds: int, step_seconds: int, end=None, key: str = "series_key",
-                          ts: str = "ts", mode: str = "last_step") -> DataFrame:
+                          ts: str = "ts", mode: str = "last_step", range_seconds: int | None = None) -> DataFrame:
     """Range count, last emitted step per series, summed over series (A2).
 
-    ``last_step``: each series contributes ``count_over_time[w]`` at the last
-    grid step (grid ``end - j*step`` over ``[end - w, end]``) at which it
-    emitted.  ``plain``: rows in ``(end - w, end]``.
+    ``last_step``: a range query over ``[end - range, end]`` at ``step`` (grid
+    ``end - j*step``) evaluates ``count_over_time[w]``; each series
+    contributes its value at the last step where it emitted.  ``range``
+    defaults to ``w``.  ``plain``: rows in ``(end - w, end]``.
+
+    Closed form per series with last sample L: the last emitted step is
+    ``end`` if ``L > end - w``, else the largest grid step below ``L + w``;
+    series whose step falls before ``end - range`` contribute nothing.
     """
     e = resolve_end(df, ts, end)
     if mode == "plain":
-        return in_range(df, seconds, end, ts).agg(F.count(F.lit(1)).alias("total"))
-    w_us, s_us = seconds * US, step_seconds * US
+        return in_range(df, seconds, e, ts).agg(F.count(F.lit(1)).alias("total"))
+    rng = seconds if range_seconds is None else range_seconds
+    w_us, s_us, r_us = seconds * US, step_seconds * US, rng * US
     end_us = _us(e)
-    # Only samples that can fall in some counted window: (end - 2w, end].
-    recent = df.filter((_us(F.col(ts)) > end_us - F.lit(2 * w_us)) & (_us(F.col(ts)) <= end_us))
-    last = recent.groupBy(key).agg(F.max(_us(F.col(ts))).alias("_L"))
+    # Only samples that can fall in some counted window: (end - range - w, end].
+    u = _us(F.col(ts))
+    recent = df.filter((u > end_us - F.lit(r_us + w_us)) & (u <= end_us))
+    last = recent.groupBy(key).agg(F.max(u).alias("_L"))
     g = F.when(F.col("_L") > end_us - F.lit(w_us), end_us).otherwise(
         end_us - F.lit(s_us) * (F.floor((end_us - (F.col("_L") + F.lit(w_us))) / F.lit(s_us)).cast("long") + 1)
     )
-    steps = last.select(key, g.alias("_g")).filter(F.col("_g") >= end_us - F.lit(w_us))
-    j = recent.join(steps, key)
-    u = _us(F.col(ts))
-    hit = j.filter((u > F.col("_g") - F.lit(w_us)) & (u <= F.col("_g")))
+    steps = last.select(key, g.alias("_g")).filter(F.col("_g") >= end_us - F.lit(r_us))
+    hit = recent.join(steps, key).filter((u > F.col("_g") - F.lit(w_us)) & (u <= F.col("_g")))
     return hit.agg(F.count(F.lit(1)).alias("total"))
 
 

@@ -176,7 +176,7 @@ def log_range_count_total(spark: SparkSession, sf: str) -> DataFrame:
     logs = V.log_lines(spark, sf)
     end = S.resolve_end(logs)
     sel = L.json_fields_equal(L.relabel_streams(logs), {"severity": "ERROR"})
-    return L.range_count_total(sel, DAY, 3600, end=end, stream=["container_label"])
+    return L.range_count_total(sel, DAY, 3600, end=end, stream=["container_label"], range_seconds=6 * 3600)
 
 
 # ------------------------------------------------------------- exposition

@@ -123,12 +123,13 @@ q AS (SELECT k, n, (m_lo + m_hi) / 2 AS p50,
       FROM g)"""
 
 
-def _grid_total_sql(source: str, key: str, w_us: int, s_us: int) -> str:
-    """Brute force: every grid step t = e - j*s in [e - w, e]; per key the
+def _grid_total_sql(source: str, key: str, w_us: int, s_us: int, r_us: int | None = None) -> str:
+    """Brute force: every grid step t = e - j*s in [e - range, e]; per key the
     count in (t - w, t] at the last step with a non-zero count; summed."""
-    steps = w_us // s_us
+    r_us = w_us if r_us is None else r_us
+    steps = r_us // s_us
     return f"""recent AS (SELECT {key} AS k, epoch_us(ts) AS u FROM {source}, bounds b
-                WHERE epoch_us(ts) > b.e_us - {2 * w_us} AND epoch_us(ts) <= b.e_us),
+                WHERE epoch_us(ts) > b.e_us - {r_us + w_us} AND epoch_us(ts) <= b.e_us),
 grid AS (SELECT b.e_us - j * {s_us} AS t FROM bounds b, range(0, {steps + 1}) r(j)),
 cnt AS (SELECT k, t, count(*) AS c FROM recent JOIN grid ON u > t - {w_us} AND u <= t GROUP BY k, t),
 last AS (SELECT k, arg_max(c, t) AS c FROM cnt GROUP BY k)
@@ -253,7 +254,7 @@ FROM t GROUP BY ALL"""
 
     q["log_range_count_total"] = f"""WITH {LOGS}, {BOUNDS},
 sel AS (SELECT service AS stream, ts FROM log_lines WHERE json_extract_string(line, '$.severity') = 'ERROR'),
-{_grid_total_sql('sel', 'stream', 86400 * 10**6, 3600 * 10**6)}"""
+{_grid_total_sql('sel', 'stream', 86400 * 10**6, 3600 * 10**6, 6 * 3600 * 10**6)}"""
 
     # -------------------------------------------------------- exposition
     q["exposition_sum"] = f"""WITH {EXPO}

@@ -99,3 +99,22 @@ def test_histogram(spark):
     df = _samples(spark, [("a", 1, 5.0), ("a", 2, 50.0), ("a", 3, 70.0)])
     got = {r.le: r.cum_count for r in S.histogram_buckets(df, [10, 50, 100]).collect()}
     assert got == {10.0: 1, 50.0: 2, 100.0: 3}
+
+
+def test_last_step_with_short_query_range(spark):
+    """1 h windows evaluated over the last 5 minutes (the reference's log count)."""
+    rnd = random.Random(9)
+    rows = [(f"s{rnd.randint(0, 20)}", rnd.randint(0, 20000), 1.0) for _ in range(500)]
+    end_s, w, step, rng = 20000, 3600, 60, 300
+    got = S.count_last_step_total(_samples(spark, rows), w, step, end=T0 + dt.timedelta(seconds=end_s),
+                                  range_seconds=rng).first().total
+    want = 0
+    for key in {k for k, _, _ in rows}:
+        ts = [s for k, s, _ in rows if k == key]
+        for j in range(rng // step + 1):
+            t = end_s - j * step
+            c = sum(1 for s in ts if t - w < s <= t)
+            if c:
+                want += c
+                break
+    assert got == want
