@@ -69,10 +69,6 @@ def _excl_parts(i: int, m: int) -> tuple[Column, Column]:
     return j, d
 
 
-def _value_at(rank: Column, value: str) -> Column:
-    return F.max(F.when(F.col("_rank") == rank, F.col(value)))
-
-
 def quantile_table(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[str],
                    recent_ts: str | None, small_n: str) -> DataFrame:
     """Per group: n, p50 (median), p90, p99 with the chosen small-n rule.
