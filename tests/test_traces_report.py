@@ -119,3 +119,43 @@ def test_counter_delta(spark):
                               "k string, ts timestamp_ntz, v double")
     r = R.counter_delta(s, "k", "v").first()
     assert (r.before, r.after, r.delta) == (5.0, 20.0, 15.0)
+
+
+def _write_response(path, key, traces):
+    import json
+    with open(path, "w") as f:
+        json.dump({key: traces}, f, indent=2)
+
+
+def test_trace_result_files(spark, tmp_path):
+    import os
+
+    from orrery.sources import trace_results as TR
+
+    app = {"key": "benchmark_app", "value": "x"}
+    run = {"key": "benchmark_run_id", "value": "r1"}
+    other = {"key": "service.name", "value": "svc"}
+    d = tmp_path / "resp"
+    d.mkdir()
+    # API shape 1 ("data"): t1 has both tags on one process, t2 split across two.
+    _write_response(d / "a.json", "data", [
+        {"traceID": "t1", "spans": [{"spanID": "s1", "tags": []}, {"spanID": "s2", "tags": []}],
+         "processes": {"p1": {"tags": [app, run, other]}}},
+        {"traceID": "t2", "spans": [{"spanID": "s3", "tags": []}],
+         "processes": {"p1": {"tags": [app]}, "p2": {"tags": [run]}}},
+    ])
+    # API shape 2 ("traces"): summaries without span lists; no labelled trace.
+    _write_response(d / "b.json", "traces", [
+        {"traceID": "u1", "spans": [], "spanCount": 4},
+        {"traceID": "u2", "spanCount": 0},
+        {"traceID": "", "spans": [{"spanID": "x", "tags": []}]},
+    ])
+    res = TR.read_results(spark, str(d))
+    got = {os.path.basename(r.response): (r.traces, r.spans) for r in TR.counts(res).collect()}
+    assert got == {"a.json": (2, 3), "b.json": (2, 6)}
+    kept = TR.labelled(res, ("benchmark_app", "x"), ("benchmark_run_id", "r1"))
+    ids = sorted(r.traceID for r in kept.collect())
+    assert ids == ["", "t1", "u1", "u2"]  # a.json filtered to t1; b.json had no match: all kept
+    tags = sorted((r.key, r.value) for r in TR.benchmark_tags(res).collect())
+    assert tags == [("benchmark_app", "x"), ("benchmark_app", "x"), ("benchmark_run_id", "r1"),
+                    ("benchmark_run_id", "r1")]
