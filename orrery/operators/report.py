@@ -193,3 +193,82 @@ def bytes_per_item(storage: DataFrame, items: DataFrame, key: str = "service") -
 def load_volume(scenarios: DataFrame, rate: str, elapsed: str) -> DataFrame:
     """Load estimate ``int(rate * elapsed)`` (P26) — an estimate, not a count."""
     return scenarios.withColumn("estimated_items", (F.col(rate) * F.col(elapsed)).cast("long"))
+
+
+def _service_of(key: Column, services: Sequence[str]) -> Column:
+    """First service name contained in a query key."""
+    expr = None
+    for s in services:
+        expr = F.when(key.contains(s), F.lit(s)) if expr is None else expr.when(key.contains(s), F.lit(s))
+    return expr if expr is not None else F.lit(None).cast("string")
+
+
+def _count_text(c: Column, unit: str) -> Column:
+    """``f"{n:,} unit"`` for an integer count (thousands separators)."""
+    return F.concat(F.format_number(c.cast("long"), 0), F.lit(f" {unit}"))
+
+
+def summary_tables(manifest: DataFrame, service_obs: DataFrame, query_obs: DataFrame,
+                   services: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+    """The seven run-summary tables (K4): load_volume, metrics, logs, traces,
+    storage, ingest, resources.
+
+    ``manifest``: one run's manifest row (``runs.read_manifests``);
+    ``service_obs`` / ``query_obs``: that run's exploded observations;
+    ``services``: kind -> service names, kinds ``metrics``, ``logs``,
+    ``traces`` (a query key belongs to the first service name it contains).
+    Every table is an aggregate or a join of aggregates; nothing is collected.
+    """
+    from orrery.functions.text import format_bytes
+
+    tables: dict[str, DataFrame] = {}
+    lv = manifest.select(F.col("load_volume").alias("lv"))
+
+    def lv_get(k: str) -> Column:
+        return F.coalesce(F.col("lv")[k], F.lit(0.0))
+
+    tables["load_volume"] = lv.select(F.explode(F.array(
+        F.struct(F.lit("Time Series").alias("metric"), _count_text(lv_get("series_total"), "series").alias("value"),
+                 _count_text(lv_get("metrics_series"), "active").alias("rate")),
+        F.struct(F.lit("Log Lines").alias("metric"), _count_text(lv_get("log_lines"), "lines").alias("value"),
+                 F.format_string("%.0f lines/sec", lv_get("log_rate")).alias("rate")),
+        F.struct(F.lit("Trace Spans").alias("metric"), _count_text(lv_get("traces_spans"), "spans").alias("value"),
+                 F.format_string("%.0f spans/sec", lv_get("spans_rate")).alias("rate")),
+    )).alias("r")).select("r.*")
+
+    lat = manifest.select(F.explode("query_latencies").alias("query_key", "l")).select(
+        "query_key", "l.p50", "l.p90", "l.p99")
+    errors = error_counts(query_obs)
+    for kind in ("metrics", "logs"):
+        names = list(services.get(kind, []))
+        sel = lat.withColumn("service", _service_of(F.col("query_key"), names)).filter(F.col("service").isNotNull())
+        t = sel.select("service", query_name("query_key").alias("query"), "query_key", "p50", "p90", "p99")
+        if kind == "logs":
+            t = latency_with_errors(t, errors)
+        tables[kind] = t.drop("query_key")
+
+    trace_names = list(services.get("traces", []))
+    tq = query_obs.withColumn("backend", _service_of(F.col("query_key"), trace_names)).filter(
+        F.col("backend").isNotNull() & F.col("query_key").endswith("traces_by_label"))
+    ti = service_obs.filter(F.col("service").isin(trace_names)).withColumn("backend", F.col("service"))
+    tables["traces"] = trace_summary(tq, ti)
+
+    st = manifest.select(F.explode("final_storage_bytes").alias("service", "storage_bytes"))
+    tables["storage"] = st.select("service", format_bytes("storage_bytes").alias("storage_size"), "storage_bytes")
+
+    kinds = {n: k for k, ns in services.items() for n in ns}
+    kind = F.create_map(*[x for n, k in kinds.items() for x in (F.lit(n), F.lit(k))])[F.col("service")]
+    ingested = (F.when(kind == "metrics", first_nonzero("samples_ingested", "samples_appended"))
+                .when(kind == "logs", first_nonzero("lines_ingested", "rows_ingested"))
+                .otherwise(F.coalesce(F.col("spans_received"), F.lit(0.0))))
+    dropped = (F.when(kind == "metrics", F.col("samples_dropped")).when(kind == "logs", F.col("lines_dropped"))
+               .otherwise(F.col("spans_dropped")))
+    unit = F.when(kind == "metrics", "Samples").when(kind == "logs", "Lines").otherwise("Spans")
+    ing = service_obs.filter(F.col("service").isin(list(kinds))).groupBy("service").agg(
+        F.first(unit).alias("type"),
+        F.max(ingested).cast("long").alias("total_ingested"),
+        F.coalesce(F.max(dropped), F.lit(0.0)).cast("long").alias("total_dropped"),
+    )
+    tables["ingest"] = ing
+    tables["resources"] = resource_usage(service_obs.filter(F.col("service").isin(list(kinds))))
+    return tables

@@ -119,3 +119,39 @@ def test_partitioned_layout_prunes_dates(spark, scratch):
     want = s.filter((F.col("ts") > F.lit(start)) & (F.col("ts") <= F.lit(end))).count()
     assert df.count() == want > 0
     assert len([p for p in os.listdir(path) if p.startswith("date=")]) == 30
+
+
+def test_summary_tables(spark, scratch):
+    root = os.path.join(scratch, "runs2")
+    obs = [_obs(1.0, "steady", 10.0, 1048576, 5, True), _obs(3.0, "burst", 30.0, 3 * 1048576, 9, False)]
+    for o in obs:
+        o["services"]["logs_b"] = {"docker_stats": {"cpu_percent": 1.0, "memory_bytes": 0},
+                                   "ingest_metrics": {"lines_ingested": 0, "rows_ingested": 70, "lines_dropped": 2}}
+        o["queries"]["svc_a:traces_by_label"] = {"latency_ms": 1.0, "success": True, "trace_count": 4,
+                                                 "span_count": 0}
+        o["queries"]["logs_b:{x} |= \"ERROR\""] = {"latency_ms": 2.0, "success": False}
+    _write_run(root, "r", obs, 1_000)
+    m = runs.read_manifests(spark, root)
+    with open(os.path.join(root, "r", "manifest.json")) as f:
+        man = json.load(f)
+    man["load_volume"] = {"series_total": 1234567, "metrics_series": 1000, "log_lines": 5000, "log_rate": 5000.4,
+                          "traces_spans": 20, "spans_rate": 2000}
+    man["query_latencies"]["logs_b:{x} |= \"ERROR\""] = {"p50": 2, "p90": 2, "p99": 2}
+    with open(os.path.join(root, "r", "manifest.json"), "w") as f:
+        json.dump(man, f)
+    m = runs.read_manifests(spark, root)
+    o = runs.read_observations(spark, root)
+    t = R.summary_tables(m, runs.service_obs(o), runs.query_obs(o),
+                         {"metrics": ["svc_x"], "logs": ["logs_b"], "traces": ["svc_a"]})
+    assert set(t) == {"load_volume", "metrics", "logs", "traces", "storage", "ingest", "resources"}
+    lv = {r.metric: (r.value, r.rate) for r in t["load_volume"].collect()}
+    assert lv["Time Series"] == ("1,234,567 series", "1,000 active")
+    assert lv["Log Lines"] == ("5,000 lines", "5000 lines/sec")
+    logs = t["logs"].collect()
+    assert len(logs) == 1 and logs[0].errors == 2 and logs[0].query == '{x} |= "ERROR"'
+    tr = {r.backend: r for r in t["traces"].collect()}
+    assert tr["svc_a"].traces == 4 and tr["svc_a"].spans == 9  # span count 0 -> ingest fallback
+    ing = {r.service: (r.type, r.total_ingested, r.total_dropped) for r in t["ingest"].collect()}
+    assert ing == {"svc_a": ("Spans", 9, 0), "logs_b": ("Lines", 70, 2)}
+    assert t["storage"].first().storage_size == "10.00 B"
+    assert t["resources"].count() == 2
