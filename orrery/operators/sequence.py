@@ -16,6 +16,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_SECONDS = 86400
+# Rows one window task should sort at most (per series and bucket).
+TARGET_ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKET_SECONDS = 30 * 86400
+
+
+def choose_bucket_seconds(df: DataFrame, keys: Sequence[str], ts: str,
+                          target_rows: int = TARGET_ROWS_PER_BUCKET, probe_seconds: int = 3600) -> int:
+    """Bucket width so that the hottest series holds about ``target_rows``
+    rows per bucket.
+
+    One small job: rows per (series, hour) with map-side partial counts,
+    reduced to the maximum.  Hourly density over the target gives sub-hour
+    buckets (a series with a third of all rows is cut into many tasks); sparse
+    data gets wide buckets (fewer boundaries to stitch), up to 30 days.
+    Results never depend on the width, only the task sizes do.
+    """
+    probe = time_bucket(ts, probe_seconds)
+    peak = df.groupBy(*keys, probe.alias("_p")).count().agg(F.max("count")).first()[0]
+    if not peak:
+        return DEFAULT_BUCKET_SECONDS
+    if peak > target_rows:
+        return max(1, probe_seconds * target_rows // peak)
+    widen = max(1, target_rows // peak)
+    return int(min(MAX_BUCKET_SECONDS, probe_seconds * widen))
 
 
 def bucket_column(bucket_seconds: int) -> str:

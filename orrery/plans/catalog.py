@@ -24,7 +24,7 @@ from orrery.operators import logs as L
 from orrery.operators import report as R
 from orrery.operators import series as S
 from orrery.operators import traces as T
-from orrery.operators.sequence import with_previous
+from orrery.operators.sequence import choose_bucket_seconds, with_previous
 from orrery.plans import views as V
 from orrery.sources import exposition as X
 from orrery.sources.tables import read_table
@@ -66,12 +66,15 @@ def topk_rate(spark: SparkSession, sf: str) -> DataFrame:
     end = S.resolve_end(samples)
     # Series-local filter first: a counter only depends on its own series.
     sel = samples.filter(F.col("event_type") == "purchase")
-    counters = V.counters_from(sel, keep_bucket=True)
-    return S.topk_rate(counters, k=10, seconds=WEEK, end=end)
+    b = choose_bucket_seconds(sel, ["series_key"], "ts")
+    counters = V.counters_from(sel, bucket_seconds=b, keep_bucket=True)
+    return S.topk_rate(counters, k=10, seconds=WEEK, end=end, bucket_seconds=b)
 
 
 def rate_per_series(spark: SparkSession, sf: str) -> DataFrame:
-    return S.counter_rate(V.counter_samples(spark, sf, keep_bucket=True), WEEK)
+    samples = V.samples(spark, sf)
+    b = choose_bucket_seconds(samples, ["series_key"], "ts")
+    return S.counter_rate(V.counters_from(samples, bucket_seconds=b, keep_bucket=True), WEEK, bucket_seconds=b)
 
 
 def count_over_time_tumbling(spark: SparkSession, sf: str) -> DataFrame:
@@ -423,7 +426,8 @@ def cpu_from_deltas(spark: SparkSession, sf: str) -> DataFrame:
     """P22 + W4: CPU %% from consecutive cumulative counters of one service
     (cpu = ingested counter, system = elapsed microseconds, 4 CPUs)."""
     obs = V.service_obs(spark, sf).withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    p = with_previous(obs, ["service"], ["ts", "event_id"], ["ingested", "_us"], "ts")
+    b = choose_bucket_seconds(obs, ["service"], "ts")
+    p = with_previous(obs, ["service"], ["ts", "event_id"], ["ingested", "_us"], "ts", bucket_seconds=b)
     cpu = cpu_percent(F.col("ingested") - F.col("prev_ingested"), F.col("_us") - F.col("prev__us"), F.lit(4))
     return p.filter(F.col("prev__us").isNotNull()).select("service", "event_id", cpu.alias("cpu_pct"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
-from orrery.operators.sequence import bucket_column, with_running_sum
+from orrery.operators.sequence import bucket_column, choose_bucket_seconds, with_running_sum
 from orrery.sources.tables import cpu_parallelism, read_table
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
@@ -185,7 +185,7 @@ def exposition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def service_obs(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400) -> DataFrame:
+def service_obs(spark: SparkSession, sf_dir: str, bucket_seconds: int | None = None) -> DataFrame:
     """Observation rows per service (= event_type) at each event time.
 
     ingested: cumulative events of the service; dropped: cumulative events
@@ -197,7 +197,11 @@ def service_obs(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400) -
         F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit("steady"))
         .otherwise(F.lit("burst")).alias("scenario"),
     )
-    # Both counters share one (service, day) partitioning: one shuffle.
+    # Five services share all rows: each is a hot key.  Bucket width from the
+    # measured density; both counters share one (service, bucket)
+    # partitioning, so the rows are shuffled once.
+    if bucket_seconds is None:
+        bucket_seconds = choose_bucket_seconds(base, ["service"], "ts")
     c = with_running_sum(base, ["service"], ["ts", "event_id"], F.lit(1).cast("long"), "ingested", "ts",
                          bucket_seconds, keep_bucket=True)
     c = with_running_sum(

@@ -47,7 +47,7 @@ def test_ordered_ops_split_hot_series_by_time_bucket(plans):
     run = re.findall(r"sum\(_v#\d+\) windowspecdefinition\(([^,]*), ([^,]*),", p)
     assert lag and run
     for key, second in lag + run:
-        assert key.startswith("series_key") and second.startswith("_bucket_86400"), (key, second)
+        assert key.startswith("series_key") and second.startswith("_bucket_"), (key, second)
 
 
 def test_streaming_sinks_are_idempotent(spark, tmp_path):

@@ -118,3 +118,20 @@ def test_last_step_with_short_query_range(spark):
                 want += c
                 break
     assert got == want
+
+
+def test_bucket_width_follows_hot_series(spark):
+    from orrery.operators.sequence import choose_bucket_seconds
+
+    # 4,000 rows of one series inside one hour, plus a sparse one.
+    rows = [("hot", i % 3600, 1.0) for i in range(4000)] + [("cold", 7200 * i, 1.0) for i in range(10)]
+    df = _samples(spark, rows)
+    assert choose_bucket_seconds(df, ["series_key"], "ts", target_rows=1000) == 3600 * 1000 // 4000
+    assert choose_bucket_seconds(df, ["series_key"], "ts", target_rows=10**6) == 3600 * (10**6 // 4000)
+    assert choose_bucket_seconds(df, ["series_key"], "ts", target_rows=10**9) == 30 * 86400
+    # Results do not depend on the width.
+    a = {r.event_id: r.prev_value for r in with_previous(df, ["series_key"], ["ts", "event_id"], ["value"], "ts",
+                                                         bucket_seconds=900).collect()}
+    b = {r.event_id: r.prev_value for r in with_previous(df, ["series_key"], ["ts", "event_id"], ["value"], "ts",
+                                                         bucket_seconds=86400).collect()}
+    assert a == b
