@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 # Largest offsets table that is broadcast (rows).  Beyond it: shuffle join.
 BROADCAST_ROWS = 2_000_000
+# Rows per range partition of the sort (sets the partition count).
+ROWS_PER_PARTITION = 5_000_000
 
 
 def ranked(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[str],
@@ -36,7 +38,15 @@ def ranked(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[s
     group, tiebreak = list(group), list(tiebreak)
     order = [*group, value, *tiebreak]
     spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One small job sizes the sort: rows (-> range partition count, so a
+    # partition holds ~5 M rows however large the input) and an HLL estimate
+    # of the group count (-> broadcast check for the offsets table).
+    stats_row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.approx_count_distinct(F.struct(*group), 0.02).alias("groups"),
+    ).first()
+    n_rows, n_groups = stats_row["rows"], stats_row["groups"]
+    nparts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // ROWS_PER_PARTITION))
     srt = (
         df.repartitionByRange(nparts, *order)
         .sortWithinPartitions(*order)
@@ -51,10 +61,8 @@ def ranked(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[s
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
         F.sum("_cnt").over(whole).alias("_n"),
     )
-    # Size check for the broadcast: offsets has <= groups + partitions rows.
-    # HyperLogLog estimate (one pass, no shuffle of the distinct groups); the
-    # bound has ample margin for its ~2% error.
-    n_groups = df.agg(F.approx_count_distinct(F.struct(*group), 0.02)).first()[0] if group else 1
+    # Size check for the broadcast: offsets has <= groups + partitions rows
+    # (HLL error ~2%, far inside the bound's margin).
     side = F.broadcast(offsets) if n_groups + nparts <= broadcast_rows else offsets
     j = srt.join(side, [*group, "_pid"])
     return j.withColumn("_rank", F.col("_mid") - F.col("_first") + 1 + F.col("_before")).drop(
