@@ -50,11 +50,14 @@ def select_series(df: DataFrame, labels: Mapping[str, str] | None = None, labels
 
 
 def latest_per_series(df: DataFrame, key: str = "series_key", ts: str = "ts", value: str = "value",
-                      tiebreak: str = "event_id") -> DataFrame:
-    """Last value of each series (W3): ``max_by(value, (ts, tiebreak))``.
-
-    A plain hash aggregate: partial max_by runs before the shuffle, so a hot
-    series costs one row per map task.
+                      tiebreak: str | None = None) -> DataFrame:
+    """Last value of each series (W3): ``max_by(value, ts)``.
+
+    A sample is identified by (series, ts), so ``ts`` alone orders a series
+    and the aggregate buffer stays fixed-width: a hash aggregate with the
+    partial ``max_by`` before the shuffle (a hot series costs one row per map
+    task).  Pass ``tiebreak`` for inputs with repeated timestamps; the struct
+    ordering then makes it a sort-based aggregate.
     """
     order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
     return df.groupBy(key).agg(F.max_by(value, order).alias("value"), F.max(ts).alias("last_ts"))
