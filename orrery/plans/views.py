@@ -132,7 +132,6 @@ def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFra
     li = read_table(
         spark, sf_dir, "lineitem",
         ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"],
-        min_partitions=cpu_parallelism(spark),
     )
     if with_batch:
         orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
