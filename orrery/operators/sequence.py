@@ -19,6 +19,15 @@ DEFAULT_BUCKET_SECONDS = 86400
 # Rows one window task should sort at most (per series and bucket).
 TARGET_ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKET_SECONDS = 30 * 86400
+# Inputs whose planned size is below this skip the density pre-pass: no
+# bucket of theirs can be large, so the default width is used.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (an upper bound for filtered scans);
+    no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def choose_bucket_seconds(df: DataFrame, keys: Sequence[str], ts: str,
@@ -30,8 +39,11 @@ def choose_bucket_seconds(df: DataFrame, keys: Sequence[str], ts: str,
     reduced to the maximum.  Hourly density over the target gives sub-hour
     buckets (a series with a third of all rows is cut into many tasks); sparse
     data gets wide buckets (fewer boundaries to stitch), up to 30 days.
-    Results never depend on the width, only the task sizes do.
+    Results never depend on the width, only the task sizes do.  Inputs
+    planned below ``SMALL_INPUT_BYTES`` skip the pre-pass.
     """
+    if planned_bytes(df) < SMALL_INPUT_BYTES:
+        return DEFAULT_BUCKET_SECONDS
     probe = time_bucket(ts, probe_seconds)
     peak = df.groupBy(*keys, probe.alias("_p")).count().agg(F.max("count")).first()[0]
     if not peak:

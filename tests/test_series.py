@@ -120,9 +120,12 @@ def test_last_step_with_short_query_range(spark):
     assert got == want
 
 
-def test_bucket_width_follows_hot_series(spark):
+def test_bucket_width_follows_hot_series(spark, monkeypatch):
+    from orrery.operators import sequence
     from orrery.operators.sequence import choose_bucket_seconds
 
+    monkeypatch.setattr(sequence, "SMALL_INPUT_BYTES", 0)  # measure even this small input
+
     # 4,000 rows of one series inside one hour, plus a sparse one.
     rows = [("hot", i % 3600, 1.0) for i in range(4000)] + [("cold", 7200 * i, 1.0) for i in range(10)]
     df = _samples(spark, rows)
