@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orrery.operators.logs import parse_lenient, parse_strict
+from orrery.session import scratch_path
 
 # Flush policy of the reference forwarder, 2,500 entries or
 # 0.5 s (its alternative reader: 100 entries or 1.0 s).  A micro-batch
@@ -84,11 +85,17 @@ def idempotent_writer(sinks: Sequence[str], fmt: str = "text"):
     return write
 
 
-def start_forwarder(spark: SparkSession, source: str, sinks: Sequence[str], checkpoint: str,
+def start_forwarder(spark: SparkSession, source: str, sinks: Sequence[str], checkpoint: str | None = None,
                     strict: bool = False, keep_service: str | None = None,
-                    available_now: bool = False) -> StreamingQuery:
+                    available_now: bool = False, name: str = "forwarder") -> StreamingQuery:
     """Run the forwarder: tail ``source``, parse, optionally keep one service
-    (P7 on the ``service`` field), deliver JSON lines to ``sinks``."""
+    (P7 on the ``service`` field), deliver JSON lines to ``sinks``.
+
+    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>`` —
+    the shared folder the cluster names, so a restarted driver resumes.
+    """
+    if checkpoint is None:
+        checkpoint = scratch_path(spark, f"streams/{name}")
     entries = forwarded_entries(tail_lines(spark, source), strict=strict)
     if keep_service:
         entries = entries.filter(F.col("fields")["service"] == keep_service)
