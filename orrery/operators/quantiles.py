@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 # Largest offsets table that is broadcast (rows).  Beyond it: shuffle join.
 BROADCAST_ROWS = 2_000_000
-# Rows per range partition of the sort (sets the partition count).
+# Rows per range partition of the sort (sets the partition count), and the
+# fewest rows worth a partition of its own.
 ROWS_PER_PARTITION = 5_000_000
+MIN_ROWS_PER_PARTITION = 10_000
 
 
 def ranked(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[str],
@@ -46,7 +48,10 @@ def ranked(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[s
         F.approx_count_distinct(F.struct(*group), 0.02).alias("groups"),
     ).first()
     n_rows, n_groups = stats_row["rows"], stats_row["groups"]
-    nparts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // ROWS_PER_PARTITION))
+    # Enough partitions that none holds more than ~5 M rows, and up to the
+    # cluster's task slots for parallelism (fewer for tiny inputs).
+    slots = spark.sparkContext.defaultParallelism
+    nparts = max(1, -(-n_rows // ROWS_PER_PARTITION), min(slots, -(-n_rows // MIN_ROWS_PER_PARTITION)))
     srt = (
         df.repartitionByRange(nparts, *order)
         .sortWithinPartitions(*order)

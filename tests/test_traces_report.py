@@ -80,11 +80,22 @@ def test_exclusive_quantiles_match_python(spark):
             assert r.p99 == vals[-1]
 
 
-def test_quantiles_split_hot_group(spark):
-    """One group spread over every range partition still ranks exactly."""
-    vals = [float(v) for v in range(2000)]
-    r = quantile_table(_lat(spark, vals, "hot"), ["k"], "v", ["ts", "event_id"], "ts", "recent").first()
-    assert r.p50 == statistics.median(vals) and r.p99 == statistics.quantiles(vals, n=100)[98]
+def test_quantiles_split_hot_group(spark, monkeypatch):
+    """A hot group spread over several range partitions still ranks exactly."""
+    from orrery.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "MIN_ROWS_PER_PARTITION", 100)  # 2,000+ rows -> every slot used
+    rnd = random.Random(4)
+    hot = [round(rnd.uniform(0, 100), 2) for _ in range(2000)]
+    cold = [1.0, 5.0, 3.0]
+    df = _lat(spark, hot, "hot").unionByName(_lat(spark, cold, "cold"))
+    ranked = Q.ranked(df, ["k"], "v", ["ts", "event_id"])
+    # Ranks stitched across partitions: exactly 1..n for the hot group.
+    r = ranked.filter("k = 'hot'").agg(F.min("_rank"), F.max("_rank"), F.count_distinct("_rank")).first()
+    assert tuple(r) == (1, 2000, 2000)
+    got = {r.k: r for r in quantile_table(df, ["k"], "v", ["ts", "event_id"], "ts", "recent").collect()}
+    assert got["hot"].p50 == statistics.median(hot) and got["hot"].p99 == statistics.quantiles(hot, n=100)[98]
+    assert got["cold"].p50 == 3.0 and got["cold"].p90 == 3.0
 
 
 def test_errors_and_join(spark):
