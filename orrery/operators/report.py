@@ -73,10 +73,29 @@ def run_latency_percentiles(query_obs: DataFrame, key: str = "query_key", value:
     return quantile_table(ok, [key], value, [ts, *tiebreak], ts, "recent")
 
 
-def summary_stats(values: DataFrame, by: Sequence[str], value: str, tiebreak: Sequence[str]) -> DataFrame:
-    """mean, p50, p90, p99, min, max per group (A12): small-n p90/p99 = max."""
+def summary_stats(values: DataFrame, by: Sequence[str], value: str, tiebreak: Sequence[str],
+                  exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """mean, p50, p90, p99, min, max per group (A12): small-n p90/p99 = max.
+
+    ``exact=False`` trades exactness for a single aggregation pass:
+    ``percentile_approx`` sketches (bounded memory per group, merged
+    map-side), relative rank error about ``1/accuracy``.
+    """
     if not by:
-        return summary_stats(values.withColumn("_all", F.lit(0)), ["_all"], value, tiebreak).drop("_all")
+        return summary_stats(values.withColumn("_all", F.lit(0)), ["_all"], value, tiebreak, exact,
+                             accuracy).drop("_all")
+    if not exact:
+        v = F.col(value)
+        return values.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx(v, 0.5, accuracy).alias("p50"),
+            F.when(F.count(F.lit(1)) >= 10, F.percentile_approx(v, 0.9, accuracy)).otherwise(F.max(v)).alias("p90"),
+            F.when(F.count(F.lit(1)) >= 100, F.percentile_approx(v, 0.99, accuracy)).otherwise(F.max(v))
+            .alias("p99"),
+            (F.sum(v.cast("double")) / F.count(F.lit(1))).alias("mean"),
+            F.min(v).alias("min"),
+            F.max(v).alias("max"),
+        )
     q = quantile_table(values, by, value, tiebreak, None, "max")
     s = values.groupBy(*by).agg(
         (F.sum(F.col(value).cast("double")) / F.count(F.lit(1))).alias("mean"),

@@ -130,3 +130,17 @@ def test_forwarder_restart_resumes_exactly_once(spark, scratch):
     FW.start_forwarder(spark, src, [sink], ck, available_now=True).awaitTermination()
     got = sorted(json.loads(r.value)["n"] for r in spark.read.text(sink).collect())
     assert got == ["0", "1", "2", "3", "4"]
+
+
+def test_periodic_snapshot_stream_equals_batch(spark, scratch):
+    ev, src = _event_files(spark, scratch, parts=4)
+    stream = W.event_time(spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src))
+    snap = W.periodic_snapshot(stream, ["event_type"], "value", every="1 day", watermark="1 hour")
+    q = (snap.writeStream.format("memory").queryName("st_snap").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ck6")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r.event_type, r.window_end.replace(tzinfo=None)): (r.value, r.samples)
+           for r in spark.table("st_snap").collect()}
+    batch = W.periodic_snapshot(W.event_time(ev), ["event_type"], "value", every="1 day")
+    want = {(r.event_type, r.window_end.replace(tzinfo=None)): (r.value, r.samples) for r in batch.collect()}
+    assert got and all(want[k] == v for k, v in got.items())

@@ -170,3 +170,14 @@ def test_trace_result_files(spark, tmp_path):
     tags = sorted((r.key, r.value) for r in TR.benchmark_tags(res).collect())
     assert tags == [("benchmark_app", "x"), ("benchmark_app", "x"), ("benchmark_run_id", "r1"),
                     ("benchmark_run_id", "r1")]
+
+
+def test_summary_stats_approximate_close(spark):
+    rnd = random.Random(12)
+    vals = [round(rnd.uniform(0, 1000), 2) for _ in range(5000)]
+    df = _lat(spark, vals)
+    ex = R.summary_stats(df, ["k"], "v", ["ts", "event_id"]).first()
+    ap = R.summary_stats(df, ["k"], "v", ["ts", "event_id"], exact=False).first()
+    for c in ("p50", "p90", "p99"):
+        assert abs(ex[c] - ap[c]) <= 0.01 * 1000, c
+    assert (ex.n, ex.min, ex.max) == (ap.n, ap.min, ap.max)
