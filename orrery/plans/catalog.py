@@ -258,11 +258,28 @@ def reconcile_expected_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def backend_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    """The replica backend only kept spans with line number <= 4."""
-    spans = V.spans(spark, sf).withColumn("flag", F.col("attrs")["return.flag"])
-    primary = spans.withColumn("backend", F.lit("primary"))
-    replica = spans.filter(F.col("line_number") <= 4).withColumn("backend", F.lit("replica"))
-    counts = T.trace_counts(primary.unionByName(replica), by=["backend", "flag"])
+    """The replica backend only kept spans with line number <= 4.
+
+    Both backends are read from the same span table here, so their A7 counts
+    come from one pass: spans per (flag, trace) for each backend (one shuffle,
+    partial aggregation), then per-flag totals in long form for the ratio.
+    """
+    spans = V.spans(spark, sf).select(
+        F.col("attrs")["return.flag"].alias("flag"), F.nullif("trace_id", F.lit("")).alias("trace"),
+        (F.col("line_number") <= 4).alias("in_replica"),
+    )
+    per_trace = spans.groupBy("flag", "trace").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("in_replica").alias("n_replica")
+    )
+    per_flag = per_trace.groupBy("flag").agg(
+        F.count("trace").alias("p_traces"), F.sum("n").alias("p_spans"),
+        F.count(F.when(F.col("n_replica") > 0, F.col("trace"))).alias("r_traces"),
+        F.sum("n_replica").alias("r_spans"),
+    )
+    counts = per_flag.select("flag", F.explode(F.array(
+        F.struct(F.lit("primary").alias("backend"), F.col("p_traces").alias("traces"), F.col("p_spans").alias("spans")),
+        F.struct(F.lit("replica").alias("backend"), F.col("r_traces").alias("traces"), F.col("r_spans").alias("spans")),
+    )).alias("c")).select("flag", "c.*")
     return T.backend_ratio(counts, "backend", "primary", "replica", by=["flag"])
 
 
