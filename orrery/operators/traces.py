@@ -125,6 +125,14 @@ def benchmark_tags(attrs: str | Column, needle: str = "benchmark") -> Column:
     return F.map_filter(a, lambda k, v: F.lower(k).contains(needle))
 
 
+def benchmark_tag_rows(spans: DataFrame, attrs: str = "attrs", needle: str = "benchmark") -> DataFrame:
+    """P17 as rows: one (key, value) row per attribute whose lower-cased key
+    contains ``needle``.  Explode then a plain filter — both stay in generated
+    code, unlike a lambda over the map."""
+    tags = spans.select(F.explode(attrs).alias("key", "value"))
+    return tags.filter(F.lower("key").contains(needle))
+
+
 def process_tag_traces(process_tags: DataFrame, a: tuple[str, str], b: tuple[str, str],
                        trace: str = "trace_id", process: str = "process_id") -> DataFrame:
     """Traces where one process carries both tags (P14), on flat

@@ -476,8 +476,7 @@ def trace_search_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
 def tag_inspection(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute keys containing 'benchmark' (case-insensitive), with
     their values and span counts."""
-    spans = V.spans(spark, sf)
-    tags = spans.select(F.explode(T.benchmark_tags("attrs")).alias("key", "value"))
+    tags = T.benchmark_tag_rows(V.spans(spark, sf))
     return tags.groupBy("key", "value").agg(F.count(F.lit(1)).alias("spans"))
 
 
