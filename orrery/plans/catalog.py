@@ -86,7 +86,9 @@ def count_over_time_sliding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def count_over_time_last_step_total(spark: SparkSession, sf: str) -> DataFrame:
-    return S.count_last_step_total(V.samples(spark, sf), 2 * DAY, 3600)
+    """A2, failing loudly when nothing was counted."""
+    t = S.count_last_step_total(V.samples(spark, sf), 2 * DAY, 3600)
+    return R.nonzero_or_fail(t, "total", "range count returned 0 samples")
 
 
 def count_over_time_plain_total(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +181,8 @@ def log_range_count_total(spark: SparkSession, sf: str) -> DataFrame:
     logs = V.log_lines(spark, sf)
     end = S.resolve_end(logs)
     sel = L.json_fields_equal(L.relabel_streams(logs), {"severity": "ERROR"})
-    return L.range_count_total(sel, DAY, 3600, end=end, stream=["container_label"], range_seconds=6 * 3600)
+    t = L.range_count_total(sel, DAY, 3600, end=end, stream=["container_label"], range_seconds=6 * 3600)
+    return R.nonzero_or_fail(t, "total", "log range count returned 0 lines")
 
 
 # ------------------------------------------------------------- exposition
