@@ -229,7 +229,7 @@ def _count_text(c: Column, unit: str) -> Column:
 
 
 def summary_tables(manifest: DataFrame, service_obs: DataFrame, query_obs: DataFrame,
-                   services: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+                   services: Mapping[str, Sequence[str]], materialize_inputs: bool = False) -> dict[str, DataFrame]:
     """The seven run-summary tables (K4): load_volume, metrics, logs, traces,
     storage, ingest, resources.
 
@@ -238,7 +238,15 @@ def summary_tables(manifest: DataFrame, service_obs: DataFrame, query_obs: DataF
     ``services``: kind -> service names, kinds ``metrics``, ``logs``,
     ``traces`` (a query key belongs to the first service name it contains).
     Every table is an aggregate or a join of aggregates; nothing is collected.
+    ``materialize_inputs`` writes the exploded observations once to the shared
+    checkpoint folder, so the seven tables read them instead of re-parsing
+    the run's JSON each time.
     """
+    if materialize_inputs:
+        from orrery.session import materialize
+
+        service_obs = materialize(service_obs, "service_obs")
+        query_obs = materialize(query_obs, "query_obs")
     tables: dict[str, DataFrame] = {}
     lv = manifest.select(F.col("load_volume").alias("lv"))
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and coalesces shuffle
 # partitions at runtime; skew-join splits hot partitions.  UTC keeps epoch
@@ -62,3 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: later consumers start from the written table (lineage cut), and a
+    lost executor re-reads files instead of recomputing the whole plan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -142,7 +142,9 @@ def test_summary_tables(spark, scratch):
     m = runs.read_manifests(spark, root)
     o = runs.read_observations(spark, root)
     t = R.summary_tables(m, runs.service_obs(o), runs.query_obs(o),
-                         {"metrics": ["svc_x"], "logs": ["logs_b"], "traces": ["svc_a"]})
+                         {"metrics": ["svc_x"], "logs": ["logs_b"], "traces": ["svc_a"]}, materialize_inputs=True)
+    plan = spark._jvm.PythonSQLUtils.explainString(t["ingest"]._jdf.queryExecution(), "simple")
+    assert "FileScan parquet" in plan and "FileScan json" not in plan  # reads the written table
     assert set(t) == {"load_volume", "metrics", "logs", "traces", "storage", "ingest", "resources"}
     lv = {r.metric: (r.value, r.rate) for r in t["load_volume"].collect()}
     assert lv["Time Series"] == ("1,234,567 series", "1,000 active")
