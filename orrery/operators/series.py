@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import label_filter
@@ -125,21 +125,37 @@ def count_sliding(df: DataFrame, seconds: int, step_seconds: int, key: str = "se
                   ts: str = "ts") -> DataFrame:
     """``count_over_time[w]`` evaluated on a step grid (A4 + W2).
 
-    Two stages so the row count is not multiplied by w/step: count per
-    (series, step bucket) with a map-side partial aggregate, then spread each
-    non-empty bucket to the w/step window ends that cover it and sum.
+    Every grid end ``t`` (a multiple of the step) whose window ``(t - w, t]``
+    holds a sample gets one row.  Plan, with no row repeated per window:
+
+    1. count per (series, step index) — map-side partial aggregation; the
+       result has at most ``time span / step`` rows per series, however many
+       samples a hot series has;
+    2. after each non-empty step, add the empty grid points up to the next
+       non-empty step or ``w/step - 1`` points, whichever comes first, so each
+       grid point exists exactly once;
+    3. one range-frame sum over the last ``w/step`` step indexes.
     """
     if seconds % step_seconds:
         raise ValueError("window must be a multiple of the step")
     k = seconds // step_seconds
     s_us = step_seconds * US
-    bucket_end = _ceil_to(_us(F.col(ts)), s_us)
-    buckets = df.groupBy(key, bucket_end.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    spread = buckets.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).select(
-        key, "_n", (F.col("_b") + F.col("_i").cast("long") * F.lit(s_us)).alias("_e")
+    idx = (_ceil_to(_us(F.col(ts)), s_us) / F.lit(s_us)).cast("long")  # exact: multiple of the step
+    buckets = df.groupBy(key, idx.alias("_i")).agg(F.count(F.lit(1)).alias("_n"))
+    by_series = Window.partitionBy(key).orderBy("_i")
+    gap = F.coalesce(F.lead("_i").over(by_series) - F.col("_i"), F.lit(k))
+    fill = F.least(gap, F.lit(k)) - 1
+    nxt = buckets.withColumn("_fill", fill)
+    filler = (
+        nxt.filter(F.col("_fill") > 0)
+        .select(key, "_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_fill"))).alias("_d"))
+        .select(key, (F.col("_i") + F.col("_d")).alias("_i"), F.lit(0).cast("long").alias("_n"))
     )
-    return spread.groupBy(key, F.timestamp_micros("_e").cast("timestamp_ntz").alias("window_end")).agg(
-        F.sum("_n").alias("n")
+    points = buckets.unionByName(filler)
+    frame = Window.partitionBy(key).orderBy("_i").rangeBetween(-(k - 1), 0)
+    counted = points.select(key, "_i", F.sum("_n").over(frame).alias("n"))
+    return counted.select(
+        key, F.timestamp_micros(F.col("_i") * F.lit(s_us)).cast("timestamp_ntz").alias("window_end"), "n"
     )
 
 

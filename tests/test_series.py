@@ -138,3 +138,20 @@ def test_bucket_width_follows_hot_series(spark, monkeypatch):
     b = {r.event_id: r.prev_value for r in with_previous(df, ["series_key"], ["ts", "event_id"], ["value"], "ts",
                                                          bucket_seconds=86400).collect()}
     assert a == b
+
+
+def test_sliding_dense_and_sparse_series(spark):
+    rnd = random.Random(21)
+    rows = [("dense", s, 1.0) for s in range(0, 3000, 7)]
+    rows += [(f"sparse{j}", rnd.randint(0, 20000), 1.0) for j in range(5) for _ in range(4)]
+    df = _samples(spark, rows)
+    w, step = 300, 60
+    got = {(r.series_key, r.window_end): r.n for r in S.count_sliding(df, w, step).collect()}
+    want = {}
+    for key, s, _ in rows:
+        t = -(-s // step) * step
+        while t - w < s:
+            k = (key, T0 + dt.timedelta(seconds=t))
+            want[k] = want.get(k, 0) + 1
+            t += step
+    assert got == want
