@@ -50,7 +50,10 @@ def ranked(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[s
     n_rows, n_groups = stats_row["rows"], stats_row["groups"]
     # Enough partitions that none holds more than ~5 M rows, and up to the
     # cluster's task slots for parallelism (fewer for tiny inputs).
-    slots = spark.sparkContext.defaultParallelism
+    try:
+        slots = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session: no SparkContext
+        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nparts = max(1, -(-n_rows // ROWS_PER_PARTITION), min(slots, -(-n_rows // MIN_ROWS_PER_PARTITION)))
     srt = (
         df.repartitionByRange(nparts, *order)

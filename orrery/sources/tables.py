@@ -27,11 +27,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """
     df = spark.read.parquet(table_path(sf_dir, name))
     df = df.select(*columns) if columns else df
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and _input_splits(df) < min_partitions:
         df = df.repartition(min_partitions)
     return df
 
 
+def _input_splits(df: DataFrame) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote session: no RDD view; assume split
+        return 1 << 30
+
+
 def cpu_parallelism(spark: SparkSession) -> int:
     """Task slots of the session (the target split count for per-row work)."""
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session: no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
