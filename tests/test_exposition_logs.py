@@ -79,3 +79,10 @@ def test_labelled_series_sorted_keys(spark):
     lines = ['m{b="2",a="x \\"y\\""} 1', 'm{a="x \\"y\\"",b="2"} 2', "m 5", "m{} 1", "# m{a=\"1\"} 9"]
     got = {r.series_key: r.value for r in X.series_sums(_lines(spark, lines), ["page"]).collect()}
     assert got == {'m{a="x \\"y\\"",b="2"}': 3.0, "m{}": 6.0}
+
+
+def test_strict_parse_dead_letter_view(spark):
+    df = spark.createDataFrame([(0, "[1, 2]"), (1, '{"a": 1}'), (2, "words"), (3, '"text"')], "id int, raw string")
+    got = {r.id: r.rejected for r in L.parse_strict(df, "raw", F.timestamp_seconds(F.lit(1)), with_rejects=True)
+           .collect()}
+    assert got == {0: True, 1: False, 2: False, 3: True}
