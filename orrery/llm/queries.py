@@ -5,17 +5,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orrery.llm import langid
+from orrery.llm import langid, packing, pieces, tokencount
 from orrery.llm.util import documents
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether decoding them gives the text again."""
+    model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = documents(spark, sf_dir).select("doc_id", "text", pieces.encoder(model)("text").alias("ids"))
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+                       (pieces.decoder(model)("ids") == F.coalesce("text", F.lit(""))).alias("restored"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.classify(docs, langid.fit(docs))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(documents(spark, sf_dir), packing.load(public_tokenizers.path("word_bpe_49k.json")))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(documents(spark, sf_dir), pieces.load(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
