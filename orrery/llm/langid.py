@@ -33,9 +33,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     The sample is bounded by its two parameters: ``passages`` rows a language,
     those of smallest id hash, one passage of at most ``passage_chars``
-    characters from a hashed place of each.  Spark keeps the first rows of each
-    language before the shuffle (window group limit), so a language with most of
-    the rows costs one task no more than ``passages`` rows per map task.  Null
+    characters from a hashed place of each.  Only the first rows of each language
+    and salt leave a map task (window group limit), and only those of each salt
+    meet by language, so no task gets more than 64 times ``passages`` rows of it.  Null
     ids, texts and languages, and texts without a letter, teach nothing; an
     empty table gives no dictionary.
     """
@@ -46,7 +46,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     start = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.greatest(F.length("text") - passage_chars + 1, F.lit(1)))
     rows = rows.select("lang", "doc_id", h.alias("h"),
                        F.substr("text", (start + 1).cast("int"), F.lit(passage_chars)).alias("passage"))
-    first = Window.partitionBy("lang").orderBy("h", "doc_id", "passage")
+    order = ("h", "doc_id", "passage")
+    salted = Window.partitionBy("lang", "salt").orderBy(*order)
+    rows = rows.withColumn("salt", F.pmod("h", F.lit(64))).withColumn("n", F.row_number().over(salted)).where(F.col("n") <= passages)
+    first = Window.partitionBy("lang").orderBy(*order)
     chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= passages)
     found: dict[str, list[bytes]] = {}
     for r in chosen.select("lang", "n", "passage").orderBy("lang", "n").collect():

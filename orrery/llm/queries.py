@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import langid, packing, pieces, tokencount
+from orrery.llm import langid, packing, pieces, quotient, tokencount
 from orrery.llm.util import documents
 
 
@@ -31,6 +31,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotient.exact_dedup(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), pieces.load(public_tokenizers.path("piece_bpe_32k.model")))
 
@@ -39,5 +43,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+_SPACE = r"'[\x20\x09-\x0D]'"
+
+_ORACLES = {
+    "op5_exact_dedup": f"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), {_SPACE}, '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id,
+       first_value(doc_id) OVER g AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       doc_id = first_value(doc_id) OVER g AS kept,
+       text_sha256
+FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
