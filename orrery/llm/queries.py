@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import langid, packing, pieces, quotient, tokencount
+from orrery.llm import langid, minhash, packing, pieces, quotient, tokencount
 from orrery.llm.util import documents
 
 
@@ -26,6 +26,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs, langid.fit(docs))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(documents(spark, sf_dir), shingle=4, percent=80)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(documents(spark, sf_dir), packing.load(public_tokenizers.path("word_bpe_49k.json")))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
