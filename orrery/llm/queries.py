@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import langid, minhash, packing, pieces, quotient, tokencount
+from orrery.llm import langid, minhash, packing, pieces, quotient, substring, tokencount
 from orrery.llm.util import documents
 
 
@@ -39,6 +39,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotient.exact_dedup(documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), pieces.load(public_tokenizers.path("piece_bpe_32k.model")))
 
