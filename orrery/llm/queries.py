@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import langid, minhash, packing, pieces, quotient, substring, tokencount
+from orrery.llm import langid, minhash, packing, pieces, quotient, substring, tokencount, topk
 from orrery.llm.util import documents
+from orrery.sources.tables import table_path
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(table_path(sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), pieces.load(public_tokenizers.path("piece_bpe_32k.model")))
 
@@ -55,6 +61,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _SPACE = r"'[\x20\x09-\x0D]'"
 
 _ORACLES = {
+    "op7_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])),
+s AS (
+  SELECT q.vec_id AS query_id, p.vec_id, CAST(list_dot_product(q.v::DOUBLE[], p.v::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v p ON q.vec_id % 100 = 0 AND p.vec_id <> q.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10""",
     "op5_exact_dedup": f"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
