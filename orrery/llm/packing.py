@@ -14,7 +14,10 @@ what remains is cut into sequences whose sizes are powers of two.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+import re
+from array import array
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame
 from orrery.llm.util import narrow
 
 REMEMBER = 200_000
+#: The split pattern of the tokenizer whose ASCII form is known here (fixed value).
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 RESULT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -33,31 +38,67 @@ SHIFT = 33
 Piece = tuple[int | None, int, bytes, int]  # doc_id, start, ids, doc_tokens
 
 
-class _Ids(dict):
-    """Ids of a word as little-endian 32-bit integers, by the library; remembered up to a bound.
+class Ids:
+    """Ids of a text as little-endian 32-bit integers, by the library's own merges.
 
-    ASCII white space parts words for this tokenizer's normaliser, its special
-    strings and its split pattern alike, so a text's ids are those of its words.
+    A text of ASCII and Latin-1 letters without a special string's begin is
+    lower-cased and split here, by the form the tokenizer's pattern has for such
+    characters, and its parts go to the library's model.  Any other text is
+    parted at ASCII white space, where this tokenizer's normaliser, special
+    strings and pattern part too, and its words go through the whole library.
+    What parts and words give is remembered up to a bound.
     """
 
+    plain = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*").fullmatch
+    parts = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+").findall
+
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.library = Tokenizer.from_str(tokenizer)
+        library = Tokenizer.from_str(tokenizer)
+        model, letters = library.model, byte_letters()
+        self.of_part = _Known(lambda p: [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))])
+        self.of_word = _Known(lambda w: library.encode(w, add_special_tokens=False).ids)
+        self.alike = splits_alike(tokenizer)
+
+    def __call__(self, text: str) -> bytes:
+        if self.alike and self.plain(text) and "<|" not in text:
+            return b"".join(map(self.of_part.__getitem__, self.parts(text.lower())))
+        return b"".join([self.of_word[w.decode()] for w in text.encode().split()])
 
-    def __missing__(self, word: bytes) -> bytes:
-        import numpy as np
 
-        ids = self.library.encode(word.decode(), add_special_tokens=False).ids
-        got = np.array(ids, "<u4").tobytes()
-        if len(word) < 64:
+class _Known(dict):
+    def __init__(self, ids: Callable[[str], list[int]]):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, text: str) -> bytes:
+        got = array("I", self.ids(text)).tobytes()
+        if len(text) < 64:
             if len(self) >= REMEMBER:
                 self.clear()
-            self[word] = got
+            self[text] = got
         return got
 
 
+def byte_letters() -> dict[int, int]:
+    """The letters byte-level tokenizers write bytes with: a printable byte is
+    its own Latin-1 character, the others follow from 256 on, in order."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+def splits_alike(tokenizer: str) -> bool:
+    """Whether the tokenizer lower-cases and splits as ``Ids.parts`` does, and writes bytes as letters."""
+    given = json.loads(tokenizer)
+    steps = (given.get("normalizer") or {}).get("normalizers", [])
+    splits = (given.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return ([s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and [s["type"] for s in splits] == ["Split", "ByteLevel"]
+            and splits[0]["pattern"] == {"Regex": SPLIT} and not splits[1]["add_prefix_space"]
+            and all(a["content"].startswith("<|") for a in given["added_tokens"]))
+
+
 def cuts(n: int, capacity: int, min_cut: int) -> list[int]:
     """Sizes of a document's pieces, in order."""
     out = [capacity] * (n // capacity)
@@ -130,7 +171,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         raise ValueError("capacity is a power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = _Ids(tokenizer), end_id.to_bytes(4, "little")
+        ids, end = Ids(tokenizer), end_id.to_bytes(4, "little")
         packer = _Packer(capacity, min_cut, TaskContext.get().partitionId() << SHIFT)
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -141,8 +182,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                words = (text.as_py() or "").encode().split()
-                packer.add(doc, b"".join(map(known.__getitem__, words)) + end)
+                packer.add(doc, ids(text.as_py() or "") + end)
                 if len(packer.rows) >= rows_out:
                     yield from flush()
         packer.finish()
