@@ -6,10 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import langid, minhash, packing, pieces, quotient, substring, tokencount, topk
+from orrery.llm import langid, licenses, minhash, packing, pieces, quotient, secrets, substring, tokencount, topk
 from orrery.llm.util import documents
 from orrery.sources.tables import table_path
 
@@ -50,6 +50,22 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0, k=10, scale=1024)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(documents(spark, sf_dir))
+    base = found.withColumn("base", F.filter("spans", lambda s: s["place"] < len(secrets.BASE)))
+
+    def count(place: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["place"] == place)).cast("long")
+
+    return base.select(
+        "doc_id", *[count(i).alias(f"n_{r.kind}") for i, r in enumerate(secrets.BASE)],
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), pieces.load(public_tokenizers.path("piece_bpe_32k.model")))
 
