@@ -26,6 +26,9 @@ def _and(parts: list[Query]) -> Query:
 
 def _or(parts: list[Query]) -> Query:
     parts = list(dict.fromkeys(parts))
+    plain = {p: {p} if isinstance(p, str) else set(p[1]) for p in parts if isinstance(p, str) or p and p[0] == "and"}
+    # what asks for all that another part asks for, and more, adds nothing
+    parts = [p for p in parts if p not in plain or not any(other < plain[p] for other in plain.values())]
     return None if not parts or None in parts else parts[0] if len(parts) == 1 else ("or", tuple(parts))
 
 
