@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orrery.llm import langid
+from orrery.llm import langid, minhash, packing, quotient, secrets
 from orrery.llm.util import documents
 from orrery.session import scratch_path
 
@@ -19,7 +21,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known(docs, langid.fit(docs))
 
 
-STAGES = [("language", language)]
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts stays."""
+    return quotient.drop_copies(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: five words, similarity 0.8."""
+    return minhash.drop_near(docs, shingle=5, percent=80)
+
+
+def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; a mark stands for every secret, and n_chars follows the text."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens."""
+    return packing.pack(docs, packing.load(public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES = [("language", language), ("exact", exact), ("near", near), ("secrets", secret), ("packing", packed)]
 
 #: No stage of these has an SQL form; tests/llm compares with a brute-force version.
 ORACLE_SQL = None

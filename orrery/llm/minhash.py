@@ -97,7 +97,7 @@ class Signer:
 
 
 def _marked(rows: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (of the whole set; null if empty), band keys."""
+    """doc_id, key (as given), n_shingles, set_key (of the whole set; null if empty), band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = WordHashes(), Signer(bands, band_rows)
@@ -109,10 +109,10 @@ def _marked(rows: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 signatures.append(signer.keys(found).view(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_key", "bands"])
+                [batch.column("doc_id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
+                names=["doc_id", "key", "n_shingles", "set_key", "bands"])
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return rows.withColumn("key", F.col("key").cast("long")).mapInArrow(run, "doc_id long, key long, n_shingles long, set_key binary, bands array<long>")
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
@@ -158,7 +158,23 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that repeat an id with the same set are one node, with another set two nodes.
     An empty table gives an empty one.
     """
-    rows = narrow(docs, id_col, text_col)
+    found = _grouped(narrow(docs, id_col, text_col, key=F.lit(0)), shingle, percent, bands, band_rows)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80,
+              bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``near_dedup`` keeps: of every
+    component those of its smallest doc_id."""
+    key = F.xxhash64(docs[text_col].cast("string"), docs[id_col].cast("long"))
+    found = _grouped(narrow(docs, id_col, text_col, key=key), shingle, percent, bands, band_rows)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("id"), "key").distinct()
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("id"), key.alias("key"))
+    return held.join(gone, ["id", "key"], "left_anti").select("row.*")
+
+
+def _grouped(rows: DataFrame, shingle: int, percent: int, bands: int, band_rows: int) -> DataFrame:
+    """doc_id, key (as given), n_shingles, component_id, kept of rows (doc_id, text, key)."""
     marks = staged(_marked(rows, shingle, bands, band_rows), "marks")
     known = marks.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
     nodes = known.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
@@ -203,5 +219,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by_set = staged(labels.join(named, "root").select("set_key", "component_id"), "labels")
     out = marks.join(by_set, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "key", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -133,6 +133,17 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return with_spans(narrow(docs, id_col, text_col), rules).select("doc_id", "spans")
 
 
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rules: tuple[Rule, ...] = RULES,
+           mark: str = "[secret]") -> DataFrame:
+    """``docs``, all rows and columns, with ``mark`` for every secret of a text; a null text stays null."""
+    text = docs[text_col].cast("string")
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
+    found = with_spans(held, rules)
+    clean = F.when(F.col(f"row.`{text_col}`").isNotNull(), redacted(F.col("text"), F.col("spans"), mark))
+    names = [F.col(f"row.`{c}`") if c != text_col else clean.alias(c) for c in docs.columns]
+    return found.select(*names)
+
+
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with ``mark`` for every span; overlapping spans are one."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
