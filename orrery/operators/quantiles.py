@@ -2,17 +2,19 @@
 
 The reference's percentiles use Python's *exclusive* quantile definition,
 which no built-in Spark aggregate computes, and an exact answer needs the
-values at two ranks.  Ranks are found with a distributed sort:
-
-1. range-partition + sort by (group, value, tiebreak) — a hot group is split
-   over many partitions by the range bounds;
-2. number rows inside each partition (``monotonically_increasing_id`` is
-   dense within a partition and deterministic for a deterministic sort);
-3. per (group, partition) the first id and row count — at most
-   groups + partitions rows — and a running count per group gives each
-   partition's rank offset;
-4. broadcast-join the offsets back (size checked first; shuffle join beyond
-   the bound), keep only rows at the wanted ranks.
+values at two ranks.  They are found by counting, not by numbering rows:
+
+1. count per (group, value) with partial aggregation: ties are one row;
+2. every value falls in a bucket that is a pure function of the value
+   (``value_bucket``), so nothing is sampled and a recomputed plan gives the
+   same buckets; counts per (group, bucket) and a running sum over them give
+   each bucket's rank range;
+3. only buckets that hold a wanted rank are joined back to the counted values
+   and summed in value order, per (group, bucket).
+
+A window task holds the buckets of one group (a few thousand per power of two
+its values span) or the distinct values of one bucket (within 0.025 % of one
+another), however many rows the group has.
 
 Exclusive quantile i/m of n sorted values v[1..n] (n >= m):
 ``j = floor(i*(n+1)/m)``, ``d = i*(n+1) - j*m``,
@@ -26,55 +28,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest offsets table that is broadcast (rows).  Beyond it: shuffle join.
-BROADCAST_ROWS = 2_000_000
-# Rows per range partition of the sort (sets the partition count), and the
-# fewest rows worth a partition of its own.
-ROWS_PER_PARTITION = 5_000_000
-MIN_ROWS_PER_PARTITION = 10_000
-
-
-def ranked(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[str],
-           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``_rank`` (1-based, by value within group) and ``_n`` (group size)."""
-    group, tiebreak = list(group), list(tiebreak)
-    order = [*group, value, *tiebreak]
-    spark = df.sparkSession
-    # One small job sizes the sort: rows (-> range partition count, so a
-    # partition holds ~5 M rows however large the input) and an HLL estimate
-    # of the group count (-> broadcast check for the offsets table).
-    stats_row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.approx_count_distinct(F.struct(*group), 0.02).alias("groups"),
-    ).first()
-    n_rows, n_groups = stats_row["rows"], stats_row["groups"]
-    # Enough partitions that none holds more than ~5 M rows, and up to the
-    # cluster's task slots for parallelism (fewer for tiny inputs).
-    try:
-        slots = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote session: no SparkContext
-        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nparts = max(1, -(-n_rows // ROWS_PER_PARTITION), min(slots, -(-n_rows // MIN_ROWS_PER_PARTITION)))
-    srt = (
-        df.repartitionByRange(nparts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    stats = srt.groupBy(*group, "_pid").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    offsets = stats.select(
-        *group, "_pid", "_first",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(whole).alias("_n"),
-    )
-    # Size check for the broadcast: offsets has <= groups + partitions rows
-    # (HLL error ~2%, far inside the bound's margin).
-    side = F.broadcast(offsets) if n_groups + nparts <= broadcast_rows else offsets
-    j = srt.join(side, [*group, "_pid"])
-    return j.withColumn("_rank", F.col("_mid") - F.col("_first") + 1 + F.col("_before")).drop(
-        "_pid", "_mid", "_first", "_before"
+# Buckets per unit of the natural logarithm of a value.
+BUCKETS_PER_LOG = 4096
+# Beyond any |bucket| of a finite non-zero double: keeps the signs apart.
+_OFFSET = 1 << 40
+
+
+def value_bucket(value: Column | str) -> Column:
+    """A long that never decreases as the value grows: the logarithm of the
+    magnitude, cut finely, with the sign in front; NaN is above infinity, as
+    Spark orders it."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    inf = F.lit(float("inf"))
+
+    def size(x: Column) -> Column:
+        return F.when(x == inf, F.lit(2 * _OFFSET)).otherwise(F.floor(F.log(x) * BUCKETS_PER_LOG).cast("long") + _OFFSET)
+
+    return (
+        F.when(F.isnan(v), F.lit(4 * _OFFSET))
+        .when(v > 0, size(v))
+        .when(v < 0, -size(-v))
+        .otherwise(F.lit(0).cast("long"))
     )
 
 
@@ -86,53 +60,66 @@ def _excl_parts(i: int, m: int) -> tuple[Column, Column]:
 
 
 def quantile_table(df: DataFrame, group: Sequence[str], value: str, tiebreak: Sequence[str],
-                   recent_ts: str | None, small_n: str) -> DataFrame:
-    """Per group: n, p50 (median), p90, p99 with the chosen small-n rule.
+                   recent_ts: str | None, small_n: str, stats: bool = False) -> DataFrame:
+    """Per group: n, p50 (median), p90, p99 with the chosen small-n rule; with
+    ``stats`` also mean, min and max.
 
-    small_n = "recent": below the quantile's n the most recent value (A11);
-    small_n = "max": below it the maximum (A12).
+    small_n = "recent": below the quantile's n the most recent value (A11; the
+    last by ``recent_ts``, then ``tiebreak``); small_n = "max": below it the
+    maximum (A12).  Rows without a value don't count.
     """
     group = list(group)
     if not group:  # one group: a constant key keeps every step a keyed aggregate
         return quantile_table(df.withColumn("_all", F.lit(0)), ["_all"], value, tiebreak, recent_ts,
-                              small_n).drop("_all")
-    r = ranked(df, group, value, tiebreak)
+                              small_n, stats).drop("_all")
+    recent = small_n == "recent"
+    last = [F.max(F.struct(recent_ts, *tiebreak)).alias("_at")] if recent else []
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_k"), *last
+    ).withColumn("_b", value_bucket("_v"))
+
+    parts = [F.sum("_k").alias("_m")]
+    parts += [F.max(F.struct("_at", "_v")).alias("_last")] if recent else []
+    parts += [F.sum(F.col("_v").cast("double") * F.col("_k")).alias("_sum")] if stats else []
+    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    buckets = counted.groupBy(*group, "_b").agg(*parts).select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_b").alias("_bb"), "_m",
+        F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"),
+        F.sum("_m").over(whole).alias("_n"),
+        *([F.max("_last").over(whole)["_v"].alias("_recent")] if recent else []),
+        *([(F.sum("_sum").over(whole) / F.sum("_m").over(whole)).alias("_mean")] if stats else []),
+    )
+
     n = F.col("_n")
     j90, d90 = _excl_parts(9, 10)
     j99, d99 = _excl_parts(99, 100)
-    lo50 = F.floor((n + 1) / 2).cast("long")
-    hi50 = F.ceil((n + 1) / 2).cast("long")
-    wanted = (F.col("_rank").isin(lo50, hi50)) | (F.col("_rank").isin(j90, j90 + 1)) | (
-        F.col("_rank").isin(j99, j99 + 1)
-    )
-    picked = r.filter(wanted).select(
-        *group, "_n", "_rank", value,
-        j90.alias("_j90"), d90.alias("_d90"), j99.alias("_j99"), d99.alias("_d99"),
-        lo50.alias("_lo50"), hi50.alias("_hi50"),
-    )
-    v = F.col(value)
-    agg = picked.groupBy(*group).agg(
-        F.first("_n").alias("n"),
-        F.max(F.when(F.col("_rank") == F.col("_lo50"), v)).alias("_m_lo"),
-        F.max(F.when(F.col("_rank") == F.col("_hi50"), v)).alias("_m_hi"),
-        F.max(F.when(F.col("_rank") == F.col("_j90"), v)).alias("_a90"),
-        F.max(F.when(F.col("_rank") == F.col("_j90") + 1, v)).alias("_b90"),
-        F.first("_d90").alias("_d90"),
-        F.max(F.when(F.col("_rank") == F.col("_j99"), v)).alias("_a99"),
-        F.max(F.when(F.col("_rank") == F.col("_j99") + 1, v)).alias("_b99"),
-        F.first("_d99").alias("_d99"),
-    )
-    if small_n == "recent":
-        fb = df.groupBy(*group).agg(F.max_by(value, F.struct(recent_ts, *tiebreak)).alias("_fb"))
-    else:
-        fb = df.groupBy(*group).agg(F.max(value).alias("_fb"))
-    out = agg.join(fb, group)
-    p90 = (F.col("_a90") * (F.lit(10) - F.col("_d90")) + F.col("_b90") * F.col("_d90")) / F.lit(10)
-    p99 = (F.col("_a99") * (F.lit(100) - F.col("_d99")) + F.col("_b99") * F.col("_d99")) / F.lit(100)
-    return out.select(
+    ranks = {
+        "_m_lo": F.floor((n + 1) / 2).cast("long"), "_m_hi": F.ceil((n + 1) / 2).cast("long"),
+        "_a90": j90, "_b90": j90 + 1, "_a99": j99, "_b99": j99 + 1, "_low": F.lit(1), "_high": n,
+    }
+    wanted = F.lit(False)
+    for r in ranks.values():
+        wanted = wanted | ((r > F.col("_before")) & (r <= F.col("_before") + F.col("_m")))
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    near = counted.join(buckets.filter(wanted), [*same, F.col("_b") == F.col("_bb")])
+    upto = Window.partitionBy(*group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_to", F.col("_before") + F.sum("_k").over(upto))
+
+    def at(r: Column) -> Column:
+        return F.max(F.when((r > F.col("_to") - F.col("_k")) & (r <= F.col("_to")), F.col("_v")))
+
+    more = [c for c, there in (("_recent", recent), ("_mean", stats)) if there]
+    found = near.groupBy(*group).agg(F.first("_n").alias("_n"), *[at(r).alias(k) for k, r in ranks.items()],
+                                     *[F.first(c).alias(c) for c in more])
+    p90 = (F.col("_a90") * (F.lit(10) - d90) + F.col("_b90") * d90) / F.lit(10)
+    p99 = (F.col("_a99") * (F.lit(100) - d99) + F.col("_b99") * d99) / F.lit(100)
+    small = F.col("_recent" if recent else "_high")
+    return found.select(
         *group,
-        F.col("n").cast("long").alias("n"),
+        n.cast("long").alias("n"),
         ((F.col("_m_lo") + F.col("_m_hi")) / F.lit(2)).alias("p50"),
-        F.when(F.col("n") >= 10, p90).otherwise(F.col("_fb")).alias("p90"),
-        F.when(F.col("n") >= 100, p99).otherwise(F.col("_fb")).alias("p99"),
+        F.when(n >= 10, p90).otherwise(small).alias("p90"),
+        F.when(n >= 100, p99).otherwise(small).alias("p99"),
+        *([F.col("_mean").alias("mean"), F.col("_low").alias("min"), F.col("_high").alias("max")] if stats else []),
     )

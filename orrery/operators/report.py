@@ -97,13 +97,7 @@ def summary_stats(values: DataFrame, by: Sequence[str], value: str, tiebreak: Se
             F.min(v).alias("min"),
             F.max(v).alias("max"),
         )
-    q = quantile_table(values, by, value, tiebreak, None, "max")
-    s = values.groupBy(*by).agg(
-        (F.sum(F.col(value).cast("double")) / F.count(F.lit(1))).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    return q.join(s, list(by))
+    return quantile_table(values, by, value, tiebreak, None, "max", stats=True)
 
 
 def latency_with_errors(latency: DataFrame, errors: DataFrame, key: str = "query_key") -> DataFrame:

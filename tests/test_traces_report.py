@@ -2,11 +2,12 @@ import datetime as dt
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from orrery.operators import report as R
 from orrery.operators import traces as T
-from orrery.operators.quantiles import quantile_table
+from orrery.operators.quantiles import quantile_table, value_bucket
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -80,24 +81,37 @@ def test_exclusive_quantiles_match_python(spark):
             assert r.p99 == vals[-1]
 
 
-def test_quantiles_split_hot_group(spark, monkeypatch):
-    """A hot group spread over several range partitions still ranks exactly."""
-    from orrery.operators import quantiles as Q
-
-    monkeypatch.setattr(Q, "MIN_ROWS_PER_PARTITION", 100)  # 2,000+ rows -> every slot used
+@pytest.mark.parametrize("reuse", ["true", "false"])
+@pytest.mark.parametrize("partitions", ["1", "16"])
+def test_quantiles_do_not_depend_on_the_plan(spark, reuse, partitions):
+    """The same values whether or not Spark reuses an exchange, however many partitions."""
     rnd = random.Random(4)
-    hot = [round(rnd.uniform(0, 100), 2) for _ in range(2000)]
+    hot = [round(rnd.uniform(-100, 100), 2) for _ in range(2000)] + [7.25] * 1500
     cold = [1.0, 5.0, 3.0]
-    df = _lat(spark, hot, "hot").unionByName(_lat(spark, cold, "cold"))
-    ranked = Q.ranked(df, ["k"], "v", ["ts", "event_id"])
-    # Ranks stitched across partitions: exactly 1..n for the hot group.
-    r = ranked.filter("k = 'hot'").agg(F.min("_rank"), F.max("_rank"), F.count_distinct("_rank")).first()
-    assert tuple(r) == (1, 2000, 2000)
-    got = {r.k: r for r in quantile_table(df, ["k"], "v", ["ts", "event_id"], "ts", "recent").collect()}
-    assert got["hot"].p50 == statistics.median(hot) and got["hot"].p99 == statistics.quantiles(hot, n=100)[98]
+    df = _lat(spark, hot, "hot").unionByName(_lat(spark, cold, "cold")).withColumn("payload", F.repeat(F.lit("x"), 50))
+    keys = {"spark.sql.exchange.reuse": reuse, "spark.sql.shuffle.partitions": partitions}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = {r.k: r for r in quantile_table(df, ["k"], "v", ["ts", "event_id"], "ts", "recent", stats=True).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got["hot"].p50 == statistics.median(hot) and got["hot"].p90 == statistics.quantiles(hot, n=10)[8]
+    assert got["hot"].p99 == statistics.quantiles(hot, n=100)[98]
+    assert (got["hot"].n, got["hot"].min, got["hot"].max) == (3500, min(hot), max(hot))
+    assert abs(got["hot"].mean - statistics.fmean(hot)) < 1e-9
     assert got["cold"].p50 == 3.0 and got["cold"].p90 == 3.0
 
 
+def test_value_buckets_follow_the_order(spark):
+    vals = [float("-inf"), -1e300, -2.0, -1.0, -1e-300, 0.0, 5e-324, 1e-300, 1.0, 1.0000001, 2.0, 1e300, float("inf"), float("nan")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    got = [r.b for r in df.select("i", value_bucket("v").alias("b")).orderBy("i").collect()]
+    assert got == sorted(got) and len(set(got)) >= len(vals) - 1
+
+
 def test_errors_and_join(spark):
     q = spark.createDataFrame([("a", True), ("a", None), ("a", False), ("b", True)], "query_key string, success boolean")
     errs = {r.query_key: r.errors for r in R.error_counts(q).collect()}
