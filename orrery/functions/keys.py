@@ -23,6 +23,16 @@ def series_key(name: Column | str, labels: Column | str) -> Column:
     return F.concat(name, F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
 
+def known_series_key(name: Column | str, labels: Mapping[str, Column | str]) -> Column:
+    """``series_key`` where the label names are known: a plain concat, in the
+    order of the names, that stays in generated code."""
+    name = F.col(name) if isinstance(name, str) else name
+    parts = [name, F.lit("{")]
+    for i, (k, c) in enumerate(sorted(labels.items())):
+        parts += [F.lit(("," if i else "") + k + '="'), F.col(c) if isinstance(c, str) else c, F.lit('"')]
+    return F.concat(*parts, F.lit("}"))
+
+
 def labels_map(columns: Mapping[str, Column | str]) -> Column:
     """Build a ``MAP<STRING,STRING>`` of labels from named columns."""
     parts: list[Column] = []

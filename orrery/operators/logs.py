@@ -43,7 +43,7 @@ def parse_lenient(df: DataFrame, line: str = "raw", arrival: Column | None = Non
     arrival = F.current_timestamp() if arrival is None else arrival
     trimmed = F.trim(utf8_repair(F.col(line)))
     pos = F.locate("{", trimmed)
-    candidate = F.when(pos > 0, F.substring(trimmed, pos, 1 << 30))
+    candidate = F.when(pos > 0, F.substr(trimmed, pos))
     return _finish(df, trimmed, strict_json_object(candidate), arrival)
 
 
@@ -103,9 +103,12 @@ def error_lines(logs: DataFrame, container: str, wanted: Mapping[str, str], need
 
 def window_count(logs: DataFrame, start, end, wanted: Mapping[str, str] | None = None, ts: str = "ts",
                  line: str = "line") -> DataFrame:
-    """``count(_time:[start..end] AND f="x")`` (A6): one number, both ends inclusive."""
+    """``count(_time:[start..end] AND f="x")`` (A6): one number, both ends
+    inclusive; no ``end`` means up to the newest line."""
     t = F.col(ts)
-    sel = logs.filter((t >= F.lit(start).cast(logs.schema[ts].dataType)) & (t <= F.lit(end).cast(logs.schema[ts].dataType)))
+    kind = logs.schema[ts].dataType
+    low, high = (x if x is None or isinstance(x, Column) else F.lit(x).cast(kind) for x in (start, end))
+    sel = logs.filter(t >= low if high is None else (t >= low) & (t <= high))
     if wanted:
         sel = json_fields_equal(sel, wanted, line)
     return sel.agg(F.count(F.lit(1)).alias("n"))
@@ -122,10 +125,10 @@ def stream_counts(logs: DataFrame, seconds: int, step_seconds: int, stream: Sequ
 
 def range_count_total(logs: DataFrame, seconds: int, step_seconds: int, end=None,
                       stream: Sequence[str] = ("container",), ts: str = "ts", mode: str = "last_step",
-                      range_seconds: int | None = None) -> DataFrame:
+                      range_seconds: int | None = None, anchor: DataFrame | None = None) -> DataFrame:
     """Log range count, last step per stream, summed (A3): ``count_over_time
     [w]`` evaluated over a query range (the reference: 1 h windows over the
     last 5 minutes)."""
     keyed = logs.withColumn("stream_key", F.concat_ws("|", *stream))
     return S.count_last_step_total(keyed, seconds, step_seconds, end, key="stream_key", ts=ts, mode=mode,
-                                   range_seconds=range_seconds)
+                                   range_seconds=range_seconds, anchor=anchor)

@@ -176,9 +176,11 @@ def counter_delta(snapshots: DataFrame, key: str, value: str, ts: str = "ts", st
     return agg.withColumn("delta", F.col("after") - F.col("before"))
 
 
-def last_observation(df: DataFrame, key: Sequence[str], ts: str, cols: Sequence[str]) -> DataFrame:
-    """Latest row per key (W5): ``max_by(struct(cols), ts)``."""
-    agg = df.groupBy(*key).agg(F.max_by(F.struct(*cols), F.col(ts)).alias("_last"))
+def last_observation(df: DataFrame, key: Sequence[str], ts: str, cols: Sequence[str],
+                     tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Latest row per key (W5), by ``ts``, then ``tiebreak``; of rows equal in
+    those too, the one with the largest ``cols``, so a result can't vary."""
+    agg = df.groupBy(*key).agg(F.max_by(F.struct(*cols), F.struct(ts, *tiebreak, *cols)).alias("_last"))
     return agg.select(*key, *[F.col("_last")[c].alias(c) for c in cols])
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import label_filter
-from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, with_previous
+from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, _with_bucket
 
 US = 1_000_000
 
@@ -38,10 +38,26 @@ def _ceil_to(us: Column, step_us: int) -> Column:
     return us + F.pmod(-us, F.lit(step_us))
 
 
-def in_range(df: DataFrame, seconds: int, end=None, ts: str = "ts") -> DataFrame:
-    """Samples in ``(end - seconds, end]``."""
+def range_bounds(df: DataFrame, seconds: int, ts: str = "ts", end=None) -> tuple[Column, Column | None]:
+    """``(end - seconds, end]`` as columns the Parquet reader can use.
+
+    Without ``end`` the range ends at the newest sample, so there is only the
+    lower bound (the upper one is None): a scalar subquery that is the whole
+    side of the comparison.  The difference of a subquery and an interval, or
+    one of two subqueries that Spark merges, would not reach the scan.
+    """
+    gap = F.make_dt_interval(secs=F.lit(seconds))
+    if end is None:
+        return df.select(F.max(ts) - gap).scalar(), None
     e = resolve_end(df, ts, end)
-    return df.filter((F.col(ts) > e - F.make_dt_interval(secs=F.lit(seconds))) & (F.col(ts) <= e))
+    return e - gap, e
+
+
+def in_range(df: DataFrame, seconds: int, end=None, ts: str = "ts", anchor: DataFrame | None = None) -> DataFrame:
+    """Samples in ``(end - seconds, end]`` (P8); ``end`` defaults to the newest
+    sample of ``anchor`` (default: ``df`` itself)."""
+    low, high = range_bounds(df if anchor is None else anchor, seconds, ts, end)
+    return df.filter(F.col(ts) > low if high is None else (F.col(ts) > low) & (F.col(ts) <= high))
 
 
 def select_series(df: DataFrame, labels: Mapping[str, str] | None = None, labels_col: str = "labels") -> DataFrame:
@@ -51,15 +67,11 @@ def select_series(df: DataFrame, labels: Mapping[str, str] | None = None, labels
 
 def latest_per_series(df: DataFrame, key: str = "series_key", ts: str = "ts", value: str = "value",
                       tiebreak: str | None = None) -> DataFrame:
-    """Last value of each series (W3): ``max_by(value, ts)``.
-
-    A sample is identified by (series, ts), so ``ts`` alone orders a series
-    and the aggregate buffer stays fixed-width: a hash aggregate with the
-    partial ``max_by`` before the shuffle (a hot series costs one row per map
-    task).  Pass ``tiebreak`` for inputs with repeated timestamps; the struct
-    ordering then makes it a sort-based aggregate.
+    """Last value of each series (W3): by ``ts``, then ``tiebreak``, then the
+    larger value, so samples of one time can't make the result vary.  Partial
+    aggregates leave a map task: a hot series costs one row each.
     """
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    order = F.struct(F.col(ts), *([F.col(tiebreak)] if tiebreak else []), F.col(value))
     return df.groupBy(key).agg(F.max_by(value, order).alias("value"), F.max(ts).alias("last_ts"))
 
 
@@ -75,14 +87,14 @@ def newest(df: DataFrame, n: int, ts: str = "ts", tiebreak: str = "event_id") ->
 
 def topk_latest(samples: DataFrame, k: int = 10, seconds: int = 7 * 86400, labels=None, end=None) -> DataFrame:
     """Top k series by current value over a time range (P4 + P8 + W3 + T1)."""
-    e = resolve_end(samples, "ts", end)  # anchored on the whole input, not the selection
-    s = in_range(select_series(samples, labels), seconds, e)
+    # anchored on the whole input, not the selection
+    s = in_range(select_series(samples, labels), seconds, end, anchor=samples)
     return top_k(latest_per_series(s).select("series_key", "value"), k)
 
 
 def counter_rate(counters: DataFrame, seconds: int, end=None, value: str = "counter", key: str = "series_key",
                  ts: str = "ts", tiebreak: str = "event_id",
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS, anchor: DataFrame | None = None) -> DataFrame:
     """Per-series counter rate over ``(end - seconds, end]``.
 
     increase = sum over consecutive samples in range of ``v - prev`` when
@@ -90,12 +102,23 @@ def counter_rate(counters: DataFrame, seconds: int, end=None, value: str = "coun
     Series with fewer than two samples in range give no row.  No
     extrapolation to the range edges.  Exact when ``value`` is decimal.
     """
-    s = in_range(counters, seconds, end, ts)
-    # Reuses the (series, bucket) partitioning when the input carries it.
-    s = with_previous(s, [key], [ts, tiebreak], [value], ts, bucket_seconds)
-    v, p = F.col(value), F.col("prev_" + value)
-    inc = F.when(p.isNull(), None).when(v >= p, v - p).otherwise(v)
-    agg = s.groupBy(key).agg(F.sum(inc).alias("increase"), F.count(F.lit(1)).alias("samples"))
+    s, b, _ = _with_bucket(in_range(counters, seconds, end, ts, anchor), ts, bucket_seconds)
+
+    def step(v: Column, p: Column) -> Column:
+        return F.when(v >= p, v - p).when(p.isNotNull(), v)
+
+    # Increases inside each (series, bucket), reusing that partitioning when the
+    # input carries it; then one row a bucket with its ends, and the increases
+    # between the end of one and the start of the next.
+    in_bucket = Window.partitionBy(key, b).orderBy(ts, tiebreak)
+    s = s.select(key, b, ts, tiebreak, value, step(F.col(value), F.lag(value).over(in_bucket)).alias("_inc"))
+    at = F.struct(ts, tiebreak)
+    ends = s.groupBy(key, b).agg(
+        F.sum("_inc").alias("_inc"), F.count(F.lit(1)).alias("_n"),
+        F.min_by(value, at).alias("_first"), F.max_by(value, at).alias("_last"))
+    between = step(F.col("_first"), F.lag("_last").over(Window.partitionBy(key).orderBy(b)))
+    agg = ends.withColumn("_between", between).groupBy(key).agg(
+        F.sum(F.coalesce("_inc", F.lit(0)) + F.coalesce("_between", F.lit(0))).alias("increase"), F.sum("_n").alias("samples"))
     return agg.filter(F.col("samples") >= 2).select(
         key,
         F.col("increase").cast("double").alias("increase"),
@@ -105,10 +128,10 @@ def counter_rate(counters: DataFrame, seconds: int, end=None, value: str = "coun
 
 
 def topk_rate(counters: DataFrame, k: int = 10, seconds: int = 7 * 86400, labels=None, end=None,
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, anchor: DataFrame | None = None) -> DataFrame:
     """Top k series by counter rate (P4 + P8 + A5 + T1) — the flagship query."""
-    e = resolve_end(counters, "ts", end)
-    r = counter_rate(select_series(counters, labels), seconds, e, bucket_seconds=bucket_seconds)
+    r = counter_rate(select_series(counters, labels), seconds, end, bucket_seconds=bucket_seconds,
+                     anchor=counters if anchor is None else anchor)
     return top_k(r.select("series_key", "rate", "samples"), k, by="rate")
 
 
@@ -145,13 +168,13 @@ def count_sliding(df: DataFrame, seconds: int, step_seconds: int, key: str = "se
     by_series = Window.partitionBy(key).orderBy("_i")
     gap = F.coalesce(F.lead("_i").over(by_series) - F.col("_i"), F.lit(k))
     fill = F.least(gap, F.lit(k)) - 1
-    nxt = buckets.withColumn("_fill", fill)
-    filler = (
-        nxt.filter(F.col("_fill") > 0)
-        .select(key, "_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_fill"))).alias("_d"))
-        .select(key, (F.col("_i") + F.col("_d")).alias("_i"), F.lit(0).cast("long").alias("_n"))
+    # the step itself (offset 0, with the count) and the empty points after it
+    points = buckets.withColumn("_fill", fill).select(
+        key, "_i", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_fill"))).alias("_d")
+    ).select(
+        key, (F.col("_i") + F.col("_d")).alias("_i"),
+        F.when(F.col("_d") == 0, F.col("_n")).otherwise(F.lit(0).cast("long")).alias("_n"),
     )
-    points = buckets.unionByName(filler)
     frame = Window.partitionBy(key).orderBy("_i").rangeBetween(-(k - 1), 0)
     counted = points.select(key, "_i", F.sum("_n").over(frame).alias("n"))
     return counted.select(
@@ -160,7 +183,8 @@ def count_sliding(df: DataFrame, seconds: int, step_seconds: int, key: str = "se
 
 
 def count_last_step_total(df: DataFrame, seconds: int, step_seconds: int, end=None, key: str = "series_key",
-                          ts: str = "ts", mode: str = "last_step", range_seconds: int | None = None) -> DataFrame:
+                          ts: str = "ts", mode: str = "last_step", range_seconds: int | None = None,
+                          anchor: DataFrame | None = None) -> DataFrame:
     """Range count, last emitted step per series, summed over series (A2).
 
     ``last_step``: a range query over ``[end - range, end]`` at ``step`` (grid
@@ -172,15 +196,15 @@ def count_last_step_total(df: DataFrame, seconds: int, step_seconds: int, end=No
     ``end`` if ``L > end - w``, else the largest grid step below ``L + w``;
     series whose step falls before ``end - range`` contribute nothing.
     """
-    e = resolve_end(df, ts, end)
     if mode == "plain":
-        return in_range(df, seconds, e, ts).agg(F.count(F.lit(1)).alias("total"))
+        return in_range(df, seconds, end, ts, anchor).agg(F.count(F.lit(1)).alias("total"))
     rng = seconds if range_seconds is None else range_seconds
     w_us, s_us, r_us = seconds * US, step_seconds * US, rng * US
-    end_us = _us(e)
     # Only samples that can fall in some counted window: (end - range - w, end].
+    low, high = range_bounds(df if anchor is None else anchor, rng + seconds, ts, end)
+    end_us = _us(low) + F.lit(r_us + w_us) if high is None else _us(high)
     u = _us(F.col(ts))
-    recent = df.filter((u > end_us - F.lit(r_us + w_us)) & (u <= end_us))
+    recent = df.filter(F.col(ts) > low if high is None else (F.col(ts) > low) & (F.col(ts) <= high))
     last = recent.groupBy(key).agg(F.max(u).alias("_L"))
     g = F.when(F.col("_L") > end_us - F.lit(w_us), end_us).otherwise(
         end_us - F.lit(s_us) * (F.floor((end_us - (F.col("_L") + F.lit(w_us))) / F.lit(s_us)).cast("long") + 1)
@@ -201,22 +225,22 @@ def series_churn(df: DataFrame, seconds: int = 86400, key: str = "series_key", t
     """Series active / appeared / disappeared per interval.
 
     appeared: active in interval i, not in i-1; disappeared: active in i-1,
-    not in i (reported at i).  Anti joins on (series, interval), no per-series
-    collection.
+    not in i (reported at i).  One pass: an active (series, interval) says "here"
+    in its interval and "was here" in the next; per (series, interval) the two
+    flags meet, per interval they are counted.
     """
     w_us = seconds * US
     u = _us(F.col(ts))
     active = df.select(key, ((u - F.pmod(u, F.lit(w_us))) / F.lit(w_us)).cast("long").alias("_i")).distinct()
-    shifted = active.select(key, (F.col("_i") + 1).alias("_i"))
-    appeared = active.join(shifted, [key, "_i"], "left_anti").groupBy("_i").agg(F.count(F.lit(1)).alias("appeared"))
-    gone = shifted.join(active, [key, "_i"], "left_anti").groupBy("_i").agg(F.count(F.lit(1)).alias("disappeared"))
-    n = active.groupBy("_i").agg(F.count(F.lit(1)).alias("active"))
-    out = n.join(appeared, "_i", "full").join(gone, "_i", "full")
-    return out.select(
+    said = active.select(key, F.inline(F.array(
+        F.struct(F.col("_i"), F.lit(True).alias("_here")), F.struct((F.col("_i") + 1).alias("_i"), F.lit(False).alias("_here")))))
+    met = said.groupBy(key, "_i").agg(F.max("_here").alias("_here"), F.max(~F.col("_here")).alias("_was"))
+    here, was = F.col("_here"), F.col("_was")
+    return met.groupBy("_i").agg(
+        F.count_if(here).alias("active"), F.count_if(here & ~was).alias("appeared"), F.count_if(was & ~here).alias("disappeared"),
+    ).select(
         F.timestamp_micros(F.col("_i") * F.lit(w_us)).cast("timestamp_ntz").alias("interval_start"),
-        F.coalesce("active", F.lit(0)).cast("long").alias("active"),
-        F.coalesce("appeared", F.lit(0)).cast("long").alias("appeared"),
-        F.coalesce("disappeared", F.lit(0)).cast("long").alias("disappeared"),
+        "active", "appeared", "disappeared",
     )
 
 

@@ -55,9 +55,13 @@ def service_tag_search(spans: DataFrame, service: str, tags_json: str | Column,
     return search(spans, (F.col(service_col) == F.lit(service)) & attrs_match(attrs, wanted))
 
 
+def has_field(field: str, value: str, attrs: str = "attrs") -> Column:
+    return F.col(attrs)[field] == F.lit(value)
+
+
 def field_search(spans: DataFrame, field: str, value: str, attrs: str = "attrs") -> DataFrame:
     """``field="value"`` on span attributes."""
-    return search(spans, F.col(attrs)[field] == F.lit(value))
+    return search(spans, has_field(field, value, attrs))
 
 
 def trace_counts(found: DataFrame, by: Sequence[str] = (), trace: str = "trace_id") -> DataFrame:
@@ -112,17 +116,27 @@ def keep_matches_else_all(df: DataFrame, matched: Column, by: Sequence[str] = ()
 
 def search_with_fallback(spans: DataFrame, strict: Column, loose: Column, trace: str = "trace_id") -> DataFrame:
     """Search with ``strict``; when it finds nothing at all, repeat with
-    ``loose`` (P16).  The decision is a scalar count, not a per-row pairing."""
-    n_strict = spans.filter(strict).agg(F.count(F.lit(1))).scalar()
-    pred = F.when(n_strict > 0, strict).otherwise(loose)
-    return search(spans, pred, trace)
-
-
-def benchmark_tags(attrs: str | Column, needle: str = "benchmark") -> Column:
-    """Attribute map restricted to keys whose lower-cased text contains
-    ``needle`` (P17 on span attributes)."""
-    a = F.col(attrs) if isinstance(attrs, str) else attrs
-    return F.map_filter(a, lambda k, v: F.lower(k).contains(needle))
+    ``loose`` (P16).  One pass finds the traces either predicate names, with
+    what each matched; which of them count is decided on those few."""
+    hits = spans.filter(strict | loose).groupBy(trace).agg(
+        F.max(F.coalesce(strict, F.lit(False))).alias("_strict"), F.max(F.coalesce(loose, F.lit(False))).alias("_loose"))
+    any_strict = hits.agg(F.coalesce(F.max("_strict"), F.lit(False))).scalar()
+    kept = hits.filter(F.when(any_strict, F.col("_strict")).otherwise(F.col("_loose"))).select(trace)
+    return spans.join(kept, trace, "left_semi")
+
+
+def search_with_fallback_counts(spans: DataFrame, strict: Column, loose: Column, trace: str = "trace_id") -> DataFrame:
+    """``trace_counts`` of ``search_with_fallback`` in a single pass: spans and
+    matches per trace once, the choice and the totals on one row of sums."""
+    t = F.nullif(F.col(trace), F.lit(""))
+    per = spans.groupBy(trace).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max(F.coalesce(strict, F.lit(False))).alias("_s"), F.max(F.coalesce(loose, F.lit(False))).alias("_l"))
+    sums = per.agg(*[e.alias(f"{name}_{k}") for k, hit in (("s", F.col("_s")), ("l", F.col("_l"))) for name, e in (
+        ("traces", F.count(F.when(hit, t))), ("spans", F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0))))])
+    pick = lambda name: F.when(F.col("spans_s") > 0, F.col(f"{name}_s")).otherwise(F.col(f"{name}_l")).alias(name)
+    return sums.select(pick("traces"), pick("spans")).withColumn(
+        "spans_per_trace", F.when(F.col("traces") > 0, F.col("spans") / F.col("traces")).otherwise(F.lit(0.0)))
 
 
 def benchmark_tag_rows(spans: DataFrame, attrs: str = "attrs", needle: str = "benchmark") -> DataFrame:
@@ -146,6 +160,14 @@ def process_tag_traces(process_tags: DataFrame, a: tuple[str, str], b: tuple[str
     return per_proc.filter(F.col("_a") & F.col("_b")).select(trace).distinct()
 
 
+def process_predicate_traces(spans: DataFrame, a: Column, b: Column, process: str, trace: str = "trace_id") -> DataFrame:
+    """Traces where spans of one process satisfy both predicates (P14), from
+    the span rows themselves: two flags per (trace, process)."""
+    per_proc = spans.filter(a | b).groupBy(trace, process).agg(
+        F.max(F.coalesce(a, F.lit(False))).alias("_a"), F.max(F.coalesce(b, F.lit(False))).alias("_b"))
+    return per_proc.filter(F.col("_a") & F.col("_b")).select(trace).distinct()
+
+
 def expected_vs_found(expected: DataFrame, found: DataFrame, key: Sequence[str]) -> DataFrame:
     """Generated versus found per key (J5): full outer join of two aggregates.
 

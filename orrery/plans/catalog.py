@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.functions.keys import modulo_label, pick_label, series_key
+from orrery.functions.keys import known_series_key, modulo_label, pick_label
 from orrery.functions.numeric import cpu_percent, memory_percent
 from orrery.functions.numeric import relative_difference as rel_diff
 from orrery.functions.text import format_bytes, truncate
@@ -24,7 +24,6 @@ from orrery.operators import logs as L
 from orrery.operators import report as R
 from orrery.operators import series as S
 from orrery.operators import traces as T
-from orrery.operators.sequence import choose_bucket_seconds, with_previous
 from orrery.plans import views as V
 from orrery.sources import exposition as X
 from orrery.sources.tables import read_table
@@ -63,18 +62,14 @@ def topk_latest(spark: SparkSession, sf: str) -> DataFrame:
 def topk_rate(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: top 10 series by counter rate over the last week."""
     samples = V.samples(spark, sf)
-    end = S.resolve_end(samples)
     # Series-local filter first: a counter only depends on its own series.
-    sel = samples.filter(F.col("event_type") == "purchase")
-    b = choose_bucket_seconds(sel, ["series_key"], "ts")
-    counters = V.counters_from(sel, bucket_seconds=b, keep_bucket=True)
-    return S.topk_rate(counters, k=10, seconds=WEEK, end=end, bucket_seconds=b)
+    counters = V.counters_from(samples.filter(F.col("event_type") == "purchase"), keep_bucket=True)
+    return S.topk_rate(counters, k=10, seconds=WEEK, anchor=samples)
 
 
 def rate_per_series(spark: SparkSession, sf: str) -> DataFrame:
     samples = V.samples(spark, sf)
-    b = choose_bucket_seconds(samples, ["series_key"], "ts")
-    return S.counter_rate(V.counters_from(samples, bucket_seconds=b, keep_bucket=True), WEEK, bucket_seconds=b)
+    return S.counter_rate(V.counters_from(samples, keep_bucket=True), WEEK, anchor=samples)
 
 
 def count_over_time_tumbling(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,10 +118,9 @@ def label_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     high = {**base, **derive(HIGH_CARDINALITY_LABEL_RULES)}
 
     def keyed(mode, labels):
-        m = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), v)])
-        return ev.select(F.lit(mode).alias("mode"), series_key(F.lit("test_metric"), m).alias("series_key"))
+        return F.struct(F.lit(mode).alias("mode"), known_series_key(F.lit("test_metric"), labels).alias("series_key"))
 
-    both = keyed("base", base).unionByName(keyed("high_cardinality", high))
+    both = ev.select(F.inline(F.array(keyed("base", base), keyed("high_cardinality", high))))
     return S.series_cardinality(both, by=["mode"])
 
 
@@ -142,8 +136,7 @@ def log_error_lines(spark: SparkSession, sf: str) -> DataFrame:
 def log_window_count(spark: SparkSession, sf: str) -> DataFrame:
     """A6, failing loudly when nothing matched."""
     logs = V.log_lines(spark, sf)
-    end = S.resolve_end(logs)
-    n = L.window_count(logs, end - F.make_dt_interval(days=F.lit(7)), end, {"severity": "ERROR"})
+    n = L.window_count(logs, *S.range_bounds(logs, WEEK), {"severity": "ERROR"})
     return R.nonzero_or_fail(n, "n", "log window count returned 0 lines")
 
 
@@ -179,9 +172,8 @@ def log_stream_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_range_count_total(spark: SparkSession, sf: str) -> DataFrame:
     logs = V.log_lines(spark, sf)
-    end = S.resolve_end(logs)
     sel = L.json_fields_equal(L.relabel_streams(logs), {"severity": "ERROR"})
-    t = L.range_count_total(sel, DAY, 3600, end=end, stream=["container_label"], range_seconds=6 * 3600)
+    t = L.range_count_total(sel, DAY, 3600, stream=["container_label"], range_seconds=6 * 3600, anchor=logs)
     return R.nonzero_or_fail(t, "total", "log range count returned 0 lines")
 
 
@@ -245,8 +237,12 @@ def trace_service_tag_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trace_field_search(spark: SparkSession, sf: str) -> DataFrame:
-    found = T.field_search(V.spans(spark, sf, with_batch=True), "test.batch", "P")
-    return T.trace_counts(found)
+    # every span of an order has the order's batch: the orders are filtered
+    # first, and only their lines are read on
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus") == "P")
+    spans = V.spans(spark, sf).join(orders, F.col("order_key") == orders.o_orderkey).withColumn(
+        "attrs", F.map_concat("attrs", F.create_map(F.lit("test.batch"), F.col("o_orderstatus"))))
+    return T.trace_counts(spans.filter(T.has_field("test.batch", "P")))
 
 
 def reconcile_expected_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,15 +290,12 @@ def trace_keep_matches_else_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trace_process_exists(spark: SparkSession, sf: str) -> DataFrame:
-    """P14 on flat process tags: the process of a span is its service; tags
-    are the span attributes."""
+    """P14 on span rows: the process of a span is its service.  The two tags
+    sit on different spans (line 1 and line 2) of one process."""
     spans = V.spans(spark, sf)
-    # One (key, value) row per wanted attribute; attrs[k] on the derived map
-    # folds to the source column, so no map is built.
-    keys = ["benchmark_app", "return.flag"]
-    pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.col("attrs")[k].alias("value")) for k in keys])
-    tags = spans.select("trace_id", F.col("service").alias("process_id"), F.inline(pairs))
-    hits = T.process_tag_traces(tags, ("benchmark_app", "orders"), ("return.flag", "N"))
+    a = (F.col("line_number") == 1) & (F.col("attrs")["return.flag"] == "N")
+    b = (F.col("line_number") == 2) & (F.col("attrs")["line.status"] == "O")
+    hits = T.process_predicate_traces(spans, a, b, "service")
     return hits.agg(F.count(F.lit(1)).alias("traces"))
 
 
@@ -427,11 +420,11 @@ def service_assembly(spark: SparkSession, sf: str) -> DataFrame:
     """Resource stats and ingest counters of one (ts, service), plus the
     service's final storage (small dimension)."""
     obs = V.service_obs(spark, sf)
-    stats = obs.select("ts", "service", "cpu_percent", "memory_bytes")
-    ingest = obs.select("ts", "service", "ingested", "dropped")
+    # an observation holds both, so they are projected together, not joined on
+    # a time that several observations may share
+    both = obs.select("ts", "service", "cpu_percent", "memory_bytes", "ingested", "dropped")
     a, b = _storage_sides(spark, sf)
-    storage = R.storage_fill_in(a, b)
-    return stats.join(ingest, ["ts", "service"]).join(storage, "service", "left")
+    return both.join(R.storage_fill_in(a, b), "service", "left")
 
 
 def known_services(spark: SparkSession, sf: str) -> DataFrame:
@@ -440,20 +433,19 @@ def known_services(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_volume(spark: SparkSession, sf: str) -> DataFrame:
-    obs = V.service_obs(spark, sf)
-    t = R.throughput(obs, by=["scenario"])
-    return R.load_volume(t.select("scenario", F.col("per_second").alias("rate"), "elapsed_s"), "rate",
-                         "elapsed_s").select("scenario", "estimated_items")
+    """A scenario's configured rate times the time it ran."""
+    t = R.throughput(V.service_obs(spark, sf), by=["scenario"])
+    rate = F.when(F.col("scenario") == "steady", F.lit(25.5)).otherwise(F.lit(100.25))
+    return R.load_volume(t.withColumn("rate", rate), "rate", "elapsed_s").select("scenario", "estimated_items")
 
 
 def cpu_from_deltas(spark: SparkSession, sf: str) -> DataFrame:
     """P22 + W4: CPU %% from consecutive cumulative counters of one service
     (cpu = ingested counter, system = elapsed microseconds, 4 CPUs)."""
-    obs = V.service_obs(spark, sf).withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    b = choose_bucket_seconds(obs, ["service"], "ts")
-    p = with_previous(obs, ["service"], ["ts", "event_id"], ["ingested", "_us"], "ts", bucket_seconds=b)
-    cpu = cpu_percent(F.col("ingested") - F.col("prev_ingested"), F.col("_us") - F.col("prev__us"), F.lit(4))
-    return p.filter(F.col("prev__us").isNotNull()).select("service", "event_id", cpu.alias("cpu_pct"))
+    p = V.service_obs(spark, sf, previous=["ingested", "ts"])
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    cpu = cpu_percent(F.col("ingested") - F.col("prev_ingested"), us("ts") - us("prev_ts"), F.lit(4))
+    return p.filter(F.col("prev_ts").isNotNull()).select("service", "event_id", cpu.alias("cpu_pct"))
 
 
 def memory_share(spark: SparkSession, sf: str) -> DataFrame:
@@ -473,7 +465,14 @@ def trace_search_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
     spans = V.spans(spark, sf)
     strict = (F.col("service") == "payment") & (F.col("attrs")["return.flag"] == "X")
     loose = F.col("service") == "payment"
-    return T.trace_counts(T.search_with_fallback(spans, strict, loose))
+    return T.search_with_fallback_counts(spans, strict, loose)
+
+
+def trace_search_strict_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """P16, the other branch: the strict search matches, so the loose one isn't used."""
+    spans = V.spans(spark, sf)
+    strict = (F.col("service") == "payment") & (F.col("attrs")["return.flag"] == "R")
+    return T.search_with_fallback_counts(spans, strict, F.col("service") == "payment")
 
 
 def tag_inspection(spark: SparkSession, sf: str) -> DataFrame:
@@ -553,7 +552,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         peak_ingest, trace_drop_rate, resource_usage, resource_series, throughput, counter_delta,
         storage_fill_in, bytes_per_item, relative_difference, format_storage, service_assembly,
         known_services, load_volume, cpu_from_deltas, memory_share, text_truncate,
-        trace_search_with_fallback, tag_inspection, query_latency_table,
+        trace_search_with_fallback, trace_search_strict_wins, tag_inspection, query_latency_table,
         stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
         stream_late_rejection,
     ]

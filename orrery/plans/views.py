@@ -16,12 +16,14 @@ mirrored column for column by the SQL in ``plans/oracle.py``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
-from orrery.operators.sequence import bucket_column, choose_bucket_seconds, with_running_sum
-from orrery.sources.tables import cpu_parallelism, read_table
+from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered, with_running_sum
+from orrery.sources.tables import read_table
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
 METRIC_NAME = "event_value"
@@ -36,11 +38,6 @@ def _epoch_text(ts: str = "ts"):
     return F.format_string("%d.%06d", F.floor(us / 1_000_000).cast("long"), F.pmod(us, F.lit(1_000_000)))
 
 
-def epoch_seconds(ts: str = "ts"):
-    """Epoch seconds as double (micros / 1e6)."""
-    return F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1e6)
-
-
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     # Label keys are known here, so the canonical key (sorted by label name)
@@ -71,11 +68,6 @@ def counters_from(s: DataFrame, bucket_seconds: int = 86400, keep_bucket: bool =
     )
 
 
-def counter_samples(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400,
-                    keep_bucket: bool = False) -> DataFrame:
-    return counters_from(samples(spark, sf_dir), bucket_seconds, keep_bucket)
-
-
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON log line per event plus the raw forms a log agent sees.
 
@@ -83,8 +75,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     10th event is plain text, every 3rd otherwise carries a container-runtime
     prefix before the JSON.  ``container``: stream path ``/<service>``.
     """
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"],
-                    min_partitions=cpu_parallelism(spark))
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     severity = F.when(F.col("event_type") == "error", F.lit(SEVERITY_ERROR)).otherwise(F.lit(SEVERITY_DEFAULT))
     service = F.element_at(F.array(*[F.lit(s) for s in SERVICES]), (F.col("user_id") % 5 + 1).cast("int"))
     line = F.concat(
@@ -147,6 +138,7 @@ def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFra
             F.lit("benchmark_app"), F.lit("orders"),
             F.lit("return.flag"), F.col("l_returnflag"),
             F.lit("line.status"), F.col("l_linestatus"),
+            F.lit("Benchmark.Status"), F.col("l_linestatus"),
             F.lit("service.name"), service,
             *batch,
         ).alias("attrs"),
@@ -161,8 +153,7 @@ def exposition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     a comment, the next a blank line, the next an unparsable value; labels
     include a value with a space.
     """
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"],
-                    min_partitions=cpu_parallelism(spark))
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     service = F.element_at(F.array(*[F.lit(s) for s in SERVICES]), (F.col("user_id") % 5 + 1).cast("int"))
     name = F.concat(F.lit("events_"), F.col("event_type"), F.lit("_total"))
     labels = F.concat(
@@ -184,11 +175,13 @@ def exposition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def service_obs(spark: SparkSession, sf_dir: str, bucket_seconds: int | None = None) -> DataFrame:
+def service_obs(spark: SparkSession, sf_dir: str, previous: Sequence[str] = (),
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Observation rows per service (= event_type) at each event time.
 
     ingested: cumulative events of the service; dropped: cumulative events
     with value > 400; cpu_percent = value % 100; memory_bytes = value MiB.
+    ``previous`` adds columns of the service's previous observation.
     """
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
     base = ev.select(
@@ -196,19 +189,12 @@ def service_obs(spark: SparkSession, sf_dir: str, bucket_seconds: int | None = N
         F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit("steady"))
         .otherwise(F.lit("burst")).alias("scenario"),
     )
-    # Five services share all rows: each is a hot key.  Bucket width from the
-    # measured density; both counters share one (service, bucket)
-    # partitioning, so the rows are shuffled once.
-    if bucket_seconds is None:
-        bucket_seconds = choose_bucket_seconds(base, ["service"], "ts")
-    c = with_running_sum(base, ["service"], ["ts", "event_id"], F.lit(1).cast("long"), "ingested", "ts",
-                         bucket_seconds, keep_bucket=True)
-    c = with_running_sum(
-        c, ["service"], ["ts", "event_id"], F.when(F.col("value") > 400, 1).otherwise(0).cast("long"), "dropped", "ts",
-        bucket_seconds,
-    ).drop(bucket_column(bucket_seconds))
+    # Five services share all rows: each is a hot key, cut by time bucket.
+    sums = {"ingested": F.lit(1).cast("long"), "dropped": F.when(F.col("value") > 400, 1).otherwise(0).cast("long")}
+    c = ordered(base, ["service"], ["ts", "event_id"], "ts", sums, previous, bucket_seconds)
     return c.select(
         "event_id", "ts", "service", "scenario", "ingested", "dropped",
         (F.col("value") % 100).alias("cpu_percent"),
         (F.col("value") * F.lit(1048576.0)).cast("long").alias("memory_bytes"),
+        *[f"prev_{c}" for c in previous],
     )

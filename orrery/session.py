@@ -8,6 +8,7 @@ code as a cluster job.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,11 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployment sets it to shared storage and it is used as is.
-    Only when it is unset (local tests) is a private folder created.
+    Only where the driver is the whole cluster (a local master) and it is unset
+    is a private folder made; elsewhere executors couldn't read one, so it is an
+    error.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="orrery-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

@@ -76,7 +76,7 @@ def selected_sums(lines: DataFrame, page: Sequence[str], ingested: tuple[str, st
     l = F.col(line)
     toks = line_tokens(l)
     v = py_float(F.element_at(toks, -1))
-    body = (F.trim(l) != "") & ~l.startswith("#") & (F.size(toks) >= 2)
+    body = ~F.coalesce(F.get(toks, F.lit(0)), F.lit("#")).startswith("#") & (F.size(toks) >= 2)
     is_in = body & l.contains(ingested[0]) & l.contains(ingested[1])
     is_drop = body & ~is_in & l.contains(dropped[0]) & l.contains(dropped[1])
     return lines.groupBy(*page).agg(

@@ -16,32 +16,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               min_partitions: int | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Scan with an explicit column list (pruned at the Parquet reader).
 
-    ``min_partitions``: for CPU-heavy per-row work, spread a scan that has
-    fewer input splits than that (small or single-row-group files) with a
-    round-robin repartition.  Large inputs already have many splits, so on a
-    cluster this is a no-op and adds no shuffle.
+    How many splits a scan has is the session's matter
+    (``spark.sql.files.maxPartitionBytes``); rows are not dealt anew here.
     """
     df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    if min_partitions and _input_splits(df) < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
-
-
-def _input_splits(df: DataFrame) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote session: no RDD view; assume split
-        return 1 << 30
-
-
-def cpu_parallelism(spark: SparkSession) -> int:
-    """Task slots of the session (the target split count for per-row work)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - remote session: no SparkContext
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(*columns) if columns else df

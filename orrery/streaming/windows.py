@@ -73,11 +73,11 @@ def step_counts(df: DataFrame, keys: Sequence[str], step: str, watermark: str =
 def periodic_snapshot(df: DataFrame, keys: Sequence[str], value: str, every: str = "2 seconds",
                       watermark: str = "10 seconds", ts: str = "event_ts") -> DataFrame:
     """Observation every ``every`` (ST7): last value of a counter per key and
-    tumbling interval."""
+    tumbling interval; of values at one time the largest."""
     shifted = df.withColumn("_et", _left_open(ts)).withWatermark("_et", watermark)
     return (
         shifted.groupBy(F.window("_et", every).alias("w"), *keys)
-        .agg(F.max_by(value, ts).alias(value), F.count(F.lit(1)).alias("samples"))
+        .agg(F.max_by(value, F.struct(ts, value)).alias(value), F.count(F.lit(1)).alias("samples"))
         .select(F.col("w.end").alias("window_end"), *keys, value, "samples")
     )
 
