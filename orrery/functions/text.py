@@ -26,9 +26,18 @@ def py_float(text: Column | str) -> Column:
     return F.when(t.rlike(FLOAT_PATTERN), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
 
 
+# What Python's str.strip() removes: every character that is white space to it.
+PY_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def strip(text: Column | str) -> Column:
+    """``text.strip()``."""
+    return F.trim(_c(text), F.lit(PY_SPACE))
+
+
 def line_tokens(line: Column | str) -> Column:
     """Whitespace split of a line like Python's ``str.split()``."""
-    t = F.trim(_c(line), F.lit(" \t\r\n\x0b\x0c"))
+    t = strip(line)
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
 
 

@@ -8,43 +8,71 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.functions.text import strict_json_object, strict_json_value, utf8_repair
+from orrery.functions.text import strict_json_object, strict_json_value, strip, utf8_repair
 from orrery.operators import series as S
 
 PARSED_FIELDS = "fields"
+OBJECT_TEXT = "object_text"
 
 
-def _epoch_s(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
+def _epoch_text(ts: Column) -> Column:
+    """Epoch seconds of a timestamp as a JSON number with six decimals."""
+    return (F.unix_micros(ts.cast("timestamp")).cast("decimal(24,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast(
+        "decimal(24,6)").cast("string")
 
 
-def _finish(df: DataFrame, trimmed: Column, obj: Column, arrival: Column) -> DataFrame:
-    t = df.withColumn("_line", trimmed).filter(F.col("_line") != "").withColumn("_obj", obj)
-    is_json = F.col("_obj").isNotNull()
-    jt = F.coalesce(F.col("_obj")["_time"], F.col("_obj")["timestamp"])
-    now = _epoch_s(arrival)
+def event_seconds(time_json: Column) -> Column:
+    """Epoch seconds of a time as entries carry it: a JSON number of seconds, or
+    a JSON string with a number or ISO-8601 text (UTC unless it says otherwise).
+    Null if it is neither."""
+    text = F.trim(time_json, F.lit('"'))
+    iso = F.when(text.rlike(r"^\d{4}-\d\d-\d\d"), F.unix_micros(text.try_cast("timestamp")) / F.lit(1e6))
+    return F.coalesce(text.try_cast("double"), iso)
+
+
+def _finish(df: DataFrame, trimmed: Column, text: Column, arrival: Column) -> DataFrame:
+    """``text``: what of the line may be a JSON object."""
+    t = df.withColumn("_line", trimmed).filter(F.col("_line") != "").withColumn("_text", text)
+    t = t.withColumn("_obj", strict_json_object(F.col("_text")))
+    is_json, obj = F.col("_obj").isNotNull(), F.col("_obj")
+    # The entry's own time, as it stands: numbers stay numbers, texts texts.
+    value = F.try_parse_json(F.col("_text"))
+
+    def token(k: str) -> Column:
+        kept = F.to_json(F.try_variant_get(value, f"$.{k}", "variant"))
+        whole = F.to_json(F.struct(obj[k].alias("v")))  # {"v":...}, for objects that repeat a name
+        return F.coalesce(kept, F.substr(whole, F.lit(6), F.length(whole) - 6), F.lit("null"))
+
+    now = _epoch_text(arrival)
+    own = F.when(F.map_contains_key(obj, F.lit("_time")), token("_time")).when(
+        F.map_contains_key(obj, F.lit("timestamp")), token("timestamp"))
+    at = F.when(is_json, F.coalesce(own, now)).otherwise(now)
     return t.select(
         *[c for c in df.columns],
         is_json.alias("is_json"),
-        F.col("_obj").alias(PARSED_FIELDS),
-        F.when(is_json, F.lit(None).cast("string")).otherwise(F.col("_line")).alias("_msg"),
-        F.when(is_json, F.coalesce(jt.try_cast("double"), now)).otherwise(now).alias("_time"),
+        obj.alias(PARSED_FIELDS),
+        F.when(is_json, F.col("_text")).alias(OBJECT_TEXT),
+        F.when(~is_json, F.col("_line")).alias("_msg"),
+        at.alias("_time"),
+        F.coalesce(event_seconds(at), event_seconds(now)).alias("event_time"),
     )
 
 
 def parse_lenient(df: DataFrame, line: str = "raw", arrival: Column | None = None) -> DataFrame:
     """Forwarder parse (P1): JSON from the first ``{`` to the end, else plain text.
 
-    Blank lines are dropped.  JSON entries keep their fields (``fields`` map);
-    ``_time`` = the entry's ``_time``, else its ``timestamp``, else the arrival
-    time.  Anything else becomes ``_msg`` = the trimmed line with ``_time`` =
-    arrival.  ``arrival`` defaults to the current time; tests pass a column.
+    Blank lines are dropped.  JSON entries keep their fields (``fields`` map, to
+    select by) and their text (``object_text``, to deliver unchanged).  ``_time``
+    is the entry's ``_time``, else its ``timestamp``, as JSON text and as it came;
+    else the arrival time.  ``event_time`` is the same in epoch seconds, the
+    arrival where it can't be read.  Anything else becomes ``_msg`` = the trimmed
+    line with ``_time`` = arrival.  ``arrival`` defaults to the current time;
+    tests pass a column.
     """
     arrival = F.current_timestamp() if arrival is None else arrival
-    trimmed = F.trim(utf8_repair(F.col(line)))
+    trimmed = strip(utf8_repair(F.col(line)))
     pos = F.locate("{", trimmed)
-    candidate = F.when(pos > 0, F.substr(trimmed, pos))
-    return _finish(df, trimmed, strict_json_object(candidate), arrival)
+    return _finish(df, trimmed, F.when(pos > 0, F.substr(trimmed, pos)), arrival)
 
 
 def parse_strict(df: DataFrame, line: str = "raw", arrival: Column | None = None,
@@ -55,10 +83,9 @@ def parse_strict(df: DataFrame, line: str = "raw", arrival: Column | None = None
     is dropped here, or kept with ``rejected = true`` when ``with_rejects``
     (the dead-letter view)."""
     arrival = F.current_timestamp() if arrival is None else arrival
-    trimmed = F.trim(utf8_repair(F.col(line)))
-    parsed = df.withColumn("_pobj", strict_json_object(trimmed))
-    rejected = F.col("_pobj").isNull() & strict_json_value(trimmed)
-    out = _finish(parsed.withColumn("rejected", rejected), trimmed, F.col("_pobj"), arrival).drop("_pobj")
+    trimmed = strip(utf8_repair(F.col(line)))
+    out = _finish(df, trimmed, trimmed, arrival).withColumn(
+        "rejected", F.when(F.col("is_json"), F.lit(False)).otherwise(strict_json_value(F.col("_msg"))))
     if with_rejects:
         return out
     # Drop rejected rows with a generator rather than a Filter: a filter on a
@@ -68,6 +95,19 @@ def parse_strict(df: DataFrame, line: str = "raw", arrival: Column | None = None
     return out.withColumn("_keep", F.explode(keep)).drop("_keep", "rejected")
 
 
+def payload(entries: DataFrame) -> Column:
+    """What is delivered for an entry (K1): a JSON entry's own text, with
+    ``_time`` put in front if it has none, so every other field keeps its type;
+    a plain line as ``{_msg, _time}``."""
+    rest = F.substr(F.col(OBJECT_TEXT), F.lit(2))
+    sep = F.when(F.ltrim(rest, F.lit(" \t\r\n")).startswith("}"), F.lit("")).otherwise(F.lit(","))
+    spliced = F.concat(F.lit('{"_time":'), F.col("_time"), sep, rest)
+    entry = F.when(F.map_contains_key(F.col(PARSED_FIELDS), F.lit("_time")), F.col(OBJECT_TEXT)).otherwise(spliced)
+    message = F.to_json(F.struct("_msg"))
+    plain = F.concat(F.substr(message, F.lit(1), F.length(message) - 1), F.lit(',"_time":'), F.col("_time"), F.lit("}"))
+    return F.when(F.col("is_json"), entry).otherwise(plain)
+
+
 def relabel_streams(df: DataFrame, path: str = "container", keep_service: str | None = None) -> DataFrame:
     """Agent relabel (P7): ``/(.*)`` of the path into ``container``; copy to
     ``stream_service``; optionally keep one service."""

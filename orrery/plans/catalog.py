@@ -155,14 +155,21 @@ def _logs_arrival(spark, sf):
 def log_parse_lenient(spark: SparkSession, sf: str) -> DataFrame:
     logs, arrival = _logs_arrival(spark, sf)
     p = L.parse_lenient(logs.select("event_id", "ts", "raw"), "raw", arrival)
-    return p.select("event_id", "is_json", "_msg", "_time",
+    return p.select("event_id", "is_json", "_msg", "_time", _r6(F.col("event_time")).alias("event_time"),
                     F.col(L.PARSED_FIELDS)["severity"].alias("severity"))
 
 
+def log_entry_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: the JSON text delivered for every line, types and times as they came."""
+    logs, arrival = _logs_arrival(spark, sf)
+    p = L.parse_lenient(logs.select("event_id", "ts", "raw"), "raw", arrival)
+    return p.select("event_id", L.payload(p).alias("payload"))
+
+
 def log_parse_strict(spark: SparkSession, sf: str) -> DataFrame:
     logs, arrival = _logs_arrival(spark, sf)
     p = L.parse_strict(logs.select("event_id", "ts", "raw"), "raw", arrival)
-    return p.select("event_id", "is_json", "_msg", "_time",
+    return p.select("event_id", "is_json", "_msg", "_time", _r6(F.col("event_time")).alias("event_time"),
                     F.col(L.PARSED_FIELDS)["severity"].alias("severity"))
 
 
@@ -542,7 +549,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_latest, topk_rate, rate_per_series, count_over_time_tumbling, count_over_time_sliding,
         count_over_time_last_step_total, count_over_time_plain_total, series_cardinality, series_churn,
         histogram_buckets, label_cardinality,
-        log_error_lines, log_window_count, log_latest_lines, log_parse_lenient, log_parse_strict, log_stream_counts,
+        log_error_lines, log_window_count, log_latest_lines, log_parse_lenient, log_parse_strict, log_entry_payload, log_stream_counts,
         log_range_count_total,
         exposition_sum, exposition_labelled, exposition_selected, exposition_first, exposition_last, exposition_active_series,
         exposition_named, exposition_drop_prefix_sum,

@@ -41,12 +41,53 @@ log_lines AS (
     || ',"props":' || props || '}}' AS line,
     '/' || service AS container
   FROM log_base),
+log_parts AS (
+  SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso, 'plain text event ' || CAST(event_id AS VARCHAR) AS plain,
+         regexp_replace(line, '^\\{{"timestamp":[^,]*', '') AS tail
+  FROM log_lines),
 log_raw AS (
   SELECT *,
-    CASE WHEN event_id % 10 = 0 THEN 'plain text event ' || CAST(event_id AS VARCHAR)
-         WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || ' stdout F ' || line
-         ELSE line END AS raw
-  FROM log_lines)"""
+    CASE event_id % 40
+      WHEN 7 THEN '{{"timestamp":"' || iso || '"' || tail
+      WHEN 11 THEN left(line, -1)
+      WHEN 13 THEN line || ' trailing'
+      WHEN 17 THEN left(line, -1)
+        || ',"ok":true,"big":123456789012345678901234567890,"none":null,"deep":{{"a":[1,2.50,"x"]}}}}'
+      WHEN 19 THEN replace(line, '"', chr(39))
+      WHEN 23 THEN chr(9) || ' ' || chr(13)
+      WHEN 29 THEN '{{"_time":"' || iso || '","timestamp":1' || tail
+      WHEN 31 THEN '[1, 2]'
+      WHEN 37 THEN chr(9) || '{{"level":"none"}}' || chr(13)
+      WHEN 20 THEN chr(9) || plain || chr(13)
+      ELSE CASE WHEN event_id % 10 = 0 THEN plain
+                WHEN event_id % 3 = 0 THEN iso || ' stdout F ' || line
+                ELSE line END END AS raw
+  FROM log_parts)"""
+
+
+def _parsed_sql(candidate: str) -> str:
+    """Entries judged by DuckDB's own JSON reader; ``candidate``: what of the
+    trimmed line may be an object."""
+    return f"""{LOGS},
+t AS (SELECT event_id, ts, trim(raw, chr(9) || chr(13) || chr(10) || ' ') AS line FROM log_raw),
+c AS (SELECT event_id, ts, line, {candidate} AS cand FROM t WHERE line <> ''),
+o AS (SELECT *, TRY_CAST(CASE WHEN json_valid(cand) THEN cand END AS JSON) AS j,
+             printf('%d.%06d', epoch_us(ts) // 1000000, epoch_us(ts) % 1000000) AS now FROM c),
+p AS (SELECT *, coalesce(json_type(j) = 'OBJECT', false) AS is_json,
+             CASE WHEN json_type(j) = 'OBJECT' THEN coalesce(CAST(json_extract(j, '$._time') AS VARCHAR),
+                                                            CAST(json_extract(j, '$.timestamp') AS VARCHAR)) END AS own FROM o),
+entries AS (
+  SELECT event_id, is_json, j, cand, CASE WHEN NOT is_json THEN line END AS _msg,
+         coalesce(own, now) AS _time,
+         round(coalesce(TRY_CAST(coalesce(own, now) AS DOUBLE),
+                        epoch_us(TRY_CAST(trim(own, '"') AS TIMESTAMP)) / 1000000::DOUBLE), 6) AS event_time,
+         CASE WHEN is_json THEN json_extract_string(j, '$.severity') END AS severity,
+         (j IS NOT NULL AND NOT is_json) AS rejected
+  FROM p)"""
+
+
+LENIENT = _parsed_sql("CASE WHEN strpos(line, '{') > 0 THEN substr(line, strpos(line, '{')) END")
+STRICT = _parsed_sql("line")
 
 EXPO = f"""expo AS (
   SELECT {SERVICES_SQL}[user_id % 5 + 1] AS service, date_trunc('day', ts) AS scrape_ts, event_id AS line_no,
@@ -237,15 +278,15 @@ ORDER BY ts DESC, event_id LIMIT 100"""
 SELECT count(*) AS n FROM log_lines, bounds b
 WHERE ts >= b.e - INTERVAL 7 DAY AND ts <= b.e AND json_extract_string(line, '$.severity') = 'ERROR'"""
 
-    parse_common = """SELECT event_id, {is_json} AS is_json,
-       CASE WHEN {is_json} THEN NULL ELSE trim(raw) END AS _msg,
-       CASE WHEN {is_json} THEN CAST(json_extract_string(line, '$.timestamp') AS DOUBLE)
-            ELSE epoch_us(ts) / 1000000::DOUBLE END AS _time,
-       CASE WHEN {is_json} THEN json_extract_string(line, '$.severity') END AS severity
-FROM log_raw"""
-    q["log_parse_lenient"] = f"WITH {LOGS}\n" + parse_common.format(is_json="(event_id % 10 <> 0)")
-    q["log_parse_strict"] = f"WITH {LOGS}\n" + parse_common.format(
-        is_json="(event_id % 10 <> 0 AND event_id % 3 <> 0)")
+    columns = "event_id, is_json, _msg, _time, event_time, severity"
+    q["log_parse_lenient"] = f"WITH {LENIENT}\nSELECT {columns} FROM entries"
+    q["log_parse_strict"] = f"WITH {STRICT}\nSELECT {columns} FROM entries WHERE NOT rejected"
+    q["log_entry_payload"] = f"""WITH {LENIENT}
+SELECT event_id,
+       CASE WHEN NOT is_json THEN '{{"_msg":' || CAST(to_json(_msg) AS VARCHAR) || ',"_time":' || _time || '}}'
+            WHEN json_exists(j, '$._time') THEN cand
+            ELSE '{{"_time":' || _time || ',' || substr(cand, 2) END AS payload
+FROM entries"""
 
     q["log_stream_counts"] = f"""WITH {LOGS}, t AS (SELECT container, epoch_us(ts) AS us FROM log_lines)
 SELECT container AS stream_key,

@@ -90,8 +90,25 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("}"),
     )
     iso = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    # Shapes a real stream has, by event id: odd times, types, broken JSON,
+    # white space that is no blank, blank lines, JSON that is no object.
+    plain = F.concat(F.lit("plain text event "), F.col("event_id").cast("string"))
+    tail = F.regexp_replace(line, r'^\{"timestamp":[^,]*', "")
+    shape = F.col("event_id") % 40
     raw = (
-        F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("plain text event "), F.col("event_id").cast("string")))
+        F.when(shape == 7, F.concat(F.lit('{"timestamp":"'), iso, F.lit('"'), tail))
+        .when(shape == 11, F.substr(line, F.lit(1), F.length(line) - 1))
+        .when(shape == 13, F.concat(line, F.lit(" trailing")))
+        .when(shape == 17, F.concat(
+            F.substr(line, F.lit(1), F.length(line) - 1),
+            F.lit(',"ok":true,"big":123456789012345678901234567890,"none":null,"deep":{"a":[1,2.50,"x"]}}')))
+        .when(shape == 19, F.replace(line, F.lit('"'), F.lit("'")))
+        .when(shape == 23, F.lit("\t \r"))
+        .when(shape == 29, F.concat(F.lit('{"_time":"'), iso, F.lit('","timestamp":1'), tail))
+        .when(shape == 31, F.lit("[1, 2]"))
+        .when(shape == 37, F.concat(F.lit('\t{"level":"none"}\r')))
+        .when(shape == 20, F.concat(F.lit("\t"), plain, F.lit("\r")))
+        .when(F.col("event_id") % 10 == 0, plain)
         .when(F.col("event_id") % 3 == 0, F.concat(iso, F.lit(" stdout F "), line))
         .otherwise(line)
     )

@@ -18,48 +18,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orrery.operators.logs import parse_lenient, parse_strict
+from orrery.operators.logs import event_seconds, parse_lenient, parse_strict, payload
 from orrery.session import scratch_path
 
 # Flush policy of the reference forwarder, 2,500 entries or
 # 0.5 s (its alternative reader: 100 entries or 1.0 s).  A micro-batch
-# trigger of 0.5 s replaces the time rule; the entry count becomes a cap on
-# files per trigger (ours).
+# trigger of 0.5 s replaces the time rule; the entry count becomes an
+# optional cap on files per trigger (ours).
 BATCH_INTERVAL = "500 milliseconds"
-FILES_PER_TRIGGER = 100
 
 
-def tail_lines(spark: SparkSession, path: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+def tail_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Follow a directory of log files as a stream of raw lines.
 
     Each row: ``raw`` (line text) and ``source`` (file path).
     """
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-        .select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("source"))
-    )
+    reader = spark.readStream
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.text(path).select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("source"))
 
 
 def forwarded_entries(lines: DataFrame, strict: bool = False, arrival: Column | None = None,
-                      since: Column | None = None) -> DataFrame:
+                      since: Column | float | None = None, with_rejects: bool = False) -> DataFrame:
     """Parse raw lines into forwarded entries (P1 or P2; blank lines dropped).
 
-    ``since``: tail-from-now (S9) — keep entries whose ``_time`` (epoch s) is
-    at or after this value.
+    ``since``: tail-from-now (S9) — keep entries whose event time (epoch s) is
+    at or after this value.  ``with_rejects`` keeps what the strict parse
+    rejects, marked; the lenient parse rejects nothing.
     """
-    parsed = parse_strict(lines, "raw", arrival) if strict else parse_lenient(lines, "raw", arrival)
-    return parsed.filter(F.col("_time") >= since) if since is not None else parsed
+    if strict:
+        parsed = parse_strict(lines, "raw", arrival, with_rejects)
+    else:
+        parsed = parse_lenient(lines, "raw", arrival)
+        parsed = parsed.withColumn("rejected", F.lit(False)) if with_rejects else parsed
+    return parsed.filter(F.col("event_time") >= since) if since is not None else parsed
 
 
 def entry_json(entries: DataFrame) -> DataFrame:
-    """One JSON text per entry: the parsed fields plus ``_time``, or
-    ``{_msg, _time}`` for plain lines (K1 payload)."""
-    base = F.coalesce(F.col("fields"), F.create_map().cast("map<string,string>"))
-    fields = F.when(F.map_contains_key(base, "_time"), base).otherwise(
-        F.map_concat(base, F.create_map(F.lit("_time"), F.col("_time").cast("string")))
-    )
-    plain = F.to_json(F.struct(F.col("_msg"), F.col("_time")))
-    return entries.select(F.when(F.col("is_json"), F.to_json(fields)).otherwise(plain).alias("value"))
+    """One JSON text per entry (K1 payload)."""
+    return entries.select(payload(entries).alias("value"))
 
 
 def idempotent_writer(sinks: Sequence[str], fmt: str = "text"):
@@ -85,32 +83,60 @@ def idempotent_writer(sinks: Sequence[str], fmt: str = "text"):
     return write
 
 
+def delivering(sinks: Sequence[str], dead_letter: str | None = None):
+    """``foreachBatch`` function for rows (value, rejected, raw): accepted values
+    to every sink, rejected raw lines to ``dead_letter`` if there is one."""
+    accept, reject = idempotent_writer(sinks), idempotent_writer([dead_letter]) if dead_letter else None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            accept(batch.filter(~F.col("rejected")).select("value"), batch_id)
+            if reject:
+                reject(batch.filter("rejected").select(F.col("raw").alias("value")), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def start_forwarder(spark: SparkSession, source: str, sinks: Sequence[str], checkpoint: str | None = None,
                     strict: bool = False, keep_service: str | None = None,
-                    available_now: bool = False, name: str = "forwarder") -> StreamingQuery:
+                    available_now: bool = False, name: str = "forwarder", since: float | None = None,
+                    dead_letter: str | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
     """Run the forwarder: tail ``source``, parse, optionally keep one service
     (P7 on the ``service`` field), deliver JSON lines to ``sinks``.
 
+    ``since`` (epoch seconds, e.g. ``time.time()``) forwards only entries from
+    then on (S9).  ``dead_letter`` receives the raw lines the strict parse
+    rejects (ST4).  Every micro-batch reports its drops (ST10) in the query's
+    progress, under ``observedMetrics[name]``.  ``files_per_trigger`` bounds a
+    micro-batch.
+
     The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>`` —
     the shared folder the cluster names, so a restarted driver resumes.
     """
     if checkpoint is None:
         checkpoint = scratch_path(spark, f"streams/{name}")
-    entries = forwarded_entries(tail_lines(spark, source), strict=strict)
+    entries = forwarded_entries(tail_lines(spark, source, files_per_trigger), strict=strict, since=since, with_rejects=True)
     if keep_service:
-        entries = entries.filter(F.col("fields")["service"] == keep_service)
-    out = entry_json(entries)
-    w = out.writeStream.foreachBatch(idempotent_writer(sinks, fmt="text")).option("checkpointLocation", checkpoint)
+        entries = entries.filter(F.col("rejected") | (F.col("fields")["service"] == keep_service))
+    entries = observed_drops(entries, name)
+    out = entries.select(payload(entries).alias("value"), "rejected", "raw")
+    w = out.writeStream.foreachBatch(delivering(sinks, dead_letter)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=BATCH_INTERVAL)
     return w.start()
 
 
 def observed_drops(entries: DataFrame, name: str = "forwarder") -> DataFrame:
-    """Drop accounting (ST10): per-batch metrics on the stream itself —
-    accepted entries, plain-text entries, and entries with no time."""
+    """Drop accounting (ST10): per-batch metrics on the stream itself — lines
+    that became entries, plain-text ones among them, lines rejected, and entries
+    whose own time can't be read (they took the arrival time)."""
+    rejected = F.col("rejected") if "rejected" in entries.columns else F.lit(False)
     return entries.observe(
         name,
-        F.count(F.lit(1)).alias("entries"),
-        F.count_if(~F.col("is_json")).alias("plain"),
-        F.count_if(F.col("_time").isNull()).alias("untimed"),
+        F.count_if(~rejected).alias("entries"),
+        F.count_if(~F.col("is_json") & ~rejected).alias("plain"),
+        F.count_if(rejected).alias("rejected"),
+        F.count_if(F.col("is_json") & event_seconds(F.col("_time")).isNull()).alias("untimed"),
     )

@@ -54,16 +54,16 @@ def test_parse_lenient_edges(spark):
     got = _parse(spark, ["   ", '2024-01-01T00:00:00Z stdout F {"timestamp":5.0}', '{"_time":1,"timestamp":5}',
                          'x {"a":1} tail', "plain words"])
     assert 0 not in got
-    assert got[1].is_json and got[1]._time == 5.0
-    assert got[2]._time == 1.0
-    assert not got[3].is_json and got[3]._msg == 'x {"a":1} tail' and got[3]._time == 100.0
+    assert got[1].is_json and float(got[1]._time) == got[1].event_time == 5.0
+    assert got[2]._time == "1"
+    assert not got[3].is_json and got[3]._msg == 'x {"a":1} tail' and got[3].event_time == 100.0
     assert got[4]._msg == "plain words"
 
 
 def test_parse_strict_edges(spark):
     got = _parse(spark, ['pre {"a":1}', '{"a":1}', "[1, 2]"], strict=True)
     assert not got[0].is_json and got[0]._msg == 'pre {"a":1}'
-    assert got[1].is_json and got[1]._time == 100.0
+    assert got[1].is_json and got[1].event_time == 100.0
     assert 2 not in got  # valid JSON but not an object: skipped like the reference
 
 

@@ -90,7 +90,7 @@ def test_tail_from_now_and_retention(spark, scratch):
         f.write('{"timestamp": 10}\n{"timestamp": 20}\nplain\n')
     lines = spark.read.text(d).select(F.col("value").alias("raw"))
     got = FW.forwarded_entries(lines, arrival=F.timestamp_seconds(F.lit(30)), since=F.lit(15.0))
-    assert sorted(r._time for r in got.collect()) == [20.0, 30.0]
+    assert sorted(r.event_time for r in got.collect()) == [20.0, 30.0]
     ev = spark.createDataFrame([(dt.datetime(2024, 1, d),) for d in (1, 5, 9)], "ts timestamp_ntz")
     kept = W.retained(ev, "ts", 5, now=F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz"))
     assert kept.count() == 2

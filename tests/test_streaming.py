@@ -98,6 +98,26 @@ def test_observed_drop_metrics(spark, scratch):
     assert sum(int(m["plain"]) for m in metrics) == 1
 
 
+def test_forwarder_delivers_dead_letters_and_counts_drops(spark, scratch):
+    """Payload types survive, rejected lines land in the dead-letter sink, older
+    entries are not forwarded, and the query's progress tells the drops."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.log"), "w") as f:
+        f.write('{"timestamp": 50, "n": 1.50, "deep": {"a": [1, true]}}\n[1, 2]\n{"timestamp": 5}\nwords\t\n"text"\n')
+    sink, dead = os.path.join(scratch, "sink"), os.path.join(scratch, "dead")
+    q = FW.start_forwarder(spark, src, [sink], os.path.join(scratch, "ck_dead"), strict=True, available_now=True, since=10.0,
+                           dead_letter=dead)
+    q.awaitTermination()
+    sent = [json.loads(r.value) for r in spark.read.text(sink).collect()]
+    assert sorted(len(e) for e in sent) == [2, 4]
+    assert {"_time": 50, "timestamp": 50, "n": 1.5, "deep": {"a": [1, True]}} in sent
+    assert [e["_msg"] for e in sent if "_msg" in e] == ["words"]
+    assert sorted(r.value for r in spark.read.text(dead).collect()) == ['"text"', "[1, 2]"]
+    metrics = [p["observedMetrics"]["forwarder"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert [sum(int(m[k]) for m in metrics) for k in ("entries", "plain", "rejected")] == [2, 1, 2]
+
+
 def test_running_totals_update(spark, scratch):
     ev, src = _event_files(spark, scratch, parts=3)
     s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
@@ -129,7 +149,7 @@ def test_forwarder_restart_resumes_exactly_once(spark, scratch):
         add(i)
     FW.start_forwarder(spark, src, [sink], ck, available_now=True).awaitTermination()
     got = sorted(json.loads(r.value)["n"] for r in spark.read.text(sink).collect())
-    assert got == ["0", "1", "2", "3", "4"]
+    assert got == [0, 1, 2, 3, 4]
 
 
 def test_periodic_snapshot_stream_equals_batch(spark, scratch):
