@@ -26,6 +26,7 @@ from orrery.operators import series as S
 from orrery.operators import traces as T
 from orrery.plans import views as V
 from orrery.sources import exposition as X
+from orrery.sources import trace_results as TR
 from orrery.sources.tables import read_table
 from orrery.streaming import windows as W
 
@@ -306,6 +307,23 @@ def trace_process_exists(spark: SparkSession, sf: str) -> DataFrame:
     return hits.agg(F.count(F.lit(1)).alias("traces"))
 
 
+def trace_response_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A7 + A8 over response files: both shapes, empty lists, spanCount."""
+    return TR.counts(V.trace_responses(spark, sf))
+
+
+def trace_response_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """P14 + P15 over response files: traces one process of which carries both
+    tags; where a response has none, all of its traces."""
+    found = TR.labelled(V.trace_responses(spark, sf), ("benchmark_app", "orders"), ("benchmark_run_id", "r1"))
+    return found.groupBy("response").agg(F.count(F.lit(1)).alias("traces"), F.sum(F.size("spans")).cast("long").alias("spans"))
+
+
+def trace_response_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """P17 over response files: process tags whose key contains 'benchmark'."""
+    return TR.benchmark_tags(V.trace_responses(spark, sf)).groupBy("response", "key", "value").agg(F.count(F.lit(1)).alias("tags"))
+
+
 def search_result_counts(spark: SparkSession, sf: str) -> DataFrame:
     """A8 on search-result rows: one row per order with its span list size
     (orders without lines: empty list) and a ``spanCount`` field."""
@@ -554,7 +572,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         exposition_sum, exposition_labelled, exposition_selected, exposition_first, exposition_last, exposition_active_series,
         exposition_named, exposition_drop_prefix_sum,
         trace_span_counts, trace_service_tag_search, trace_field_search, reconcile_expected_found,
-        backend_ratio, trace_keep_matches_else_all, trace_process_exists, search_result_counts,
+        backend_ratio, trace_keep_matches_else_all, trace_process_exists, search_result_counts, trace_response_counts,
+        trace_response_labelled, trace_response_tags,
         latency_percentiles_recent, latency_percentiles_by_type, latency_summary_stats, errors_per_query,
         peak_ingest, trace_drop_rate, resource_usage, resource_series, throughput, counter_delta,
         storage_fill_in, bytes_per_item, relative_difference, format_storage, service_assembly,

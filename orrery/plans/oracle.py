@@ -379,6 +379,22 @@ SELECT count(DISTINCT a.trace_id) AS traces FROM spans a JOIN spans b
   ON a.trace_id = b.trace_id AND a.service = b.service
  AND a.line_number = 1 AND a.flag = 'N' AND b.line_number = 2 AND b.status = 'O'"""
 
+    responses = """WITH n AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1),
+t AS (SELECT o_orderkey // 2000 AS response, o_orderkey, o_orderstatus AS status,
+             CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE coalesce(c, 0) END AS listed,
+             o_orderstatus = 'F' AND (o_orderkey // 2000) % 3 <> 0 AS joint
+      FROM orders LEFT JOIN n ON o_orderkey = l_orderkey)"""
+    q["trace_response_counts"] = responses + """
+SELECT response, count(DISTINCT o_orderkey) AS traces,
+       CAST(sum(CASE WHEN response % 2 = 0 OR listed > 0 THEN listed WHEN status = 'F' THEN 3 ELSE 1 END) AS BIGINT) AS spans
+FROM t GROUP BY 1"""
+    q["trace_response_labelled"] = responses + """
+SELECT response, count(*) AS traces, CAST(sum(listed) AS BIGINT) AS spans
+FROM (SELECT *, bool_or(joint) OVER (PARTITION BY response) AS found FROM t) WHERE joint OR NOT found GROUP BY 1"""
+    q["trace_response_tags"] = responses + """
+SELECT response, key, CASE key WHEN 'benchmark_app' THEN 'orders' ELSE 'r1' END AS value, count(*) AS tags
+FROM t, (VALUES ('benchmark_app'), ('benchmark_run_id')) k(key) GROUP BY ALL"""
+
     q["search_result_counts"] = """WITH n AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1)
 SELECT o_orderstatus AS status, count(DISTINCT nullif(CAST(o_orderkey AS VARCHAR), '')) AS traces,
        CAST(sum(CASE WHEN coalesce(c, 0) > 0 THEN c WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END) AS BIGINT) AS spans

@@ -16,14 +16,17 @@ mirrored column for column by the SQL in ``plans/oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
 from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered, with_running_sum
+from orrery.session import scratch_path
 from orrery.sources.tables import read_table
+from orrery.sources.trace_results import read_results
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
 METRIC_NAME = "event_value"
@@ -163,6 +166,51 @@ def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFra
     )
 
 
+#: Orders of one trace-search response.
+RESPONSE_ORDERS = 2000
+
+
+def trace_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trace-search responses written as JSON files and read back, one response
+    per range of order keys, one trace per order, one span per line.
+
+    Every second response keeps its traces under ``data`` and has whole span
+    lists; every fifth has an empty ``data`` besides ``traces``; traces of every
+    seventh order have no span list.  A trace has two processes: both tags sit on
+    the first if the order is finished and the response isn't every third, else
+    they are split over the two.
+    """
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
+    lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey"]).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    r = F.floor(F.col("o_orderkey") / RESPONSE_ORDERS)
+    whole = r % 2 == 0
+
+    def tag(k: str, v: str) -> Column:
+        return F.struct(F.lit(k).alias("key"), F.lit(v).alias("value"))
+
+    app, run = tag("benchmark_app", "orders"), tag("benchmark_run_id", "r1")
+    both = (F.col("o_orderstatus") == "F") & (r % 3 != 0)
+    first = F.struct(F.when(both, F.array(app, run)).otherwise(F.array(app)).alias("tags"))
+    second = F.struct(F.when(both, F.array(tag("other", "x"))).otherwise(F.array(run)).alias("tags"))
+    n = F.when(F.col("o_orderkey") % 7 == 0, 0).otherwise(F.coalesce("n", F.lit(0))).cast("int")
+    trace = F.struct(
+        F.col("o_orderkey").cast("string").alias("traceID"),
+        F.array_repeat(F.struct(F.lit("s").alias("spanID")), n).alias("spans"),
+        F.when(~whole & (F.col("o_orderstatus") == "F"), 3).when(~whole & (F.col("o_orderstatus") == "O"), 0).alias("spanCount"),
+        F.create_map(F.lit("p1"), first, F.lit("p2"), second).alias("processes"),
+    )
+    kept = rows.select(r.alias("r"), trace.alias("t")).groupBy("r").agg(F.collect_list("t").alias("t"))
+    none = F.array().cast(kept.schema["t"].dataType)
+    body = F.when(F.col("r") % 2 == 0, F.to_json(F.struct(F.col("t").alias("data")))).when(
+        F.col("r") % 5 == 0, F.to_json(F.struct(none.alias("data"), F.col("t").alias("traces")))).otherwise(
+        F.to_json(F.struct(F.col("t").alias("traces"))))
+    path = scratch_path(spark, f"tables/responses-{uuid.uuid4().hex}")
+    kept.select(body.alias("value"), F.col("r")).write.partitionBy("r").text(path)
+    named = F.regexp_extract("response", r"/r=(\d+)/", 1).cast("long")
+    return read_results(spark, path).withColumn("response", named)
+
+
 def exposition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scrape pages as lines: (service, scrape_ts, line_no, line).
 
