@@ -26,6 +26,7 @@ from orrery.operators import series as S
 from orrery.operators import traces as T
 from orrery.plans import views as V
 from orrery.sources import exposition as X
+from orrery.sources import runs as RN
 from orrery.sources import trace_results as TR
 from orrery.sources.tables import read_table
 from orrery.streaming import windows as W
@@ -521,6 +522,39 @@ def query_latency_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# ------------------------------------- run artifacts, written and read back
+def run_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 + T3: the run whose manifest was written last."""
+    manifests, _ = V.run_artifacts(spark, sf)
+    return RN.latest_run(manifests)
+
+
+def run_query_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 + U1 + A13: errors per query over the observations of both runs."""
+    _, obs = V.run_artifacts(spark, sf)
+    q = RN.query_obs(obs)
+    both = RN.union_observations(q.filter("run_id = 'run_a'"), q.filter("run_id = 'run_b'"))
+    return R.error_counts(both)
+
+
+def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        manifests, obs = V.run_artifacts(spark, sf)
+        last = RN.latest_run(manifests)
+        m = manifests.withColumnRenamed("run_id", "_id").join(last, F.col("run_dir") == last.run_id)
+        o = obs.join(last, "run_id")
+        out = R.summary_tables(m, RN.service_obs(o), RN.query_obs(o), V.RUN_SERVICES)[name]
+        doubles = [c for c, kind in out.dtypes if kind == "double"]
+        return out.withColumns({c: _r6(F.col(c)) for c in doubles})
+
+    run.__name__ = f"report_{name}"
+    run.__doc__ = f"K3 + K4: the {name} table of the latest run, from its files."
+    return run
+
+
+REPORTS = [_report(n) for n in ("load_volume", "metrics", "logs", "traces", "storage", "ingest", "resources")]
+
+
 # ------------------------------------------ streaming operators, batch form
 def _events_et(spark, sf):
     ev = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value"])
@@ -581,5 +615,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trace_search_with_fallback, trace_search_strict_wins, tag_inspection, query_latency_table,
         stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
         stream_late_rejection,
+        run_latest, run_query_errors, *REPORTS,
     ]
     return {f.__name__: f for f in fns}

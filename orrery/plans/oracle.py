@@ -515,6 +515,53 @@ SELECT service, event_id, CAST(memory_bytes AS DOUBLE) / 536870912::DOUBLE * 100
 
     q["trace_search_strict_wins"] = f"WITH {SPANS}\n" + counts.format(pred="service = 'payment' AND flag = 'R'")
 
+    run_days = """d AS (
+  SELECT date_trunc('day', ts) AS day, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'view') AS view,
+         count(*) FILTER (event_type = 'signup') AS signup, count(*) FILTER (event_type = 'purchase') AS purchase,
+         count(*) FILTER (event_type = 'error') AS error, max(value) AS top, min(value) AS low
+  FROM events GROUP BY 1),
+o AS (SELECT *, dayofmonth(day) % 2 = 1 AS odd, CASE WHEN day < TIMESTAMP '2024-01-16' THEN 'run_a' ELSE 'run_b' END AS run FROM d),
+b AS (SELECT * FROM o WHERE run = (SELECT max(run) FROM o)),
+e AS (SELECT * FROM b ORDER BY day DESC LIMIT 1)"""
+
+    def run_quantiles(name: str, latency: str, ok: str, key: str) -> str:
+        return f"""{name}_l AS (SELECT '{key}' AS query_key, day AS ts, 0 AS event_id, {latency} AS v FROM b WHERE {ok}),
+{_quantile_sql(name + '_l', 'query_key', 'recent').replace('r AS (', name + '_r AS (').replace('FROM r ', f'FROM {name}_r ')
+ .replace('g AS (', name + '_g AS (').replace('FROM g)', f'FROM {name}_g)').replace('q AS (', name + '_q AS (')}"""
+
+    q["run_latest"] = f"WITH {run_days}\nSELECT max(run) AS run_id FROM o"
+    q["run_query_errors"] = f"""WITH {run_days}
+SELECT 'metrics_store:topk' AS query_key, count(*) FILTER (error % 3 = 0) AS errors FROM o
+UNION ALL SELECT 'logs_store:count', count(*) FILTER (error % 4 = 0) FROM o
+UNION ALL SELECT 'traces_store:traces_by_label', 0 FROM o HAVING count(*) > 0"""
+    q["report_load_volume"] = f"""WITH {run_days}
+SELECT 'Time Series' AS metric, format('{{:,}} series', click * 1000) AS value, format('{{:,}} active', view * 10) AS rate FROM e
+UNION ALL SELECT 'Log Lines', format('{{:,}} lines', signup * 5000), printf('%.0f lines/sec', signup + 0.25) FROM e
+UNION ALL SELECT 'Trace Spans', format('{{:,}} spans', purchase), printf('%.0f spans/sec', purchase + 0.75) FROM e"""
+    q["report_metrics"] = f"""WITH {run_days}, {run_quantiles('m', 'top', 'error % 3 <> 0', 'metrics_store:topk')}
+SELECT 'metrics_store' AS service, 'topk' AS query, round(p50, 6) AS p50, round(p90, 6) AS p90, round(p99, 6) AS p99 FROM m_q"""
+    q["report_logs"] = f"""WITH {run_days}, {run_quantiles('m', 'low', 'error % 4 <> 0', 'logs_store:count')}
+SELECT 'logs_store' AS service, 'count' AS query, round(p50, 6) AS p50, round(p90, 6) AS p90, round(p99, 6) AS p99,
+       (SELECT count(*) FROM b WHERE error % 4 = 0) AS errors FROM m_q"""
+    q["report_traces"] = f"""WITH {run_days}, t AS (
+  SELECT max(view) AS traces, nullif(max(nullif(purchase * 3, 0)), 0) AS spans, max(nullif(view % 5, 0)) AS dropped FROM b)
+SELECT 'traces_store' AS backend, traces, CAST(coalesce(spans, 0) AS BIGINT) AS spans, CAST(coalesce(dropped, 0) AS BIGINT) AS dropped,
+       round(CASE WHEN spans > 0 THEN coalesce(dropped, 0) / spans::DOUBLE * 100 ELSE 0::DOUBLE END, 6) AS drop_rate_pct FROM t"""
+    q["report_storage"] = f"""WITH {run_days}, s AS (
+  SELECT 'metrics_store' AS service, (SELECT arg_max(click * 1000, day) FROM b WHERE click > 0) AS storage_bytes
+  UNION ALL SELECT 'traces_store', (SELECT arg_max(purchase * 37 + 5, day) FROM b))
+SELECT service, {_exp_fmt('storage_bytes')} AS storage_size, storage_bytes FROM s WHERE storage_bytes IS NOT NULL"""
+    q["report_ingest"] = f"""WITH {run_days}
+SELECT 'metrics_store' AS service, 'Samples' AS type, max(CASE WHEN odd OR click = 0 THEN click * 20 ELSE click * 10 END) AS total_ingested,
+       max(error) AS total_dropped FROM b
+UNION ALL SELECT 'logs_store', 'Lines', max(signup * 7), max(error * 2) FROM b
+UNION ALL SELECT 'traces_store', 'Spans', max(purchase * 3), max(view % 5) FROM b"""
+    q["report_resources"] = f"""WITH {run_days}, u AS (
+  SELECT 'metrics_store' AS service, click % 100 + 0.5::DOUBLE AS cpu, view::DOUBLE AS mb FROM b
+  UNION ALL SELECT 'logs_store', view % 100 + 0.5::DOUBLE, click::DOUBLE FROM b
+  UNION ALL SELECT 'traces_store', signup % 100 + 0.5::DOUBLE, purchase::DOUBLE FROM b)
+SELECT service, round(avg(cpu), 6) AS avg_cpu_pct, max(cpu) AS max_cpu_pct, round(avg(mb), 6) AS avg_mem_mb, max(mb) AS max_mem_mb FROM u GROUP BY 1"""
+
     q["tag_inspection"] = f"""WITH {SPANS}
 SELECT 'benchmark_app' AS key, 'orders' AS value, count(*) AS spans FROM spans
 UNION ALL SELECT 'Benchmark.Status', status, count(*) FROM spans GROUP BY status"""

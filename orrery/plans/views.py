@@ -17,7 +17,7 @@ mirrored column for column by the SQL in ``plans/oracle.py``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from orrery.functions.keys import labels_map
 from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered, with_running_sum
 from orrery.session import scratch_path
+from orrery.sources import runs
 from orrery.sources.tables import read_table
 from orrery.sources.trace_results import read_results
 
@@ -166,6 +167,83 @@ def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFra
     )
 
 
+#: Folders of files derived from a set of tables, by application, kind and tables:
+#: queries over the same files share them.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _written(spark: SparkSession, kind: str, sf_dir: str, write: Callable[[str], None]) -> str:
+    key = (spark.sparkContext.applicationId, kind, sf_dir)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, f"tables/{kind}-{uuid.uuid4().hex}")
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+#: Services of the runs, by what they store.
+RUN_SERVICES = {"metrics": ["metrics_store"], "logs": ["logs_store"], "traces": ["traces_store"]}
+
+
+def run_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, before and from 2024-01-16, with an observation per day: what
+    the day's events of each type say about three services and their queries."""
+    day = F.date_trunc("day", F.col("ts"))
+    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
+    kinds = ["click", "view", "signup", "purchase", "error"]
+    d = ev.groupBy(day.alias("day")).agg(
+        *[F.count_if(F.col("event_type") == k).alias(k) for k in kinds], F.max("value").alias("top"), F.min("value").alias("low"))
+    run = F.when(F.col("day") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit("run_a")).otherwise(F.lit("run_b"))
+    odd = F.dayofmonth("day") % 2 == 1
+
+    def service(cpu: Column, memory: Column, storage: Column, **ingest: Column) -> Column:
+        kept = F.struct(*[(ingest[f.name].cast("double") if f.name in ingest else F.lit(None).cast("double")).alias(f.name)
+                          for f in runs.INGEST.fields])
+        return F.struct(
+            F.struct((cpu % 100 + 0.5).alias("cpu_percent"), (memory * 1048576).alias("memory_bytes"),
+                     F.lit(1.0).alias("memory_percent")).alias("docker_stats"),
+            F.create_map(F.lit("up"), F.lit(1.0)).alias("metrics"), kept.alias("ingest_metrics"),
+            storage.cast("long").alias("storage_size_bytes"))
+
+    def query(latency: Column, success: Column, traces: Column, spans: Column) -> Column:
+        return F.struct(latency.alias("latency_ms"), success.alias("success"), F.lit(None).cast("string").alias("error"),
+                        traces.cast("long").alias("trace_count"), spans.cast("long").alias("span_count"))
+
+    c = {k: F.col(k) for k in kinds}
+    none = F.lit(None).cast("long")
+    # the first ingest counter is 0 on some days and missing for logs, so its fallback counts (P20)
+    services = F.create_map(
+        F.lit("metrics_store"), service(c["click"], c["view"], c["click"] * 1000,
+                                        samples_ingested=F.when(odd, 0).otherwise(c["click"] * 10), samples_appended=c["click"] * 20,
+                                        samples_dropped=c["error"]),
+        F.lit("logs_store"), service(c["view"], c["click"], F.lit(0), rows_ingested=c["signup"] * 7, lines_dropped=c["error"] * 2),
+        F.lit("traces_store"), service(c["signup"], c["purchase"], c["purchase"] * 37 + 5,
+                                       spans_received=c["purchase"] * 3, spans_dropped=c["view"] % 5))
+    queries = F.create_map(
+        F.lit("metrics_store:topk"), query(F.col("top"), c["error"] % 3 != 0, none, none),
+        F.lit("logs_store:count"), query(F.col("low"), c["error"] % 4 != 0, none, none),
+        F.lit("traces_store:traces_by_label"), query(F.col("top") - F.col("low"), F.lit(True), c["view"], F.lit(0)))
+    load = F.create_map(F.lit("series_total"), c["click"] * 1000.0, F.lit("metrics_series"), c["view"] * 10.0, F.lit("log_lines"), c["signup"] * 5000.0,
+                        F.lit("log_rate"), c["signup"] + 0.25, F.lit("traces_spans"), c["purchase"] * 1.0, F.lit("spans_rate"), c["purchase"] + 0.75)
+    return d.select(
+        run.alias("run_id"), (F.unix_micros(F.col("day").cast("timestamp")) / 1e6).alias("timestamp"),
+        F.when(odd, F.lit("steady")).otherwise(F.lit("burst")).alias("scenario"), load.alias("load_volume"),
+        services.alias("services"), queries.alias("queries"))
+
+
+def run_artifacts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(manifests, observations) of both runs, written as files, the second run
+    after the first, and read back."""
+    def write(root: str) -> None:
+        obs = run_observations(spark, sf_dir)
+        for run in ("run_a", "run_b"):
+            mine = obs.filter(F.col("run_id") == run)
+            runs.write_run(mine, runs.manifests(mine, "2024-02-01T00:00:00"), root)
+
+    root = _written(spark, "runs", sf_dir, write)
+    return runs.read_manifests(spark, root), runs.read_observations(spark, root)
+
+
 #: Orders of one trace-search response.
 RESPONSE_ORDERS = 2000
 
@@ -205,8 +283,7 @@ def trace_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(F.col("r") % 2 == 0, F.to_json(F.struct(F.col("t").alias("data")))).when(
         F.col("r") % 5 == 0, F.to_json(F.struct(none.alias("data"), F.col("t").alias("traces")))).otherwise(
         F.to_json(F.struct(F.col("t").alias("traces"))))
-    path = scratch_path(spark, f"tables/responses-{uuid.uuid4().hex}")
-    kept.select(body.alias("value"), F.col("r")).write.partitionBy("r").text(path)
+    path = _written(spark, "responses", sf_dir, kept.select(body.alias("value"), F.col("r")).write.partitionBy("r").text)
     named = F.regexp_extract("response", r"/r=(\d+)/", 1).cast("long")
     return read_results(spark, path).withColumn("response", named)
 

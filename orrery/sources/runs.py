@@ -2,7 +2,7 @@
 (S6, S7, K3, K4, U1).
 
 A run directory holds ``manifest.json`` (one object) and ``observations.json``
-(a JSON array of observation objects).  Explicit schemas keep the scan to the
+(a JSON array of observation objects); ``write_run`` writes both.  Explicit schemas keep the scan to the
 fields used and drop debug sub-objects.
 """
 
@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orrery.operators.quantiles import quantile_table
+
 INGEST = T.StructType([
     T.StructField(n, T.DoubleType()) for n in (
         "samples_ingested", "samples_appended", "samples_dropped", "lines_ingested", "rows_ingested",
@@ -65,27 +67,27 @@ MANIFEST = T.StructType([
 
 
 def _run_id() -> F.Column:
-    path = F.col("_metadata.file_path")
-    return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    """The folder of the run, from ``<run>/observations.json`` or, as ``write_run``
+    lays it out, ``run_id=<run>/file=observations.json/part-...``."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/(?:run_id=)?([^/]+)/(?:file=)?(?:manifest|observations)\.json(?:/[^/]+)?$", 1)
 
 
 def read_observations(spark: SparkSession, runs_root: str) -> DataFrame:
-    """All observations of all runs under ``runs_root/<run_id>/observations.json``,
-    with ``run_id`` from the folder name (S6)."""
-    df = spark.read.schema(OBSERVATION).option("multiLine", "true").json(
-        os.path.join(runs_root, "*", "observations.json")
-    )
+    """All observations of all runs under ``runs_root``, with ``run_id`` from the
+    folder name (S6)."""
+    df = spark.read.schema(OBSERVATION).option("multiLine", "true").json(os.path.join(runs_root, "*", "*observations.json"))
     return df.withColumn("run_id", _run_id())
 
 
 def read_manifests(spark: SparkSession, runs_root: str) -> DataFrame:
-    df = spark.read.schema(MANIFEST).option("multiLine", "true").json(os.path.join(runs_root, "*", "manifest.json"))
+    df = spark.read.schema(MANIFEST).option("multiLine", "true").json(os.path.join(runs_root, "*", "*manifest.json"))
     return df.withColumn("_mtime", F.col("_metadata.file_modification_time")).withColumn("run_dir", _run_id())
 
 
 def latest_run(manifests: DataFrame) -> DataFrame:
-    """The run whose manifest was modified last (S7, T3): one row or none."""
-    return manifests.agg(F.max_by(F.col("run_dir"), F.col("_mtime")).alias("run_id")).filter(
+    """The run whose manifest was modified last (S7, T3): one row or none; of
+    runs modified at one time the last by name."""
+    return manifests.agg(F.max_by(F.col("run_dir"), F.struct("_mtime", "run_dir")).alias("run_id")).filter(
         F.col("run_id").isNotNull()
     )
 
@@ -121,9 +123,41 @@ def union_observations(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def write_run(observations: DataFrame, path: str) -> None:
-    """Run artifacts as JSON partitioned by run id (K3)."""
-    observations.write.mode("overwrite").partitionBy("run_id").json(path)
+def manifests(observations: DataFrame, timestamp: str, platform: str | None = None, ram_gb: int | None = None) -> DataFrame:
+    """A manifest per run from its observations: scenarios in order of
+    appearance, the last load volume and storage sizes seen, and latency
+    percentiles per query (median; exclusive p90 and p99; A11).
+
+    The maps hold one entry per service or query of a run.
+    """
+    services = service_obs(observations)
+    last = services.filter(F.col("storage_size_bytes") > 0).groupBy("run_id", "service").agg(
+        F.max_by("storage_size_bytes", F.struct("ts", "storage_size_bytes")).alias("size"))
+    storage = last.groupBy("run_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("service", "size")))).alias("final_storage_bytes"))
+    ok = query_obs(observations).filter("success")
+    q = quantile_table(ok, ["run_id", "query_key"], "latency_ms", ["ts"], "ts", "recent")
+    latencies = q.groupBy("run_id").agg(F.map_from_entries(F.sort_array(F.collect_list(
+        F.struct("query_key", F.struct("p50", "p90", "p99").alias("l"))))).alias("query_latencies"))
+    load = observations.groupBy("run_id").agg(F.max_by("load_volume", F.col("timestamp")).alias("load_volume"))
+    seen = observations.groupBy("run_id", "scenario").agg(F.min("timestamp").alias("at"))
+    order = seen.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("at", "scenario"))).alias("s"))
+    return load.join(order, "run_id").join(storage, "run_id", "left").join(latencies, "run_id", "left").select(
+        "run_id", F.lit(timestamp).alias("timestamp"), F.col("s.scenario").alias("scenarios"),
+        F.struct(F.lit(platform).cast("string").alias("platform"), F.lit(ram_gb).cast("int").alias("ram_gb")).alias("host_info"),
+        "load_volume", "final_storage_bytes", "query_latencies")
+
+
+def write_run(observations: DataFrame, manifest: DataFrame, root: str) -> None:
+    """Run artifacts (K3) under ``root``, read back by ``read_observations`` and
+    ``read_manifests``: per run one JSON array of observations in order of time
+    and one manifest object.  A run is one file, as its readers expect; it holds
+    as many observations as the run made."""
+    fields = [f.name for f in OBSERVATION.fields]
+    each = F.struct("timestamp", F.to_json(F.struct(*fields)).alias("text"))
+    array = observations.groupBy("run_id").agg(F.sort_array(F.collect_list(each)).alias("o")).select(
+        "run_id", F.lit("observations.json").alias("file"), F.concat(F.lit("["), F.array_join("o.text", ","), F.lit("]")).alias("value"))
+    one = manifest.select("run_id", F.lit("manifest.json").alias("file"), F.to_json(F.struct(*[f.name for f in MANIFEST.fields])).alias("value"))
+    array.unionByName(one).write.mode("append").partitionBy("run_id", "file").text(root)
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:

@@ -55,8 +55,14 @@ def test_run_scan_latest_and_tables(spark, scratch):
     both = runs.union_observations(so.filter(F.col("scenario") == "steady"), so.filter(F.col("scenario") == "burst"))
     assert both.count() == 2
     out = os.path.join(scratch, "out")
-    runs.write_run(obs, os.path.join(out, "artifacts"))
-    assert os.path.isdir(os.path.join(out, "artifacts", "run_id=run_new"))
+    made = runs.manifests(obs, "t2", "p", 16)
+    runs.write_run(obs, made, os.path.join(out, "artifacts"))
+    again = runs.read_observations(spark, os.path.join(out, "artifacts"))
+    cols = [c for c in again.columns if c != "_metadata"]
+    assert sorted(map(str, again.select(cols).collect())) == sorted(map(str, obs.select(cols).collect()))
+    m = runs.read_manifests(spark, os.path.join(out, "artifacts")).first()
+    assert (m.run_dir, m.scenarios, m.final_storage_bytes) == ("run_new", ["steady", "burst"], {"svc_a": 2048})
+    assert m.query_latencies["svc_a:q"].p50 == 5.0 and m.host_info.ram_gb == 16
     runs.write_tables({"resources": R.resource_usage(so)}, os.path.join(out, "tables"))
     assert spark.read.parquet(os.path.join(out, "tables", "resources")).count() == 1
 
