@@ -159,12 +159,17 @@ def count_sliding(df: DataFrame, seconds: int, step_seconds: int, key: str = "se
        grid point exists exactly once;
     3. one range-frame sum over the last ``w/step`` step indexes.
     """
-    if seconds % step_seconds:
-        raise ValueError("window must be a multiple of the step")
-    k = seconds // step_seconds
     s_us = step_seconds * US
     idx = (_ceil_to(_us(F.col(ts)), s_us) / F.lit(s_us)).cast("long")  # exact: multiple of the step
     buckets = df.groupBy(key, idx.alias("_i")).agg(F.count(F.lit(1)).alias("_n"))
+    return slide_steps(buckets, seconds, step_seconds, key)
+
+
+def slide_steps(buckets: DataFrame, seconds: int, step_seconds: int, key: str) -> DataFrame:
+    """Steps 2 and 3 of ``count_sliding`` over counts (key, _i, _n) per step index."""
+    if seconds % step_seconds:
+        raise ValueError("window must be a multiple of the step")
+    k, s_us = seconds // step_seconds, step_seconds * US
     by_series = Window.partitionBy(key).orderBy("_i")
     gap = F.coalesce(F.lead("_i").over(by_series) - F.col("_i"), F.lit(k))
     fill = F.least(gap, F.lit(k)) - 1

@@ -11,6 +11,7 @@ two-decimal values are computed in decimal so they are exact.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from orrery.operators import series as S
 from orrery.operators import traces as T
 from orrery.plans import views as V
 from orrery.sources import exposition as X
+from orrery.sources import layout as LY
 from orrery.sources import runs as RN
 from orrery.sources import trace_results as TR
 from orrery.sources.tables import read_table
@@ -562,11 +564,62 @@ def _events_et(spark, sf):
 
 
 def stream_sliding_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """ST8 run on the table (withWatermark is inert in batch)."""
-    out = W.sliding_counts(_events_et(spark, sf), ["event_type"], "1 day", "6 hours")
+    """ST8 in batch (withWatermark is inert): counts per step, then the windows."""
+    steps = W.step_counts(_events_et(spark, sf), ["event_type"], "6 hours")
+    return W.sliding_from_steps(steps, "event_type", DAY, 6 * 3600)
+
+
+def _events_stream(spark, sf):
+    path = V.event_files(spark, sf)
+    return W.event_time(spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path))
+
+
+def stream_sink_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """ST8 streamed: the step counts in the sink of a run, those the final
+    watermark has closed."""
+    out = V.sunk(spark, "steps", sf, lambda: W.step_counts(_events_stream(spark, sf), ["event_type"], "6 hours", watermark="1 hour"))
+    return out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+def stream_sink_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """ST7 streamed: the last value per type and day in the sink of a run."""
+    out = V.sunk(spark, "snapshot", sf, lambda: W.periodic_snapshot(
+        _events_stream(spark, sf), ["event_type"], "value", every="1 day", watermark="1 hour"))
     return out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
+FORWARD_SINCE = 1705363200.0  # 2024-01-16 00:00 UTC
+
+
+def stream_sink_forwarder(spark: SparkSession, sf: str) -> DataFrame:
+    """S8-S10, K1, ST1, ST2, ST4: what a run of the forwarder left in its sink and
+    its dead-letter sink, by kind and severity."""
+    sent, dead, _ = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
+    got = F.from_json("value", "_msg string, severity string")
+    entries = sent.select(F.when(got["_msg"].isNotNull(), "plain").otherwise("entry").alias("kind"), got["severity"].alias("severity"))
+    both = entries.unionByName(dead.select(F.lit("rejected").alias("kind"), F.lit(None).cast("string").alias("severity")))
+    return both.groupBy("kind", "severity").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def stream_drop_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """ST10: the drop counts a run of the forwarder reports with its progress."""
+    _, _, drops = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
+    return spark.createDataFrame([(k, v) for k, v in drops.items()], "metric string, lines long")
+
+
+def stream_retention(spark: SparkSession, sf: str) -> DataFrame:
+    """ST6: entries younger than 7 days, seen from the newest."""
+    ev = _events_et(spark, sf)
+    kept = W.retained(ev, "event_ts", 7, now=ev.select(F.max("event_ts")).scalar())
+    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("entries"))
+
+
+def stored_range_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """P8 over the stored layout: a time range reads only the dates it touches."""
+    rows = LY.read_range(spark, V.stored_samples(spark, sf), dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 12, 18))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("samples"))
+
+
 def stream_periodic_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """ST7: last cumulative counter per service and day."""
     obs = W.event_time(V.service_obs(spark, sf))
@@ -582,9 +635,12 @@ def stream_running_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """ST11: replayed entries (every event delivered twice) deduplicated by id."""
-    ev = _events_et(spark, sf)
-    d = W.deduplicated(ev.unionByName(ev), ["event_id"])
+    """ST11: replayed entries (every event delivered twice) deduplicated by id;
+    read from the sink of a streaming run."""
+    def twice() -> DataFrame:
+        return W.deduplicated(_events_stream(spark, sf).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))), ["event_id"])
+
+    d = V.sunk(spark, "dedup", sf, twice)
     return d.groupBy("event_type").agg(F.count(F.lit(1)).alias("entries"))
 
 
@@ -614,7 +670,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         known_services, load_volume, cpu_from_deltas, memory_share, text_truncate,
         trace_search_with_fallback, trace_search_strict_wins, tag_inspection, query_latency_table,
         stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
-        stream_late_rejection,
+        stream_late_rejection, stream_sink_steps, stream_sink_snapshot, stream_sink_forwarder, stream_drop_counts, stream_retention,
+        stored_range_counts,
         run_latest, run_query_errors, *REPORTS,
     ]
     return {f.__name__: f for f in fns}

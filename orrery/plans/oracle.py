@@ -77,7 +77,7 @@ p AS (SELECT *, coalesce(json_type(j) = 'OBJECT', false) AS is_json,
              CASE WHEN json_type(j) = 'OBJECT' THEN coalesce(CAST(json_extract(j, '$._time') AS VARCHAR),
                                                             CAST(json_extract(j, '$.timestamp') AS VARCHAR)) END AS own FROM o),
 entries AS (
-  SELECT event_id, is_json, j, cand, CASE WHEN NOT is_json THEN line END AS _msg,
+  SELECT event_id, is_json, j, cand, own AS own_time, CASE WHEN NOT is_json THEN line END AS _msg,
          coalesce(own, now) AS _time,
          round(coalesce(TRY_CAST(coalesce(own, now) AS DOUBLE),
                         epoch_us(TRY_CAST(trim(own, '"') AS TIMESTAMP)) / 1000000::DOUBLE), 6) AS event_time,
@@ -529,6 +529,25 @@ e AS (SELECT * FROM b ORDER BY day DESC LIMIT 1)"""
 {_quantile_sql(name + '_l', 'query_key', 'recent').replace('r AS (', name + '_r AS (').replace('FROM r ', f'FROM {name}_r ')
  .replace('g AS (', name + '_g AS (').replace('FROM g)', f'FROM {name}_g)').replace('q AS (', name + '_q AS (')}"""
 
+    six_hours, day = 6 * 3600 * 10**6, 86400 * 10**6
+    closed = "w <= (SELECT epoch_us(max(ts)) - 1 - 3600000000 FROM events)"
+    q["stream_sink_steps"] = f"""WITH t AS (SELECT event_type, (epoch_us(ts) + {six_hours} - 1) // {six_hours} * {six_hours} AS w FROM events)
+SELECT make_timestamp(w) AS window_end, event_type, count(*) AS n FROM t WHERE {closed} GROUP BY ALL"""
+    q["stream_sink_snapshot"] = f"""WITH t AS (SELECT event_type, ts, value, (epoch_us(ts) + {day} - 1) // {day} * {day} AS w FROM events)
+SELECT make_timestamp(w) AS window_end, event_type, arg_max(value, (ts, value)) AS value, count(*) AS samples
+FROM t WHERE {closed} GROUP BY w, event_type"""
+    forwarded = f"""WITH {STRICT}, f AS (
+  SELECT CASE WHEN rejected THEN 'rejected' WHEN is_json THEN 'entry' ELSE 'plain' END AS kind, severity
+  FROM entries WHERE NOT is_json OR own_time IS NULL OR event_time >= 1705363200)"""
+    q["stream_sink_forwarder"] = forwarded + "\nSELECT kind, severity, count(*) AS lines FROM f GROUP BY ALL"
+    q["stream_drop_counts"] = forwarded + """
+SELECT 'entries' AS metric, count(*) FILTER (kind <> 'rejected') AS lines FROM f UNION ALL SELECT 'plain', count(*) FILTER (kind = 'plain') FROM f
+UNION ALL SELECT 'rejected', count(*) FILTER (kind = 'rejected') FROM f UNION ALL SELECT 'untimed', 0"""
+    q["stream_retention"] = """SELECT event_type, count(*) AS entries FROM events
+WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1"""
+    q["stored_range_counts"] = """SELECT event_type, count(*) AS samples FROM events
+WHERE ts > TIMESTAMP '2024-01-10 06:00:00' AND ts <= TIMESTAMP '2024-01-12 18:00:00' GROUP BY 1"""
+
     q["run_latest"] = f"WITH {run_days}\nSELECT max(run) AS run_id FROM o"
     q["run_query_errors"] = f"""WITH {run_days}
 SELECT 'metrics_store:topk' AS query_key, count(*) FILTER (error % 3 = 0) AS errors FROM o

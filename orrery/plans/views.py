@@ -26,8 +26,10 @@ from orrery.functions.keys import labels_map
 from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered, with_running_sum
 from orrery.session import scratch_path
 from orrery.sources import runs
+from orrery.sources.layout import write_partitioned
 from orrery.sources.tables import read_table
 from orrery.sources.trace_results import read_results
+from orrery.streaming.forwarder import start_forwarder
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
 METRIC_NAME = "event_value"
@@ -181,6 +183,45 @@ def _written(spark: SparkSession, kind: str, sf_dir: str, write: Callable[[str],
     return _WRITTEN[key]
 
 
+def event_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the events as files in order of time, for a stream to read."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    return _written(spark, "events", sf_dir, ev.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet)
+
+
+def sunk(spark: SparkSession, kind: str, sf_dir: str, stream: Callable[[], DataFrame]) -> DataFrame:
+    """What a streaming query has in its sink (Parquet, append) after a run over
+    all there is; it and its checkpoint lie under the shared folder."""
+
+    def run(path: str) -> None:
+        writer = stream().writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}-checkpoint")
+        writer.trigger(availableNow=True).start(path).awaitTermination()
+
+    return spark.read.parquet(_written(spark, f"sink-{kind}", sf_dir, run))
+
+
+def forwarder_sinks(spark: SparkSession, sf_dir: str, since: float) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """A run of the forwarder (strict parse, entries from ``since`` on) over the
+    raw lines: what it delivered, its dead letters, and its drop counts."""
+    source = _written(spark, "raw", sf_dir, log_lines(spark, sf_dir).select("raw").write.text)
+    home = scratch_path(spark, f"tables/forwarder-{uuid.uuid4().hex}")
+    query = start_forwarder(spark, source, [f"{home}/sink"], f"{home}/checkpoint", strict=True, available_now=True, since=since,
+                            dead_letter=f"{home}/dead")
+    query.awaitTermination()
+    drops: dict[str, int] = {}
+    for p in query.recentProgress:
+        counts = (p.get("observedMetrics") or {}).get("forwarder")
+        for k, v in (counts.asDict() if counts else {}).items():
+            drops[k] = drops.get(k, 0) + int(v)
+    return spark.read.text(f"{home}/sink"), spark.read.text(f"{home}/dead"), drops
+
+
+def stored_samples(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the samples in the date-partitioned layout."""
+    s = samples(spark, sf_dir).select("series_key", "ts", "event_type", "value")
+    return _written(spark, "stored", sf_dir, lambda path: write_partitioned(s, path, rows_per_file=200))
+
+
 #: Services of the runs, by what they store.
 RUN_SERVICES = {"metrics": ["metrics_store"], "logs": ["logs_store"], "traces": ["traces_store"]}
 

@@ -22,18 +22,20 @@ def with_date(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, ts: str = "ts", key: str = "series_key",
-                      files_per_date: int = 1, mode: str = "overwrite") -> None:
+                      rows_per_file: int = 5_000_000, mode: str = "overwrite") -> None:
     """Write ``df`` partitioned by date, clustered and sorted by (key, ts).
 
-    ``files_per_date`` spreads one date over that many files by a hash of the
-    key (a hot key still lands in one file per date; its rows are contiguous
-    and sorted, which is what range reads want).
+    A date gets as many files as its rows need (counted first; one row per
+    date).  Rows go to a file by key and hour, so a key that holds most of a date
+    is split over its files too, and no task gets more than about
+    ``rows_per_file`` rows unless a key has that many in an hour.
     """
     d = with_date(df, ts)
-    parts = d.repartition(F.col(DATE_COL), (F.abs(F.hash(key)) % files_per_date).alias("_f")) \
-        if files_per_date > 1 else d.repartition(F.col(DATE_COL))
+    files = d.groupBy(DATE_COL).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
+    hour = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(3_600_000_000))
+    dealt = d.join(files, DATE_COL).withColumn("_f", F.pmod(F.xxhash64(F.col(key), hour), F.col("_files")))
     (
-        parts.sortWithinPartitions(DATE_COL, key, ts)
+        dealt.repartition(DATE_COL, "_f").sortWithinPartitions(DATE_COL, "_f", key, ts).drop("_f", "_files")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE_COL)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.operators.series import slide_steps
+
 # Late-data limit of the reference log store: 168 hours.
 LATE_LIMIT = "168 hours"
 
@@ -44,10 +46,9 @@ def sliding_counts(df: DataFrame, keys: Sequence[str], width: str, slide: str, w
 
     Output column ``window_end`` plus keys and ``n``; append mode emits a
     window once the watermark passes its end.  Spark assigns each event to
-    ``width / slide`` windows, so state and work grow by that ratio; for large
-    ratios (1 h every 10 s = 360) stream ``step_counts`` instead and derive
-    the sliding sums from that table with the batch ``count_sliding``-style
-    range frame.
+    ``width / slide`` windows, so state and work grow by that ratio; to have the
+    windows as rows of a table rather than of a stream, ``step_counts`` streamed
+    to it and ``sliding_from_steps`` over it count each event once.
     """
     shifted = df.withColumn("_et", _left_open(ts)).withWatermark("_et", watermark)
     return (
@@ -70,6 +71,14 @@ def step_counts(df: DataFrame, keys: Sequence[str], step: str, watermark: str =
     )
 
 
+def sliding_from_steps(steps: DataFrame, key: str, width_seconds: int, step_seconds: int) -> DataFrame:
+    """Sliding counts (ST8) from the table that ``step_counts`` writes: a range
+    frame over the steps, so no event is expanded into its windows."""
+    us = F.unix_micros(F.col("window_end").cast("timestamp"))
+    buckets = steps.select(key, (us / F.lit(step_seconds * 1_000_000)).cast("long").alias("_i"), F.col("n").alias("_n"))
+    return slide_steps(buckets, width_seconds, step_seconds, key)
+
+
 def periodic_snapshot(df: DataFrame, keys: Sequence[str], value: str, every: str = "2 seconds",
                       watermark: str = "10 seconds", ts: str = "event_ts") -> DataFrame:
     """Observation every ``every`` (ST7): last value of a counter per key and
@@ -90,8 +99,5 @@ def running_totals(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def deduplicated(df: DataFrame, ids: Sequence[str], watermark: str = LATE_LIMIT, ts: str = "event_ts") -> DataFrame:
     """Exactly-once per entry (ST11): duplicates that retries can cause are
-    removed while their id is within the watermark.  On a batch DataFrame
-    every row is within the watermark, so it is a plain ``dropDuplicates``."""
-    if not df.isStreaming:
-        return df.dropDuplicates(list(ids))
+    removed while their id is within the watermark."""
     return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(ids))

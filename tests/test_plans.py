@@ -85,3 +85,8 @@ def test_one_pass_over_the_rows(spark, name):
     if name in ("topk_rate", "cpu_from_deltas"):
         # what later buckets need is read off the same shuffled rows
         assert "ReusedExchange" in p
+
+
+def test_stored_range_prunes_partitions(spark):
+    p = final_plan(spark, E.queries()["stored_range_counts"](spark, SF_SMALL))
+    assert "PartitionFilters: [isnotnull(date" in p and "GreaterThan(ts," in p
