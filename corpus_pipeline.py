@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.llm import langid, minhash, packing, quotient, secrets
-from orrery.llm.util import documents
+from orrery.llm.util import documents, short_batches
 from orrery.session import scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what language ID rejects: unknown texts and narrow margins."""
+    short_batches(spark)
     return langid.keep_known(docs, langid.fit(docs))
 
 
@@ -28,6 +29,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: five words, similarity 0.8."""
+    short_batches(spark)
     return minhash.drop_near(docs, shingle=5, percent=80)
 
 
@@ -38,6 +40,7 @@ def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens."""
+    short_batches(spark)
     return packing.pack(docs, packing.load(public_tokenizers.path("word_bpe_49k.json")))
 
 

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.util import LETTER, narrow
+from orrery.llm.util import LETTER, narrow, portions
 
 UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double, rejected boolean, bytes_best long, bytes_next long"
@@ -74,7 +74,7 @@ def predictor(dictionaries: dict[str, bytes], *, levels: tuple[int, int] = (6, 1
     @F.arrow_udf(PREDICTION)
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         first, second = (_coders(dictionaries, level) for level in levels)
-        for texts in batches:
+        for texts in portions(batches):
             rows = []
             for text in texts.to_pylist():
                 if not dictionaries or text is None or not LETTER.search(text):

@@ -7,16 +7,18 @@ pieces' scores.  For a BPE model two pieces may stand side by side only if the
 merges of the two together leave just these two; a path all of whose neighbours
 may stand so is the result of the merges, and there is one.
 
-Text is cut only where no piece of the model can cross: before a run of spaces
-and around characters that occur in no longer piece.  Such chunks repeat, so a
-worker remembers their ids, up to a bound.
+Text is cut only where no piece of the model can cross (``cut_pattern``).  Such
+chunks repeat, so a worker remembers their ids, up to a bound.
 """
 
 from __future__ import annotations
 
+import codecs
 import math
 import re
-from collections.abc import Callable, Iterator
+import string
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import ahocorasick
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.util import narrow
+from orrery.llm.util import narrow, portions
 
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -37,8 +39,52 @@ REMEMBER = 200_000
 Edge = list[tuple[str, float, float]]
 
 
+def cut_pattern(pieces: Iterable[str]) -> str | None:
+    """A pattern whose matches, one after another, are a whole text, cut only
+    between characters that stand side by side in no piece: before spaces,
+    around characters of no longer piece, and between a letter and such
+    punctuation as follows a letter in no piece.  None if pieces hold a space
+    after something else."""
+    beside = {(a, b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
+    if any(b == MARK and a != MARK for a, b in beside):
+        return None
+    joined = {c for pair in beside for c in pair}
+    one = "".join(map(re.escape, (c for c in "\t\n\r0123456789" if c not in joined)))
+    ends = "".join(map(re.escape, sorted(set(string.punctuation) - {b for a, b in beside if a.isalpha()})))
+    letters, stop = r"[^\W\d_]++", f"[{MARK}{one}{ends}]|$"
+    return "|".join([f"[{one}]"] * bool(one) + [f"{MARK}*{letters}(?={stop})", f"{MARK}*[^{MARK}{one}]+", f"{MARK}+"])
+
+
+codecs.register_error("orrery-each-byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+
+
+class Decoder:
+    """Text of ids: what each piece writes, and the space before a text."""
+
+    def __init__(self, model: bytes):
+        from sentencepiece import sentencepiece_model_pb2
+
+        proto = sentencepiece_model_pb2.ModelProto.FromString(model)
+        write = {BYTE: lambda p: bytes([int(p[1:-1], 16)]), UNKNOWN: lambda p: " ⁇ ".encode(), CONTROL: lambda p: b"",
+                 NORMAL: lambda p: p.replace(MARK, " ").encode()}
+        self.types = [p.type for p in proto.pieces]
+        self.written = [write[p.type](p.piece) for p in proto.pieces]
+        self.prefix = " " if proto.normalizer_spec.add_dummy_prefix else ""
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of ids: byte pieces give bytes (U+FFFD for each that is no UTF-8),
+        control pieces nothing, the unknown piece its mark, an id outside the
+        vocabulary raises IndexError."""
+        out = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "orrery-each-byte")
+        if self.prefix:
+            first = next((i for i in ids if self.types[i] != CONTROL), None)
+            if first is not None and self.types[first] == NORMAL:
+                out = out.removeprefix(self.prefix)
+        return out
+
+
 class Pieces:
-    """A .model file: ids by Viterbi, and text from ids.
+    """A .model file: ids by Viterbi.
 
     Serves models that leave the text as it is but for the space mark (identity
     normalisation) and have normal, byte, unknown and control pieces only; any
@@ -70,15 +116,17 @@ class Pieces:
         self.scores = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
         self.ordered = True
         self.lowest = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
-        self.chunk = self._chunks()
+        pattern = cut_pattern(self.ids)
+        self.chunk = re.compile(pattern).findall if pattern else lambda text: [text]
         self.automaton = ahocorasick.Automaton()
         self.left_edge: dict[str, Edge] = {}
         self.right_edge: dict[str, Edge] = {}
         for piece in self.ids:
             if self.kind == UNIGRAM or len(piece) == 1 or self._edges(piece):
-                self.automaton.add_word(piece, piece)
+                self.automaton.add_word(piece, (piece, len(piece)))
         self.automaton.make_automaton()
-        self.beside: dict[tuple[str, str], bool] = {}
+        self.fits: set[tuple[str, str]] = set()
+        self.clash: set[tuple[str, str]] = set()
         self.known: dict[str, bytes] = {}
 
     def _edges(self, piece: str) -> bool:
@@ -106,14 +154,6 @@ class Pieces:
         self.ordered = False
         return True
 
-    def _chunks(self) -> Callable[[str], list[str]]:
-        long = [p for p in self.ids if len(p) > 1]
-        if any(re.search(f"[^{MARK}]{MARK}", p) for p in long):
-            return lambda text: [text]
-        inside = set("".join(long))
-        alone = re.escape("".join(c for c in "\t\n\r0123456789" if c not in inside))
-        return re.compile(f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+").findall
-
     def merge(self, text: str) -> list[str]:
         """The merges themselves, best score first, then leftmost; for short strings."""
         return self._merged(text)[0]
@@ -130,12 +170,17 @@ class Pieces:
         return out, steps
 
     def may_follow(self, left: str, right: str) -> bool:
-        got = self.beside.get((left, right))
-        if got is None:
-            if len(self.beside) >= REMEMBER:
-                self.beside.clear()
-            got = self.beside[left, right] = self._stay_apart(left, right)
-        return got
+        pair = (left, right)
+        if pair in self.clash:
+            return False
+        if pair in self.fits:
+            return True
+        if len(self.clash) + len(self.fits) >= REMEMBER:
+            self.clash.clear()
+            self.fits.clear()
+        fit = self._stay_apart(left, right)
+        (self.fits if fit else self.clash).add(pair)
+        return fit
 
     def _stay_apart(self, left: str, right: str) -> bool:
         """Whether no merge joins the last symbol of one piece with the first of
@@ -159,21 +204,16 @@ class Pieces:
 
     def _bpe_path(self, text: str) -> list[str]:
         last: list[str | None] = [""] + [None] * len(text)  # the piece that ends there
-        beside, may_follow, ids = self.beside, self.may_follow, self.ids
+        ids, fits, may_follow = self.ids, self.fits, self.may_follow
         strange = [i for i, c in enumerate(text) if c not in ids]
-        for end, piece in self.automaton.iter(text):
+        for end, (piece, length) in self.automaton.iter(text):
             while strange and strange[0] <= end:
                 self._stand_alone(text, last, strange.pop(0))
             end += 1
             if last[end] is None:
-                before = last[end - len(piece)]
-                if before is not None:
-                    if not before:
-                        last[end] = piece
-                    else:
-                        fits = beside.get((before, piece))
-                        if fits or fits is None and may_follow(before, piece):
-                            last[end] = piece
+                before = last[end - length]
+                if before is not None and (not before or ((before, piece) in fits or may_follow(before, piece))):
+                    last[end] = piece
         for i in strange:
             self._stand_alone(text, last, i)
         return self._back(last)
@@ -193,10 +233,10 @@ class Pieces:
             if last[start] is not None and (last[end] is None or best[start] + score > best[end]):
                 best[end], last[end] = best[start] + score, piece
 
-        for end, piece in self.automaton.iter(text):
+        for end, (piece, length) in self.automaton.iter(text):
             while strange and strange[0] < end:
                 relax(strange[0], text[strange.pop(0)], self.lowest)
-            relax(end + 1 - len(piece), piece, scores[piece])
+            relax(end + 1 - length, piece, scores[piece])
         for i in strange:
             relax(i, text[i], self.lowest)
         return self._back(last)
@@ -219,7 +259,7 @@ class Pieces:
                 ids += [self.byte_ids[b] for b in p.encode()]
             else:
                 ids.append(self.unknown)
-        return np.array(ids, "<i4").tobytes()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers; none for an empty text."""
@@ -238,24 +278,6 @@ class Pieces:
             out.append(got)
         return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids: byte pieces give bytes (U+FFFD where they are no UTF-8),
-        control pieces nothing, the unknown piece its mark, an id outside the
-        vocabulary raises IndexError."""
-        out = bytearray()
-        first = True
-        for i in ids:
-            kind = self.types[i]
-            if kind == BYTE:
-                out += bytes([int(self.pieces[i][1:-1], 16)])
-            elif kind == UNKNOWN:
-                out += " ⁇ ".encode()
-            elif kind == NORMAL:
-                piece = self.pieces[i].replace(MARK, " ")
-                out += piece.removeprefix(self.prefix if first else "").encode()
-            first &= kind == CONTROL
-        return out.decode("utf-8", "replace")
-
 
 def load(path: str) -> bytes:
     """The model file, read where the plan is built and sent with the tasks (about 0.5 MB)."""
@@ -268,22 +290,42 @@ def encoder(model: bytes) -> Callable[[Column], Column]:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = Pieces(model)
-        for texts in batches:
-            ids = [pieces.encode(t or "") for t in texts.to_pylist()]
-            ends = np.cumsum([0] + [len(x) // 4 for x in ids], dtype="<i4")
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        for texts in portions(batches):
+            yield _lists([pieces.encode(t or "") for t in texts.to_pylist()])
 
     return encode
 
 
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) // 4 for x in ids], dtype="<i4")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
+def coder(model: bytes) -> Callable[[Column], Column]:
+    """A column function text -> struct(ids, text): the ids, and what decoding
+    them gives, in one worker; null gives no ids and an empty text."""
+
+    @F.arrow_udf("ids array<int>, text string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces, decoder = Pieces(model), Decoder(model)
+        for texts in portions(batches):
+            ids = [pieces.encode(t or "") for t in texts.to_pylist()]
+            again = pa.array([decoder.decode(np.frombuffer(x, "<i4").tolist()) for x in ids], pa.string())
+            yield pa.StructArray.from_arrays([_lists(ids), again], ["ids", "text"])
+
+    return both
+
+
 def decoder(model: bytes) -> Callable[[Column], Column]:
     """A column function array<int> -> text; null gives null."""
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = Pieces(model)
-        for lists in batches:
-            yield pa.array([None if x is None else pieces.decode(x) for x in lists.to_pylist()], pa.string())
+        pieces = Decoder(model)
+        for lists in portions(batches):
+            values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            yield pa.array([pieces.decode(values[at[i] : at[i + 1]].tolist()) if there else None
+                            for i, there in enumerate(lists.is_valid().to_pylist())], pa.string())
 
     return decode
 

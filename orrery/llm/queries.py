@@ -17,9 +17,9 @@ from orrery.sources.tables import table_path
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and whether decoding them gives the text again."""
     model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
-    docs = documents(spark, sf_dir).select("doc_id", "text", pieces.encoder(model)("text").alias("ids"))
-    return docs.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
-                       (pieces.decoder(model)("ids") == F.coalesce("text", F.lit(""))).alias("restored"))
+    docs = documents(spark, sf_dir).select("doc_id", "text", pieces.coder(model)("text").alias("both"))
+    return docs.select("doc_id", F.size("both.ids").cast("long").alias("n_ids"), "both.ids",
+                       (F.col("both.text") == F.coalesce("text", F.lit(""))).alias("restored"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _SPACE = r"'[\x20\x09-\x0D]'"
 
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
 _ORACLES = {
+    "op3_minhash_near_dedup": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), {_WORD}) AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                               ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, ways.b FROM r JOIN ways ON ways.a = r.reached),
+c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept FROM s JOIN c USING (doc_id)""",
+    "op6_substring_dedup": f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w)),
+f AS (SELECT k, min(doc_id) AS first_id FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM win JOIN f USING (k) WHERE doc_id > first_id),
+each AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op7_exact_top_k": """
 WITH v AS (
   SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings

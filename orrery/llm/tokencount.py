@@ -2,7 +2,7 @@
 
 It is proved once, where the plan is built, which strings of the vocabulary the
 library encodes as one token when they stand alone.  A pre-token (what no merge
-can leave: a run of spaces with the word after it) that is such a string counts
+can leave: a run of spaces with the word after it, or punctuation) that is such a string counts
 one; only the rest goes through the library's merges.
 """
 
@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from orrery.llm.pieces import BPE, MARK, NORMAL
-from orrery.llm.util import narrow
+from orrery.llm.pieces import BPE, MARK, NORMAL, cut_pattern
+from orrery.llm.util import narrow, portions
 
 REMEMBER = 200_000
 
@@ -43,14 +43,11 @@ def pre_tokens(model: bytes) -> str | None:
     crosses; None if the model has no such pattern (then a text is one pre-token)."""
     proto = sentencepiece_model_pb2.ModelProto.FromString(model)
     spec = proto.normalizer_spec
-    long = [p.piece for p in proto.pieces if p.type == NORMAL and len(p.piece) > 1]
     if (proto.trainer_spec.model_type != BPE or spec.precompiled_charsmap or spec.remove_extra_whitespaces
-            or not spec.escape_whitespaces or any(re.search(f"[^{MARK}]{MARK}", p) for p in long)
-            or any(p.type in (4, 5) for p in proto.pieces)):
+            or not spec.escape_whitespaces or any(p.type in (4, 5) for p in proto.pieces)):
         return None
-    inside = set("".join(long))
-    alone = re.escape("".join(c for c in "\t\n\r0123456789" if c not in inside))
-    return f"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +"
+    pattern = cut_pattern([p.piece for p in proto.pieces if p.type == NORMAL])
+    return pattern and pattern.replace(MARK, " ")
 
 
 class _Counts(dict):
@@ -81,7 +78,7 @@ def counter(model: bytes) -> Callable[[Column], Column]:
             return
         counts, split = _Counts(whole, sentencepiece.SentencePieceProcessor(model_proto=plain)), re.compile(pattern).findall
         prefix = " " if dummy else ""
-        for texts in batches:
+        for texts in portions(batches):
             yield pa.array([sum(map(counts.__getitem__, split(prefix + t.replace(MARK, " ")))) if t else 0
                             for t in texts.to_pylist()], pa.int64())
 

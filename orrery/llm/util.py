@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,20 @@ from orrery.sources.tables import table_path
 SPACE = " \t\n\x0b\x0c\r"
 
 
+#: Texts of an Arrow batch: at Spark's 10,000 a batch of long ones, with what a
+#: worker makes of it, takes hundreds of MB.
+BATCH = 1_000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Sets the session to Arrow batches of at most ``BATCH`` rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH:
+        spark.conf.set(key, str(BATCH))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(table_path(sf_dir, "documents"))
 
 
@@ -46,4 +61,12 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def portions(batches: Iterator[pa.Array], rows: int = 500) -> Iterator[pa.Array]:
+    """The arrays in short slices, so that what a worker makes of a batch of long
+    texts at a time stays small."""
+    for batch in batches:
+        for i in range(0, max(len(batch), 1), rows):
+            yield batch.slice(i, rows)
+
+
 LETTER = re.compile(r"[^\W\d_]")
