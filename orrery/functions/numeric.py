@@ -52,9 +52,3 @@ def relative_difference(a, b) -> Column:
     """(a - b) / a * 100: how much smaller b is than a, in percent (A22); NULL if a is 0."""
     av = _c(a).cast("double")
     return F.when(av != 0, (av - _c(b).cast("double")) / av * F.lit(100.0))
-
-
-def ratio_if_both_positive(b, a) -> Column:
-    """b / a only when both are > 0, else NULL."""
-    av, bv = _c(a).cast("double"), _c(b).cast("double")
-    return F.when((av > 0) & (bv > 0), bv / av)

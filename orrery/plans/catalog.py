@@ -369,15 +369,16 @@ def peak_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _trace_obs(spark, sf):
-    ev = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    ev = read_table(spark, sf, "events", ["user_id", "value"])
     backend = F.concat(F.lit("backend-"), (F.col("user_id") % 3).cast("string"))
-    q = ev.filter(F.col("event_type") == "view").select(
+    # every event is a search and an ingest observation of its backend
+    q = ev.select(
         backend.alias("backend"),
         (F.col("value") > 5).alias("success"),
         F.col("value").cast("long").alias("trace_count"),
         F.when(F.col("user_id") % 3 == 2, F.lit(0)).otherwise((F.col("value") * 3).cast("long")).alias("span_count"),
     )
-    i = ev.filter(F.col("event_type") == "purchase").select(
+    i = ev.select(
         backend.alias("backend"),
         (F.col("value") * 10).cast("long").alias("spans_received"),
         F.when(F.col("value") > 400, (F.col("value") / 10).cast("long")).otherwise(F.lit(0)).alias("spans_dropped"),

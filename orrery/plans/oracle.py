@@ -431,11 +431,11 @@ FROM events GROUP BY event_type"""
 q AS (SELECT 'backend-' || CAST(user_id % 3 AS VARCHAR) AS backend,
              max(CAST(trunc(value) AS BIGINT)) AS qt,
              max(CASE WHEN user_id % 3 = 2 THEN 0 ELSE CAST(trunc(value * 3) AS BIGINT) END) AS qs
-      FROM events WHERE event_type = 'view' AND value > 5 GROUP BY 1),
+      FROM events WHERE value > 5 GROUP BY 1),
 i AS (SELECT 'backend-' || CAST(user_id % 3 AS VARCHAR) AS backend,
              max(nullif(CAST(trunc(value * 10) AS BIGINT), 0)) AS isp,
              max(nullif(CASE WHEN value > 400 THEN CAST(trunc(value / 10) AS BIGINT) ELSE 0 END, 0)) AS idr
-      FROM events WHERE event_type = 'purchase' GROUP BY 1),
+      FROM events GROUP BY 1),
 j AS (SELECT backend, coalesce(qt, 0) AS qt, coalesce(qs, 0) AS qs, isp, idr FROM q FULL JOIN i USING (backend)),
 k AS (SELECT backend, qt AS traces,
              CASE WHEN (qt = 0 OR qs = 0) AND isp IS NOT NULL THEN isp ELSE qs END AS spans,

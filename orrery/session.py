@@ -77,4 +77,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    remove_at_end(spark, path)
     return spark.read.parquet(path)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have the folder deleted when the application ends: results are built
+    lazily, so what they read can't go earlier."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
