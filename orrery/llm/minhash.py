@@ -8,7 +8,8 @@ bands; documents that agree on a band share a bucket.
 Documents of equal sets are one node from the start, so copies cost nothing
 further.  A bucket of n nodes gives n - 1 candidate edges, a star around one of
 them.  Edges are confirmed on the full sets; nodes a star has joined need no
-further edge.  Only pairs of a bucket that still lie in different components are
+further edge.  Only pairs of a bucket that still lie in different components, and
+that the shingles they have to themselves leave in reach of one another, are
 then compared, so the result is that of comparing all pairs of all buckets.
 """
 
@@ -132,6 +133,28 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("node", "set_key", "text").mapInArrow(run, "node long, members array<long>")
 
 
+def _checked(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (hub, node) with the count of common shingles, whether that links
+    them, and bits (64 a long) that say which of the hub's shingles the node has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            common, linked, bits = [], [], []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.sort(v.values.to_numpy()) for v in (x, y))
+                has = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                n = int(has.sum())
+                common.append(n), linked.append(100 * n >= percent * (len(x) + len(y) - n))
+                packed = np.packbits(has)
+                bits.append(np.pad(packed, (0, -len(packed) % 8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("node"), pa.array(common, pa.int64()), pa.array(linked, pa.bool_()),
+                                              pa.array(bits, pa.list_(pa.int64()))], names=["hub", "node", "common", "linked", "bits"])
+
+    both = stars.join(sets.select(F.col("node").alias("hub"), F.col("members").alias("x")), "hub").join(
+        sets.select("node", F.col("members").alias("y")), "node")
+    return both.select("hub", "node", "x", "y").mapInArrow(run, "hub long, node long, common long, linked boolean, bits array<long>")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, by exact counts."""
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
@@ -142,6 +165,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(F.lit(100) * common >= F.lit(percent) * every).select("a", "b")
 
 
+def _shared(sets: DataFrame) -> DataFrame:
+    """(node, shared): how many shingles of each set any other of the sets has too.
+
+    No two sets can have more in common than the smaller of these numbers.  A
+    changed copy that is too far from its original has its changes to itself,
+    and so is out of reach of all other copies as well.
+    """
+    each = sets.select("node", F.explode("members").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("held")).where("held = 1")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return sets.select("node", F.size("members").cast("long").alias("all")).join(own, "node", "left").select(
+        "node", (F.col("all") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, percent: int = 80,
                bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -195,21 +232,36 @@ def _grouped(rows: DataFrame, shingle: int, percent: int, bands: int, band_rows:
 
     sizes = nodes.select(F.col("node").alias("hub"), F.col("n").alias("m"))
     stars = members.where("hub < node").select("hub", "node", "n").distinct().join(sizes, "hub").where(possible("n", "m"))
-    links = staged(_confirmed(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, percent), "links")
+    checked = staged(_checked(stars.select("hub", "node"), sets, percent), "checked")
+    links = checked.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b"))
 
     # pairs of a bucket that the stars left in different components
     roots = staged(components(links), "roots")
     placed = staged(members.join(roots, "node", "left").select("bucket", "node", "n", "hub", F.coalesce("root", "node").alias("root")), "placed")
     counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = counts.groupBy("bucket").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    split = placed.join(largest.where("roots > 1"), "bucket")
-    outside = split.where("root != main").select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("r"))
+    split = staged(placed.join(largest.where("roots > 1"), "bucket"), "split")
+    shared = _shared(sets.join(split.select("node").distinct(), "node", "left_semi"))
+    buckets = split.groupBy("node").agg(F.collect_set("bucket").alias("all"))
+    split = split.join(shared, "node").join(buckets, "node").join(checked.drop("linked"), ["hub", "node"], "left")
+    outside = split.where("root != main").select(
+        "bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "root", "shared", "all", "common", "bits")])
+    # So many shingles two sets have in common at most: what both share with
+    # others, or exactly what both have of their hub and the rest at most.
+    most = F.least("shared", "shared_2")
+    of_hub = F.aggregate(F.zip_with("bits", "bits_2", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda x, y: x + y)
+    most_by_hub = of_hub + F.least(F.col("shared") - F.col("common"), F.col("shared_2") - F.col("common_2"))
+
+    def reach(common: F.Column) -> F.Column:
+        return F.lit(100) * common >= F.lit(percent) * (F.col("n") + F.col("n_2") - common)
+
     met = split.join(outside, "bucket").where(
-        (F.col("root") != F.col("r")) & ((F.col("root") == F.col("main")) | (F.col("node") < F.col("b")))
-        & (F.col("hub") != F.col("node")) & (F.col("hub") != F.col("b")) & possible("n", "m"))
-    rest = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    links = links.unionByName(_confirmed(rest.join(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")), ["a", "b"], "left_anti"),
-                                         sets, percent))
+        (F.col("root") != F.col("root_2")) & ((F.col("root") == F.col("main")) | (F.col("node") < F.col("node_2")))
+        & (F.col("hub") != F.col("node")) & (F.col("hub") != F.col("node_2")) & possible("n", "n_2") & reach(most)
+        & F.coalesce(reach(most_by_hub), F.lit(True))
+        & (F.array_min(F.array_intersect("all", "all_2")) == F.col("bucket")))  # each pair in one bucket
+    rest = met.select(F.col("node").alias("a"), F.col("node_2").alias("b"))
+    links = links.unionByName(_confirmed(rest, sets, percent))
 
     found = components(links)
     groups = nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
