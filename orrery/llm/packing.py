@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from orrery.llm.util import narrow
 
-REMEMBER = 200_000
+REMEMBER = 500_000
 #: The split pattern of the tokenizer whose ASCII form is known here (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 RESULT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
