@@ -34,7 +34,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MARK = "▁"
 #: How far below the lowest piece an unknown character scores in a unigram model.
 UNKNOWN_PENALTY = 10.0
-REMEMBER = 200_000
+REMEMBER = 600_000
 
 Edge = list[tuple[str, float, float]]
 
