@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orrery.functions.keys import known_series_key, modulo_label, pick_label
 from orrery.functions.numeric import cpu_percent, memory_percent
 from orrery.functions.numeric import relative_difference as rel_diff
-from orrery.functions.text import format_bytes, truncate
+from orrery.functions.text import format_bytes, truncate, utf8_repair
 from orrery.operators import logs as L
 from orrery.operators import report as R
 from orrery.operators import series as S
@@ -197,6 +197,14 @@ def exposition_sum(spark: SparkSession, sf: str) -> DataFrame:
     return s.select(*_PAGE, "name", _r6(F.col("value")).alias("value"))
 
 
+def exposition_pages_sum(spark: SparkSession, sf: str) -> DataFrame:
+    """S11 + S1: the pages as landed files, read whole, split into lines, summed."""
+    pages = X.read_pages(spark, V.exposition_files(spark, sf))
+    s = X.metric_sums(X.pages_to_lines(pages), ["page"])
+    part = lambda k: F.regexp_extract("page", rf"/{k}=([^/]+)/", 1)
+    return s.select(part("service").alias("service"), part("day").alias("day"), "name", _r6(F.col("value")).alias("value"))
+
+
 def exposition_labelled(spark: SparkSession, sf: str) -> DataFrame:
     """S1 in labelled mode: label sets parsed into maps, summed per series."""
     s = X.series_sums(V.exposition_lines(spark, sf), _PAGE)
@@ -483,6 +491,13 @@ def memory_share(spark: SparkSession, sf: str) -> DataFrame:
                       memory_percent("memory_bytes", F.lit(512 * 1048576)).alias("mem_pct"))
 
 
+def text_utf8_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a byte that begins a character and isn't followed by one."""
+    logs = V.log_lines(spark, sf)
+    broken = F.concat(F.col("line").cast("binary"), F.unhex(F.lit("C3")), F.lit("x").cast("binary"))
+    return logs.select("event_id", utf8_repair(broken.cast("string")).alias("repaired"))
+
+
 def text_truncate(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents", ["doc_id", "text"])
     return docs.select("doc_id", truncate("text", 200).alias("head"))
@@ -660,7 +675,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         histogram_buckets, label_cardinality,
         log_error_lines, log_window_count, log_latest_lines, log_parse_lenient, log_parse_strict, log_entry_payload, log_stream_counts,
         log_range_count_total,
-        exposition_sum, exposition_labelled, exposition_selected, exposition_first, exposition_last, exposition_active_series,
+        exposition_sum, exposition_pages_sum, exposition_labelled, exposition_selected, exposition_first, exposition_last, exposition_active_series,
         exposition_named, exposition_drop_prefix_sum,
         trace_span_counts, trace_service_tag_search, trace_field_search, reconcile_expected_found,
         backend_ratio, trace_keep_matches_else_all, trace_process_exists, search_result_counts, trace_response_counts,
@@ -668,7 +683,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         latency_percentiles_recent, latency_percentiles_by_type, latency_summary_stats, errors_per_query,
         peak_ingest, trace_drop_rate, resource_usage, resource_series, throughput, counter_delta,
         storage_fill_in, bytes_per_item, relative_difference, format_storage, service_assembly,
-        known_services, load_volume, cpu_from_deltas, memory_share, text_truncate,
+        known_services, load_volume, cpu_from_deltas, memory_share, text_truncate, text_utf8_repair,
         trace_search_with_fallback, trace_search_strict_wins, tag_inspection, query_latency_table,
         stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
         stream_late_rejection, stream_sink_steps, stream_sink_snapshot, stream_sink_forwarder, stream_drop_counts, stream_retention,

@@ -509,6 +509,10 @@ FROM p WHERE sd IS NOT NULL"""
     q["memory_share"] = f"""WITH {OBS}
 SELECT service, event_id, CAST(memory_bytes AS DOUBLE) / 536870912::DOUBLE * 100::DOUBLE AS mem_pct FROM obs"""
 
+    q["text_utf8_repair"] = f"WITH {LOGS}\nSELECT event_id, line || chr(65533) || 'x' AS repaired FROM log_lines"
+    q["exposition_pages_sum"] = f"""WITH {EXPO}
+SELECT service, strftime(scrape_ts, '%Y-%m-%d') AS day, name, round(value, 6) AS value FROM expo_sums"""
+
     q["text_truncate"] = "SELECT doc_id, substring(text, 1, 200) AS head FROM documents"
 
     q["trace_search_with_fallback"] = f"WITH {SPANS}\n" + counts.format(pred="service = 'payment'")

@@ -183,6 +183,17 @@ def _written(spark: SparkSession, kind: str, sf_dir: str, write: Callable[[str],
     return _WRITTEN[key]
 
 
+def exposition_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the scrape pages as files, one per service and day."""
+    lines = exposition_lines(spark, sf_dir).select("service", F.date_format("scrape_ts", "yyyy-MM-dd").alias("day"), "line_no", "line")
+
+    def write(path: str) -> None:
+        dealt = lines.repartition("service", "day").sortWithinPartitions("service", "day", "line_no").drop("line_no")
+        dealt.write.partitionBy("service", "day").text(path)
+
+    return _written(spark, "pages", sf_dir, write)
+
+
 def event_files(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the events as files in order of time, for a stream to read."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
