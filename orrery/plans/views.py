@@ -195,9 +195,9 @@ def exposition_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the events as files in order of time, for a stream to read."""
+    """Folder of the events as files, for a stream to read."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    return _written(spark, "events", sf_dir, ev.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet)
+    return _written(spark, "events", sf_dir, ev.write.parquet)
 
 
 def sunk(spark: SparkSession, kind: str, sf_dir: str, stream: Callable[[], DataFrame]) -> DataFrame:
