@@ -36,10 +36,10 @@ def _finish(df: DataFrame, trimmed: Column, text: Column, arrival: Column) -> Da
     t = t.withColumn("_obj", strict_json_object(F.col("_text")))
     is_json, obj = F.col("_obj").isNotNull(), F.col("_obj")
     # The entry's own time, as it stands: numbers stay numbers, texts texts.
-    value = F.try_parse_json(F.col("_text"))
+    t = t.withColumn("_value", F.when(is_json, F.from_json("_text", "_time variant, timestamp variant")))
 
     def token(k: str) -> Column:
-        kept = F.to_json(F.try_variant_get(value, f"$.{k}", "variant"))
+        kept = F.to_json(F.col("_value")[k])
         whole = F.to_json(F.struct(obj[k].alias("v")))  # {"v":...}, for objects that repeat a name
         return F.coalesce(kept, F.substr(whole, F.lit(6), F.length(whole) - 6), F.lit("null"))
 
