@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from orrery.llm.util import LETTER, narrow, portions
 
 UNKNOWN = "und"
+#: Times the passages wanted of a language that are looked at for them.
+SPARE = 20
 PREDICTION = "lang_pred string, score double, rejected boolean, bytes_best long, bytes_next long"
 
 
@@ -33,23 +35,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     The sample is bounded by its two parameters: ``passages`` rows a language,
     those of smallest id hash, one passage of at most ``passage_chars``
-    characters from a hashed place of each.  Only the first rows of each language
-    and salt leave a map task (window group limit), and only those of each salt
-    meet by language, so no task gets more than 64 times ``passages`` rows of it.  Null
-    ids, texts and languages, and texts without a letter, teach nothing; an
-    empty table gives no dictionary.
+    characters from a hashed place of each.  Rows are counted by language first,
+    and only those whose hash is small enough for ``SPARE`` times ``passages`` of
+    their language to be expected go on, so no task gets more than about so many
+    of a language, however many rows or tasks there are.  Null ids, texts and
+    languages, and texts without a letter, teach nothing; an empty table gives no
+    dictionary.
     """
     rows = narrow(docs, id_col, text_col, lang=docs[lang_col].cast("string"))
-    rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
-                      & ~held_out(F.col("doc_id")))
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return {}
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SPARE * passages / n))])
     h = F.xxhash64("doc_id")
+    rows = rows.where((h.cast("double") / 2.0**64 + 0.5 <= share[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
     start = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.greatest(F.length("text") - passage_chars + 1, F.lit(1)))
     rows = rows.select("lang", "doc_id", h.alias("h"),
                        F.substr("text", (start + 1).cast("int"), F.lit(passage_chars)).alias("passage"))
-    order = ("h", "doc_id", "passage")
-    salted = Window.partitionBy("lang", "salt").orderBy(*order)
-    rows = rows.withColumn("salt", F.pmod("h", F.lit(64))).withColumn("n", F.row_number().over(salted)).where(F.col("n") <= passages)
-    first = Window.partitionBy("lang").orderBy(*order)
+    first = Window.partitionBy("lang").orderBy("h", "doc_id", "passage")
     chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= passages)
     found: dict[str, list[bytes]] = {}
     for r in chosen.select("lang", "n", "passage").orderBy("lang", "n").collect():
