@@ -5,6 +5,11 @@ is compressed with each dictionary and takes the language whose output is
 smallest.  Where the two smallest outputs are close, a higher level is tried;
 where they stay close, the text is rejected.  Case says nothing about the
 language, so both dictionaries and texts are lower-cased.
+
+What a dictionary saves is bounded in bytes, and a text also learns from itself,
+so over one long output the margin would fall with length.  A text is therefore
+compressed in consecutive pieces of ``PIECE`` bytes, all of them, each from the
+dictionary anew.
 """
 
 from __future__ import annotations
@@ -21,6 +26,8 @@ from orrery.llm.util import LETTER, narrow, portions
 UNKNOWN = "und"
 #: Times the passages wanted of a language that are looked at for them.
 SPARE = 20
+#: Bytes of a text that are compressed at a time.
+PIECE = 1 << 16
 PREDICTION = "lang_pred string, score double, rejected boolean, bytes_best long, bytes_next long"
 
 
@@ -71,6 +78,31 @@ def _coders(dictionaries: dict[str, bytes], level: int) -> list[tuple[str, Calla
     return out
 
 
+def _pieces(text: str) -> list[tuple[float, bytes]]:
+    """The consecutive pieces of a lower-cased text that have letters, each with
+    the share of its characters that are letters; a text of one piece weighs 1."""
+    raw = text.lower().encode()
+    if len(raw) <= PIECE:
+        return [(1.0, raw)]
+    out = []
+    for i in range(0, len(raw), PIECE):
+        # a character that the cut parts counts in neither piece
+        chars = raw[i : i + PIECE].decode("utf-8", "ignore")
+        if n := len(LETTER.findall(chars)):
+            out.append((n / len(chars), raw[i : i + PIECE]))
+    return out
+
+
+def _sizes(pieces: list[tuple[float, bytes]],
+           coders: list[tuple[str, Callable[[bytes], bytes]]]) -> list[tuple[float, str, int]]:
+    """(output weighted by letters, language, output in bytes), smallest first."""
+    out = []
+    for k, c in coders:
+        sizes = [len(c(raw)) for _, raw in pieces]
+        out.append((sum(w * n for (w, _), n in zip(pieces, sizes, strict=True)), k, sum(sizes)))
+    return sorted(out)
+
+
 def predictor(dictionaries: dict[str, bytes], *, levels: tuple[int, int] = (6, 12), close: float = 0.02,
               min_margin: float = 0.003) -> Callable[[Column], Column]:
     """A column function text -> struct(lang_pred, score, rejected, bytes_best, bytes_next); see ``classify``."""
@@ -84,15 +116,15 @@ def predictor(dictionaries: dict[str, bytes], *, levels: tuple[int, int] = (6, 1
                 if not dictionaries or text is None or not LETTER.search(text):
                     rows.append((UNKNOWN, 0.0, True, None, None))
                     continue
-                raw = text.lower().encode()
-                sizes = sorted((len(c(raw)), k) for k, c in first)
+                pieces = _pieces(text)
+                sizes = _sizes(pieces, first)
                 if len(sizes) == 1:
-                    rows.append((sizes[0][1], 1.0, False, sizes[0][0], None))
+                    rows.append((sizes[0][1], 1.0, False, sizes[0][2], None))
                     continue
                 if sizes[0][0] > (1 - close) * sizes[1][0]:
-                    sizes = sorted((len(c(raw)), k) for k, c in second)
+                    sizes = _sizes(pieces, second)
                 score = 1 - sizes[0][0] / sizes[1][0]
-                rows.append((sizes[0][1], score, score < min_margin, sizes[0][0], sizes[1][0]))
+                rows.append((sizes[0][1], score, score < min_margin, sizes[0][2], sizes[1][2]))
             kinds = (pa.string(), pa.float64(), pa.bool_(), pa.int64(), pa.int64())
             yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
                                              ["lang_pred", "score", "rejected", "bytes_best", "bytes_next"])
@@ -104,8 +136,12 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
              min_margin: float = 0.003) -> DataFrame:
     """Language of every whole text, one row per document.
 
-    ``score`` is the margin 1 - smallest / second smallest output.  Equal
-    outputs go to the alphabetically first language.  ``rejected`` marks a margin
+    ``score`` is the margin 1 - smallest / second smallest output.  The output of
+    a text of more than ``PIECE`` bytes is the sum over its pieces, each weighed by
+    the share of letters among its characters, so that neither length nor a long
+    part of numbers makes the margin small; ``bytes_best`` and ``bytes_next`` are
+    the plain sums over the pieces that have letters.  Equal outputs go to the
+    alphabetically first language.  ``rejected`` marks a margin
     below ``min_margin`` and unknown texts.  A text that is null, empty or
     without a letter is ``und`` with score 0, and so is every text if there is no
     dictionary; with a single dictionary the score is 1.  Repeated rows and null

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -51,6 +52,29 @@ def test_smallest_output_wins(spark, training):
     assert sizes["en"] <= by_id[6].bytes_best + 2
 
 
+def test_long_texts_keep_their_margin(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    d = langid.fit(docs)
+    # English that taught nothing, no text of it twice
+    taught = [x for x in d["en"].decode().split("\n") if len(x) > 100]
+    english = dict.fromkeys(r.text for r in docs.where("lang = 'en'").orderBy("doc_id").collect())
+    english = "\n".join(t for t in english if not any(x in t.lower() for x in taught))
+    draw = random.Random(3)
+    numbers = " ".join(str(draw.randrange(10**6)) for _ in range(700_000))
+    some = [english[:1_000], english[:100_000], english[:1_000_000], english[:10_000_000]]
+    assert len(some[3]) == 10_000_000 and len(numbers) > 4_000_000
+    # numbers after letters, before them, and with a letter here and there
+    mixed = [english[:150_000] + numbers, numbers + english[:150_000], english[:300_000] + numbers.replace(" 1234", " x 1234")]
+    rows = list(enumerate([*some, *mixed, numbers]))
+    got = {r.doc_id: r for r in langid.classify(table(spark, rows).repartition(4), d).collect()}
+    assert all(got[i].lang_pred == "en" and not got[i].rejected and got[i].score > 0.02 for i in range(7)), got
+    assert got[3].score > 0.5 * got[1].score and got[3].bytes_best < got[3].bytes_next
+    assert got[7].lang_pred == "und" and got[7].rejected
+    # a text of one piece is one output
+    assert got[0].score == 1 - got[0].bytes_best / got[0].bytes_next
+    assert {r.doc_id for r in langid.keep_known(table(spark, rows), d).select("doc_id").collect()} == set(range(7))
+
+
 def test_without_training_or_rows(spark, training):
     none = langid.fit(training.limit(0))
     assert none == {}
