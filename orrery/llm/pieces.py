@@ -43,15 +43,19 @@ def cut_pattern(pieces: Iterable[str]) -> str | None:
     """A pattern whose matches, one after another, are a whole text, cut only
     between characters that stand side by side in no piece: before spaces,
     around characters of no longer piece, and between a letter and such
-    punctuation as follows a letter in no piece.  None if pieces hold a space
-    after something else."""
+    punctuation as follows a letter in no piece.  Numerals that are word
+    characters without being digits (² ½ ①) count as letters, but for those that
+    punctuation follows in a piece.  None if pieces hold a space after something
+    else."""
     beside = {(a, b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
     if any(b == MARK and a != MARK for a, b in beside):
         return None
     joined = {c for pair in beside for c in pair}
     one = "".join(map(re.escape, (c for c in "\t\n\r0123456789" if c not in joined)))
-    ends = "".join(map(re.escape, sorted(set(string.punctuation) - {b for a, b in beside if a.isalpha()})))
-    letters, stop = r"[^\W\d_]++", f"[{MARK}{one}{ends}]|$"
+    odd = {a for a, b in beside if b in string.punctuation and not a.isalpha() and re.match(r"[^\W\d_]", a)}
+    letter = rf"[^\W\d_{''.join(sorted(odd))}]"
+    ends = "".join(map(re.escape, sorted(set(string.punctuation) - {b for a, b in beside if re.match(letter, a)})))
+    letters, stop = f"{letter}++", f"[{MARK}{one}{ends}]|$"
     return "|".join([f"[{one}]"] * bool(one) + [f"{MARK}*{letters}(?={stop})", f"{MARK}*[^{MARK}{one}]+", f"{MARK}+"])
 
 

@@ -1,3 +1,4 @@
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -31,6 +32,19 @@ def test_ids_equal_the_library(spark, model):
     assert [got[i] for i in range(len(texts))] == library.encode(texts)
 
 
+def test_pieces_between_letters_are_cut_nowhere(spark):
+    library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    m = pieces.Pieces(MODEL)
+    middles = [p.replace(pieces.MARK, " ") for p in m.ids]
+    texts = ["5 km². The", "²", "x².", "½.", "①, ②.", *(f"{a}{p}{b}" for p in middles for a, b in (("m", "t"), ("m", ". T"), ("²", "½")))]
+    assert "²." in middles
+    want = library.encode(texts)
+    wrong = [t for t, ids in zip(texts, want, strict=True) if np.frombuffer(m.encode(t), "<i4").tolist() != ids]
+    assert not wrong, wrong[:20]
+    got = pieces.encode(table(spark, [(1, texts[0])]), MODEL).first().ids
+    assert got == want[0]
+
+
 def test_decoding_equals_the_library_and_restores_texts(spark):
     library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
     decode = pieces.Decoder(MODEL).decode

@@ -19,6 +19,14 @@ def test_counts_equal_the_library(spark):
     assert tokencount.count_tokens(empty(spark), MODEL).count() == 0
 
 
+def test_pieces_between_letters_count_as_in_the_library(spark):
+    middles = [p.replace(pieces.MARK, " ") for p in pieces.Pieces(MODEL).ids]
+    texts = ["5 km². The", "x².", "½.", *(f"{a}{p}{b}" for p in middles for a, b in (("m", "t"), ("m", ". T"), ("²", "½")))]
+    got = {r.doc_id: r.n_tokens for r in tokencount.count_tokens(table(spark, list(enumerate(texts))), MODEL).collect()}
+    wrong = [t for i, (t, ids) in enumerate(zip(texts, LIBRARY.encode(texts), strict=True)) if got[i] != len(ids)]
+    assert not wrong, wrong[:20]
+
+
 def test_registered_query(spark):
     rows = documents(spark, SF_ORACLE)
     counts = [len(x) for x in LIBRARY.encode([t for _, t in rows])]
