@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.util import LETTER, narrow, portions
+from orrery.llm.util import letters, narrow, portions
 
 UNKNOWN = "und"
 #: Times the passages wanted of a language that are looked at for them.
@@ -88,7 +88,7 @@ def _pieces(text: str) -> list[tuple[float, bytes]]:
     for i in range(0, len(raw), PIECE):
         # a character that the cut parts counts in neither piece
         chars = raw[i : i + PIECE].decode("utf-8", "ignore")
-        if n := len(LETTER.findall(chars)):
+        if n := letters(chars):
             out.append((n / len(chars), raw[i : i + PIECE]))
     return out
 
@@ -113,7 +113,7 @@ def predictor(dictionaries: dict[str, bytes], *, levels: tuple[int, int] = (6, 1
         for texts in portions(batches):
             rows = []
             for text in texts.to_pylist():
-                if not dictionaries or text is None or not LETTER.search(text):
+                if not dictionaries or text is None or not any(map(str.isalpha, text)):
                     rows.append((UNKNOWN, 0.0, True, None, None))
                     continue
                 pieces = _pieces(text)

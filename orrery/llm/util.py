@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -69,4 +68,6 @@ def portions(batches: Iterator[pa.Array], rows: int = 500) -> Iterator[pa.Array]
             yield batch.slice(i, rows)
 
 
-LETTER = re.compile(r"[^\W\d_]")
+def letters(text: str) -> int:
+    """How many characters are letters (Unicode L); numerals such as ² ½ ① are none."""
+    return sum(map(str.isalpha, text))

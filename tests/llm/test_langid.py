@@ -52,6 +52,13 @@ def test_smallest_output_wins(spark, training):
     assert sizes["en"] <= by_id[6].bytes_best + 2
 
 
+def test_numerals_are_no_letters(spark):
+    d = {"de": DE.encode(), "en": EN.encode()}
+    rows = [(1, "½ ² 3"), (2, "① Ⅷ"), (3, "² " * 50_000), (4, "½ " + EN)]
+    got = {r.doc_id: r.lang_pred for r in langid.classify(table(spark, rows), d).collect()}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "en"}
+
+
 def test_long_texts_keep_their_margin(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
     d = langid.fit(docs)
