@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import langid, licenses, minhash, packing, pieces, quotient, secrets, substring, tokencount, topk
+from orrery.llm import langid, licenses, minhash, packing, pieces, quotient, secrets, substring, tokencount, topk, whitening
 from orrery.llm.util import documents
 from orrery.sources.tables import table_path
 
@@ -70,6 +70,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), pieces.load(public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(table_path(sf_dir, "embeddings")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
