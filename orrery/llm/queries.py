@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import langid, licenses, minhash, mixing, packing, pieces, quotient, secrets, substring, tokencount, topk, whitening
+from orrery.llm import alignment, langid, licenses, minhash, mixing, packing, pieces, quotient, secrets, substring, tokencount, topk, whitening
 from orrery.llm.util import documents
 from orrery.sources.tables import table_path
 
@@ -74,6 +74,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(table_path(sf_dir, "embeddings")))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(documents(spark, sf_dir), packing.load(public_tokenizers.path("byte_bpe_50k.json")),
+                                     pieces.load(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return mixing.score_documents(docs, mixing.fit(docs))
