@@ -8,8 +8,8 @@ language, so both dictionaries and texts are lower-cased.
 
 What a dictionary saves is bounded in bytes, and a text also learns from itself,
 so over one long output the margin would fall with length.  A text is therefore
-compressed in consecutive pieces of ``PIECE`` bytes, all of them, each from the
-dictionary anew.
+compressed in consecutive pieces of ``PIECE`` bytes or, so as to part no
+character, up to three fewer, all of them, each from the dictionary anew.
 """
 
 from __future__ import annotations
@@ -47,7 +47,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     their language to be expected go on, so no task gets more than about so many
     of a language, however many rows or tasks there are.  Null ids, texts and
     languages, and texts without a letter, teach nothing; an empty table gives no
-    dictionary.
+    dictionary.  The driver holds a count and a dictionary per language, so
+    ``lang`` has to be a column of languages, not of ids.
     """
     rows = narrow(docs, id_col, text_col, lang=docs[lang_col].cast("string"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
@@ -84,12 +85,15 @@ def _pieces(text: str) -> list[tuple[float, bytes]]:
     raw = text.lower().encode()
     if len(raw) <= PIECE:
         return [(1.0, raw)]
-    out = []
-    for i in range(0, len(raw), PIECE):
-        # a character that the cut parts counts in neither piece
-        chars = raw[i : i + PIECE].decode("utf-8", "ignore")
+    out, begin = [], 0
+    while begin < len(raw):
+        end = min(begin + PIECE, len(raw))
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1  # a character is in one piece
+        chars = raw[begin:end].decode()
         if n := letters(chars):
-            out.append((n / len(chars), raw[i : i + PIECE]))
+            out.append((n / len(chars), raw[begin:end]))
+        begin = end
     return out
 
 

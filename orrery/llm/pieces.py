@@ -209,16 +209,17 @@ class Pieces:
     def _bpe_path(self, text: str) -> list[str]:
         last: list[str | None] = [""] + [None] * len(text)  # the piece that ends there
         ids, fits, may_follow = self.ids, self.fits, self.may_follow
-        strange = [i for i, c in enumerate(text) if c not in ids]
+        strange, n = [*(i for i, c in enumerate(text) if c not in ids), len(text)], 0
         for end, (piece, length) in self.automaton.iter(text):
-            while strange and strange[0] <= end:
-                self._stand_alone(text, last, strange.pop(0))
+            while strange[n] <= end:
+                self._stand_alone(text, last, strange[n])
+                n += 1
             end += 1
             if last[end] is None:
                 before = last[end - length]
                 if before is not None and (not before or ((before, piece) in fits or may_follow(before, piece))):
                     last[end] = piece
-        for i in strange:
+        for i in strange[n:-1]:
             self._stand_alone(text, last, i)
         return self._back(last)
 
@@ -230,7 +231,7 @@ class Pieces:
         best = [0.0] + [-math.inf] * len(text)
         last: list[str | None] = [""] + [None] * len(text)
         scores, ids = self.scores, self.ids
-        strange = [i for i, c in enumerate(text) if c not in ids]
+        strange, n = [*(i for i, c in enumerate(text) if c not in ids), len(text)], 0
 
         def relax(start: int, piece: str, score: float) -> None:
             end = start + len(piece)
@@ -238,10 +239,11 @@ class Pieces:
                 best[end], last[end] = best[start] + score, piece
 
         for end, (piece, length) in self.automaton.iter(text):
-            while strange and strange[0] < end:
-                relax(strange[0], text[strange.pop(0)], self.lowest)
+            while strange[n] < end:
+                relax(strange[n], text[strange[n]], self.lowest)
+                n += 1
             relax(end + 1 - length, piece, scores[piece])
-        for i in strange:
+        for i in strange[n:-1]:
             relax(i, text[i], self.lowest)
         return self._back(last)
 

@@ -148,13 +148,18 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
+def _order() -> Column:
+    """Least for the row that stays: most characters, then the smallest doc_id, null last."""
+    return F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"))
+
+
 def _verified(suspects: DataFrame) -> DataFrame:
     """Groups of equal texts among the suspects, by the texts themselves: equal
     rows of a map task are one row before the shuffle, so copies are not hot."""
     groups = suspects.groupBy("norm").agg(F.count(F.lit(1)).alias("group_size"),
-                                          F.max(F.struct("chars", -F.col("doc_id"))).alias("first"))
-    return groups.select(F.sha2("norm", 256).alias("sha"), "group_size", F.col("first.chars").alias("keep_chars"),
-                         (-F.col("first.col2")).alias("keep_id"))
+                                          F.min(_order()).alias("first"))
+    return groups.select(F.sha2("norm", 256).alias("sha"), "group_size", (-F.col("first.chars")).alias("keep_chars"),
+                         F.col("first.doc_id").alias("keep_id"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,12 +194,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     others are grouped, and rows of a group are merged before the shuffle."""
     inner = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                         normalised(docs[text_col].cast("string")).alias("norm"),
-                        docs[id_col].cast("long").alias("id"),
+                        docs[id_col].cast("long").alias("doc_id"),
                         F.coalesce(F.length(docs[text_col].cast("string")), F.lit(0)).alias("chars"))
     inner = inner.withColumn("fp", F.xxhash64("norm"))
     prints = staged(inner.select("fp"), "prints")
     many = staged(repeated(prints, prints.count()), "repeated").select("fp")
     unique = inner.join(many, "fp", "left_anti").select("row.*")
     groups = inner.join(many, "fp", "left_semi").groupBy("norm").agg(
-        F.max_by("row", F.struct("chars", -F.col("id"))).alias("row"))
+        F.min_by("row", _order()).alias("row"))
     return unique.unionByName(groups.select("row.*"))

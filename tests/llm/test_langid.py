@@ -96,3 +96,63 @@ def test_held_out_accuracy(spark):
     got = queries.op2_language_id(spark, SF_ORACLE).where("held_out").join(docs, "doc_id")
     n, right, rejected = got.agg(F.count(F.lit(1)), F.count_if(F.col("lang") == F.col("lang_pred")), F.count_if("rejected")).first()
     assert right / n > 0.97 and rejected / n < 0.01
+
+
+def by_hand(text, coders):
+    """(language, score, rejected) of a text, piece by piece, without the operator's helpers."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0, True
+    raw, parts = text.lower().encode(), []
+    if len(raw) <= 65536:
+        parts = [(1.0, raw)]
+    else:
+        rest = text.lower()
+        while rest:
+            part = rest[:65536].encode()[:65536].decode("utf-8", "ignore")
+            rest = rest[len(part) :]
+            parts.append((sum(c.isalpha() for c in part) / len(part), part.encode()))
+    for level in (6, 12):
+        sizes = sorted((sum(w * len(c(p)) for w, p in parts if w), lang) for lang, c in coders[level].items())
+        if sizes[0][0] <= 0.98 * sizes[1][0]:
+            break
+    score = 1 - sizes[0][0] / sizes[1][0]
+    return sizes[0][1], score, score < 0.003
+
+
+def hand_coders(dictionaries):
+    def coder(data, level):
+        d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=level)
+        return zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress
+
+    return {level: {lang: coder(d, level) for lang, d in dictionaries.items()} for level in (6, 12)}
+
+
+def agrees(row, want):
+    return (row.lang_pred, row.rejected) == (want[0], want[2]) and abs(row.score - want[1]) < 1e-12
+
+
+def test_every_row_of_the_registered_query_by_hand(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    coders = hand_coders(langid.fit(docs))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    rows = queries.op2_language_id(spark, SF_ORACLE).collect()
+    assert len(rows) == len(texts)
+    wrong = [r for r in rows if not agrees(r, by_hand(texts[r.doc_id], coders))]
+    assert not wrong, wrong[:3]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+
+
+def test_cuts_part_no_character(spark, training):
+    """The only letters of a text lie where a cut falls."""
+    d = langid.fit(training)
+    coders = hand_coders(d)
+    rng = random.Random(4)
+    texts = ["1" * 65535 + "é" + "1" * 2000, "1" * 65534 + "日" + "1" * 70000, "日" * 30000]
+    for _ in range(1000):
+        texts.append("7" * (65536 - rng.randrange(8)) + rng.choice("éßж日🄰") * rng.randrange(1, 4) + rng.choice(["", "5" * 100, "5" * 65530 + "é"]))
+    got = langid.classify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), d).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert agrees(r, by_hand(texts[r.doc_id], coders)), r
+    assert all(sum(len(p) for p in (x for _, x in langid._pieces(t))) <= len(t.lower().encode()) for t in texts)

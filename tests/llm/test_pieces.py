@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from orrery.llm import pieces, queries
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm.common import documents, empty, table
 
 MODEL = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
@@ -76,3 +76,23 @@ def test_other_models_are_refused():
     proto.normalizer_spec.remove_extra_whitespaces = True
     with pytest.raises(ValueError):
         pieces.Pieces(proto.SerializeToString())
+
+
+def test_letters_and_unknown_characters_in_turn_take_linear_time(spark):
+    """5 MB without a character the vocabulary joins to the next."""
+    text = "a🧿" * 1_000_000
+    r, = pieces.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"), MODEL).collect()
+    library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    some = library.encode("a🧿" * 50)
+    assert list(r.ids[: len(some)]) == some and len(r.ids) == len(library.encode(text))
+
+
+def test_registered_query_against_the_library(spark):
+    library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text").collect()}
+    rows = queries.op1_sentencepiece(spark, SF_ORACLE).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id] or "")
+        assert (r.n_ids, list(r.ids)) == (len(ids), ids)
+        assert r.restored == (library.decode(ids) == (texts[r.doc_id] or ""))

@@ -69,3 +69,12 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert kept.columns == table(spark, rows).columns
     assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("1", "a b"), ("None", "None")]
     assert quotient.drop_copies(empty(spark)).count() == 0
+
+
+def test_lowest_and_highest_ids(spark):
+    low, high = -(2**63), 2**63 - 1
+    rows = [(low, "a b"), (high, "ab "), (0, "a b"), (None, "a b"), (low + 1, "c"), (None, "c")]
+    got = quotient.exact_dedup(table(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == exact(rows)
+    kept = quotient.drop_copies(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(low, "a b"), (low + 1, "c")]
