@@ -10,6 +10,7 @@ expression, and rules that require no trigram are matched against every text.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ from orrery.llm.util import narrow
 
 #: Document ids of an index segment, about.
 SEGMENT = 4096
+#: Elements of an array that are scanned into a new one at a time.
+RUN = 64
 
 
 @dataclass(frozen=True)
@@ -45,7 +48,8 @@ MORE = (
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[sr]k_live_[0-9A-Za-z]{16,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    # from the begin of a run only, or a run of many begins would be read from each of them
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]+"),
 )
 RULES = BASE + MORE
 SPAN = "array<struct<start:int,place:int,end:int,kind:string>>"
@@ -79,21 +83,49 @@ def candidates(rows: DataFrame, rules: tuple[Rule, ...], segment: int = SEGMENT)
     return found.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value being found once, however often and wherever it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(values: Column, join: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """For each element of an array of integers what those before it come to
+    under ``join`` (0 for none).  An array that grows by an element is copied, so
+    runs of RUN are scanned each by itself, and then their totals in the same way."""
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("at"), F.array().cast("array<long>").alias("out"))
+
+    def short(run: Column) -> Column:
+        return F.aggregate(run, start, lambda acc, v: F.struct(join(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+                           lambda acc: acc["out"])
+
+    def scanned(runs: Column) -> Column:
+        totals = F.transform(runs, lambda r: F.aggregate(r, zero, join))
+        ahead = short(totals) if levels == 1 else _before(totals, join, levels - 1)
+        return F.flatten(F.zip_with(runs, ahead, lambda r, first: F.transform(short(r), lambda x: join(first, x))))
+
+    def parted(a: Column) -> Column:
+        each = F.sequence(F.lit(0), F.floor((F.size(a) - 1) / RUN).cast("int"))
+        return F.when(F.size(a) > 0, _bound(F.transform(each, lambda i: F.slice(a, i * RUN + 1, F.lit(RUN))), scanned)).otherwise(
+            F.array().cast("array<long>"))
+
+    return _bound(values, parted)
+
+
 def _spans(rule: Rule, place: int, matches: str, parts: str) -> Column:
     """Spans (code points, end exclusive) from the matches of a rule, the text
     between them being what splitting at the pattern leaves."""
-    none, between = F.array().cast(SPAN), F.col(f"_b_{rule.kind}")
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    def placed(each: Column) -> Column:
+        begins = _before(F.transform(each, lambda m: (m["gap"] + m["own"]).cast("long")), lambda a, b: a + b)
+        spans = F.zip_with(each, begins, lambda m, at: F.struct(
+            (at + m["gap"]).cast("int").alias("start"), F.lit(place).alias("place"), (at + m["gap"] + m["own"]).cast("int").alias("end"),
+            F.lit(rule.kind).alias("kind"), m["part"].alias("part")))
+        good = F.filter(spans, lambda x: x["part"] >= rule.least)
+        return F.transform(good, lambda x: F.struct(*[x[c].alias(c) for c in ("start", "place", "end", "kind")]))
 
-    def step(acc: Column, i: Column) -> Column:
-        begin = acc["at"] + F.length(F.get(between, i))
-        end = begin + F.length(F.get(F.col(matches), i))
-        span = F.struct(begin.alias("start"), F.lit(place).alias("place"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        good = F.length(F.get(F.col(parts), i)) >= rule.least
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-
-    each = F.sequence(F.lit(0), F.size(matches) - 1)
-    return F.when(F.size(matches) > 0, F.aggregate(each, start, step, lambda acc: acc["spans"])).otherwise(none)
+    lengths = F.zip_with(F.zip_with(matches, F.slice(f"_b_{rule.kind}", F.lit(1), F.size(matches)), lambda m, b: F.struct(
+        F.length(b).alias("gap"), F.length(m).alias("own"))), parts, lambda x, p: F.struct(x["gap"].alias("gap"), x["own"].alias("own"), F.length(p).alias("part")))
+    return F.when(F.size(matches) > 0, _bound(lengths, placed)).otherwise(F.array().cast(SPAN))
 
 
 def with_spans(rows: DataFrame, rules: tuple[Rule, ...] = RULES, segment: int = SEGMENT) -> DataFrame:
@@ -146,12 +178,18 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, r
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """The text with ``mark`` for every span; overlapping spans are one."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    wide = "UTF-32"  # four bytes a code point, so that a piece is found without reading what is before it
+
+    def piece(whole: Column, begin: Column, length: Column) -> Column:
+        return F.decode(F.substr(whole, (begin * 4 + 1).cast("int"), (length * 4).cast("int")), wide)
 
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["at"]
-        more = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(apart, more).otherwise(acc["out"]).alias("out"))
+    def pieces(all_: Column) -> Column:
+        whole, each = all_["whole"], all_["spans"]
+        reached = _before(F.transform(each, lambda s: s["end"].cast("long")), lambda a, b: F.greatest(a, b))
+        apart = F.filter(F.zip_with(each, reached, lambda s, r: F.struct(s["start"].alias("start"), r.alias("reach"))), lambda x: x["start"] >= x["reach"])
+        kept = F.transform(apart, lambda x: piece(whole, x["reach"], x["start"] - x["reach"]))
+        last = F.aggregate(each, F.lit(0), lambda a, s: F.greatest(a, s["end"]))
+        return F.array_join(F.concat(kept, F.array(piece(whole, last, F.length(whole) / 4 - last))), mark)
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-                  ).otherwise(text)
+    both = F.struct(F.encode(text, wide).alias("whole"), spans.alias("spans"))
+    return F.when(F.size(spans) > 0, _bound(both, pieces)).otherwise(text)

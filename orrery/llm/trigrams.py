@@ -78,7 +78,7 @@ def _node(op: int, arg: object) -> tuple[set[str] | None, Query]:
                 out = {a + b for a in out for b in exact}
             return out, need
         return None, _and([need, _required(exact) if exact is not None else None]) if low else None
-    return ({""}, None) if op is C.AT else (None, None)
+    return ({""}, None) if op in (C.AT, C.ASSERT, C.ASSERT_NOT) else (None, None)
 
 
 def query(pattern: str) -> Query:
