@@ -31,6 +31,7 @@ from orrery.sources import layout as LY
 from orrery.sources import runs as RN
 from orrery.sources import trace_results as TR
 from orrery.sources.tables import read_table
+from orrery.streaming import stateful as SF
 from orrery.streaming import windows as W
 
 # Label derivation of the reference's metric generator, in its
@@ -609,20 +610,69 @@ def stream_sink_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 FORWARD_SINCE = 1705363200.0  # 2024-01-16 00:00 UTC
 
 
+def _delivered(rows: DataFrame) -> DataFrame:
+    got = F.from_json("value", "_msg string, severity string")
+    return rows.select(F.when(got["_msg"].isNotNull(), "plain").otherwise("entry").alias("kind"), got["severity"].alias("severity"))
+
+
 def stream_sink_forwarder(spark: SparkSession, sf: str) -> DataFrame:
-    """S8-S10, K1, ST1, ST2, ST4: what a run of the forwarder left in its sink and
+    """S8, S10, K1, ST1, ST2, ST4: what a run of the forwarder left in its sink and
     its dead-letter sink, by kind and severity."""
-    sent, dead, _ = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
-    got = F.from_json("value", "_msg string, severity string")
-    entries = sent.select(F.when(got["_msg"].isNotNull(), "plain").otherwise("entry").alias("kind"), got["severity"].alias("severity"))
-    both = entries.unionByName(dead.select(F.lit("rejected").alias("kind"), F.lit(None).cast("string").alias("severity")))
+    sinks, _ = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
+    both = _delivered(sinks["a"]).unionByName(sinks["dead"].select(F.lit("rejected").alias("kind"), F.lit(None).cast("string").alias("severity")))
     return both.groupBy("kind", "severity").agg(F.count(F.lit(1)).alias("lines"))
 
 
+def stream_forwarder_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: both sinks of the run, as the commit log shows them: batches differ in none."""
+    sinks, _ = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
+    each = [sinks[k].select(F.lit(k).alias("sink"), "batch_id", "value") for k in ("a", "b")]
+    by_batch = each[0].unionByName(each[1]).groupBy("batch_id").pivot("sink", ["a", "b"]).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias("sum"))
+    same = F.col("a_lines").eqNullSafe(F.col("b_lines")) & F.col("a_sum").eqNullSafe(F.col("b_sum"))
+    return by_batch.agg(F.coalesce(F.sum("a_lines"), F.lit(0)).alias("lines_a"), F.coalesce(F.sum("b_lines"), F.lit(0)).alias("lines_b"),
+                        F.count_if(~same).alias("batches_apart"))
+
+
+def stream_forwarder_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """ST1: no micro-batch of the run holds more than 2,500 entries."""
+    _, log = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
+    sizes = log.groupBy("batch_id").agg(F.sum(F.when(F.col("metric").isin("entries", "rejected"), F.col("lines"))).alias("lines"))
+    return sizes.agg(F.count_if(F.col("lines") > V.ENTRIES).alias("batches_over"), F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"))
+
+
 def stream_drop_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """ST10: the drop counts a run of the forwarder reports with its progress."""
-    _, _, drops = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
-    return spark.createDataFrame([(k, v) for k, v in drops.items()], "metric string, lines long")
+    """ST10: the drop counts of all batches of the run, from its commit log."""
+    _, log = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
+    return log.where(F.col("metric").isNotNull()).groupBy("metric").agg(F.sum("lines").alias("lines"))
+
+
+def stream_tail_from_now(spark: SparkSession, sf: str) -> DataFrame:
+    """What a forwarder delivers that starts at the end of what is there."""
+    return _delivered(V.tail_from_now(spark, sf)).groupBy("kind", "severity").agg(F.count(F.lit(1)).alias("lines"))
+
+
+PANE, STREAM_WATERMARK = 6 * 3600, "1 hour"
+
+
+def stream_rate_per_series(spark: SparkSession, sf: str) -> DataFrame:
+    """A5 + W4 streamed: counter rates per series over the last seven days of
+    closed panes, from the panes that keyed state left in the sink."""
+    rows = V.counters_from(V.samples(spark, sf)).select(
+        "series_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id", "counter")
+    panes = V.ordered_stream(spark, "rate-panes", sf, rows, ["us", "event_id"], lambda s: SF.rate_panes(
+        s.withColumn("event_ts", F.timestamp_micros("us")), "series_key", "counter", f"{PANE} seconds", STREAM_WATERMARK))
+    end = V.closed_end(spark, sf, PANE)
+    return SF.rates_from_panes(panes, "series_key", WEEK, end)
+
+
+def stream_sliding_state(spark: SparkSession, sf: str) -> DataFrame:
+    """ST8 streamed: counts over a day every six hours per type, from a ring of panes."""
+    ev = read_table(spark, sf, "events", ["event_id", "ts", "event_type"]).select(
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id", "event_type")
+    out = V.ordered_stream(spark, "sliding", sf, ev, ["us", "event_id"], lambda s: SF.sliding_counts(
+        s.withColumn("event_ts", F.timestamp_micros("us")), "event_type", DAY, PANE, STREAM_WATERMARK))
+    return out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
 
 
 def stream_retention(spark: SparkSession, sf: str) -> DataFrame:
@@ -688,7 +738,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         known_services, load_volume, cpu_from_deltas, memory_share, text_truncate, text_utf8_repair,
         trace_search_with_fallback, trace_search_strict_wins, tag_inspection, query_latency_table,
         stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
-        stream_late_rejection, stream_sink_steps, stream_sink_snapshot, stream_sink_forwarder, stream_drop_counts, stream_retention,
+        stream_late_rejection, stream_sink_steps, stream_sink_snapshot, stream_sink_forwarder, stream_forwarder_pair, stream_forwarder_batches, stream_drop_counts,
+        stream_tail_from_now, stream_rate_per_series, stream_sliding_state, stream_retention,
         stored_range_counts,
         run_latest, run_query_errors, *REPORTS,
     ]

@@ -547,6 +547,25 @@ FROM t WHERE {closed} GROUP BY w, event_type"""
     q["stream_drop_counts"] = forwarded + """
 SELECT 'entries' AS metric, count(*) FILTER (kind <> 'rejected') AS lines FROM f UNION ALL SELECT 'plain', count(*) FILTER (kind = 'plain') FROM f
 UNION ALL SELECT 'rejected', count(*) FILTER (kind = 'rejected') FROM f UNION ALL SELECT 'untimed', 0"""
+    q["stream_forwarder_pair"] = forwarded + """
+SELECT count(*) FILTER (kind <> 'rejected') AS lines_a, count(*) FILTER (kind <> 'rejected') AS lines_b, 0 AS batches_apart FROM f"""
+    q["stream_forwarder_batches"] = forwarded + "\nSELECT 0 AS batches_over, count(*) AS lines FROM f"
+    q["stream_tail_from_now"] = f"""WITH {LENIENT}
+SELECT CASE WHEN is_json THEN 'entry' ELSE 'plain' END AS kind, severity, count(*) AS lines FROM entries WHERE event_id % 3 = 0 GROUP BY ALL"""
+    pane_end = f"(SELECT (epoch_us(max(ts)) - 1 - 3600000000) // {six_hours} * {six_hours} FROM events)"
+    q["stream_rate_per_series"] = f"""WITH {SAMPLES},
+c AS (SELECT series_key, ts, event_id, sum(CAST(value AS DECIMAL(18,2))) OVER (
+        PARTITION BY series_key ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS counter FROM samples),
+p AS (SELECT series_key, counter, lag(counter) OVER (PARTITION BY series_key ORDER BY ts, event_id) AS prev
+      FROM c WHERE epoch_us(ts) > {pane_end} - 604800000000 AND epoch_us(ts) <= {pane_end}),
+a AS (SELECT series_key, sum(CASE WHEN prev IS NULL THEN NULL WHEN counter >= prev THEN counter - prev ELSE counter END) AS inc,
+             count(*) AS samples FROM p GROUP BY series_key)
+SELECT series_key, CAST(inc AS DOUBLE) AS increase, CAST(inc AS DOUBLE) / 604800::DOUBLE AS rate, samples FROM a WHERE samples >= 2"""
+    q["stream_sliding_state"] = f"""WITH grid AS (
+  SELECT DISTINCT event_type, (epoch_us(ts) + {six_hours} - 1) // {six_hours} * {six_hours} + j * {six_hours} AS t FROM events, range(0, 4) r(j))
+SELECT make_timestamp(g.t) AS window_end, g.event_type, count(*) AS n
+FROM grid g JOIN events e ON e.event_type = g.event_type AND epoch_us(e.ts) > g.t - {day} AND epoch_us(e.ts) <= g.t
+WHERE g.t <= {pane_end} GROUP BY ALL"""
     q["stream_retention"] = """SELECT event_type, count(*) AS entries FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1"""
     q["stored_range_counts"] = """SELECT event_type, count(*) AS samples FROM events

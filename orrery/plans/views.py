@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
 from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered, with_running_sum
-from orrery.session import scratch_path
+from orrery.session import remove_at_end, scratch_path
 from orrery.sources import runs
 from orrery.sources.layout import write_partitioned
-from orrery.sources.tables import read_table
+from orrery.sources.tables import read_table, table_path
+from orrery.sources.tail import ENTRIES, tail
 from orrery.sources.trace_results import read_results
-from orrery.streaming.forwarder import start_forwarder
+from orrery.streaming import commits, stateful
+from orrery.streaming.forwarder import commit_log, start_forwarder
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
 METRIC_NAME = "event_value"
@@ -169,20 +171,37 @@ def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFra
     )
 
 
-#: Folders of files derived from a set of tables, by application, kind and tables:
-#: queries over the same files share them.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+#: Folders of files derived from a set of tables, by application, kind and the
+#: state of the tables: queries over the same files share them.
+_WRITTEN: dict[tuple[str, str, str, str], str] = {}
 
 
-def _written(spark: SparkSession, kind: str, sf_dir: str, write: Callable[[str], None]) -> str:
-    key = (spark.sparkContext.applicationId, kind, sf_dir)
+def table_state(spark: SparkSession, sf_dir: str, *tables: str) -> str:
+    """Names, lengths and times of the tables' files."""
+    jvm, out = spark._jvm, []
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, t))
+        out += sorted(f.toString() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path))
+    return "\n".join(out)
+
+
+def _written(spark: SparkSession, kind: str, sf_dir: str, write: Callable[[str], None], tables: Sequence[str] = ("events",)) -> str:
+    """Folder of what ``write`` makes of the tables, made once while they stay as
+    they are and removed when the application ends."""
+    key = (spark.sparkContext.applicationId, kind, sf_dir, table_state(spark, sf_dir, *tables))
     if key not in _WRITTEN:
         path = scratch_path(spark, f"tables/{kind}-{uuid.uuid4().hex}")
+        remove_at_end(spark, path)
         write(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 
 
+def forget_written() -> None:
+    """Files are made anew from now on (the bench counts their making)."""
+    _WRITTEN.clear()
+
+
 def exposition_files(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the scrape pages as files, one per service and day."""
     lines = exposition_lines(spark, sf_dir).select("service", F.date_format("scrape_ts", "yyyy-MM-dd").alias("day"), "line_no", "line")
@@ -205,26 +224,82 @@ def sunk(spark: SparkSession, kind: str, sf_dir: str, stream: Callable[[], DataF
     all there is; it and its checkpoint lie under the shared folder."""
 
     def run(path: str) -> None:
+        remove_at_end(spark, f"{path}-checkpoint")
         writer = stream().writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}-checkpoint")
         writer.trigger(availableNow=True).start(path).awaitTermination()
 
     return spark.read.parquet(_written(spark, f"sink-{kind}", sf_dir, run))
 
 
-def forwarder_sinks(spark: SparkSession, sf_dir: str, since: float) -> tuple[DataFrame, DataFrame, dict[str, int]]:
-    """A run of the forwarder (strict parse, entries from ``since`` on) over the
-    raw lines: what it delivered, its dead letters, and its drop counts."""
-    source = _written(spark, "raw", sf_dir, log_lines(spark, sf_dir).select("raw").write.text)
-    home = scratch_path(spark, f"tables/forwarder-{uuid.uuid4().hex}")
-    query = start_forwarder(spark, source, [f"{home}/sink"], f"{home}/checkpoint", strict=True, available_now=True, since=since,
-                            dead_letter=f"{home}/dead")
-    query.awaitTermination()
-    drops: dict[str, int] = {}
-    for p in query.recentProgress:
-        counts = (p.get("observedMetrics") or {}).get("forwarder")
-        for k, v in (counts.asDict() if counts else {}).items():
-            drops[k] = drops.get(k, 0) + int(v)
-    return spark.read.text(f"{home}/sink"), spark.read.text(f"{home}/dead"), drops
+def _until_done(query) -> None:
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def forwarder_run(spark: SparkSession, sf_dir: str, since: float) -> str:
+    """Folder of a run of the forwarder (strict parse, entries from ``since`` on)
+    over the raw lines, at most 2,500 a micro-batch, into two sinks: the lines of
+    two thirds of the events first, then, after a restart on the same checkpoint,
+    the others."""
+    lines = log_lines(spark, sf_dir).select("event_id", "raw")
+
+    def run(home: str) -> None:
+        for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+            lines.where(part).select("raw").write.mode("append").text(f"{home}/in")
+            _until_done(start_forwarder(spark, f"{home}/in", [f"{home}/a", f"{home}/b"], f"{home}/checkpoint", strict=True, since=since,
+                                        dead_letter=f"{home}/dead", entries_per_batch=ENTRIES))
+
+    return _written(spark, "forwarder", sf_dir, run)
+
+
+def forwarder_sinks(spark: SparkSession, sf_dir: str, since: float) -> tuple[dict[str, DataFrame], DataFrame]:
+    """What that run committed: rows of the sinks ``a``, ``b`` and ``dead``, and its log."""
+    home = forwarder_run(spark, sf_dir, since)
+    log = commit_log(f"{home}/checkpoint")
+    return {k: commits.visible(spark, log, f"{home}/{k}") for k in ("a", "b", "dead")}, commits.entries(spark, log)
+
+
+def tail_from_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a forwarder delivers that starts when two thirds of the lines are
+    there: the lines that come after its start (S9)."""
+    lines = log_lines(spark, sf_dir).select("event_id", "raw")
+
+    def run(home: str) -> None:
+        lines.where("event_id % 3 <> 0").select("raw").write.text(f"{home}/in")
+        for more in ("event_id % 3 = 0", "false"):  # the second start resumes; it doesn't skip again
+            _until_done(start_forwarder(spark, f"{home}/in", [f"{home}/a"], f"{home}/checkpoint", entries_per_batch=10 * ENTRIES, from_end=True))
+            lines.where(more).select("raw").write.mode("append").text(f"{home}/in")
+
+    home = _written(spark, "from-now", sf_dir, run)
+    return commits.visible(spark, commit_log(f"{home}/checkpoint"), f"{home}/a")
+
+
+#: Micro-batches that a run over lines in order of time is cut into.
+ORDERED_BATCHES = 6
+
+
+def ordered_stream(spark: SparkSession, kind: str, sf_dir: str, rows: DataFrame, order: Sequence[str], make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The Parquet sink of a streaming run over ``rows``, written as JSON lines in
+    ``order`` and tailed in ORDERED_BATCHES micro-batches."""
+
+    def run(home: str) -> None:
+        rows.orderBy(*order).select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(f"{home}/in")
+        entries = -(-rows.count() // ORDERED_BATCHES) or 1
+        lines = tail(spark, f"{home}/in", f"{home}/progress/offset.json", entries)
+        parsed = lines.select(F.from_json("raw", rows.schema).alias("r")).select("r.*")
+        stateful.run_to_end(make(parsed), f"{home}/out", f"{home}/checkpoint")
+
+    return spark.read.parquet(f"{_written(spark, kind, sf_dir, run)}/out")
+
+
+def closed_end(spark: SparkSession, sf_dir: str, pane_seconds: int, late_ms: int = 3_600_000) -> Column:
+    """End (milliseconds) of the last pane that the final watermark of a stream of the events has closed."""
+    newest = read_table(spark, sf_dir, "events", ["ts"]).select(
+        F.floor((F.unix_micros(F.max("ts").cast("timestamp")) - 1) / 1000) - late_ms)
+    pane = pane_seconds * 1000
+    return F.floor(newest.scalar() / pane) * pane
 
 
 def stored_samples(spark: SparkSession, sf_dir: str) -> str:
@@ -335,7 +410,7 @@ def trace_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(F.col("r") % 2 == 0, F.to_json(F.struct(F.col("t").alias("data")))).when(
         F.col("r") % 5 == 0, F.to_json(F.struct(none.alias("data"), F.col("t").alias("traces")))).otherwise(
         F.to_json(F.struct(F.col("t").alias("traces"))))
-    path = _written(spark, "responses", sf_dir, kept.select(body.alias("value"), F.col("r")).write.partitionBy("r").text)
+    path = _written(spark, "responses", sf_dir, kept.select(body.alias("value"), F.col("r")).write.partitionBy("r").text, ("orders", "lineitem"))
     named = F.regexp_extract("response", r"/r=(\d+)/", 1).cast("long")
     return read_results(spark, path).withColumn("response", named)
 

@@ -1,13 +1,16 @@
 """Log forwarding as a Structured Streaming job (S8-S10, P1-P3, P7, K1, K2,
 ST1-ST4, ST10).
 
-tail (file source) -> UTF-8 repair -> lenient parse -> relabel / keep ->
-micro-batch trigger -> idempotent write to one or two sinks.
+tail (whole files, or at most so many lines a micro-batch) -> UTF-8 repair ->
+lenient parse -> relabel / keep -> micro-batch trigger -> write to all sinks,
+then commit.
 
 Delivery: the reference retries a batch with backoff and keeps it until a
 send succeeds (at-least-once).  Here the checkpoint records offsets, and
 ``foreachBatch`` writes each batch to ``<sink>/batch_id=<id>`` in overwrite
 mode, so a replayed batch replaces its own output: effectively once per sink.
+The commit log (``streaming/commits.py``) makes the sinks one: a batch is visible
+in all of them or in none, and carries its drop counts.
 """
 
 from __future__ import annotations
@@ -20,11 +23,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orrery.operators.logs import event_seconds, parse_lenient, parse_strict, payload
 from orrery.session import scratch_path
+from orrery.sources.tail import tail
+from orrery.streaming.commits import atomic_writer
 
 # Flush policy of the reference forwarder, 2,500 entries or
-# 0.5 s (its alternative reader: 100 entries or 1.0 s).  A micro-batch
-# trigger of 0.5 s replaces the time rule; the entry count becomes an
-# optional cap on files per trigger (ours).
+# 0.5 s (its alternative reader: 100 entries or 1.0 s).  The micro-batch
+# trigger is the time rule; ``tail.ENTRIES`` the entry rule.
 BATCH_INTERVAL = "500 milliseconds"
 
 
@@ -83,47 +87,63 @@ def idempotent_writer(sinks: Sequence[str], fmt: str = "text"):
     return write
 
 
-def delivering(sinks: Sequence[str], dead_letter: str | None = None):
-    """``foreachBatch`` function for rows (value, rejected, raw): accepted values
-    to every sink, rejected raw lines to ``dead_letter`` if there is one."""
-    accept, reject = idempotent_writer(sinks), idempotent_writer([dead_letter]) if dead_letter else None
+def drop_counts() -> dict[str, Column]:
+    """What every batch counts (ST10): lines that became entries, plain-text ones
+    among them, lines rejected, and entries whose own time can't be read."""
+    return {k: F.count_if(c) for k, c in (
+        ("entries", ~F.col("rejected")), ("plain", F.col("plain")), ("rejected", F.col("rejected")), ("untimed", F.col("untimed")))}
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            accept(batch.filter(~F.col("rejected")).select("value"), batch_id)
-            if reject:
-                reject(batch.filter("rejected").select(F.col("raw").alias("value")), batch_id)
-        finally:
-            batch.unpersist()
 
-    return write
+def commit_log(checkpoint: str) -> str:
+    """Where a forwarder's commit log lies: beside its checkpoint."""
+    return checkpoint.rstrip("/") + "-commits"
 
 
 def start_forwarder(spark: SparkSession, source: str, sinks: Sequence[str], checkpoint: str | None = None,
                     strict: bool = False, keep_service: str | None = None,
                     available_now: bool = False, name: str = "forwarder", since: float | None = None,
-                    dead_letter: str | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
+                    dead_letter: str | None = None, files_per_trigger: int | None = None,
+                    entries_per_batch: int | None = None, from_end: bool = False) -> StreamingQuery:
     """Run the forwarder: tail ``source``, parse, optionally keep one service
     (P7 on the ``service`` field), deliver JSON lines to ``sinks``.
 
-    ``since`` (epoch seconds, e.g. ``time.time()``) forwards only entries from
-    then on (S9).  ``dead_letter`` receives the raw lines the strict parse
-    rejects (ST4).  Every micro-batch reports its drops (ST10) in the query's
-    progress, under ``observedMetrics[name]``.  ``files_per_trigger`` bounds a
-    micro-batch.
+    ``entries_per_batch`` bounds a micro-batch by lines, wherever in a file they
+    end (ST1; ``tail.ENTRIES`` is the reference's number), ``files_per_trigger``
+    by files.  ``from_end`` starts at what is there at first start, unread (S9;
+    with ``entries_per_batch`` only); ``since`` (epoch seconds) drops entries of an
+    earlier time of their own.  ``dead_letter`` receives the raw lines the strict
+    parse rejects (ST4).
+
+    Sinks and dead letters are read through ``commits.visible`` with
+    ``commit_log(checkpoint)``, drops (ST10) by ``commits.totals``; they are in
+    the query's progress too, under ``observedMetrics[name]``, where Spark keeps
+    the last hundred batches.
 
     The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>`` —
     the shared folder the cluster names, so a restarted driver resumes.
     """
     if checkpoint is None:
         checkpoint = scratch_path(spark, f"streams/{name}")
-    entries = forwarded_entries(tail_lines(spark, source, files_per_trigger), strict=strict, since=since, with_rejects=True)
+    if from_end and not entries_per_batch:
+        raise ValueError("from_end needs entries_per_batch")
+    if entries_per_batch:
+        lines = tail(spark, source, checkpoint.rstrip("/") + "-progress/offset.json", entries_per_batch, "end" if from_end else "beginning")
+    else:
+        lines = tail_lines(spark, source, files_per_trigger)
+    entries = forwarded_entries(lines, strict=strict, since=since, with_rejects=True)
     if keep_service:
         entries = entries.filter(F.col("rejected") | (F.col("fields")["service"] == keep_service))
     entries = observed_drops(entries, name)
-    out = entries.select(payload(entries).alias("value"), "rejected", "raw")
-    w = out.writeStream.foreachBatch(delivering(sinks, dead_letter)).option("checkpointLocation", checkpoint)
+    kept = ~F.col("rejected")
+    out = entries.select(payload(entries).alias("value"), "rejected", "raw", (kept & ~F.col("is_json")).alias("plain"),
+                         (kept & F.col("is_json") & event_seconds(F.col("_time")).isNull()).alias("untimed"))
+    targets = [*sinks, *([dead_letter] if dead_letter else [])]
+
+    def split(batch: DataFrame) -> list[DataFrame]:
+        sent = batch.filter(kept).select("value")
+        return [sent] * len(sinks) + [batch.filter("rejected").select(F.col("raw").alias("value"))] * bool(dead_letter)
+
+    w = out.writeStream.foreachBatch(atomic_writer(targets, commit_log(checkpoint), drop_counts(), split)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=BATCH_INTERVAL)
     return w.start()
 
