@@ -254,5 +254,58 @@ def histogram_buckets(df: DataFrame, bounds: Sequence[float], key: str = "series
     """Cumulative bucket counts ``count(value <= le)`` per series."""
     aggs = [F.count_if(F.col(value) <= F.lit(float(b))).alias(f"_b{i}") for i, b in enumerate(bounds)]
     wide = df.groupBy(key).agg(*aggs)
-    pairs = ", ".join(f"cast({float(b)!r} as double), _b{i}" for i, b in enumerate(bounds))
+    pairs = ", ".join(f"cast('{float(b)!r}' as double), _b{i}" for i, b in enumerate(bounds))
     return wide.select(key, F.expr(f"stack({len(bounds)}, {pairs}) as (le, cum_count)"))
+
+
+def merged_buckets(buckets: DataFrame, by: Sequence[str], key: str = "series_key") -> DataFrame:
+    """Cumulative buckets (by, le, cum_count) of several series as one.
+
+    Where the series' bounds differ, a series takes part at bounds of the others
+    with what it would hold there if its values were spread evenly between its
+    own bounds (from 0 on below a positive first one).  ``+Inf`` is infinity; what
+    a series holds above its last finite bound is spread nowhere, it joins at
+    ``+Inf``.  A group's bounds are collected to one array: as many as there are
+    different ones, however many series.
+    """
+    if not by:
+        return merged_buckets(buckets.withColumn("_all", F.lit(0)), ["_all"], key).drop("_all")
+    inf = F.lit(float("inf"))
+    bounds = buckets.groupBy(*by).agg(F.array_sort(F.collect_set("le")).alias("_les"))
+    own = buckets.groupBy(*by, key).agg(F.array_sort(F.collect_list(F.struct("le", F.col("cum_count").cast("double").alias("c")))).alias("_own"))
+
+    def held(le: Column, own_: Column) -> Column:
+        below = F.try_element_at(F.filter(own_, lambda b: b["le"] <= le), F.lit(-1))
+        above = F.get(F.filter(own_, lambda b: b["le"] > le), F.lit(0))
+        low = F.when(below.isNotNull(), below["le"]).otherwise(F.least(above["le"], F.lit(0.0)))
+        base = F.coalesce(below["c"], F.lit(0.0))
+        share = F.when(above["le"] > low, F.greatest(le - low, F.lit(0.0)) / (above["le"] - low)).otherwise(F.lit(0.0))
+        return F.when(above.isNull() | (above["le"] == inf), base).otherwise(base + (above["c"] - base) * share)
+
+    at = own.join(bounds, list(by))
+    each = at.select(*by, F.explode(F.transform("_les", lambda le: F.struct(le.alias("le"), held(le, F.col("_own")).alias("c")))).alias("_b"))
+    return each.groupBy(*by, F.col("_b.le").alias("le")).agg(F.sum("_b.c").alias("cum_count"))
+
+
+def histogram_quantile(buckets: DataFrame, q: float, by: Sequence[str]) -> DataFrame:
+    """Quantile ``q`` from cumulative buckets (by, le, cum_count) by interpolation
+    in the bucket that its rank, q times the total, falls in (A23).
+
+    The first bucket begins at 0 if its bound is positive, else its bound is the
+    answer; a rank above the last finite bound gives that bound; a group without
+    values, or without a finite bound, gives null.  Buckets of no values are
+    passed over.  Needs the ``+Inf`` bucket only where values lie above the others.
+    """
+    inf = F.lit(float("inf"))
+    all_ = buckets.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("le", F.col("cum_count").cast("double").alias("c")))).alias("b"))
+    rank = F.lit(float(q)) * F.col("total")
+    hit = F.get(F.filter("b", lambda x: (x["c"] >= F.col("rank")) & (x["c"] > 0)), F.lit(0))
+    before = F.try_element_at(F.filter("b", lambda x: x["le"] < F.col("hit.le")), F.lit(-1))
+    finite = F.filter("b", lambda x: x["le"] < inf)
+    got = all_.withColumn("total", F.element_at("b", -1)["c"]).withColumn("rank", rank).withColumn("hit", hit).withColumn("before", before)
+    low = F.when(F.col("before").isNotNull(), F.col("before.le")).otherwise(F.least(F.col("hit.le"), F.lit(0.0)))
+    under = F.coalesce("before.c", F.lit(0.0))
+    inside = low + (F.col("hit.le") - low) * ((F.col("rank") - under) / (F.col("hit.c") - under))
+    value = F.when(F.col("total") <= 0, F.lit(None)).when(F.col("hit.le") == inf, F.try_element_at(finite, F.lit(-1))["le"]).when(
+        F.col("hit.le") <= low, F.col("hit.le")).when(F.col("hit.c") > under, inside).otherwise(F.col("hit.le"))
+    return got.select(*by, value.cast("double").alias("quantile"), F.col("total").alias("count"))

@@ -22,8 +22,10 @@ from orrery.functions.numeric import cpu_percent, memory_percent
 from orrery.functions.numeric import relative_difference as rel_diff
 from orrery.functions.text import format_bytes, truncate, utf8_repair
 from orrery.operators import logs as L
+from orrery.operators import reconcile as RC
 from orrery.operators import report as R
 from orrery.operators import series as S
+from orrery.operators import sketches as SK
 from orrery.operators import traces as T
 from orrery.plans import views as V
 from orrery.sources import exposition as X
@@ -107,6 +109,49 @@ def histogram_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return S.histogram_buckets(V.samples(spark, sf), HIST_BOUNDS)
 
 
+INF = float("inf")
+ODD_BOUNDS = [25.0, 100.0, 300.0, INF]
+
+
+def histogram_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Median and p90 per type, by interpolation in the merged buckets of
+    series whose bounds differ (those of odd users have their own)."""
+    s = V.samples(spark, sf).withColumn("series_key", F.concat_ws("|", "event_type", F.col("user_id").cast("string")))
+    odd = F.col("user_id") % 2 == 1
+    both = S.histogram_buckets(s.where(~odd), [*HIST_BOUNDS, INF]).unionByName(S.histogram_buckets(s.where(odd), ODD_BOUNDS))
+    merged = S.merged_buckets(both.withColumn("event_type", F.split_part("series_key", F.lit("|"), F.lit(1))), ["event_type"])
+    p50 = S.histogram_quantile(merged, 0.5, ["event_type"]).select("event_type", _r6(F.col("quantile")).alias("p50"), F.col("count").cast("long").alias("n"))
+    p90 = S.histogram_quantile(merged, 0.9, ["event_type"]).select("event_type", _r6(F.col("quantile")).alias("p90"))
+    return p50.join(p90, "event_type")
+
+
+SKETCH_DAYS = ("2024-01-05", "2024-01-20")
+
+
+def quantiles_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """A11 + A12 from stored sketches: quantiles of the values per type over
+    sixteen days, without the samples."""
+    stored = V.stored_sketches(spark, sf)[0].where(F.col("day").between(*map(F.lit, SKETCH_DAYS)))
+    got = SK.merged_quantiles(stored, ["event_type"], {"p50": (1, 2), "p90": (9, 10), "p99": (99, 100)})
+    return got.select("event_type", "n", *[_r6(F.col(c)).alias(c) for c in ("p50", "p90", "p99")])
+
+
+def cardinality_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """A19 from stored sketches: for every first day of a range up to the last day,
+    the exact number of users and whether the merged estimate is within its bound."""
+    days = V.stored_sketches(spark, sf)[1].select("day", "sketch")
+    ends = days.select(F.col("day").alias("from_day"))
+    ranges = days.join(ends, F.col("day") >= F.col("from_day"))  # one row a day each
+    estimates = SK.merged_distinct(ranges, ["from_day"])
+    ev = read_table(spark, sf, "events", ["ts", "user_id"])
+    last = ev.groupBy("user_id").agg(F.max(F.date_format("ts", "yyyy-MM-dd")).alias("last_day"))
+    # a user is in all ranges that begin by its last day
+    by_last = last.groupBy("last_day").agg(F.count(F.lit(1)).alias("n"))
+    exact = by_last.join(ends, F.col("last_day") >= F.col("from_day")).groupBy("from_day").agg(F.sum("n").alias("users"))
+    off = F.abs(F.col("series") - F.col("users")) / F.col("users")
+    return exact.join(estimates, "from_day").select("from_day", "users", (off <= SK.distinct_error()).alias("within_bound"))
+
+
 def label_cardinality(spark: SparkSession, sf: str) -> DataFrame:
     """P10 + P9 + A19: label sets derived from event ids in base and
     high-cardinality mode, distinct canonical keys per mode."""
@@ -276,6 +321,19 @@ def reconcile_expected_found(spark: SparkSession, sf: str) -> DataFrame:
     return T.expected_vs_found(expected, found, ["batch"])
 
 
+def reconcile_lost_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """J5 by name: the trace ids that a batch lost and those it has too much, by
+    difference digests.  Spans of every 211th order carry another id."""
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"])
+    expected = orders.select(F.col("o_orderstatus").alias("batch"), F.col("o_orderkey").alias("trace"))
+    spans = V.spans(spark, sf).select("order_key").distinct()
+    tagged = spans.join(orders, F.col("order_key") == F.col("o_orderkey"))
+    other = F.when(F.col("order_key") % 211 == 0, F.col("order_key") + 10**12).otherwise(F.col("order_key"))
+    found = tagged.select(F.col("o_orderstatus").alias("batch"), other.alias("trace"))
+    got = RC.lost_and_surplus(expected.distinct(), found, "batch", "trace", unique=True)
+    return got.select(F.col("tag").alias("batch"), F.col("id").cast("long").alias("trace"), "side")
+
+
 def backend_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """The replica backend only kept spans with line number <= 4.
 
@@ -666,6 +724,14 @@ def stream_rate_per_series(spark: SparkSession, sf: str) -> DataFrame:
     return SF.rates_from_panes(panes, "series_key", WEEK, end)
 
 
+def stream_churn(spark: SparkSession, sf: str) -> DataFrame:
+    """A20 + U3 streamed: series active, appeared and disappeared per closed day."""
+    rows = V.samples(spark, sf).select("series_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id")
+    changes = V.ordered_stream(spark, "changes", sf, rows, ["us", "event_id"], lambda s: SF.series_changes(
+        s.withColumn("event_ts", F.timestamp_micros("us")), "series_key", DAY, STREAM_WATERMARK))
+    return SF.churn_from_changes(changes, DAY)
+
+
 def stream_sliding_state(spark: SparkSession, sf: str) -> DataFrame:
     """ST8 streamed: counts over a day every six hours per type, from a ring of panes."""
     ev = read_table(spark, sf, "events", ["event_id", "ts", "event_type"]).select(
@@ -696,9 +762,10 @@ def stream_periodic_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_running_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """ST9: running counter per series = keyed aggregate."""
-    ev = _events_et(spark, sf).withColumn("v", F.col("value").cast("decimal(18,2)"))
-    out = W.running_totals(ev, ["event_type"], "v")
+    """ST9: running counter per series, a keyed aggregate in update mode over
+    several micro-batches; what the sink holds is each series' last update."""
+    rows = V.samples(spark, sf).select("event_type", F.col("value").cast("decimal(18,2)").alias("v"), "event_id")
+    out = V.updated(spark, "totals", sf, rows, ["event_id"], lambda s: W.running_totals(s, ["event_type"], "v"), ["event_type"])
     return out.select("event_type", F.col("total").cast("double").alias("total"), "samples")
 
 
@@ -724,12 +791,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     fns = [
         topk_latest, topk_rate, rate_per_series, count_over_time_tumbling, count_over_time_sliding,
         count_over_time_last_step_total, count_over_time_plain_total, series_cardinality, series_churn,
-        histogram_buckets, label_cardinality,
+        histogram_buckets, histogram_quantiles, quantiles_merged, cardinality_merged, label_cardinality,
         log_error_lines, log_window_count, log_latest_lines, log_parse_lenient, log_parse_strict, log_entry_payload, log_stream_counts,
         log_range_count_total,
         exposition_sum, exposition_pages_sum, exposition_labelled, exposition_selected, exposition_first, exposition_last, exposition_active_series,
         exposition_named, exposition_drop_prefix_sum,
-        trace_span_counts, trace_service_tag_search, trace_field_search, reconcile_expected_found,
+        trace_span_counts, trace_service_tag_search, trace_field_search, reconcile_expected_found, reconcile_lost_ids,
         backend_ratio, trace_keep_matches_else_all, trace_process_exists, search_result_counts, trace_response_counts,
         trace_response_labelled, trace_response_tags,
         latency_percentiles_recent, latency_percentiles_by_type, latency_summary_stats, errors_per_query,
@@ -739,7 +806,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trace_search_with_fallback, trace_search_strict_wins, tag_inspection, query_latency_table,
         stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
         stream_late_rejection, stream_sink_steps, stream_sink_snapshot, stream_sink_forwarder, stream_forwarder_pair, stream_forwarder_batches, stream_drop_counts,
-        stream_tail_from_now, stream_rate_per_series, stream_sliding_state, stream_retention,
+        stream_tail_from_now, stream_rate_per_series, stream_sliding_state, stream_churn, stream_retention,
         stored_range_counts,
         run_latest, run_query_errors, *REPORTS,
     ]

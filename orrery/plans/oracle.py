@@ -244,6 +244,40 @@ b AS (SELECT CAST(le AS DOUBLE) AS le FROM (VALUES (10), (50), (100), (250), (50
 SELECT s.series_key, b.le, CAST(sum(CASE WHEN s.value <= b.le THEN 1 ELSE 0 END) AS BIGINT) AS cum_count
 FROM samples s, b GROUP BY ALL"""
 
+    q["histogram_quantiles"] = """WITH bounds AS (
+  SELECT * FROM (VALUES (0, 10.0::DOUBLE), (0, 50), (0, 100), (0, 250), (0, 500), (0, 'Infinity'::DOUBLE),
+                        (1, 25), (1, 100), (1, 300), (1, 'Infinity'::DOUBLE)) v(p, le)),
+own AS (SELECT event_type, p, le, CAST(count(*) FILTER (value <= le) AS DOUBLE) AS c
+        FROM events JOIN bounds ON p = user_id % 2 GROUP BY ALL),
+le AS (SELECT DISTINCT event_type, le FROM own),
+near AS (SELECT le.event_type, le.le, o.p, max(o.le) FILTER (o.le <= le.le) AS lo, coalesce(arg_max(o.c, o.le) FILTER (o.le <= le.le), 0) AS lo_c,
+                min(o.le) FILTER (o.le > le.le) AS hi, arg_min(o.c, o.le) FILTER (o.le > le.le) AS hi_c
+         FROM le JOIN own o USING (event_type) GROUP BY ALL),
+held AS (SELECT event_type, le, sum(CASE WHEN hi IS NULL OR isinf(hi) THEN lo_c
+             ELSE lo_c + (hi_c - lo_c) * (le - coalesce(lo, 0)) / (hi - coalesce(lo, 0)) END) AS c FROM near GROUP BY ALL),
+b AS (SELECT *, coalesce(lag(le) OVER w, 0) AS low, coalesce(lag(c) OVER w, 0) AS under, max(c) OVER (PARTITION BY event_type) AS total
+      FROM held WINDOW w AS (PARTITION BY event_type ORDER BY le)),
+hit AS (SELECT event_type, total, f, arg_min(CASE WHEN isinf(le) THEN low ELSE low + (le - low) * (f * total - under) / (c - under) END, le) AS v
+        FROM b, (VALUES (0.5), (0.9)) q(f) WHERE c >= f * total AND c > 0 GROUP BY ALL)
+SELECT event_type, CAST(total AS BIGINT) AS n, round(max(v) FILTER (f = 0.5), 6) AS p50, round(max(v) FILTER (f = 0.9), 6) AS p90
+FROM hit GROUP BY ALL"""
+    # logarithmic buckets with a relative error of 0.01: gamma = 1.01 / 0.99
+    q["quantiles_merged"] = """WITH s AS (
+  SELECT event_type, CAST(ceil(ln(value) / ln(1.01::DOUBLE / 0.99::DOUBLE)) AS INTEGER) AS b, count(*) AS k
+  FROM events WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-05' AND '2024-01-20' GROUP BY ALL),
+r AS (SELECT event_type, pow(1.01::DOUBLE / 0.99::DOUBLE, b) * 2 / (1 + 1.01::DOUBLE / 0.99::DOUBLE) AS v, k,
+             sum(k) OVER (PARTITION BY event_type ORDER BY b) AS upto, sum(k) OVER (PARTITION BY event_type) AS n FROM s),
+f AS (SELECT * FROM (VALUES ('p50', 1, 2), ('p90', 9, 10), ('p99', 99, 100)) f(name, i, m)),
+q AS (SELECT event_type, n, name, i, m, i * (n + 1) // m AS j, i * (n + 1) % m AS d FROM (SELECT DISTINCT event_type, n FROM r), f),
+e AS (SELECT q.event_type, q.n, name,
+             (max(v) FILTER (upto >= greatest(1, least(j, q.n)) AND upto - k < greatest(1, least(j, q.n))) * (m - d)
+              + max(v) FILTER (upto >= greatest(1, least(j + 1, q.n)) AND upto - k < greatest(1, least(j + 1, q.n))) * d) / m AS x
+      FROM q JOIN r USING (event_type) GROUP BY q.event_type, q.n, name, j, d, m)
+SELECT event_type, CAST(n AS BIGINT) AS n, round(max(x) FILTER (name = 'p50'), 6) AS p50, round(max(x) FILTER (name = 'p90'), 6) AS p90,
+       round(max(x) FILTER (name = 'p99'), 6) AS p99 FROM e GROUP BY ALL"""
+    q["cardinality_merged"] = """WITH d AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS from_day FROM events)
+SELECT from_day, count(DISTINCT user_id) AS users, true AS within_bound FROM d JOIN events ON strftime(ts, '%Y-%m-%d') >= from_day GROUP BY 1"""
+
     q["label_cardinality"] = """WITH k AS (
   SELECT 'base' AS mode,
          'test_metric{benchmark_app="events",instance="instance-' || CAST(event_id % 100 AS VARCHAR)
@@ -361,6 +395,12 @@ SELECT batch, coalesce(expected, 0) AS expected, coalesce(found, 0) AS found,
        CAST(coalesce(found, 0) AS VARCHAR) || '/' || CAST(coalesce(expected, 0) AS VARCHAR) AS found_of_expected
 FROM e FULL JOIN f USING (batch)"""
 
+    q["reconcile_lost_ids"] = """WITH e AS (SELECT DISTINCT o_orderstatus AS batch, o_orderkey AS trace FROM orders),
+f AS (SELECT DISTINCT batch, trace + CASE WHEN trace % 211 = 0 THEN 1000000000000 ELSE 0 END AS trace
+      FROM e WHERE trace IN (SELECT l_orderkey FROM lineitem))
+SELECT batch, trace, 'missing' AS side FROM (SELECT * FROM e EXCEPT SELECT * FROM f)
+UNION ALL SELECT batch, trace, 'surplus' FROM (SELECT * FROM f EXCEPT SELECT * FROM e)"""
+
     q["backend_ratio"] = f"""WITH {SPANS},
 p AS (SELECT flag, count(DISTINCT nullif(trace_id, '')) AS t, count(*) AS s FROM spans GROUP BY flag),
 r AS (SELECT flag, count(DISTINCT nullif(trace_id, '')) AS t, count(*) AS s FROM spans WHERE line_number <= 4
@@ -566,6 +606,13 @@ SELECT series_key, CAST(inc AS DOUBLE) AS increase, CAST(inc AS DOUBLE) / 604800
 SELECT make_timestamp(g.t) AS window_end, g.event_type, count(*) AS n
 FROM grid g JOIN events e ON e.event_type = g.event_type AND epoch_us(e.ts) > g.t - {day} AND epoch_us(e.ts) <= g.t
 WHERE g.t <= {pane_end} GROUP BY ALL"""
+    q["stream_churn"] = f"""WITH {SAMPLES}, lim AS (SELECT (epoch_us(max(ts)) // 1000 * 1000 - 3600000000) // {day} AS i FROM events),
+a AS (SELECT DISTINCT series_key, epoch_us(ts) // {day} AS i FROM samples WHERE epoch_us(ts) // {day} < (SELECT i FROM lim)),
+s AS (SELECT i, 1 AS act, CASE WHEN NOT EXISTS (SELECT 1 FROM a p WHERE p.series_key = a.series_key AND p.i = a.i - 1) THEN 1 ELSE 0 END AS app, 0 AS gone FROM a
+      UNION ALL SELECT i + 1, 0, 0, 1 FROM a WHERE i + 1 < (SELECT i FROM lim)
+        AND NOT EXISTS (SELECT 1 FROM a x WHERE x.series_key = a.series_key AND x.i = a.i + 1))
+SELECT make_timestamp(i * {day}) AS interval_start, CAST(sum(act) AS BIGINT) AS active, CAST(sum(app) AS BIGINT) AS appeared,
+       CAST(sum(gone) AS BIGINT) AS disappeared FROM s GROUP BY i"""
     q["stream_retention"] = """SELECT event_type, count(*) AS entries FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1"""
     q["stored_range_counts"] = """SELECT event_type, count(*) AS samples FROM events

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
+from orrery.operators import sketches
 from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered, with_running_sum
 from orrery.session import remove_at_end, scratch_path
 from orrery.sources import runs
@@ -31,7 +32,7 @@ from orrery.sources.tables import read_table, table_path
 from orrery.sources.tail import ENTRIES, tail
 from orrery.sources.trace_results import read_results
 from orrery.streaming import commits, stateful
-from orrery.streaming.forwarder import commit_log, start_forwarder
+from orrery.streaming.forwarder import commit_log, idempotent_writer, start_forwarder
 
 # Fixed vocabulary of the bindings (also used by the oracle SQL).
 METRIC_NAME = "event_value"
@@ -294,6 +295,37 @@ def ordered_stream(spark: SparkSession, kind: str, sf_dir: str, rows: DataFrame,
     return spark.read.parquet(f"{_written(spark, kind, sf_dir, run)}/out")
 
 
+def updated(spark: SparkSession, kind: str, sf_dir: str, rows: DataFrame, order: Sequence[str], make: Callable[[DataFrame], DataFrame],
+            keys: Sequence[str]) -> DataFrame:
+    """What a streaming query in update mode has said last of every key, after
+    ORDERED_BATCHES micro-batches over ``rows``: each batch's updates are a folder
+    of the sink, written again whole on a replay."""
+
+    def run(home: str) -> None:
+        rows.orderBy(*order).select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(f"{home}/in")
+        lines = tail(spark, f"{home}/in", f"{home}/progress/offset.json", -(-rows.count() // ORDERED_BATCHES) or 1)
+        parsed = lines.select(F.from_json("raw", rows.schema).alias("r")).select("r.*")
+        write = idempotent_writer([f"{home}/out"], "parquet")
+        _until_done(make(parsed).writeStream.outputMode("update").foreachBatch(write).option(
+            "checkpointLocation", f"{home}/checkpoint").trigger(processingTime="0 seconds").start())
+
+    said = spark.read.parquet(f"{_written(spark, kind, sf_dir, run)}/out")
+    others = [c for c in said.columns if c not in (*keys, "batch_id")]
+    return said.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in others])
+
+
+def stored_sketches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored per day: quantile sketches of the values by type, and sketches of the users."""
+    ev = read_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"]).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+
+    def run(home: str) -> None:
+        sketches.quantile_sketch(ev, ["day", "event_type"], "value").write.parquet(f"{home}/quantiles")
+        sketches.distinct_sketch(ev, ["day"], "user_id").write.parquet(f"{home}/users")
+
+    home = _written(spark, "sketches", sf_dir, run)
+    return spark.read.parquet(f"{home}/quantiles"), spark.read.parquet(f"{home}/users")
+
+
 def closed_end(spark: SparkSession, sf_dir: str, pane_seconds: int, late_ms: int = 3_600_000) -> Column:
     """End (milliseconds) of the last pane that the final watermark of a stream of the events has closed."""
     newest = read_table(spark, sf_dir, "events", ["ts"]).select(

@@ -1,6 +1,7 @@
-"""Keyed state over panes: counter rates and sliding counts of a stream (A5, W4, ST8).
+"""Keyed state over panes: counter rates, sliding counts and churn of a stream
+(A5, W4, ST8, A20, U3).
 
-Both run in two steps.  A native windowed aggregate first makes one row a series
+All run in two steps.  A native windowed aggregate first makes one row a series
 and pane (a step of time, left-open), so that a hot series' samples are dealt by
 time and each sample is looked at once.  The rows of a series then come in the
 order of their panes, since a pane is given out when the watermark passes its
@@ -171,6 +172,71 @@ def sliding_counts(df: DataFrame, key: str, width_seconds: int, step_seconds: in
     return ring.select(F.col("key").alias(key), F.timestamp_millis("pane").alias("window_end"), "n")
 
 
+class _Activity(StatefulProcessor):
+    """State of a series: the last interval it was active in.  An interval after a
+    silent one says "appeared"; the timer at the end of the interval after the
+    last active one says "disappeared", and the state goes."""
+
+    def __init__(self, step_ms: int):
+        self.step = step_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "pane long")
+
+    def _said(self, key: tuple, said: list[tuple[int, str]]) -> pd.DataFrame:
+        return pd.DataFrame({"key": pd.Series([key[0]] * len(said), dtype=object), "pane": pd.Series([p for p, _ in said], dtype="int64"),
+                             "change": pd.Series([c for _, c in said], dtype=object)})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        panes = sorted(pd.concat(list(rows))["pane"].tolist())
+        last, said = self.last.get()[0] if self.last.exists() else None, []
+        for pane in panes:
+            if last is not None and pane > last + self.step:
+                said.append((last + self.step, "disappeared"))
+            if last is None or pane > last + self.step:
+                said.append((pane, "appeared"))
+            said.append((pane, "active"))
+            last = pane
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        if timerValues.getCurrentWatermarkInMs() >= last + self.step:
+            said.append((last + self.step, "disappeared"))
+            self.last.clear()
+        else:
+            self.last.update((last,))
+            self.handle.registerTimer(last + self.step)
+        yield self._said(key, said)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield self._said(key, [(expiredTimerInfo.getExpiryTimeInMs(), "disappeared")])
+
+    def close(self) -> None:
+        pass
+
+
+def series_changes(df: DataFrame, key: str, step_seconds: int, watermark: str, ts: str = "event_ts") -> DataFrame:
+    """Activity of series on a stream (A20, U3): key, pane (the interval's end in
+    milliseconds; intervals are left-closed) and change: ``active``, ``appeared``
+    (not active in the interval before) or ``disappeared`` (active in the one
+    before, silent in this one, known when the watermark passes its end).
+
+    A series takes state while it is active and for one interval more.
+    """
+    with_state_store(df.sparkSession)
+    seen = df.withWatermark(ts, watermark).groupBy(F.window(ts, f"{step_seconds} seconds").alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
+    seen = seen.select("w", F.unix_millis("w.end").alias("pane"), F.col(key).cast("string").alias("key"))
+    return seen.groupBy("key").transformWithStateInPandas(_Activity(step_seconds * MS), "key string, pane long, change string", "append", "eventTime")
+
+
+def churn_from_changes(changes: DataFrame, step_seconds: int) -> DataFrame:
+    """interval_start, active, appeared, disappeared per interval, from what ``series_changes`` wrote."""
+    counted = changes.groupBy("pane").agg(*[F.count_if(F.col("change") == c).alias(c) for c in ("active", "appeared", "disappeared")])
+    start = F.timestamp_millis(F.col("pane") - step_seconds * MS).cast("timestamp_ntz")
+    return counted.select(start.alias("interval_start"), "active", "appeared", "disappeared")
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str, keep: Sequence[str] = ()) -> DataFrame:
     """Streams into Parquet files until all that is there is processed, and reads them."""
     out = stream.select(*keep) if keep else stream

@@ -218,3 +218,17 @@ def test_a_changed_table_gives_a_new_result(spark, scratch):
     files = len(views._WRITTEN)
     catalog.stored_range_counts(spark, f"{scratch}/sf")
     assert len(views._WRITTEN) == files
+
+
+def test_streamed_churn_equals_the_batch_operator(spark, scratch):
+    rows = [r for r in samples(11) if not (r[0] == "a" and 12_000 < r[1] - 1_704_067_200 < 40_000)]
+    rows.append(("late series", rows[-1][1] + 30_000, 9999, 1))
+    src = f"{scratch}/in"
+    for name, part in (("a.log", rows[:200]), ("b.log", rows[200:])):
+        put(src, name, json_lines(part))
+        out = SF.run_to_end(SF.series_changes(as_stream(spark, src, scratch, 90), "series_key", 1800, "30 minutes"), f"{scratch}/out", f"{scratch}/ck")
+    closed = (rows[-1][1] - 1800) // 1800 * 1800
+    batch = spark.createDataFrame([(k, dt.datetime(1970, 1, 1) + dt.timedelta(seconds=s)) for k, s, _, _ in rows], "series_key string, ts timestamp_ntz")
+    limit = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=closed)
+    want = sorted(tuple(r) for r in S.series_churn(batch, 1800).collect() if r.interval_start < limit)
+    assert sorted(tuple(r) for r in SF.churn_from_changes(out, 1800).collect()) == want
