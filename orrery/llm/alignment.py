@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from sentencepiece import sentencepiece_model_pb2
 from orrery.llm.packing import byte_letters
 from orrery.llm.pieces import BYTE, MARK
 from orrery.llm.tokencount import bare, pre_tokens
-from orrery.llm.util import narrow, short_batches, staged
+from orrery.llm.util import from_planes, narrow, planes, short_batches, staged
 
 #: Chunks whose ids a worker remembers, a tokenizer.
 REMEMBER = 300_000
@@ -235,16 +234,6 @@ class Aligner:
         return pa.table({"doc": np.concatenate(docs), "pair": np.concatenate(pairs), "times": np.concatenate(times)})
 
 
-def _planes(*columns: np.ndarray) -> bytes:
-    """64-bit columns of one length, byte by byte, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.astype("<i8").view("u1").reshape(-1, 8).T.tobytes() for c in columns))
-
-
-def _from_planes(data: bytes, columns: int) -> list[np.ndarray]:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(columns, 8, -1)
-    return [np.ascontiguousarray(c.T).view("<i8").ravel() for c in raw]
-
-
 def _blocks(rows: DataFrame, tokenizer: str, model: bytes) -> DataFrame:
     """Blocks of documents: what alignment says of each, the block's distinct
     pairs with the number of its documents that hold them, and each document's
@@ -265,7 +254,7 @@ def _blocks(rows: DataFrame, tokenizer: str, model: bytes) -> DataFrame:
             doc, at, times = table.column("doc").to_numpy(), np.searchsorted(pairs, table.column("pair").to_numpy()), table.column("times").to_numpy()
             order = np.argsort(doc * np.int64(max(1, len(pairs))) + at)
             distinct = np.bincount(doc, minlength=len(ids))
-            columns = [block, ids, *facts.values(), pairs, docs, distinct, _planes(np.diff(at[order], prepend=0), times[order])]
+            columns = [block, ids, *facts.values(), pairs, docs, distinct, planes(np.diff(at[order], prepend=0), times[order])]
             return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, types, strict=True)], names=names)
 
         def aligned(ids: list, texts: list, facts: dict[str, list], tables: list[pa.Table]) -> None:
@@ -321,7 +310,7 @@ def align_documents(docs: DataFrame, tokenizer: str, model: bytes, id_col: str =
     def looked_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         of = {c: left.column(c).combine_chunks() for c in left.column_names}
         m = len(of["doc_ids"].values)
-        at, times = _from_planes(of["postings"][0].as_py(), 2) if len(of["pairs"].values) else (np.zeros(0, np.int64),) * 2
+        at, times = from_planes(of["postings"][0].as_py(), 2) if len(of["pairs"].values) else (np.zeros(0, np.int64),) * 2
         at = np.cumsum(at)
         count, best = np.zeros(len(of["pairs"].values), np.int64), np.zeros(len(of["pairs"].values), np.int64)
         place = right.column("at").to_numpy()

@@ -18,6 +18,7 @@ word, and only the counts go back to the block.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -26,10 +27,10 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.util import narrow, portions, short_batches, staged
+from orrery.llm.util import from_planes, narrow, planes, portions, short_batches, staged
 
 END = b"\n"
 #: End marks before every document, so that no context reaches into the one before.
@@ -48,8 +49,10 @@ PRIOR = 0.05
 WEIGHT, RATE, OFFSET_RATE = 0.4, 0.01, 0.02
 #: Bytes of a document's first two stretches; the next ones double up to LONGEST.
 STRETCH, LONGEST = 64, 4096
-#: Documents scored together, characters of a block.
-TOGETHER, BLOCK_CHARS = 256, 4_000_000
+#: Documents, and bytes, scored together; bytes whose cells are found at a time.
+TOGETHER, TOGETHER_BYTES, WINDOW = 128, 1 << 18, 1 << 18
+#: Characters of a block.
+BLOCK_CHARS = 8_000_000
 #: Added to word counts of the plain score.
 ADDED = 0.1
 GATES = 3
@@ -66,7 +69,7 @@ with np.errstate(over="ignore"):
     _POWERS = np.cumprod(np.full(256, 0x85EBCA6B, _U), dtype=_U)
 
 BLOCK = ("block long, doc_ids array<long>, held array<boolean>, n_tokens array<long>, n_bytes array<long>, scores array<double>, "
-         "words array<binary>, trained array<long>, distinct array<int>, word_at array<int>, times array<int>")
+         "words array<binary>, trained array<long>, distinct array<long>, postings binary")
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
           "n_bytes long, bits_per_byte double")
 
@@ -86,32 +89,44 @@ def _joined(sequences: Iterable[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(x for s in sequences for x in (lead, s)), np.uint8)
 
 
-def cells(buf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per predictor the cells of the high and of the low half of every byte: 16
-    times the slot of the context (for the low half, with the high one) plus the half byte."""
-    n, b = len(buf), buf.astype(_U)
-    pairs = np.full(n, 0x0A0A, _U)  # the two bytes before
-    pairs[2:] = b[1:-1] | b[:-2] << _U(8)
-    four = pairs | _U(0x0A0A0000)
-    four[2:] = pairs[2:] | pairs[:-2] << _U(16)
-    at = np.arange(n, dtype=np.int32)
-    begin = np.where((buf == 32) | (buf == 10), at + 1, 0).astype(np.int32)
-    np.maximum.accumulate(begin, out=begin)  # where the word of this byte begins; past it for a byte between words
-    inside = at - begin
-    terms = (b + _U(1)) * _POWERS[inside & 255]
-    terms[inside < 0] = 0
+def cells(buf: np.ndarray, word: tuple[int, int] = (0, 0)) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[int, int]]:
+    """Per predictor the cells of the high and of the low half of every byte but
+    the first LEAD: 16 times the slot of the context (for the low half, with the
+    high one) plus the half byte.  ``word``: hash and length so far of the word
+    that the first of these bytes is in; those after the last one come back too."""
+    b = buf.astype(_U)
+    four = b[3:-1] | b[2:-2] << _U(8) | b[1:-3] << _U(16) | b[:-4] << _U(24)
+    buf, b = buf[LEAD:], b[LEAD:]
+    n = len(b)
+    at = np.arange(n + 1, dtype=np.int64)
+    # where the word that a byte continues begins; before the first break, in an earlier window
+    begin = np.zeros(n + 1, np.int64)
+    begin[0] = -word[1]
+    np.copyto(begin[1:], np.where((buf == 32) | (buf == 10), at[1:], -word[1]))
+    np.maximum.accumulate(begin, out=begin)
+    length = at - begin
+    terms = (b + _U(1)) * _POWERS[length[:-1] & 255]
+    terms[length[1:] == 0] = 0
     sums = np.concatenate([np.zeros(1, _U), np.cumsum(terms, dtype=_U)])
-    start = np.concatenate([np.zeros(1, np.int32), begin[:-1]])
-    word = sums[:-1] - sums[start] + (at - start).astype(_U) * _U(0xC2B2AE35)
-    high, low = (b >> _U(4)), b & _U(15)
+    so_far = sums - np.where(begin > 0, sums[np.maximum(begin, 0)], _U(0)) + np.where((begin > 0) | (length == 0), _U(0), _U(word[0]))
+    hashed = so_far[:-1] + length[:-1].astype(_U) * _U(0xC2B2AE35)
+    high, low = b >> _U(4), b & _U(15)
     out = []
-    for context, bits, salt in zip((four & _U(0xFFFFFF), four, word), SLOTS, (1, 2, 3), strict=True):
+    for context, bits, salt in zip((four & _U(0xFFFFFF), four, hashed), SLOTS, (1, 2, 3), strict=True):
         h = (context + _U(salt)) * _U(0x9E3779B1)
         h ^= h >> _U(15)
         h *= _U(0x85EBCA77)
         g = (h + (high + _U(1)) * _U(0xC2B2AE3D)) * _U(0x9E3779B1)
         out.append(((h >> _U(32 - bits) << _U(4)) | high, (g >> _U(32 - bits) << _U(4)) | low))
-    return out
+    return out, (int(so_far[-1]), int(length[-1]))
+
+
+def windows(buf: np.ndarray) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """``cells`` of all bytes, a window at a time, with where each begins (less LEAD)."""
+    word = (0, 0)
+    for at in range(0, len(buf) - LEAD, WINDOW):
+        found, word = cells(buf[at : at + WINDOW + LEAD], word)
+        yield at, found
 
 
 def _packed(at: np.ndarray, counts: np.ndarray) -> bytes:
@@ -135,10 +150,12 @@ def _counted(texts: DataFrame) -> DataFrame:
 
         def add() -> None:
             buf = _joined(held)
-            keep = np.concatenate([np.arange(len(s)) + at for s, at in zip(held, np.cumsum([LEAD + len(s) for s in held]) - [len(s) for s in held], strict=True)])
-            for table, (high, low) in zip(tables, cells(buf), strict=True):
-                np.add.at(table, high[keep], _U(1))
-                np.add.at(table, low[keep], _U(1))
+            real = np.concatenate([np.arange(LEAD + len(s)) >= LEAD for s in held])[LEAD:]  # no marks of the lead
+            for at, found in windows(buf):
+                keep = real[at : at + WINDOW]
+                for table, halves in zip(tables, found, strict=True):
+                    for half in halves:
+                        np.add.at(table, half[keep], _U(1))
 
         for texts in portions((b.column(0) for b in batches), 200):
             for text in texts.to_pylist():
@@ -247,9 +264,14 @@ def score(sequences: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
     """log10 of the model's probability of each sequence; a sequence's result
     doesn't depend on the others."""
     out = np.zeros(len(sequences))
-    by_length = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    for i in range(0, len(by_length), TOGETHER):
-        mine = by_length[i : i + TOGETHER]
+    mine, size = [], 0
+    for i in sorted(range(len(sequences)), key=lambda i: -len(sequences[i])):
+        if mine and (len(mine) == TOGETHER or size + len(sequences[i]) > TOGETHER_BYTES):
+            out[mine] = _score([sequences[j] for j in mine], tables)
+            mine, size = [], 0
+        mine.append(i)
+        size += len(sequences[i])
+    if mine:
         out[mine] = _score([sequences[j] for j in mine], tables)
     return out
 
@@ -258,13 +280,15 @@ def _score(sequences: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
     """``score`` of sequences of falling length."""
     buf = _joined(sequences)
     lengths = np.array([len(s) for s in sequences])
-    starts = np.cumsum(lengths + LEAD) - lengths
-    found = []
-    for table, (high, low) in zip(tables, cells(buf), strict=True):
-        both = np.empty((len(buf), 2), np.int32)
-        both[:, 0], both[:, 1] = table[high], table[low]
-        found.append(both.view(np.int64).ravel())  # the eight logits of a byte
-    gates = _GATE[np.concatenate([buf[:1], buf[:-1]])]
+    starts = np.cumsum(lengths + LEAD) - lengths - LEAD
+    both = [np.empty((len(buf) - LEAD, 2), np.int32) for _ in tables]
+    for at, cell in windows(buf):
+        for table, out, halves in zip(tables, both, cell, strict=True):
+            for i, half in enumerate(halves):
+                out[at : at + len(half), i] = table[half]
+    found = [x.view(np.int64).ravel() for x in both]  # the eight logits of a byte
+    gates = _GATE[buf[LEAD - 1 : -1]]
+    buf = buf[LEAD:]
     kinds = len(sequences) * GATES
     weights = [np.full((kinds, 8), WEIGHT / STEP, np.float32) for _ in tables]
     offset = np.zeros((kinds, 8), np.float32)
@@ -307,8 +331,8 @@ def _blocks(rows: DataFrame, predictors: Predictors) -> DataFrame:
     model = rows.sparkSession.sparkContext.broadcast(predictors)
     schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
                         *((k, pa.list_(pa.int64())) for k in ("n_tokens", "n_bytes")), ("scores", pa.list_(pa.float64())),
-                        ("words", pa.list_(pa.binary())), ("trained", pa.list_(pa.int64())),
-                        *((k, pa.list_(pa.int32())) for k in ("distinct", "word_at", "times"))])
+                        ("words", pa.list_(pa.binary())), ("trained", pa.list_(pa.int64())), ("distinct", pa.list_(pa.int64())),
+                        ("postings", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, block = model.value.tables(), TaskContext.get().partitionId() << 33
@@ -316,7 +340,7 @@ def _blocks(rows: DataFrame, predictors: Predictors) -> DataFrame:
         def out(held: list[tuple]) -> pa.RecordBatch:
             words: dict[bytes, int] = {}
             trained: Counter[bytes] = Counter()
-            distinct, word_at, times, n_tokens, sequences = [], [], [], [], []
+            at, times, distinct, n_tokens, sequences = array("q"), array("q"), [], [], []
             for _, _, train, text in held:
                 found = tokens(text)
                 sequences.append(sequence(found))
@@ -326,10 +350,13 @@ def _blocks(rows: DataFrame, predictors: Predictors) -> DataFrame:
                 if train:
                     trained.update(counts)
                 distinct.append(len(counts))
-                word_at += [words.setdefault(w, len(words)) for w in counts]
-                times += counts.values()
-            columns = [block, [h[0] for h in held], [h[1] for h in held], n_tokens, [len(s) for s in sequences],
-                       score(sequences, tables), list(words), [trained[w] for w in words], distinct, word_at, times]
+                at.extend([words.setdefault(w, len(words)) for w in counts])
+                times.extend(counts.values())
+            scores = score(sequences, tables)
+            places, n = np.array(at), np.array(distinct)
+            order = np.argsort(np.repeat(np.arange(len(n)), n) * len(words) + places)
+            columns = [block, [h[0] for h in held], [h[1] for h in held], n_tokens, [len(s) for s in sequences], scores, list(words),
+                       [trained[w] for w in words], n, planes(np.diff(places[order], prepend=0), np.array(times)[order])]
             return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
         held, chars = [], 0
@@ -366,21 +393,24 @@ def score_documents(docs: DataFrame, predictors: Predictors, id_col: str = "doc_
     rows = rows.select("doc_id", F.coalesce(out, F.lit(False)).alias("held"), F.coalesce(~out, F.lit(False)).alias("train"), "text")
     blocks = staged(_blocks(rows, predictors), "mixing-blocks")
     thin = blocks.select("block", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w")).select(
-        "block", "at", F.col("w.words").alias("word"), F.col("w.trained").alias("trained"))
-    counts = thin.where("trained > 0").groupBy("word").agg(F.sum("trained").alias("c"))
+        F.col("block").alias("of_block"), "at", F.col("w.words").alias("word"), F.col("w.trained").alias("trained"))
+    # a row a block and word: however frequent a word is, its rows are as many as the blocks
+    same = Window.partitionBy("word")
+    counts = thin.select("of_block", "at", "trained", F.sum("trained").over(same).alias("c"),
+                         (F.row_number().over(same.orderBy("of_block")) == 1).alias("first"))
     counts = staged(counts, "mixing-counts")
-    n, v = (int(x or 0) for x in counts.agg(F.sum("c"), F.count("c")).first())
-    known = thin.join(counts, "word").select(F.col("block").alias("of_block"), "at", "c")
-    whole, unknown = n + ADDED * (v + 1), math.log10(ADDED / (n + ADDED * (v + 1)))
+    n, v = (int(x or 0) for x in counts.agg(F.sum("trained"), F.count_if(F.col("first") & (F.col("c") > 0))).first())
+    elsewhere = counts.where(F.col("c") != F.col("trained")).select("of_block", "at", "c")  # the others the block knows
+    whole = n + ADDED * (v + 1)
 
     def base(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         of = {c: left.column(c).combine_chunks() for c in left.column_names}
-        count = np.zeros(len(of["words"].values))
+        count = of["trained"].values.to_numpy().copy()
         count[right.column("at").to_numpy()] = right.column("c").to_numpy()
-        value = np.where(count > 0, np.log10((count + ADDED) / whole), unknown)
-        at, times = (of[k].values.to_numpy(zero_copy_only=False) for k in ("word_at", "times"))
-        doc = np.repeat(np.arange(len(of["distinct"].values)), of["distinct"].values.to_numpy(zero_copy_only=False))
-        m = len(of["distinct"].values)
+        value = np.log10((count + ADDED) / whole)
+        at, times = from_planes(of["postings"][0].as_py(), 2)
+        at, distinct = np.cumsum(at), of["distinct"].values.to_numpy()
+        doc, m = np.repeat(np.arange(len(distinct)), distinct), len(distinct)
         total = np.bincount(doc, weights=value[at] * times, minlength=m)
         known = np.bincount(doc, weights=np.where(count[at] > 0, times, 0), minlength=m).astype(np.int64)
         scores, n_bytes = of["scores"].values, of["n_bytes"].values
@@ -388,5 +418,4 @@ def score_documents(docs: DataFrame, predictors: Predictors, id_col: str = "doc_
         return pa.table([of["doc_ids"].values, of["held"].values, of["n_tokens"].values, pa.array(known), pa.array(np.full(m, n)),
                          pa.array(total), scores, n_bytes, pa.array(bits)], names=[c.split()[0] for c in RESULT.split(", ")])
 
-    # a block without a known word has no row on the right; its function is called with an empty one
-    return blocks.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(base, RESULT)
+    return blocks.drop("words").groupBy("block").cogroup(elsewhere.groupBy("of_block")).applyInArrow(base, RESULT)

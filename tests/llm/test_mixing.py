@@ -34,15 +34,15 @@ def counted(rows):
     for i, t in rows:
         if remainder(i):
             s = mixing.sequence(mixing.tokens(t))
-            for c, (high, low) in zip(out, mixing.cells(mixing._joined([s]))):
-                c.update(high[mixing.LEAD :].tolist())
-                c.update(low[mixing.LEAD :].tolist())
+            for c, (high, low) in zip(out, mixing.cells(mixing._joined([s]))[0]):
+                c.update(high.tolist())
+                c.update(low.tolist())
     return out
 
 
 def plain_score(sequence, counts):
     """The model a bit at a time, with dictionaries."""
-    cells = mixing.cells(mixing._joined([sequence]))
+    cells, _ = mixing.cells(mixing._joined([sequence]))
     weights = {}
     total = 0.0
     for at, size in mixing._stretches(len(sequence)):
@@ -56,7 +56,7 @@ def plain_score(sequence, counts):
                 for k in range(4):
                     x = []
                     for c, pair in zip(counts, cells):
-                        slot = int(pair[half][mixing.LEAD + i]) & ~15
+                        slot = int(pair[half][i]) & ~15
                         span = 16 >> k
                         first = slot + (node << (4 - k)) - 16
                         n = [sum(c[first + b * span // 2 + j] for j in range(span // 2)) for b in (0, 1)]
@@ -163,3 +163,18 @@ def test_without_training_documents_bits_are_even(spark):
     r, = mixing.score_documents(df, mixing.fit(df)).collect()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
     assert math.isclose(r.score, -8 * 4 * math.log10(2), rel_tol=1e-6)
+
+
+def test_windows_find_the_cells_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(2)
+    text = b"".join(rng.choice([b"a", b"b", b"word", b" ", b"\n", b"x" * 300, "é".encode()], 400).tolist())
+    buf = mixing._joined([text, b"short\n", b"\n"])
+    whole, _ = mixing.cells(buf)
+    monkeypatch.setattr(mixing, "WINDOW", 37)
+    parts = [found for _, found in mixing.windows(buf)]
+    for k, halves in enumerate(whole):
+        for i, half in enumerate(halves):
+            assert (np.concatenate([p[k][i] for p in parts]) == half).all()
+    alone, _ = mixing.cells(mixing._joined([b"short\n"]))
+    at = mixing.LEAD + len(text)
+    assert all((a == w[at : at + 6]).all() for x, y in zip(alone, whole) for a, w in zip(x, y))
