@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,13 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value found once per row.  The optimizer prunes a
+    parse for each field that is taken of it, and then parses once a field; it
+    doesn't look behind the variable of a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def py_float(text: Column | str) -> Column:
     """``float(text)`` or NULL when Python would raise (S1 value parse)."""
     t = F.trim(_c(text))
@@ -86,34 +95,35 @@ def format_bytes(n: Column | str) -> Column:
     return F.concat(sign, whole, F.lit("."), frac, F.lit(" "), F.element_at(units, unit_idx + 1))
 
 
-def _sentinel_ok(t: Column, probe: str) -> tuple[Column, Column]:
-    """Parse ``{"x":<t>,"__end":true}``; returns (parsed struct, strictly-ok flag).
+def _sentinel(t: Column, probe: str, use: Callable[[Column, Column], Column]) -> Column:
+    """``use(parsed, ok)`` of a parse of ``{"x":<t>,"__end":true}``, one a text.
 
     Spark's JSON reader accepts trailing text after a complete value; the
     sentinel field after the candidate turns that into a strict check.  With
     default options single quotes are accepted; with an options map trailing
     commas are accepted instead.  So the default parse decides, and only text
     that contains a single quote is parsed a second time with
-    ``allowSingleQuotes=false``.
+    ``allowSingleQuotes=false``.  A parse that breaks inside a value goes on
+    after it and says so in ``_corrupt_record``.
     """
     wrapped = F.concat(F.lit('{"x":'), t, F.lit(',"__end":true}'))
-    a = F.from_json(wrapped, probe)
-    a_ok = a["__end"].isNotNull()
-    b_ok = F.from_json(wrapped, probe, {"allowSingleQuotes": "false"})["__end"].isNotNull()
-    ok = F.when(~t.contains("'"), a_ok).otherwise(a_ok & b_ok)
-    return a, ok
+    strict = F.from_json(wrapped, "__end boolean", {"allowSingleQuotes": "false"})["__end"].isNotNull()
+
+    def judged(a: Column) -> Column:
+        ok = a["__end"].isNotNull() & a["_corrupt_record"].isNull()
+        return use(a, ok & F.when(t.contains("'"), strict).otherwise(F.lit(True)))
+
+    return bound(F.from_json(wrapped, f"{probe}__end boolean, _corrupt_record string"), judged)
 
 
 def strict_json_object(text: Column | str) -> Column:
     """``MAP<STRING,STRING>`` when the *whole* text is one JSON object, else NULL
     (Python ``json.loads`` strictness; nested values kept as JSON text)."""
     t = _c(text)
-    a, ok = _sentinel_ok(t, "x map<string,string>, __end boolean")
-    return F.when(t.startswith("{") & ok & a["x"].isNotNull(), a["x"])
+    return F.when(t.startswith("{"), _sentinel(t, "x map<string,string>, ", lambda a, ok: F.when(ok, a["x"])))
 
 
 def strict_json_value(text: Column | str) -> Column:
     """True when the whole text is exactly one JSON value of any kind."""
     t = _c(text)
-    _, ok = _sentinel_ok(t, "x string, __end boolean")
-    return F.coalesce(ok & (F.trim(t) != ""), F.lit(False))
+    return F.coalesce((F.trim(t) != "") & _sentinel(t, "", lambda a, ok: ok), F.lit(False))

@@ -35,18 +35,25 @@ def _finish(df: DataFrame, trimmed: Column, text: Column, arrival: Column) -> Da
     t = df.withColumn("_line", trimmed).filter(F.col("_line") != "").withColumn("_text", text)
     t = t.withColumn("_obj", strict_json_object(F.col("_text")))
     is_json, obj = F.col("_obj").isNotNull(), F.col("_obj")
-    # The entry's own time, as it stands: numbers stay numbers, texts texts.
-    t = t.withColumn("_value", F.when(is_json, F.from_json("_text", "_time variant, timestamp variant")))
 
     def token(k: str) -> Column:
-        kept = F.to_json(F.col("_value")[k])
+        """The entry's own time, as it stands: numbers stay numbers, texts texts.
+        Read off the text where the name is there once, with a plain number or
+        text that is the object's value; else from a parse for the types."""
+        name, text = f'"{k}"', F.col("_text")
+        seen = F.regexp_extract(text, rf'{name}\s*:\s*("[^"\\]*"|(?:0|[1-9][0-9]{{0,17}})(?:\.[0-9]{{1,15}})?)\s*[,}}]', 1)
+        once = F.length(F.replace(text, F.lit(name), F.lit(""))) == F.length(text) - len(name)
+        kept = F.to_json(F.from_json(text, f"{k} variant")[k])
         whole = F.to_json(F.struct(obj[k].alias("v")))  # {"v":...}, for objects that repeat a name
-        return F.coalesce(kept, F.substr(whole, F.lit(6), F.length(whole) - 6), F.lit("null"))
+        parsed = F.coalesce(kept, F.substr(whole, F.lit(6), F.length(whole) - 6), F.lit("null"))
+        return F.when((seen != "") & (F.trim(seen, F.lit('"')) == obj[k]) & once, seen).otherwise(parsed)
 
     now = _epoch_text(arrival)
     own = F.when(F.map_contains_key(obj, F.lit("_time")), token("_time")).when(
         F.map_contains_key(obj, F.lit("timestamp")), token("timestamp"))
-    at = F.when(is_json, F.coalesce(own, now)).otherwise(now)
+    # a column of its own: the time in seconds takes it apart in several ways
+    t = t.withColumn("_at", F.when(is_json, F.coalesce(own, now)).otherwise(now))
+    at = F.col("_at")
     return t.select(
         *[c for c in df.columns],
         is_json.alias("is_json"),

@@ -265,26 +265,22 @@ def merged_buckets(buckets: DataFrame, by: Sequence[str], key: str = "series_key
     with what it would hold there if its values were spread evenly between its
     own bounds (from 0 on below a positive first one).  ``+Inf`` is infinity; what
     a series holds above its last finite bound is spread nowhere, it joins at
-    ``+Inf``.  A group's bounds are collected to one array: as many as there are
-    different ones, however many series.
+    ``+Inf``.  There is a row per series and bound of its group meanwhile.
     """
     if not by:
         return merged_buckets(buckets.withColumn("_all", F.lit(0)), ["_all"], key).drop("_all")
-    inf = F.lit(float("inf"))
-    bounds = buckets.groupBy(*by).agg(F.array_sort(F.collect_set("le")).alias("_les"))
-    own = buckets.groupBy(*by, key).agg(F.array_sort(F.collect_list(F.struct("le", F.col("cum_count").cast("double").alias("c")))).alias("_own"))
-
-    def held(le: Column, own_: Column) -> Column:
-        below = F.try_element_at(F.filter(own_, lambda b: b["le"] <= le), F.lit(-1))
-        above = F.get(F.filter(own_, lambda b: b["le"] > le), F.lit(0))
-        low = F.when(below.isNotNull(), below["le"]).otherwise(F.least(above["le"], F.lit(0.0)))
-        base = F.coalesce(below["c"], F.lit(0.0))
-        share = F.when(above["le"] > low, F.greatest(le - low, F.lit(0.0)) / (above["le"] - low)).otherwise(F.lit(0.0))
-        return F.when(above.isNull() | (above["le"] == inf), base).otherwise(base + (above["c"] - base) * share)
-
-    at = own.join(bounds, list(by))
-    each = at.select(*by, F.explode(F.transform("_les", lambda le: F.struct(le.alias("le"), held(le, F.col("_own")).alias("c")))).alias("_b"))
-    return each.groupBy(*by, F.col("_b.le").alias("le")).agg(F.sum("_b.c").alias("cum_count"))
+    own = buckets.select(*by, key, "le", F.col("le").alias("_le"), F.col("cum_count").cast("double").alias("_c"))
+    grid = own.select(*by, key).distinct().join(own.select(*by, "le").distinct(), list(by))
+    series = Window.partitionBy(*by, key).orderBy("le")
+    upto, after = series.rowsBetween(Window.unboundedPreceding, 0), series.rowsBetween(1, Window.unboundedFollowing)
+    at = grid.join(own, [*by, key, "le"], "left").select(
+        *by, "le", *[F.last(c, ignorenulls=True).over(upto).alias(f"_low{c}") for c in ("_le", "_c")],
+        *[F.first(c, ignorenulls=True).over(after).alias(f"_high{c}") for c in ("_le", "_c")])
+    high, base = F.col("_high_le"), F.coalesce("_low_c", F.lit(0.0))
+    low = F.coalesce("_low_le", F.least(high, F.lit(0.0)))
+    share = F.when(high > low, F.greatest(F.col("le") - low, F.lit(0.0)) / (high - low)).otherwise(F.lit(0.0))
+    held = F.when(high.isNull() | (high == F.lit(float("inf"))), base).otherwise(base + (F.col("_high_c") - base) * share)
+    return at.groupBy(*by, "le").agg(F.sum(held).alias("cum_count"))
 
 
 def histogram_quantile(buckets: DataFrame, q: float, by: Sequence[str]) -> DataFrame:
@@ -296,16 +292,14 @@ def histogram_quantile(buckets: DataFrame, q: float, by: Sequence[str]) -> DataF
     values, or without a finite bound, gives null.  Buckets of no values are
     passed over.  Needs the ``+Inf`` bucket only where values lie above the others.
     """
-    inf = F.lit(float("inf"))
-    all_ = buckets.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("le", F.col("cum_count").cast("double").alias("c")))).alias("b"))
-    rank = F.lit(float(q)) * F.col("total")
-    hit = F.get(F.filter("b", lambda x: (x["c"] >= F.col("rank")) & (x["c"] > 0)), F.lit(0))
-    before = F.try_element_at(F.filter("b", lambda x: x["le"] < F.col("hit.le")), F.lit(-1))
-    finite = F.filter("b", lambda x: x["le"] < inf)
-    got = all_.withColumn("total", F.element_at("b", -1)["c"]).withColumn("rank", rank).withColumn("hit", hit).withColumn("before", before)
-    low = F.when(F.col("before").isNotNull(), F.col("before.le")).otherwise(F.least(F.col("hit.le"), F.lit(0.0)))
-    under = F.coalesce("before.c", F.lit(0.0))
-    inside = low + (F.col("hit.le") - low) * ((F.col("rank") - under) / (F.col("hit.c") - under))
-    value = F.when(F.col("total") <= 0, F.lit(None)).when(F.col("hit.le") == inf, F.try_element_at(finite, F.lit(-1))["le"]).when(
-        F.col("hit.le") <= low, F.col("hit.le")).when(F.col("hit.c") > under, inside).otherwise(F.col("hit.le"))
-    return got.select(*by, value.cast("double").alias("quantile"), F.col("total").alias("count"))
+    group = Window.partitionBy(*by)
+    c, le = F.col("_c"), F.col("le")
+    rows = buckets.select(*by, "le", F.col("cum_count").cast("double").alias("_c"))
+    rows = rows.select(*by, "le", "_c", F.lag("le").over(group.orderBy("le")).alias("_before"),
+                       F.coalesce(F.lag("_c").over(group.orderBy("le")), F.lit(0.0)).alias("_under"), F.max("_c").over(group).alias("_total"))
+    rank = F.lit(float(q)) * F.col("_total")
+    low = F.coalesce("_before", F.least(le, F.lit(0.0)))
+    inside = low + (le - low) * ((rank - F.col("_under")) / (c - F.col("_under")))
+    value = F.when(le == F.lit(float("inf")), F.col("_before")).when((le <= low) | (c <= F.col("_under")), le).otherwise(inside)
+    hit = (c >= rank) & (c > 0)
+    return rows.groupBy(*by).agg(F.min_by(F.when(hit, value), F.when(hit, le)).alias("quantile"), F.max("_total").alias("count"))

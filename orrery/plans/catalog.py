@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.keys import known_series_key, modulo_label, pick_label
@@ -70,13 +70,15 @@ def topk_rate(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: top 10 series by counter rate over the last week."""
     samples = V.samples(spark, sf)
     # Series-local filter first: a counter only depends on its own series.
-    counters = V.counters_from(samples.filter(F.col("event_type") == "purchase"), keep_bucket=True)
-    return S.topk_rate(counters, k=10, seconds=WEEK, anchor=samples)
+    width = V.bucket_width(spark, sf)
+    counters = V.counters_from(samples.filter(F.col("event_type") == "purchase"), width, keep_bucket=True)
+    return S.topk_rate(counters, k=10, seconds=WEEK, bucket_seconds=width, anchor=samples)
 
 
 def rate_per_series(spark: SparkSession, sf: str) -> DataFrame:
     samples = V.samples(spark, sf)
-    return S.counter_rate(V.counters_from(samples, keep_bucket=True), WEEK, anchor=samples)
+    width = V.bucket_width(spark, sf)
+    return S.counter_rate(V.counters_from(samples, width, keep_bucket=True), WEEK, bucket_seconds=width, anchor=samples)
 
 
 def count_over_time_tumbling(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,19 +139,20 @@ def quantiles_merged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cardinality_merged(spark: SparkSession, sf: str) -> DataFrame:
-    """A19 from stored sketches: for every first day of a range up to the last day,
-    the exact number of users and whether the merged estimate is within its bound."""
-    days = V.stored_sketches(spark, sf)[1].select("day", "sketch")
-    ends = days.select(F.col("day").alias("from_day"))
-    ranges = days.join(ends, F.col("day") >= F.col("from_day"))  # one row a day each
-    estimates = SK.merged_distinct(ranges, ["from_day"])
+    """A19 from stored sketches: for weeks, thirds of a month and months the exact
+    number of users, and whether the merged estimate is within its bound."""
+    def periods(day: Column) -> Column:
+        month = F.substring(day, 1, 7)
+        return F.explode(F.array(
+            F.concat(F.lit("month "), month), F.concat(F.lit("week "), F.weekofyear(day.cast("date")).cast("string")),
+            F.concat(F.lit("third "), month, F.lit(" "), F.floor((F.dayofmonth(day.cast("date")) - 1) / 10).cast("string")))).alias("period")
+
+    estimates = SK.merged_distinct(V.stored_sketches(spark, sf)[1].select(periods(F.col("day")), "sketch"), ["period"])
     ev = read_table(spark, sf, "events", ["ts", "user_id"])
-    last = ev.groupBy("user_id").agg(F.max(F.date_format("ts", "yyyy-MM-dd")).alias("last_day"))
-    # a user is in all ranges that begin by its last day
-    by_last = last.groupBy("last_day").agg(F.count(F.lit(1)).alias("n"))
-    exact = by_last.join(ends, F.col("last_day") >= F.col("from_day")).groupBy("from_day").agg(F.sum("n").alias("users"))
+    active = ev.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "user_id").distinct()
+    exact = active.select(periods(F.col("day")), "user_id").groupBy("period").agg(F.count_distinct("user_id").alias("users"))
     off = F.abs(F.col("series") - F.col("users")) / F.col("users")
-    return exact.join(estimates, "from_day").select("from_day", "users", (off <= SK.distinct_error()).alias("within_bound"))
+    return exact.join(estimates, "period").select("period", "users", (off <= SK.distinct_error()).alias("within_bound"))
 
 
 def label_cardinality(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,11 +247,13 @@ def exposition_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exposition_pages_sum(spark: SparkSession, sf: str) -> DataFrame:
-    """S11 + S1: the pages as landed files, read whole, split into lines, summed."""
+    """S11 + S1: the pages as landed files, each a bounded scrape, read whole,
+    split into lines and summed by service and day."""
     pages = X.read_pages(spark, V.exposition_files(spark, sf))
-    s = X.metric_sums(X.pages_to_lines(pages), ["page"])
-    part = lambda k: F.regexp_extract("page", rf"/{k}=([^/]+)/", 1)
-    return s.select(part("service").alias("service"), part("day").alias("day"), "name", _r6(F.col("value")).alias("value"))
+    part = lambda k: F.regexp_extract("page", rf"/{k}=([^/]+)/", 1).alias(k)
+    lines = X.pages_to_lines(pages.select(part("service"), part("day"), "text"))
+    s = X.metric_sums(lines, ["service", "day"])
+    return s.select("service", "day", "name", _r6(F.col("value")).alias("value"))
 
 
 def exposition_labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,13 +464,13 @@ def trace_drop_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resource_usage(spark: SparkSession, sf: str) -> DataFrame:
-    u = R.resource_usage(V.service_obs(spark, sf), by=["scenario"])
+    u = R.resource_usage(V.service_obs(spark, sf, counters=False), by=["scenario"])
     return u.select("scenario", "service", *[_r6(F.col(c)).alias(c) for c in
                                              ["avg_cpu_pct", "max_cpu_pct", "avg_mem_mb", "max_mem_mb"]])
 
 
 def resource_series(spark: SparkSession, sf: str) -> DataFrame:
-    return R.resource_series(V.service_obs(spark, sf))
+    return R.resource_series(V.service_obs(spark, sf, counters=False))
 
 
 def throughput(spark: SparkSession, sf: str) -> DataFrame:
@@ -524,7 +529,7 @@ def service_assembly(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def known_services(spark: SparkSession, sf: str) -> DataFrame:
-    obs = R.restrict_services(V.service_obs(spark, sf), KNOWN_SERVICES)
+    obs = R.restrict_services(V.service_obs(spark, sf, counters=False), KNOWN_SERVICES)
     return obs.groupBy("service").agg(F.count(F.lit(1)).alias("observations"))
 
 
@@ -545,7 +550,7 @@ def cpu_from_deltas(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def memory_share(spark: SparkSession, sf: str) -> DataFrame:
-    obs = V.service_obs(spark, sf)
+    obs = V.service_obs(spark, sf, counters=False)
     return obs.select("service", "event_id",
                       memory_percent("memory_bytes", F.lit(512 * 1048576)).alias("mem_pct"))
 
@@ -716,7 +721,7 @@ PANE, STREAM_WATERMARK = 6 * 3600, "1 hour"
 def stream_rate_per_series(spark: SparkSession, sf: str) -> DataFrame:
     """A5 + W4 streamed: counter rates per series over the last seven days of
     closed panes, from the panes that keyed state left in the sink."""
-    rows = V.counters_from(V.samples(spark, sf)).select(
+    rows = V.counters_from(V.samples(spark, sf), V.bucket_width(spark, sf)).select(
         "series_key", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_id", "counter")
     panes = V.ordered_stream(spark, "rate-panes", sf, rows, ["us", "event_id"], lambda s: SF.rate_panes(
         s.withColumn("event_ts", F.timestamp_micros("us")), "series_key", "counter", f"{PANE} seconds", STREAM_WATERMARK))

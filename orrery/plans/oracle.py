@@ -275,8 +275,10 @@ e AS (SELECT q.event_type, q.n, name,
       FROM q JOIN r USING (event_type) GROUP BY q.event_type, q.n, name, j, d, m)
 SELECT event_type, CAST(n AS BIGINT) AS n, round(max(x) FILTER (name = 'p50'), 6) AS p50, round(max(x) FILTER (name = 'p90'), 6) AS p90,
        round(max(x) FILTER (name = 'p99'), 6) AS p99 FROM e GROUP BY ALL"""
-    q["cardinality_merged"] = """WITH d AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS from_day FROM events)
-SELECT from_day, count(DISTINCT user_id) AS users, true AS within_bound FROM d JOIN events ON strftime(ts, '%Y-%m-%d') >= from_day GROUP BY 1"""
+    q["cardinality_merged"] = """WITH p AS (
+  SELECT user_id, unnest(['month ' || strftime(ts, '%Y-%m'), 'week ' || CAST(weekofyear(ts) AS VARCHAR),
+                          'third ' || strftime(ts, '%Y-%m') || ' ' || CAST((day(ts) - 1) // 10 AS VARCHAR)]) AS period FROM events)
+SELECT period, count(DISTINCT user_id) AS users, true AS within_bound FROM p GROUP BY 1"""
 
     q["label_cardinality"] = """WITH k AS (
   SELECT 'base' AS mode,

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions.keys import labels_map
 from orrery.operators import sketches
-from orrery.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered, with_running_sum
+from orrery.operators.sequence import choose_bucket_seconds, ordered, with_running_sum
 from orrery.session import remove_at_end, scratch_path
 from orrery.sources import runs
 from orrery.sources.layout import write_partitioned
@@ -203,13 +203,20 @@ def forget_written() -> None:
     _WRITTEN.clear()
 
 
+#: Lines of a scrape page, about.
+PAGE_LINES = 1_000
+
+
 def exposition_files(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the scrape pages as files, one per service and day."""
+    """Folder of the scrape pages as files, bounded scrapes: as many a service and
+    day as the table needs for pages of about PAGE_LINES lines, lines dealt by id."""
     lines = exposition_lines(spark, sf_dir).select("service", F.date_format("scrape_ts", "yyyy-MM-dd").alias("day"), "line_no", "line")
 
     def write(path: str) -> None:
-        dealt = lines.repartition("service", "day").sortWithinPartitions("service", "day", "line_no").drop("line_no")
-        dealt.write.partitionBy("service", "day").text(path)
+        most = lines.groupBy("service", "day").count().agg(F.max("count")).first()[0] or 0
+        page = F.pmod(F.xxhash64("line_no"), F.lit(max(1, -(-most // PAGE_LINES))))
+        dealt = lines.withColumn("page", page).repartition("service", "day", "page").sortWithinPartitions("service", "day", "page", "line_no")
+        dealt.drop("line_no").write.partitionBy("service", "day", "page").text(path)
 
     return _written(spark, "pages", sf_dir, write)
 
@@ -476,13 +483,28 @@ def exposition_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def service_obs(spark: SparkSession, sf_dir: str, previous: Sequence[str] = (),
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+#: Bucket widths by application and the state of the table.
+_WIDTHS: dict[tuple[str, str], int] = {}
+
+
+def bucket_width(spark: SparkSession, sf_dir: str) -> int:
+    """Width of the time buckets that series of ``events`` are cut into, from the
+    density of the hottest event type (every series lies within one), measured
+    once while the table stays as it is."""
+    key = (spark.sparkContext.applicationId, table_state(spark, sf_dir, "events"))
+    if key not in _WIDTHS:
+        _WIDTHS[key] = choose_bucket_seconds(read_table(spark, sf_dir, "events", ["event_type", "ts"]), ["event_type"], "ts")
+    return _WIDTHS[key]
+
+
+def service_obs(spark: SparkSession, sf_dir: str, previous: Sequence[str] = (), bucket_seconds: int | None = None,
+                counters: bool = True) -> DataFrame:
     """Observation rows per service (= event_type) at each event time.
 
     ingested: cumulative events of the service; dropped: cumulative events
     with value > 400; cpu_percent = value % 100; memory_bytes = value MiB.
-    ``previous`` adds columns of the service's previous observation.
+    ``previous`` adds columns of the service's previous observation; without
+    ``counters`` there are neither, and nothing is put in order.
     """
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
     base = ev.select(
@@ -490,11 +512,12 @@ def service_obs(spark: SparkSession, sf_dir: str, previous: Sequence[str] = (),
         F.when(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit("steady"))
         .otherwise(F.lit("burst")).alias("scenario"),
     )
-    # Five services share all rows: each is a hot key, cut by time bucket.
-    sums = {"ingested": F.lit(1).cast("long"), "dropped": F.when(F.col("value") > 400, 1).otherwise(0).cast("long")}
-    c = ordered(base, ["service"], ["ts", "event_id"], "ts", sums, previous, bucket_seconds)
-    return c.select(
-        "event_id", "ts", "service", "scenario", "ingested", "dropped",
+    if counters:
+        # Five services share all rows: each is a hot key, cut by time bucket.
+        sums = {"ingested": F.lit(1).cast("long"), "dropped": F.when(F.col("value") > 400, 1).otherwise(0).cast("long")}
+        base = ordered(base, ["service"], ["ts", "event_id"], "ts", sums, previous, bucket_seconds or bucket_width(spark, sf_dir))
+    return base.select(
+        "event_id", "ts", "service", "scenario", *(["ingested", "dropped"] if counters else []),
         (F.col("value") % 100).alias("cpu_percent"),
         (F.col("value") * F.lit(1048576.0)).cast("long").alias("memory_bytes"),
         *[f"prev_{c}" for c in previous],

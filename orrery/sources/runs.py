@@ -68,15 +68,25 @@ MANIFEST = T.StructType([
 
 def _run_id() -> F.Column:
     """The folder of the run, from ``<run>/observations.json`` or, as ``write_run``
-    lays it out, ``run_id=<run>/file=observations.json/part-...``."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"/(?:run_id=)?([^/]+)/(?:file=)?(?:manifest|observations)\.json(?:/[^/]+)?$", 1)
+    lays it out, ``run_id=<run>/file=observations.jsonl/part-...``."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/(?:run_id=)?([^/]+)/(?:file=)?(?:manifest|observations)\.jsonl?(?:/[^/]+)?$", 1)
+
+
+def _there(spark: SparkSession, pattern: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
 
 
 def read_observations(spark: SparkSession, runs_root: str) -> DataFrame:
     """All observations of all runs under ``runs_root``, with ``run_id`` from the
-    folder name (S6)."""
-    df = spark.read.schema(OBSERVATION).option("multiLine", "true").json(os.path.join(runs_root, "*", "*observations.json"))
-    return df.withColumn("run_id", _run_id())
+    folder name (S6).  A run is one JSON array (``observations.json``), which a
+    single task reads, or part files of JSON lines (``observations.jsonl``)."""
+    reader = spark.read.schema(OBSERVATION)
+    forms = [(os.path.join(runs_root, "*", "*observations.json"), "true"), (os.path.join(runs_root, "*", "*observations.jsonl"), "false")]
+    found = [reader.option("multiLine", whole).json(p) for p, whole in forms if _there(spark, p)]
+    found = found or [reader.option("multiLine", "true").json(forms[0][0])]  # the reader's own error
+    each = [df.withColumn("run_id", _run_id()) for df in found]
+    return each[0] if len(each) == 1 else each[0].unionByName(each[1])
 
 
 def read_manifests(spark: SparkSession, runs_root: str) -> DataFrame:
@@ -149,15 +159,15 @@ def manifests(observations: DataFrame, timestamp: str, platform: str | None = No
 
 def write_run(observations: DataFrame, manifest: DataFrame, root: str) -> None:
     """Run artifacts (K3) under ``root``, read back by ``read_observations`` and
-    ``read_manifests``: per run one JSON array of observations in order of time
-    and one manifest object.  A run is one file, as its readers expect; it holds
-    as many observations as the run made."""
+    ``read_manifests``: per run part files of JSON lines, one an observation, dealt
+    by time and in order of time within a part, and one manifest object.  No task
+    holds a run; its parts are as many as its observations need."""
     fields = [f.name for f in OBSERVATION.fields]
-    each = F.struct("timestamp", F.to_json(F.struct(*fields)).alias("text"))
-    array = observations.groupBy("run_id").agg(F.sort_array(F.collect_list(each)).alias("o")).select(
-        "run_id", F.lit("observations.json").alias("file"), F.concat(F.lit("["), F.array_join("o.text", ","), F.lit("]")).alias("value"))
+    lines = observations.select("run_id", "timestamp", F.lit("observations.jsonl").alias("file"), F.to_json(F.struct(*fields)).alias("value"))
+    dealt = lines.repartitionByRange("run_id", "timestamp").sortWithinPartitions("run_id", "timestamp").drop("timestamp")
+    dealt.write.mode("append").partitionBy("run_id", "file").text(root)
     one = manifest.select("run_id", F.lit("manifest.json").alias("file"), F.to_json(F.struct(*[f.name for f in MANIFEST.fields])).alias("value"))
-    array.unionByName(one).write.mode("append").partitionBy("run_id", "file").text(root)
+    one.write.mode("append").partitionBy("run_id", "file").text(root)
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:

@@ -49,7 +49,7 @@ def _py_val(s):
 def test_strict_json_matches_python(spark):
     cases = ['{"a":1}', '{"a":1} xyz', "{'a':1}", '{"a":1,}', '{"a":{"b":2}}', "[1]", '"x"', '{"a":1}}',
              '{"a" : 1 }', "{}", '{"a":NaN}', "{a:1}", '{"a":[1,2]}', '{"a":"x\\"y"}', '{"a":1}\n',
-             '{"a":01}', '{"a":.5}', '{"a":1e5}', "1", "null", "true", '{"a":1,"a":2}', '{"a":"\\u00e9"}']
+             '{"a":01}', '{"a":.5}', '{"a":1e5}', "1", "null", "true", '{"a":1,"a":2}', '{"a":{"b":2,}}', '{"a":[1,]}', '{"a":[1 2]}', "[1,]", "{\"a\":{'b':2}}", '{"a":"it\'s"}', '{"a":{"b":1}} {"c":1}', '{"a":tru}', '{"a":"\\u00e9"}']
     df = spark.createDataFrame([(c,) for c in cases], "t string")
     rows = df.select("t", strict_json_object(F.trim("t")).isNotNull().alias("o"),
                      strict_json_value(F.trim("t")).alias("v")).collect()

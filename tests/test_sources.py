@@ -163,3 +163,49 @@ def test_summary_tables(spark, scratch):
     assert ing == {"svc_a": ("Spans", 9, 0), "logs_b": ("Lines", 70, 2)}
     assert t["storage"].first().storage_size == "10.00 B"
     assert t["resources"].count() == 2
+
+
+def test_run_parts_and_arrays_are_read_alike(spark, scratch):
+    """A run written as parts of lines, in order of time within each, beside one written as an array."""
+    root = os.path.join(scratch, "mixed")
+    _write_run(root, "run_array", [_obs(float(t), "steady", 1.0, 1, t, True) for t in range(5)], 1_000)
+    obs = runs.read_observations(spark, root)
+    many = obs.drop("run_id").crossJoin(spark.range(40).select((F.col("id") * 10).cast("double").alias("_t")))
+    many = many.withColumn("timestamp", F.col("timestamp") + F.col("_t")).drop("_t").withColumn("run_id", F.lit("run_parts"))
+    many = many.select(*obs.columns)
+    out = os.path.join(scratch, "out_mixed")
+    runs.write_run(many.repartition(4), runs.manifests(many, "t"), out)
+    parts = [os.path.join(d, f) for d, _, files in os.walk(out) for f in files if "observations.jsonl" in d and f.startswith("part-")]
+    assert parts
+    seen = 0
+    for p in parts:
+        with open(p) as f:
+            times = [json.loads(x)["timestamp"] for x in f]
+        assert times == sorted(times)
+        seen += len(times)
+    assert seen == 200
+    again = runs.read_observations(spark, out)
+    assert again.count() == 200 and {r.run_id for r in again.select("run_id").distinct().collect()} == {"run_parts"}
+    assert runs.latest_run(runs.read_manifests(spark, out)).first().run_id == "run_parts"
+    # both forms under one root
+    os.rename(os.path.join(root, "run_array"), os.path.join(out, "run_array"))
+    both = runs.read_observations(spark, out)
+    assert {(r.run_id, r["count"]) for r in both.groupBy("run_id").count().collect()} == {("run_parts", 200), ("run_array", 5)}
+
+
+def test_pages_stay_bounded_as_the_table_grows(spark, scratch, monkeypatch):
+    from orrery.plans import catalog, views
+
+    monkeypatch.setattr(views, "PAGE_LINES", 20)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    largest = []
+    for times in (1, 10):
+        sf = os.path.join(scratch, f"sf{times}")
+        more = ev.crossJoin(spark.range(times)).withColumn("event_id", F.col("event_id") * 50 * times + F.col("id") * 50 + F.col("event_id") % 50).drop("id")
+        more.write.parquet(os.path.join(sf, "events.parquet"))
+        folder = views.exposition_files(spark, sf)
+        largest.append(max(r.n for r in spark.read.text(folder).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()))
+        lines = views.exposition_lines(spark, sf)
+        want = {(r.service, str(r.scrape_ts.date()), r.name): round(r.value, 6) for r in catalog.X.metric_sums(lines, ["service", "scrape_ts"]).collect()}
+        assert {(r.service, r.day, r.name): r.value for r in catalog.exposition_pages_sum(spark, sf).collect()} == want
+    assert largest[1] <= 2.5 * max(largest[0], 20)
