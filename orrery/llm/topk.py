@@ -151,7 +151,9 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
 
     Components become floor(scale * x), the score is the integer inner product,
     ties go to the smaller vec_id.  Queries are the rows where ``is_query`` holds,
-    candidates all rows of another id and as many components.  Rows with a null
+    candidates all rows of another id and as many components.  Integers beyond 64
+    bits have no place here: a vector as long as 2^62 (scaled), or a score that is
+    no 64-bit integer, raises OverflowError and ends the job.  Rows with a null
     id, a null vector, or a null or non-finite component take no part.  Rows that
     repeat an id and a vector count once; an id with several vectors is as many
     candidates, and as a query keeps the k best of all.  An empty table, or none
@@ -166,22 +168,33 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
 
     seeds = whole.orderBy(F.desc("length"), "id").limit(SEED_ROWS).collect()
     least = _first_thresholds(queries, [(r["id"], r["dim"], r["v"]) for r in seeds], k)
-    blocks = max(1, -(-queries.count() // block))
-    asking = _grouped(least.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))), ["block", "dim"])
-    asking = staged(asking.toDF("block", "dim", "qids", "qvectors", "qmore"), "blocks")
+    # a query asks for the length that would reach its known score at cosine 1;
+    # queries that ask for like lengths are blocked together
+    asked = F.when(F.col("length") > 0, F.col("least") / F.col("length")).otherwise(F.when(F.col("least") > 0, math.inf).otherwise(-math.inf))
+    band = F.when((F.col("asked") > 0) & (F.col("asked") < math.inf), F.floor(F.log("asked") / math.log(ratio))).otherwise(-(1 << 20)).cast("long")
+    least = staged(least.withColumn("asked", asked).withColumn("band", band), "thresholds")
+    bands = least.groupBy("dim", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
+    least = least.join(bands, ["dim", "band"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    asking = _grouped(least.select("dim", "band", "block", "id", "v", F.col("least").alias("more")), ["dim", "band", "block"])
+    asking = asking.toDF("dim", "band", "block", "qids", "qvectors", "qmore")
 
     sizes = whole.groupBy("dim", "bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(chunk)).alias("parts"))
     dealt = whole.withColumn("more", F.col("length")).join(sizes, ["dim", "bucket"]).withColumn(
         "part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    # which blocks a chunk meets is settled by a row a chunk and a row a block: the
+    # chunk's longest vector against the block's least asking query
+    tops = dealt.groupBy("dim", "bucket", "part").agg(F.max("length").alias("longest"))
+    asks = least.groupBy("dim", "band", "block").agg(F.min("asked").alias("asked"))
+    meets = tops.join(asks, "dim").where(F.col("longest") * (1 + 1e-9) >= F.col("asked")).drop("longest", "asked")
     chunks = _grouped(dealt, ["dim", "bucket", "part"])
-    pairs = chunks.join(asking, "dim").repartition("bucket", "part", "block")
+    pairs = meets.join(chunks, ["dim", "bucket", "part"]).join(asking, ["dim", "band", "block"])
     found = _search(pairs, k, focus)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.select("query_id", F.row_number().over(order).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
 def _first_thresholds(queries: DataFrame, seeds: list[tuple[int, int, bytes]], k: int) -> DataFrame:
-    """``queries`` with ``more``: a score that the k-th best of each can't fall below."""
+    """``queries`` with ``least``: a score that the k-th best of each can't fall below."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -200,7 +213,7 @@ def _first_thresholds(queries: DataFrame, seeds: list[tuple[int, int, bytes]], k
                         floor_ = float(np.partition(scores, len(scores) - k)[len(scores) - k])
                         floor_ = math.nextafter(floor_, -math.inf) if abs(floor_) >= EXACT else floor_
                 out.append(floor_)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("dim"), batch.column("v"), pa.array(out, pa.float64())],
-                                             names=["id", "dim", "v", "more"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "dim", "length", "v")), pa.array(out, pa.float64())],
+                                             names=["id", "dim", "length", "v", "least"])
 
-    return queries.select("id", "dim", "length", "v").mapInArrow(run, "id long, dim long, v binary, more double")
+    return queries.select("id", "dim", "length", "v").mapInArrow(run, "id long, dim long, length double, v binary, least double")

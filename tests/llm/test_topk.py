@@ -74,3 +74,20 @@ def test_large_components_stay_exact(spark):
     assert result(topk.top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=5, scale=1024)) == brute(rows, 5, every=20)
     with pytest.raises(OverflowError):
         topk.products(np.array([[2**40]]), np.array([2**40]), 2.0**80)
+
+
+def test_pairs_are_pruned_before_vectors_are_joined(spark):
+    """No join of vectors has the number of components as its only key, and short chunks meet no block."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=6) * (100.0 if i % 10 == 0 else 0.01)]) for i in range(3000)]
+    df = topk.top_k(vectors(spark, rows), F.col("vec_id") % 100 == 0, chunk=50, block=4)
+    assert result(df) == brute(rows, 10)
+    plan = df._jdf.queryExecution().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    joins = [line for line in plan.split("== Physical Plan ==")[-1].splitlines() if "Join" in line and "vectors" in line]
+    assert all("bucket" in line or "band" in line for line in joins)
+
+
+def test_a_component_beyond_64_bits_ends_the_job(spark):
+    with pytest.raises(Exception, match="too large for integer products"):
+        topk.top_k(vectors(spark, [(0, [1e30, 1.0]), (1, [1.0, 1.0])]), F.lit(True)).collect()
