@@ -737,6 +737,21 @@ def stream_churn(spark: SparkSession, sf: str) -> DataFrame:
     return SF.churn_from_changes(changes, DAY)
 
 
+def stream_top_series(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 streamed: the ten series with most samples, whether a stream's Space-Saving
+    counters (fewer than there are series) hold them, and whether their bounds do."""
+    samples = V.samples(spark, sf)
+    # a skewed stream: a sample of user u comes once more for every power of two that divides u
+    more = F.explode(F.sequence(F.lit(0), F.bit_count(F.col("user_id").bitwiseXOR(F.col("user_id") - 1)).cast("int")))
+    rows = samples.select("series_key", "event_id", more.alias("copy"))
+    said = V.updated(spark, "heavy", sf, rows, ["event_id", "copy"], lambda s: SF.heavy_hitters(s, "series_key", counters=64, parts=8), ["part"])
+    held = said.select(F.inline(F.arrays_zip("items", "n", "error")))
+    exact = S.top_k(rows.groupBy("series_key").agg(F.count(F.lit(1)).alias("samples")), 10, by="samples")
+    both = exact.join(held, F.col("items") == F.col("series_key"), "left")
+    within = (F.col("n") >= F.col("samples")) & (F.col("n") - F.col("error") <= F.col("samples"))
+    return both.select("series_key", "samples", F.col("n").isNotNull().alias("held"), F.coalesce(within, F.lit(False)).alias("within_bounds"))
+
+
 def stream_sliding_state(spark: SparkSession, sf: str) -> DataFrame:
     """ST8 streamed: counts over a day every six hours per type, from a ring of panes."""
     ev = read_table(spark, sf, "events", ["event_id", "ts", "event_type"]).select(
@@ -811,7 +826,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         trace_search_with_fallback, trace_search_strict_wins, tag_inspection, query_latency_table,
         stream_sliding_counts, stream_periodic_snapshot, stream_running_totals, stream_dedup,
         stream_late_rejection, stream_sink_steps, stream_sink_snapshot, stream_sink_forwarder, stream_forwarder_pair, stream_forwarder_batches, stream_drop_counts,
-        stream_tail_from_now, stream_rate_per_series, stream_sliding_state, stream_churn, stream_retention,
+        stream_tail_from_now, stream_rate_per_series, stream_sliding_state, stream_churn, stream_top_series, stream_retention,
         stored_range_counts,
         run_latest, run_query_errors, *REPORTS,
     ]

@@ -615,6 +615,9 @@ s AS (SELECT i, 1 AS act, CASE WHEN NOT EXISTS (SELECT 1 FROM a p WHERE p.series
         AND NOT EXISTS (SELECT 1 FROM a x WHERE x.series_key = a.series_key AND x.i = a.i + 1))
 SELECT make_timestamp(i * {day}) AS interval_start, CAST(sum(act) AS BIGINT) AS active, CAST(sum(app) AS BIGINT) AS appeared,
        CAST(sum(gone) AS BIGINT) AS disappeared FROM s GROUP BY i"""
+    q["stream_top_series"] = f"""WITH {SAMPLES}
+SELECT series_key, CAST(sum(1 + bit_count(xor(user_id, user_id - 1))) AS BIGINT) AS samples, true AS held, true AS within_bounds
+FROM samples GROUP BY 1 ORDER BY samples DESC, series_key LIMIT 10"""
     q["stream_retention"] = """SELECT event_type, count(*) AS entries FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY GROUP BY 1"""
     q["stored_range_counts"] = """SELECT event_type, count(*) AS samples FROM events

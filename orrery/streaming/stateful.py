@@ -1,7 +1,7 @@
-"""Keyed state over panes: counter rates, sliding counts and churn of a stream
-(A5, W4, ST8, A20, U3).
+"""Keyed state: counter rates, sliding counts, churn and heavy hitters of a stream
+(A5, W4, ST8, A20, U3, T1).
 
-All run in two steps.  A native windowed aggregate first makes one row a series
+All but the last run over panes, in two steps.  A native windowed aggregate first makes one row a series
 and pane (a step of time, left-open), so that a hot series' samples are dealt by
 time and each sample is looked at once.  The rows of a series then come in the
 order of their panes, since a pane is given out when the watermark passes its
@@ -10,10 +10,13 @@ end, and a stateful step carries over what the next pane needs.
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -237,6 +240,88 @@ def churn_from_changes(changes: DataFrame, step_seconds: int) -> DataFrame:
     return counted.select(start.alias("interval_start"), "active", "appeared", "disappeared")
 
 
+class _SpaceSaving(StatefulProcessor):
+    """State of a partition of the keys: at most ``size`` counters (key, n, error).
+    A key without a counter takes over the smallest one: its n is what the key may
+    have had at most, and that of the counter taken over is its error."""
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counters = handle.getMapState("counters", "item string", "n long, error long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        held = {k[0]: (v[0], v[1]) for k, v in self.counters.iterator()}
+        came = pd.concat(list(rows)).groupby("item")["n"].sum().sort_index().sort_values(ascending=False, kind="stable")
+        changed, gone = set(), set()
+        smallest = [(n, item) for item, (n, _) in held.items()]
+        heapq.heapify(smallest)
+        for item, n in came.items():
+            if item in held:
+                held[item] = (held[item][0] + int(n), held[item][1])
+            elif len(held) < self.size:
+                held[item] = (int(n), 0)
+            else:
+                while held.get(smallest[0][1], (None,))[0] != smallest[0][0]:
+                    heapq.heappop(smallest)  # the counter has grown since, or is gone
+                least, out = heapq.heappop(smallest)
+                del held[out]
+                gone.add(out)
+                held[item] = (least + int(n), least)
+            heapq.heappush(smallest, (held[item][0], item))
+            changed.add(item)
+        for item in gone - held.keys():
+            if self.counters.containsKey((item,)):
+                self.counters.removeKey((item,))
+        for item in changed & held.keys():
+            self.counters.updateValue((item,), held[item])
+        yield pd.DataFrame({"part": [key[0]], "items": [list(held)], "n": [[v[0] for v in held.values()]], "error": [[v[1] for v in held.values()]]})
+
+    def close(self) -> None:
+        pass
+
+
+def heavy_hitters(df: DataFrame, key: str, counters: int = 1024, parts: int = 64) -> DataFrame:
+    """Space-Saving counters of a stream's keys (T1), a row a part of the keys and
+    micro-batch that touched it: part, items, n, error.
+
+    Keys are dealt to parts by hash, so counters of different parts never meet:
+    together they are the counters of the whole stream.  A key's true count is at
+    most its n and at least n - error; one without a counter has at most the
+    smallest n of its part, which is at most the part's rows / ``counters``.  Rows
+    are counted per key before they are dealt, so a key that holds a third of the
+    stream sends a row a task.
+    """
+    with_state_store(df.sparkSession)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter[str] = Counter()
+        for batch in batches:
+            found = batch.column(0).drop_null().value_counts()
+            for item, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist(), strict=True):
+                total[item] += n
+            if len(total) > 500_000:
+                yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["item", "n"])
+                total.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["item", "n"])
+
+    dealt = df.select(F.col(key).cast("string").alias("item")).mapInArrow(counted, "item string, n long").withColumn(
+        "part", F.pmod(F.xxhash64("item"), F.lit(parts)))
+    return dealt.groupBy("part").transformWithStateInPandas(
+        _SpaceSaving(counters), "part long, items array<string>, n array<long>, error array<long>", "update", "none")
+
+
+def heaviest(said: DataFrame, k: int) -> DataFrame:
+    """The k keys of largest n (ties by key) from the last row of every part: item,
+    n, least (n - error), and sure, that no key outside can have had more."""
+    each = said.select(F.inline(F.arrays_zip("items", "n", "error"))).select(F.col("items").alias("item"), "n", (F.col("n") - F.col("error")).alias("least"))
+    top = each.orderBy(F.desc("n"), "item").limit(k + 1)
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), "item"))  # k + 1 rows
+    ranked = top.withColumn("rank", rank).withColumn("next", F.max(F.when(F.col("rank") == k + 1, F.col("n"))).over(Window.partitionBy()))
+    return ranked.where(F.col("rank") <= k).select("item", "n", "least", (F.col("least") >= F.coalesce("next", F.lit(0))).alias("sure"))
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str, keep: Sequence[str] = ()) -> DataFrame:
     """Streams into Parquet files until all that is there is processed, and reads them."""
     out = stream.select(*keep) if keep else stream

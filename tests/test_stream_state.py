@@ -232,3 +232,28 @@ def test_streamed_churn_equals_the_batch_operator(spark, scratch):
     limit = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=closed)
     want = sorted(tuple(r) for r in S.series_churn(batch, 1800).collect() if r.interval_start < limit)
     assert sorted(tuple(r) for r in SF.churn_from_changes(out, 1800).collect()) == want
+
+
+def test_space_saving_holds_the_heaviest_within_bounds(spark, scratch):
+    """A skewed stream with far more keys than counters, several micro-batches and a restart."""
+    rnd = random.Random(4)
+    keys = [f"k{min(int(rnd.paretovariate(0.6)), 5000)}" for _ in range(9000)]
+    src, true = f"{scratch}/in", {}
+    for k in keys:
+        true[k] = true.get(k, 0) + 1
+    for name, part in (("a.log", keys[:5000]), ("b.log", keys[5000:])):
+        put(src, name, "".join(f"{k}\n" for k in part))
+        lines = T.tail(spark, src, f"{scratch}/progress/o.json", 1500)
+        q = SF.heavy_hitters(lines, "raw", counters=40, parts=4).writeStream.outputMode("update").foreachBatch(
+            FW.idempotent_writer([f"{scratch}/out"], "parquet")).option("checkpointLocation", f"{scratch}/ck").trigger(processingTime="0 seconds").start()
+        q.processAllAvailable()
+        q.stop()
+    said = spark.read.parquet(f"{scratch}/out")
+    last = said.groupBy("part").agg(*[F.max_by(c, "batch_id").alias(c) for c in ("items", "n", "error")])
+    rows = {i: (n, e) for r in last.collect() for i, n, e in zip(r["items"], r["n"], r["error"])}
+    assert len(true) > 400 and len(rows) == 160 and sum(n for n, _ in rows.values()) == len(keys)
+    assert all(n - e <= true[i] <= n for i, (n, e) in rows.items())
+    best = sorted(true, key=lambda k: (-true[k], k))
+    assert all(k in rows for k in best[:10])
+    top = SF.heaviest(last, 10).collect()
+    assert len(top) == 10 and all(r.item in best[: len(top)] for r in top if r.sure) and any(r.sure for r in top)
