@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orrery.llm import langid, minhash, packing, quotient, secrets
 from orrery.llm.util import documents, short_batches
-from orrery.session import scratch_path
+from orrery.session import remove_at_end, scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,9 +52,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn, each result written as Parquet under the shared
-    checkpoint folder and read again as the next one's input."""
+    checkpoint folder and read again as the next one's input; the folder goes
+    when the application ends."""
     docs = documents(spark, sf_dir)
     home = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    remove_at_end(spark, home)
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{home}/{name}")
         docs = spark.read.parquet(f"{home}/{name}")
