@@ -17,7 +17,8 @@ mirrored column for column by the SQL in ``plans/oracle.py``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -288,16 +289,41 @@ def tail_from_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDERED_BATCHES = 6
 
 
+#: Lines of a micro-batch that a partition of the state is for, about: opening and
+#: committing one takes as long whether it holds something or not.
+STATE_LINES = 50_000
+
+
+def _share(spark: SparkSession, path: str) -> int:
+    """Lines of one of ORDERED_BATCHES micro-batches over the text files, counted there."""
+    return -(-spark.read.text(path).count() // ORDERED_BATCHES) or 1
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, entries: int) -> Iterator[None]:
+    """As many shuffle partitions as the state of such micro-batches is worth, one a
+    core at least and the session's number at most (a stream keeps the number that
+    it starts with)."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), max(spark.sparkContext.defaultParallelism, -(-entries // STATE_LINES)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ordered_stream(spark: SparkSession, kind: str, sf_dir: str, rows: DataFrame, order: Sequence[str], make: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The Parquet sink of a streaming run over ``rows``, written as JSON lines in
     ``order`` and tailed in ORDERED_BATCHES micro-batches."""
 
     def run(home: str) -> None:
         rows.orderBy(*order).select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(f"{home}/in")
-        entries = -(-rows.count() // ORDERED_BATCHES) or 1
+        entries = _share(spark, f"{home}/in")
         lines = tail(spark, f"{home}/in", f"{home}/progress/offset.json", entries)
         parsed = lines.select(F.from_json("raw", rows.schema).alias("r")).select("r.*")
-        stateful.run_to_end(make(parsed), f"{home}/out", f"{home}/checkpoint")
+        with _state_partitions(spark, entries):
+            stateful.run_to_end(make(parsed), f"{home}/out", f"{home}/checkpoint")
 
     return spark.read.parquet(f"{_written(spark, kind, sf_dir, run)}/out")
 
@@ -310,11 +336,13 @@ def updated(spark: SparkSession, kind: str, sf_dir: str, rows: DataFrame, order:
 
     def run(home: str) -> None:
         rows.orderBy(*order).select(F.to_json(F.struct(*rows.columns)).alias("value")).write.text(f"{home}/in")
-        lines = tail(spark, f"{home}/in", f"{home}/progress/offset.json", -(-rows.count() // ORDERED_BATCHES) or 1)
+        entries = _share(spark, f"{home}/in")
+        lines = tail(spark, f"{home}/in", f"{home}/progress/offset.json", entries)
         parsed = lines.select(F.from_json("raw", rows.schema).alias("r")).select("r.*")
         write = idempotent_writer([f"{home}/out"], "parquet")
-        _until_done(make(parsed).writeStream.outputMode("update").foreachBatch(write).option(
-            "checkpointLocation", f"{home}/checkpoint").trigger(processingTime="0 seconds").start())
+        with _state_partitions(spark, entries):
+            _until_done(make(parsed).writeStream.outputMode("update").foreachBatch(write).option(
+                "checkpointLocation", f"{home}/checkpoint").trigger(processingTime="0 seconds").start())
 
     said = spark.read.parquet(f"{_written(spark, kind, sf_dir, run)}/out")
     others = [c for c in said.columns if c not in (*keys, "batch_id")]

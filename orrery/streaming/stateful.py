@@ -5,7 +5,8 @@ All but the last run over panes, in two steps.  A native windowed aggregate firs
 and pane (a step of time, left-open), so that a hot series' samples are dealt by
 time and each sample is looked at once.  The rows of a series then come in the
 order of their panes, since a pane is given out when the watermark passes its
-end, and a stateful step carries over what the next pane needs.
+end, and a second step carries over what the next pane needs: keyed state, or for
+churn, where that is the interval before, a native aggregate over both.
 """
 
 from __future__ import annotations
@@ -22,11 +23,15 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 US, MS = 1_000_000, 1_000
+#: Parts that the series of ``rate_panes`` are dealt to; a part's state is one value.
+PARTS = 256
 
 
 def with_state_store(spark: SparkSession) -> None:
-    """Sets the session to the state store that keyed state with timers needs."""
+    """Sets the session to the state store that keyed state with timers needs; a
+    commit writes what has changed, not the whole state."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def _panes(df: DataFrame, key: str, step: str, watermark: str, ts: str, **aggregates: Column) -> DataFrame:
@@ -37,21 +42,22 @@ def _panes(df: DataFrame, key: str, step: str, watermark: str, ts: str, **aggreg
 
 
 class _Rates(StatefulProcessor):
-    """State of a series: its last pane's end, last sample time and value.  A row
-    per pane, with the increase between the last sample before and its first."""
+    """State of a part of the series: the last sample's value of each, in one value.
+    A row per pane, with the increase between the last sample before and its first."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value decimal(38,6)")
+        self.last = handle.getValueState("last", "keys array<string>, values array<decimal(38,6)>")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         panes = pd.concat(list(rows)).sort_values("pane", kind="stable")
-        before = self.last.get()[0] if self.last.exists() else None
+        held = dict(zip(*self.last.get(), strict=True)) if self.last.exists() else {}
         between = []
-        for first, last in zip(panes["first"], panes["last"], strict=True):
+        for series, first, last in zip(panes["key"], panes["first"], panes["last"], strict=True):
+            before = held.get(series)
             between.append(None if before is None else first - before if first >= before else first)
-            before = last
-        self.last.update((before,))
-        yield pd.DataFrame({"key": [key[0]] * len(panes), "pane": panes["pane"].astype("int64"), "samples": panes["samples"].astype("int64"),
+            held[series] = last
+        self.last.update((list(held), list(held.values())))
+        yield pd.DataFrame({"key": panes["key"], "pane": panes["pane"].astype("int64"), "samples": panes["samples"].astype("int64"),
                             "inside": panes["inside"], "between": pd.Series(between, index=panes.index, dtype=object)})
 
     def close(self) -> None:
@@ -65,7 +71,8 @@ def rate_panes(df: DataFrame, key: str, value: str, step: str, watermark: str, t
     pane of a series).  A value below the one before is a reset and counts whole.
 
     In a pane the samples are put in order of time, so files and batches may mix
-    them as far as the watermark allows.
+    them as far as the watermark allows.  Series are dealt to PARTS by hash, so
+    that a micro-batch asks for state once a part, not once a series.
     """
     with_state_store(df.sparkSession)
     sample = F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("i"), F.col(value).cast("decimal(38,6)").alias("v"))
@@ -77,7 +84,8 @@ def rate_panes(df: DataFrame, key: str, value: str, step: str, watermark: str, t
     panes = panes.select("w", "pane", F.col(key).cast("string").alias("key"), F.size("all").cast("long").alias("samples"), F.get("all", F.lit(0))["v"].alias("first"),
                          F.element_at("all", -1)["v"].alias("last"),
                          F.aggregate(steps, zero, lambda a, x: (a + x).cast("decimal(38,6)")).alias("inside"))
-    return panes.groupBy("key").transformWithStateInPandas(
+    dealt = panes.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
+    return dealt.groupBy("part").transformWithStateInPandas(
         _Rates(), "key string, pane long, samples long, inside decimal(38,6), between decimal(38,6)", "append", "eventTime")
 
 
@@ -175,62 +183,26 @@ def sliding_counts(df: DataFrame, key: str, width_seconds: int, step_seconds: in
     return ring.select(F.col("key").alias(key), F.timestamp_millis("pane").alias("window_end"), "n")
 
 
-class _Activity(StatefulProcessor):
-    """State of a series: the last interval it was active in.  An interval after a
-    silent one says "appeared"; the timer at the end of the interval after the
-    last active one says "disappeared", and the state goes."""
-
-    def __init__(self, step_ms: int):
-        self.step = step_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "pane long")
-
-    def _said(self, key: tuple, said: list[tuple[int, str]]) -> pd.DataFrame:
-        return pd.DataFrame({"key": pd.Series([key[0]] * len(said), dtype=object), "pane": pd.Series([p for p, _ in said], dtype="int64"),
-                             "change": pd.Series([c for _, c in said], dtype=object)})
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        panes = sorted(pd.concat(list(rows))["pane"].tolist())
-        last, said = self.last.get()[0] if self.last.exists() else None, []
-        for pane in panes:
-            if last is not None and pane > last + self.step:
-                said.append((last + self.step, "disappeared"))
-            if last is None or pane > last + self.step:
-                said.append((pane, "appeared"))
-            said.append((pane, "active"))
-            last = pane
-        for t in self.handle.listTimers():
-            self.handle.deleteTimer(t)
-        if timerValues.getCurrentWatermarkInMs() >= last + self.step:
-            said.append((last + self.step, "disappeared"))
-            self.last.clear()
-        else:
-            self.last.update((last,))
-            self.handle.registerTimer(last + self.step)
-        yield self._said(key, said)
-
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        yield self._said(key, [(expiredTimerInfo.getExpiryTimeInMs(), "disappeared")])
-
-    def close(self) -> None:
-        pass
-
-
 def series_changes(df: DataFrame, key: str, step_seconds: int, watermark: str, ts: str = "event_ts") -> DataFrame:
     """Activity of series on a stream (A20, U3): key, pane (the interval's end in
     milliseconds; intervals are left-closed) and change: ``active``, ``appeared``
     (not active in the interval before) or ``disappeared`` (active in the one
     before, silent in this one, known when the watermark passes its end).
 
-    A series takes state while it is active and for one interval more.
+    A series takes state while it is active and for one interval more: two native
+    windowed aggregates, one a series and interval, the other over the interval
+    and the one before it, which is given out when the watermark passes its end.
     """
     with_state_store(df.sparkSession)
     seen = df.withWatermark(ts, watermark).groupBy(F.window(ts, f"{step_seconds} seconds").alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
-    seen = seen.select("w", F.unix_millis("w.end").alias("pane"), F.col(key).cast("string").alias("key"))
-    return seen.groupBy("key").transformWithStateInPandas(_Activity(step_seconds * MS), "key string, pane long, change string", "append", "eventTime")
+    seen = seen.select("w", F.unix_millis("w.end").alias("at"), F.col(key).cast("string").alias("key"))
+    # an interval and the one before it: every row is the later half of one pair and the earlier half of the next
+    pairs = seen.groupBy(F.window("w", f"{2 * step_seconds} seconds", f"{step_seconds} seconds").alias("pair"), "key").agg(
+        F.max("at").alias("newest"), F.min("at").alias("oldest"))
+    pane = F.unix_millis("pair.end")
+    now, before = F.col("newest") == pane, F.col("oldest") < pane
+    said = F.filter(F.array(F.when(now, "active"), F.when(now & ~before, "appeared"), F.when(~now, "disappeared")), lambda c: c.isNotNull())
+    return pairs.select("key", pane.alias("pane"), F.explode(said).alias("change"))
 
 
 def churn_from_changes(changes: DataFrame, step_seconds: int) -> DataFrame:

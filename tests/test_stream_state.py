@@ -257,3 +257,15 @@ def test_space_saving_holds_the_heaviest_within_bounds(spark, scratch):
     assert all(k in rows for k in best[:10])
     top = SF.heaviest(last, 10).collect()
     assert len(top) == 10 and all(r.item in best[: len(top)] for r in top if r.sure) and any(r.sure for r in top)
+
+
+def test_state_is_asked_for_once_a_part_and_churn_needs_no_keyed_state(spark, scratch):
+    """A micro-batch of many series calls the stateful step once a part; changes come from native aggregates."""
+    rows = [(f"s{i}", 1_704_067_200 + 60 * (i % 50), i, i) for i in range(2000)]
+    src = f"{scratch}/in"
+    put(src, "a.log", json_lines(rows))
+    stream = as_stream(spark, src, scratch, 5000)
+    plan = SF.series_changes(stream, "series_key", 1800, "30 minutes")._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan
+    plan = SF.rate_panes(stream, "series_key", "counter", "1 hour", "30 minutes")._jdf.queryExecution().analyzed().toString()
+    assert "pmod(xxhash64(key" in plan
