@@ -698,7 +698,7 @@ def stream_forwarder_pair(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_forwarder_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """ST1: no micro-batch of the run holds more than 2,500 entries."""
+    """ST1: no batch that the run delivered holds more than 2,500 entries."""
     _, log = V.forwarder_sinks(spark, sf, FORWARD_SINCE)
     sizes = log.groupBy("batch_id").agg(F.sum(F.when(F.col("metric").isin("entries", "rejected"), F.col("lines"))).alias("lines"))
     return sizes.agg(F.count_if(F.col("lines") > V.ENTRIES).alias("batches_over"), F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"))

@@ -247,9 +247,13 @@ def _until_done(query) -> None:
         query.stop()
 
 
+#: Batches of 2,500 lines that a micro-batch of a forwarder takes.
+TOGETHER = 200
+
+
 def forwarder_run(spark: SparkSession, sf_dir: str, since: float) -> str:
     """Folder of a run of the forwarder (strict parse, entries from ``since`` on)
-    over the raw lines, at most 2,500 a micro-batch, into two sinks: the lines of
+    over the raw lines, at most 2,500 a batch, into two sinks: the lines of
     two thirds of the events first, then, after a restart on the same checkpoint,
     the others."""
     lines = log_lines(spark, sf_dir).select("event_id", "raw")
@@ -258,7 +262,7 @@ def forwarder_run(spark: SparkSession, sf_dir: str, since: float) -> str:
         for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
             lines.where(part).select("raw").write.mode("append").text(f"{home}/in")
             _until_done(start_forwarder(spark, f"{home}/in", [f"{home}/a", f"{home}/b"], f"{home}/checkpoint", strict=True, since=since,
-                                        dead_letter=f"{home}/dead", entries_per_batch=ENTRIES))
+                                        dead_letter=f"{home}/dead", entries_per_batch=ENTRIES, batches_per_trigger=TOGETHER))
 
     return _written(spark, "forwarder", sf_dir, run)
 
@@ -278,7 +282,8 @@ def tail_from_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(home: str) -> None:
         lines.where("event_id % 3 <> 0").select("raw").write.text(f"{home}/in")
         for more in ("event_id % 3 = 0", "false"):  # the second start resumes; it doesn't skip again
-            _until_done(start_forwarder(spark, f"{home}/in", [f"{home}/a"], f"{home}/checkpoint", entries_per_batch=10 * ENTRIES, from_end=True))
+            _until_done(start_forwarder(spark, f"{home}/in", [f"{home}/a"], f"{home}/checkpoint", entries_per_batch=10 * ENTRIES,
+                                        batches_per_trigger=TOGETHER // 10, from_end=True))
             lines.where(more).select("raw").write.mode("append").text(f"{home}/in")
 
     home = _written(spark, "from-now", sf_dir, run)

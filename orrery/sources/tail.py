@@ -9,7 +9,8 @@ by tasks, one byte range each.
 Options: ``path``, a folder; ``progress``, a shared file of the query's own,
 which remembers what was planned last (the checkpoint holds the offsets, but a
 source isn't told them before it has to name the next one); ``entries`` a
-micro-batch (2,500); ``start``, ``beginning`` or ``end`` (S9: what is there when
+batch (2,500); ``batches`` that a micro-batch takes at most (1; with more, a column
+``batch`` numbers them from 0 within the micro-batch); ``start``, ``beginning`` or ``end`` (S9: what is there when
 the query first starts isn't read at all); ``task_bytes`` of a byte range.
 
 Files are read in the order of their names.  They may grow at the end, new ones
@@ -41,17 +42,17 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class Range(InputPartition):
-    """Bytes of a file, whole lines."""
+    """Bytes of a file, whole lines, of one batch of the micro-batch."""
 
-    def __init__(self, name: str, begin: int, end: int):
-        self.name, self.begin, self.end = name, begin, end
+    def __init__(self, name: str, begin: int, end: int, batch: int = 0):
+        self.name, self.begin, self.end, self.batch = name, begin, end, batch
 
 
 class TailReader(DataSourceStreamReader):
     """Offsets are {"files": {name: bytes read}, "entries": lines so far}."""
 
     def __init__(self, options: dict):
-        self.path, self.entries = options["path"], int(options.get("entries", ENTRIES))
+        self.path, self.entries, self.batches = options["path"], int(options.get("entries", ENTRIES)), int(options.get("batches", 1))
         self.from_end = options.get("start", "beginning") == "end"
         self.task_bytes, self.progress = int(options.get("task_bytes", TASK_BYTES)), options["progress"]
         self.planned: dict | None = None
@@ -82,10 +83,11 @@ class TailReader(DataSourceStreamReader):
         return at
 
     def latestOffset(self) -> dict:
-        """At most ``entries`` lines after what was planned last."""
+        """At most ``batches`` times ``entries`` lines after what was planned last."""
         if self.planned is None:
             self.planned = self._remembered() or self.initialOffset()
-        read, left = dict(self.planned["files"]), self.entries
+        most = self.entries * self.batches
+        read, left = dict(self.planned["files"]), most
         there = self._files()
         for i, (name, size) in enumerate(there):
             if left <= 0:
@@ -95,7 +97,7 @@ class TailReader(DataSourceStreamReader):
                 end, lines = self._advance(name, at, size, left, last=i + 1 == len(there))
                 if lines:
                     read[name], left = end, left - lines
-        return {"files": read, "entries": self.planned["entries"] + self.entries - left}
+        return {"files": read, "entries": self.planned["entries"] + most - left}
 
     def _advance(self, name: str, begin: int, size: int, most: int, last: bool) -> tuple[int, int]:
         """(where reading ends, lines up to there) after ``most`` lines or at the file's end."""
@@ -123,16 +125,32 @@ class TailReader(DataSourceStreamReader):
         self.planned = end
         self._remember(end)
         out = []
-        for name, to in sorted(end["files"].items()):
-            begin = start["files"].get(name, 0)
+        for name, begin, to, batch in self._batches(start, end):
             while begin < to:
                 stop = to
                 if to - begin > self.task_bytes:
                     stop = self._line_end(name, begin + self.task_bytes, to)
-                out.append(Range(name, begin, stop))
+                out.append(Range(name, begin, stop, batch))
                 begin = stop
         return out
 
+    def _batches(self, start: dict, end: dict) -> Iterator[tuple[str, int, int, int]]:
+        """(file, begin, end, batch): a batch is full after ``entries`` lines, wherever in
+        a file that is, and goes on in the next file until then."""
+        batch, room = 0, self.entries
+        for name, to in sorted(end["files"].items()):
+            begin = start["files"].get(name, 0)
+            while begin < to:
+                if self.batches == 1:
+                    stop = to
+                else:
+                    if not room:
+                        batch, room = batch + 1, self.entries
+                    stop, lines = self._advance(name, begin, to, room, last=False)
+                    room -= lines
+                yield name, begin, stop, batch
+                begin = stop
+
     def _line_end(self, name: str, at: int, most: int) -> int:
         """The end of the line that the byte at ``at`` is in, ``most`` at the latest."""
         files, path = _open(self.path)
@@ -159,9 +177,11 @@ class TailReader(DataSourceStreamReader):
             at += len(line) + 1
         for i in range(0, len(lines), 10_000):
             part = [x.removesuffix(b"\r").decode("utf-8", "replace") for x in lines[i : i + 10_000]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), pa.array([f"{self.path}/{partition.name}"] * len(part), pa.string()),
-                 pa.array(offsets[i : i + 10_000], pa.int64())], names=["raw", "source", "line_offset"])
+            columns = {"raw": pa.array(part, pa.string()), "source": pa.array([f"{self.path}/{partition.name}"] * len(part), pa.string()),
+                       "line_offset": pa.array(offsets[i : i + 10_000], pa.int64())}
+            if self.batches > 1:
+                columns["batch"] = pa.array([partition.batch] * len(part), pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     def commit(self, end: dict) -> None:
         """The checkpoint and ``progress`` hold all there is to remember."""
@@ -176,14 +196,15 @@ class Tail(DataSource):
         return "orrery_tail"
 
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA + ", batch long" * (int(self.options.get("batches", 1)) > 1)
 
     def streamReader(self, schema) -> TailReader:
         return TailReader(dict(self.options))
 
 
-def tail(spark: SparkSession, path: str, progress: str, entries: int = ENTRIES, start: str = "beginning") -> DataFrame:
-    """Stream of (raw, source, line_offset), at most ``entries`` lines a micro-batch."""
+def tail(spark: SparkSession, path: str, progress: str, entries: int = ENTRIES, start: str = "beginning", batches: int = 1) -> DataFrame:
+    """Stream of (raw, source, line_offset), at most ``entries`` lines a micro-batch;
+    with ``batches`` > 1 so many times as many, and their ``batch``."""
     spark.dataSource.register(Tail)
     reader = spark.readStream.format("orrery_tail").option("path", path).option("progress", progress)
-    return reader.option("entries", str(entries)).option("start", start).load()
+    return reader.option("entries", str(entries)).option("start", start).option("batches", str(batches)).load()

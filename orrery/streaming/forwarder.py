@@ -103,13 +103,16 @@ def start_forwarder(spark: SparkSession, source: str, sinks: Sequence[str], chec
                     strict: bool = False, keep_service: str | None = None,
                     available_now: bool = False, name: str = "forwarder", since: float | None = None,
                     dead_letter: str | None = None, files_per_trigger: int | None = None,
-                    entries_per_batch: int | None = None, from_end: bool = False) -> StreamingQuery:
+                    entries_per_batch: int | None = None, from_end: bool = False, batches_per_trigger: int = 1) -> StreamingQuery:
     """Run the forwarder: tail ``source``, parse, optionally keep one service
     (P7 on the ``service`` field), deliver JSON lines to ``sinks``.
 
-    ``entries_per_batch`` bounds a micro-batch by lines, wherever in a file they
+    ``entries_per_batch`` bounds a batch by lines, wherever in a file they
     end (ST1; ``tail.ENTRIES`` is the reference's number), ``files_per_trigger``
-    by files.  ``from_end`` starts at what is there at first start, unread (S9;
+    by files.  A micro-batch is one batch, or up to ``batches_per_trigger`` (with
+    ``entries_per_batch`` only; the same number as long as the checkpoint lives),
+    which tasks read and deliver side by side, each with an id, folders and counts
+    of its own.  ``from_end`` starts at what is there at first start, unread (S9;
     with ``entries_per_batch`` only); ``since`` (epoch seconds) drops entries of an
     earlier time of their own.  ``dead_letter`` receives the raw lines the strict
     parse rejects (ST4).
@@ -126,8 +129,11 @@ def start_forwarder(spark: SparkSession, source: str, sinks: Sequence[str], chec
         checkpoint = scratch_path(spark, f"streams/{name}")
     if from_end and not entries_per_batch:
         raise ValueError("from_end needs entries_per_batch")
+    if batches_per_trigger > 1 and not entries_per_batch:
+        raise ValueError("batches_per_trigger needs entries_per_batch")
     if entries_per_batch:
-        lines = tail(spark, source, checkpoint.rstrip("/") + "-progress/offset.json", entries_per_batch, "end" if from_end else "beginning")
+        lines = tail(spark, source, checkpoint.rstrip("/") + "-progress/offset.json", entries_per_batch, "end" if from_end else "beginning",
+                     batches_per_trigger)
     else:
         lines = tail_lines(spark, source, files_per_trigger)
     entries = forwarded_entries(lines, strict=strict, since=since, with_rejects=True)
@@ -135,15 +141,16 @@ def start_forwarder(spark: SparkSession, source: str, sinks: Sequence[str], chec
         entries = entries.filter(F.col("rejected") | (F.col("fields")["service"] == keep_service))
     entries = observed_drops(entries, name)
     kept = ~F.col("rejected")
-    out = entries.select(payload(entries).alias("value"), "rejected", "raw", (kept & ~F.col("is_json")).alias("plain"),
+    batch_no = ["batch"] if batches_per_trigger > 1 else []
+    out = entries.select(*batch_no, payload(entries).alias("value"), "rejected", "raw", (kept & ~F.col("is_json")).alias("plain"),
                          (kept & F.col("is_json") & event_seconds(F.col("_time")).isNull()).alias("untimed"))
     targets = [*sinks, *([dead_letter] if dead_letter else [])]
 
     def split(batch: DataFrame) -> list[DataFrame]:
-        sent = batch.filter(kept).select("value")
-        return [sent] * len(sinks) + [batch.filter("rejected").select(F.col("raw").alias("value"))] * bool(dead_letter)
+        sent = batch.filter(kept).select(*batch_no, "value")
+        return [sent] * len(sinks) + [batch.filter("rejected").select(*batch_no, F.col("raw").alias("value"))] * bool(dead_letter)
 
-    w = out.writeStream.foreachBatch(atomic_writer(targets, commit_log(checkpoint), drop_counts(), split)).option("checkpointLocation", checkpoint)
+    w = out.writeStream.foreachBatch(atomic_writer(targets, commit_log(checkpoint), drop_counts(), split, together=batches_per_trigger)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=BATCH_INTERVAL)
     return w.start()
 

@@ -259,6 +259,26 @@ def test_space_saving_holds_the_heaviest_within_bounds(spark, scratch):
     assert len(top) == 10 and all(r.item in best[: len(top)] for r in top if r.sure) and any(r.sure for r in top)
 
 
+def test_many_batches_of_a_micro_batch_are_told_apart(spark, scratch):
+    """Several bounded batches in one micro-batch: ids, folders, counts, a replay, a rejected batch, a restart."""
+    src, log = f"{scratch}/in", FW.commit_log(f"{scratch}/ck")
+    put(src, "a.log", "".join(json.dumps({"timestamp": i, "n": i}) + "\n" for i in range(8)))
+    put(src, "b.log", "".join(json.dumps({"timestamp": i, "n": i}) + "\n" for i in range(8, 15)) + "[1]\n" * 5)
+    os.makedirs(f"{scratch}/a/batch_id=2")
+    put(f"{scratch}/a/batch_id=2", "part-old.txt", "left by an attempt that failed\n")
+    forward(spark, src, scratch, entries_per_batch=5, batches_per_trigger=3)
+    put(src, "c.log", json.dumps({"timestamp": 15, "n": 15}) + "\n")
+    forward(spark, src, scratch, entries_per_batch=5, batches_per_trigger=3)
+    for sink in "ab":
+        rows = commits.visible(spark, log, f"{scratch}/{sink}").collect()
+        assert sorted((r.batch_id, json.loads(r.value)["n"]) for r in rows) == sorted((i // 5, i) for i in range(15)) + [(6, 15)]
+    assert [r.batch_id for r in commits.visible(spark, log, f"{scratch}/dead").collect()] == [3] * 5
+    sizes = commits.entries(spark, log).where("metric in ('entries', 'rejected')").groupBy("batch_id").agg(F.sum("lines").alias("n"))
+    assert sorted((r.batch_id, r.n) for r in sizes.collect()) == [(0, 5), (1, 5), (2, 5), (3, 5), (6, 1)]
+    # five batches took two micro-batches, a file of the log each, and one after the restart
+    assert len([x for x in os.listdir(log) if x.startswith("batch-")]) == 3
+
+
 def test_state_is_asked_for_once_a_part_and_churn_needs_no_keyed_state(spark, scratch):
     """A micro-batch of many series calls the stateful step once a part; changes come from native aggregates."""
     rows = [(f"s{i}", 1_704_067_200 + 60 * (i % 50), i, i) for i in range(2000)]
