@@ -4,7 +4,8 @@
 Span rows: ``(trace_id, service, attrs MAP<STRING,STRING>, ...)``, one row per
 span.  A tag search returns whole traces: every span of each trace that has at
 least one matching span, computed as a semi join on ``trace_id`` (both sides
-shuffled on the trace id; AQE splits a hot trace id).
+shuffled on the trace id, where AQE splits a hot one, unless the spans are
+already dealt to partitions by it: those stay as they are).
 """
 
 from __future__ import annotations
@@ -70,7 +71,9 @@ def trace_counts(found: DataFrame, by: Sequence[str] = (), trace: str = "trace_i
     Empty ids count as spans but not as traces; mean is 0 with no traces.
     """
     t = F.nullif(F.col(trace), F.lit(""))
-    agg = found.groupBy(*by).agg(F.count_distinct(t).alias("traces"), F.count(F.lit(1)).alias("spans"))
+    # by trace first: spans dealt by trace are not shuffled again
+    per = found.groupBy(*by, F.col(trace)).agg(F.count(F.lit(1)).alias("_n"))
+    agg = per.groupBy(*by).agg(F.count(t).alias("traces"), F.coalesce(F.sum("_n"), F.lit(0).cast("long")).alias("spans"))
     return agg.withColumn(
         "spans_per_trace",
         F.when(F.col("traces") > 0, F.col("spans") / F.col("traces")).otherwise(F.lit(0.0)),

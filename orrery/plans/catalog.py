@@ -297,21 +297,20 @@ def exposition_drop_prefix_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------------------- traces
 def trace_span_counts(spark: SparkSession, sf: str) -> DataFrame:
-    found = T.tag_search(V.spans(spark, sf), "return.flag=R line.status=F")
+    found = T.tag_search(V.spans(spark, sf, tasks=V.span_tasks(spark, sf)), "return.flag=R line.status=F")
     return T.trace_counts(found)
 
 
 def trace_service_tag_search(spark: SparkSession, sf: str) -> DataFrame:
-    found = T.service_tag_search(V.spans(spark, sf), "payment", '{"return.flag":"A","benchmark_app":"orders"}')
+    spans = V.spans(spark, sf, tasks=V.span_tasks(spark, sf))
+    found = T.service_tag_search(spans, "payment", '{"return.flag":"A","benchmark_app":"orders"}')
     return T.trace_counts(found)
 
 
 def trace_field_search(spark: SparkSession, sf: str) -> DataFrame:
-    # every span of an order has the order's batch: the orders are filtered
-    # first, and only their lines are read on
-    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus") == "P")
-    spans = V.spans(spark, sf).join(orders, F.col("order_key") == orders.o_orderkey).withColumn(
-        "attrs", F.map_concat("attrs", F.create_map(F.lit("test.batch"), F.col("o_orderstatus"))))
+    # every span of an order has the order's batch: a span that matches stands for
+    # its whole trace, and the condition reaches the orders before the join
+    spans = V.spans(spark, sf, with_batch=True, tasks=V.span_tasks(spark, sf))
     return T.trace_counts(spans.filter(T.has_field("test.batch", "P")))
 
 

@@ -140,24 +140,44 @@ def latencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False) -> DataFrame:
+#: Span rows of a task that holds them by trace.
+TASK_SPANS = 1_250_000
+
+
+def span_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions for spans dealt by trace: they grow with the rows (counted in
+    the files' footers), so that what a task sorts or groups does not."""
+    rows = read_table(spark, sf_dir, "lineitem", []).count()
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_SPANS))
+
+
+def spans(spark: SparkSession, sf_dir: str, with_batch: bool = False, tasks: int | None = None) -> DataFrame:
     """Span rows from lineitem (trace = order).
 
     ``with_batch`` adds the ``test.batch`` attribute from the order status,
     which needs a join with orders on the order key; queries that do not use
-    it do not pay for that join.
+    it do not pay for that join.  ``tasks`` (``span_tasks``) deals the rows, and
+    the orders, to that many partitions by trace id before anything else: joins,
+    searches and groups by trace need no other shuffle, and AQE, which goes by
+    compressed bytes, does not put the partitions together again.
     """
     li = read_table(
         spark, sf_dir, "lineitem",
         ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"],
-    )
-    if with_batch:
+    ).withColumn("trace_id", F.col("l_orderkey").cast("string"))
+    if tasks:
+        li = li.repartition(tasks, "trace_id")
+    if with_batch and tasks:
+        orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"]).select(
+            F.col("o_orderkey").cast("string").alias("_order"), "o_orderstatus").repartition(tasks, "_order")
+        li = li.join(orders, F.col("trace_id") == F.col("_order"), "left")
+    elif with_batch:
         orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"])
         li = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
     batch = [F.lit("test.batch"), F.col("o_orderstatus")] if with_batch else []
     service = F.element_at(F.array(*[F.lit(s) for s in SERVICES]), (F.col("l_partkey") % 5 + 1).cast("int"))
     return li.select(
-        F.col("l_orderkey").cast("string").alias("trace_id"),
+        "trace_id",
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
         service.alias("service"),

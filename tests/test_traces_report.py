@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 import statistics
 
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 from orrery.operators import report as R
 from orrery.operators import traces as T
 from orrery.operators.quantiles import quantile_table, value_bucket
+from orrery.plans import catalog as C
+from orrery.plans import views as V
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -195,3 +198,30 @@ def test_summary_stats_approximate_close(spark):
     for c in ("p50", "p90", "p99"):
         assert abs(ex[c] - ap[c]) <= 0.01 * 1000, c
     assert (ex.n, ex.min, ex.max) == (ap.n, ap.min, ap.max)
+
+
+def span_tables(spark, folder):
+    lines = [(k if k % 50 else None, k % 7, n, "RAN"[k % 3], "OF"[k % 2], T0) for k in range(1, 400) for n in range(1 + k % 4)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string, "
+                          "l_shipdate timestamp").write.parquet(f"{folder}/lineitem.parquet")
+    orders = [(k, "POF"[k % 3]) for k in range(1, 420)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string").write.parquet(f"{folder}/orders.parquet")
+    return [r for r in lines if r[0] is not None], orders
+
+
+def test_spans_of_a_task_do_not_grow_with_the_table(spark, scratch, monkeypatch, capsys):
+    lines, orders = span_tables(spark, scratch)
+    monkeypatch.setattr(V, "TASK_SPANS", 20)
+    n = V.span_tasks(spark, scratch)
+    assert n >= len(lines) / 20
+    status = dict(orders)
+    for query, hits in ((C.trace_field_search, [r[0] for r in lines if status[r[0]] == "P"]),
+                        (C.trace_span_counts, [r[0] for r in lines if r[3:5] == ("R", "F")])):
+        df = query(spark, scratch)
+        df.explain()
+        # dealt by trace once, to that many partitions; groups by trace need no other shuffle
+        plan = capsys.readouterr().out
+        assert set(re.findall(r"hashpartitioning\((?:trace_id|_order)#\d+, (\d+)\), REPARTITION_BY_NUM", plan)) == {str(n)}
+        assert not re.search(r"hashpartitioning\(.*ENSURE_REQUIREMENTS", plan)
+        spans = sum(r[0] in set(hits) for r in lines)
+        assert tuple(df.first())[:2] == (len(set(hits)), spans)
