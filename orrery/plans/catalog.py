@@ -315,11 +315,12 @@ def trace_field_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reconcile_expected_found(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"])
+    tasks = V.span_tasks(spark, sf)
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).repartition(tasks, "o_orderkey")
     expected = orders.groupBy(F.col("o_orderstatus").alias("batch")).agg(F.count(F.lit(1)).alias("expected"))
     # Distinct traces first (map-side partial distinct), then their batch tag:
     # the join sees one row per trace instead of one per span.
-    traces = V.spans(spark, sf).select("order_key").distinct()
+    traces = V.spans(spark, sf).select("order_key").repartition(tasks, "order_key").distinct()
     tagged = traces.join(orders, traces.order_key == orders.o_orderkey, "left")
     found = tagged.groupBy(F.col("o_orderstatus").alias("batch")).agg(F.count(F.lit(1)).alias("found"))
     return T.expected_vs_found(expected, found, ["batch"])
@@ -328,9 +329,10 @@ def reconcile_expected_found(spark: SparkSession, sf: str) -> DataFrame:
 def reconcile_lost_ids(spark: SparkSession, sf: str) -> DataFrame:
     """J5 by name: the trace ids that a batch lost and those it has too much, by
     difference digests.  Spans of every 211th order carry another id."""
-    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"])
+    tasks = V.span_tasks(spark, sf)
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).repartition(tasks, "o_orderkey")
     expected = orders.select(F.col("o_orderstatus").alias("batch"), F.col("o_orderkey").alias("trace"))
-    spans = V.spans(spark, sf).select("order_key").distinct()
+    spans = V.spans(spark, sf).select("order_key").repartition(tasks, "order_key").distinct()
     tagged = spans.join(orders, F.col("order_key") == F.col("o_orderkey"))
     other = F.when(F.col("order_key") % 211 == 0, F.col("order_key") + 10**12).otherwise(F.col("order_key"))
     found = tagged.select(F.col("o_orderstatus").alias("batch"), other.alias("trace"))

@@ -225,3 +225,16 @@ def test_spans_of_a_task_do_not_grow_with_the_table(spark, scratch, monkeypatch,
         assert not re.search(r"hashpartitioning\(.*ENSURE_REQUIREMENTS", plan)
         spans = sum(r[0] in set(hits) for r in lines)
         assert tuple(df.first())[:2] == (len(set(hits)), spans)
+
+
+def test_lost_ids_of_dealt_spans(spark, scratch, monkeypatch, capsys):
+    lines, orders = span_tables(spark, scratch)
+    monkeypatch.setattr(V, "TASK_SPANS", 20)
+    df = C.reconcile_lost_ids(spark, scratch)
+    df.explain()
+    assert f", {V.span_tasks(spark, scratch)}), REPARTITION_BY_NUM" in capsys.readouterr().out
+    seen, status = {r[0] for r in lines}, dict(orders)
+    found = {(status[k], k + 10**12 if k % 211 == 0 else k) for k in seen}
+    expected = {(v, k) for k, v in orders}
+    want = [(*x, "missing") for x in expected - found] + [(*x, "surplus") for x in found - expected]
+    assert sorted(map(tuple, df.collect())) == sorted(want)
