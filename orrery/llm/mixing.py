@@ -50,7 +50,9 @@ WEIGHT, RATE, OFFSET_RATE = 0.4, 0.01, 0.02
 #: Bytes of a document's first two stretches; the next ones double up to LONGEST.
 STRETCH, LONGEST = 64, 4096
 #: Documents, and bytes, scored together; bytes whose cells are found at a time.
-TOGETHER, TOGETHER_BYTES, WINDOW = 128, 1 << 18, 1 << 18
+TOGETHER, TOGETHER_BYTES, WINDOW = 128, 1 << 18, 1 << 15
+#: Bytes of a run of equal weights, on average, from which runs are filled one by one.
+LONG = 256
 #: Characters of a block.
 BLOCK_CHARS = 8_000_000
 #: Added to word counts of the plain score.
@@ -62,9 +64,7 @@ _GATE = np.full(256, 1, np.int32)  # after a letter or a byte of one
 _GATE[:128] = 2
 _GATE[ord("a") : ord("z") + 1] = 1
 _GATE[[10, 32]] = 0
-_SIGN = np.array([[1 if v >> (7 - i) & 1 else -1 for i in range(8)] for v in range(256)], np.float32)
-#: The inner nodes on a half byte's way, numbered as a heap.
-_WAY = np.array([[1, 2 | v >> 3, 4 | v >> 2, 8 | v >> 1] for v in range(16)])
+_SIGN = np.array([[1 if v >> (7 - i) & 1 else -1 for v in range(256)] for i in range(8)], np.float32)
 with np.errstate(over="ignore"):
     _POWERS = np.cumprod(np.full(256, 0x85EBCA6B, _U), dtype=_U)
 
@@ -231,8 +231,11 @@ class Predictors:
             table = np.zeros(16 << s, np.int32)
             for i in range((16 << s) // SLICE):
                 if (data := self.slices.get(first + i)) is not None:
-                    nodes = np.frombuffer(unpack(data), np.int8).reshape(-1, 16)
-                    table[i * SLICE : (i + 1) * SLICE] = np.ascontiguousarray(nodes[:, _WAY]).reshape(-1, 4).view(np.int32).ravel()
+                    node = np.frombuffer(unpack(data), np.uint8).reshape(-1, 16).T.astype(_U, order="C")  # a row a node
+                    cell = table[i * SLICE : (i + 1) * SLICE].view(_U).reshape(-1, 16)
+                    for v in range(0, 16, 2):
+                        way = node[1] | node[2 | v >> 3] << _U(8) | node[4 | v >> 2] << _U(16) | node[8 | v >> 1] << _U(24)
+                        cell[:, v] = cell[:, v + 1] = way
             out.append(table)
             first += len(table) // SLICE
         return out
@@ -281,18 +284,23 @@ def _score(sequences: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
     buf = _joined(sequences)
     lengths = np.array([len(s) for s in sequences])
     starts = np.cumsum(lengths + LEAD) - lengths - LEAD
-    both = [np.empty((len(buf) - LEAD, 2), np.int32) for _ in tables]
+    found = np.empty((len(tables), 2, len(buf) - LEAD), np.int32)  # of the two halves the four logits each
     for at, cell in windows(buf):
-        for table, out, halves in zip(tables, both, cell, strict=True):
-            for i, half in enumerate(halves):
-                out[at : at + len(half), i] = table[half]
-    found = [x.view(np.int64).ravel() for x in both]  # the eight logits of a byte
+        for table, out, halves in zip(tables, found, cell, strict=True):
+            for plane, half in zip(out, halves, strict=True):
+                np.take(table, half.astype(np.intp), mode="clip", out=plane[at : at + len(half)])
     gates = _GATE[buf[LEAD - 1 : -1]]
     buf = buf[LEAD:]
     kinds = len(sequences) * GATES
-    weights = [np.full((kinds, 8), WEIGHT / STEP, np.float32) for _ in tables]
-    offset = np.zeros((kinds, 8), np.float32)
+    # weights, and an offset as that of an input that is 1; a row a bit, so that every step runs along the bytes
+    weights = np.full((len(tables) + 1, 8, kinds), WEIGHT / STEP, np.float32)
+    weights[-1] = 0
+    rates = np.full((len(weights), 1, 1), RATE / STEP**2, np.float32)
+    rates[-1] = OFFSET_RATE
     cost = np.zeros(len(sequences))
+    # room for the longest stretch, taken once
+    most = max(int(np.clip(lengths - at, 0, size).sum()) for at, size in _stretches(int(lengths[0])))
+    room = np.empty((2, *weights.shape[:2], most), np.float32)
     for at, size in _stretches(int(lengths[0])):
         active = int(np.searchsorted(-lengths, -at))
         sizes = np.minimum(lengths[:active] - at, size)
@@ -303,25 +311,36 @@ def _score(sequences: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
         place, kind = place[order], kind[order]
         begin = np.flatnonzero(np.diff(kind, prepend=-1))
         mine, counts = kind[begin], np.diff(begin, append=len(kind))
-        sign = _SIGN[buf[place]]
-        z = np.repeat(offset[mine], counts, axis=0)
-        inputs = []
-        for w, logit in zip(weights, found, strict=True):
-            x = logit[place].view(np.int8).reshape(-1, 8).astype(np.float32)
-            inputs.append(x)
-            z += np.repeat(w[mine], counts, axis=0) * x
-        z *= -sign
+        sign = np.take(_SIGN, buf[place], axis=1, mode="clip")
+        inputs, part = room[:, :, :, : len(place)]
+        inputs[-1] = 1
+        for halves, x in zip(found, inputs, strict=False):
+            for half, plane in enumerate(halves):
+                way = np.take(plane, place, mode="clip")
+                for k in range(4):  # signed bytes, the lowest first
+                    x[4 * half + k] = way << (24 - 8 * k) >> 24
+        given = weights[:, :, mine]
+        if len(place) > LONG * len(mine):
+            for j, (a, b) in enumerate(zip(begin.tolist(), [*begin[1:].tolist(), len(place)], strict=True)):
+                np.multiply(inputs[:, :, a:b], given[:, :, j, None], out=part[:, :, a:b])
+        else:
+            np.multiply(inputs, np.repeat(given, counts, axis=2), out=part)
+        z = part.sum(axis=0)
+        z *= sign
+        np.negative(z, out=z)
         np.clip(z, -20, 20, out=z)
         inverse = np.exp(z, out=z)  # 1 / probability of the bit that came
         inverse += 1
-        bits = np.add.reduceat(np.log(inverse).sum(axis=1, dtype=np.float64), begin)
+        four = inverse[:4] * inverse[4:]
+        two = four[:2] * four[2:]  # below e^81
+        bits = np.add.reduceat(np.log(two[0].astype(np.float64) * two[1]), begin)
         cost[:active] += np.bincount(mine // GATES, weights=bits, minlength=active)
-        off = sign * (1 - 1 / inverse)
-        shrink = (1 / np.maximum(counts / 16, 1)).astype(np.float32)[:, None]
-        offset[mine] += np.add.reduceat(off, begin, axis=0) * (OFFSET_RATE * shrink)
-        for w, x in zip(weights, inputs, strict=True):
-            x *= off
-            w[mine] += np.add.reduceat(x, begin, axis=0) * (RATE / STEP**2 * shrink)
+        off = np.reciprocal(inverse, out=inverse)
+        np.subtract(1, off, out=off)
+        off *= sign
+        shrink = (1 / np.maximum(counts / 16, 1)).astype(np.float32)
+        inputs *= off
+        weights[:, :, mine] = given + np.add.reduceat(inputs, begin, axis=2) * (rates * shrink)
     return -cost / math.log(10)
 
 
@@ -339,24 +358,22 @@ def _blocks(rows: DataFrame, predictors: Predictors) -> DataFrame:
 
         def out(held: list[tuple]) -> pa.RecordBatch:
             words: dict[bytes, int] = {}
-            trained: Counter[bytes] = Counter()
             at, times, distinct, n_tokens, sequences = array("q"), array("q"), [], [], []
-            for _, _, train, text in held:
+            for *_, text in held:
                 found = tokens(text)
                 sequences.append(sequence(found))
                 found.append(END)
                 n_tokens.append(len(found))
                 counts = Counter(found)
-                if train:
-                    trained.update(counts)
                 distinct.append(len(counts))
                 at.extend([words.setdefault(w, len(words)) for w in counts])
                 times.extend(counts.values())
             scores = score(sequences, tables)
             places, n = np.array(at), np.array(distinct)
+            trained = np.bincount(places, weights=np.array(times) * np.repeat([h[2] for h in held], n), minlength=len(words))
             order = np.argsort(np.repeat(np.arange(len(n)), n) * len(words) + places)
             columns = [block, [h[0] for h in held], [h[1] for h in held], n_tokens, [len(s) for s in sequences], scores, list(words),
-                       [trained[w] for w in words], n, planes(np.diff(places[order], prepend=0), np.array(times)[order])]
+                       trained.astype(np.int64), n, planes(np.diff(places[order], prepend=0), np.array(times)[order])]
             return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
         held, chars = [], 0

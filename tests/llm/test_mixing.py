@@ -178,3 +178,24 @@ def test_windows_find_the_cells_of_the_whole(monkeypatch):
     alone, _ = mixing.cells(mixing._joined([b"short\n"]))
     at = mixing.LEAD + len(text)
     assert all((a == w[at : at + 6]).all() for x, y in zip(alone, whole) for a, w in zip(x, y))
+
+
+def test_runs_of_equal_weights_are_filled_one_by_one_or_repeated(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [b" ".join(rng.choice([b"one", b"two", b"x" * 40, "é".encode()], n).tolist()) + b"\n" for n in (3, 90, 900)]
+    tables = [rng.integers(-2**31, 2**31 - 1, 16 << s, dtype=np.int32) for s in mixing.SLOTS]
+    found = []
+    for long in (0, 1 << 40):
+        monkeypatch.setattr(mixing, "LONG", long)
+        found.append(mixing.score(texts, tables).tolist())
+    assert found[0] == found[1]
+
+
+def test_tables_hold_the_logits_on_the_way_to_a_half_byte():
+    nodes = np.random.default_rng(4).integers(-127, 128, (mixing.SLICE // 16, 16)).astype(np.int8)
+    table = mixing.Predictors({1: mixing.zstandard.ZstdCompressor().compress(nodes.tobytes())}).tables()[0]
+    assert not table[: mixing.SLICE].any()
+    got = table[mixing.SLICE : 2 * mixing.SLICE].view(np.int8).reshape(-1, 16, 4)
+    for v in range(16):
+        for k in range(4):
+            assert (got[:, v, k] == nodes[:, 1 << k | v >> (4 - k)]).all()
