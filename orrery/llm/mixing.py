@@ -18,13 +18,12 @@ word, and only the counts go back to the block.
 from __future__ import annotations
 
 import math
-from array import array
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -52,7 +51,9 @@ STRETCH, LONGEST = 64, 4096
 #: Documents, and bytes, scored together; bytes whose cells are found at a time.
 TOGETHER, TOGETHER_BYTES, WINDOW = 128, 1 << 18, 1 << 15
 #: Bytes of a run of equal weights, on average, from which runs are filled one by one.
-LONG = 256
+LONG = 1024
+#: Bytes of a stretch taken at a time, at least LONGEST.
+PART = 1 << 14
 #: Characters of a block.
 BLOCK_CHARS = 8_000_000
 #: Added to word counts of the plain score.
@@ -64,7 +65,8 @@ _GATE = np.full(256, 1, np.int32)  # after a letter or a byte of one
 _GATE[:128] = 2
 _GATE[ord("a") : ord("z") + 1] = 1
 _GATE[[10, 32]] = 0
-_SIGN = np.array([[1 if v >> (7 - i) & 1 else -1 for v in range(256)] for i in range(8)], np.float32)
+#: Shifts of a byte's bits, the highest first, to the place of a float's sign.
+_BIT, _TOP = np.arange(24, 32, dtype=_U)[:, None], _U(1 << 31)
 with np.errstate(over="ignore"):
     _POWERS = np.cumprod(np.full(256, 0x85EBCA6B, _U), dtype=_U)
 
@@ -84,6 +86,16 @@ def sequence(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
+def split(texts: pa.Array) -> pa.Array:
+    """``tokens`` of many texts; one without words has one empty word, or none."""
+    return pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts.fill_null(""))))
+
+
+def sequences(words: pa.Array) -> list[bytes]:
+    """``sequence`` of many texts' words."""
+    return [s + END for s in pc.binary_join(words, " ").cast(pa.binary()).to_pylist()]
+
+
 def _joined(sequences: Iterable[bytes]) -> np.ndarray:
     lead = END * LEAD
     return np.frombuffer(b"".join(x for s in sequences for x in (lead, s)), np.uint8)
@@ -95,29 +107,43 @@ def cells(buf: np.ndarray, word: tuple[int, int] = (0, 0)) -> tuple[list[tuple[n
     high one) plus the half byte.  ``word``: hash and length so far of the word
     that the first of these bytes is in; those after the last one come back too."""
     b = buf.astype(_U)
-    four = b[3:-1] | b[2:-2] << _U(8) | b[1:-3] << _U(16) | b[:-4] << _U(24)
+    three = b[2:-2] << _U(8)
+    three |= b[3:-1]
+    three |= b[1:-3] << _U(16)
+    four = b[:-4] << _U(24)
+    four |= three
     buf, b = buf[LEAD:], b[LEAD:]
     n = len(b)
-    at = np.arange(n + 1, dtype=np.int64)
-    # where the word that a byte continues begins; before the first break, in an earlier window
-    begin = np.zeros(n + 1, np.int64)
-    begin[0] = -word[1]
-    np.copyto(begin[1:], np.where((buf == 32) | (buf == 10), at[1:], -word[1]))
-    np.maximum.accumulate(begin, out=begin)
-    length = at - begin
-    terms = (b + _U(1)) * _POWERS[length[:-1] & 255]
-    terms[length[1:] == 0] = 0
-    sums = np.concatenate([np.zeros(1, _U), np.cumsum(terms, dtype=_U)])
-    so_far = sums - np.where(begin > 0, sums[np.maximum(begin, 0)], _U(0)) + np.where((begin > 0) | (length == 0), _U(0), _U(word[0]))
-    hashed = so_far[:-1] + length[:-1].astype(_U) * _U(0xC2B2AE35)
+    # the word that a byte continues begins after the last break; before the first, in an earlier window
+    breaks = np.flatnonzero((buf == 32) | (buf == 10))
+    begin = np.concatenate([np.array([-word[1]]), breaks + 1])
+    counts = np.diff(begin[1:], prepend=0, append=n + 1)
+    length = np.arange(n + 1, dtype=np.int32)
+    length -= np.repeat(begin.astype(np.int32), counts)
+    terms = np.take(_POWERS, length[:-1] & 255, mode="clip")
+    terms *= b + _U(1)
+    terms[breaks] = 0
+    so_far = np.zeros(n + 1, _U)
+    np.cumsum(terms, dtype=_U, out=so_far[1:])
+    before = np.concatenate([np.array([-word[0] & 0xFFFFFFFF], _U), so_far[breaks + 1]])
+    so_far -= np.repeat(before, counts)
+    hashed = length[:-1].view(_U) * _U(0xC2B2AE35)
+    hashed += so_far[:-1]
     high, low = b >> _U(4), b & _U(15)
+    mixed = (high + _U(1)) * _U(0xC2B2AE3D)
     out = []
-    for context, bits, salt in zip((four & _U(0xFFFFFF), four, hashed), SLOTS, (1, 2, 3), strict=True):
-        h = (context + _U(salt)) * _U(0x9E3779B1)
+    for h, bits, salt in zip((three, four, hashed), SLOTS, (1, 2, 3), strict=True):
+        h += _U(salt)
+        h *= _U(0x9E3779B1)
         h ^= h >> _U(15)
         h *= _U(0x85EBCA77)
-        g = (h + (high + _U(1)) * _U(0xC2B2AE3D)) * _U(0x9E3779B1)
-        out.append(((h >> _U(32 - bits) << _U(4)) | high, (g >> _U(32 - bits) << _U(4)) | low))
+        g = h + mixed
+        g *= _U(0x9E3779B1)
+        for x, half in ((h, high), (g, low)):
+            x >>= _U(32 - bits)
+            x <<= _U(4)
+            x |= half
+        out.append((h, g))
     return out, (int(so_far[-1]), int(length[-1]))
 
 
@@ -150,17 +176,18 @@ def _counted(texts: DataFrame) -> DataFrame:
 
         def add() -> None:
             buf = _joined(held)
-            real = np.concatenate([np.arange(LEAD + len(s)) >= LEAD for s in held])[LEAD:]  # no marks of the lead
+            lead = np.concatenate([np.arange(LEAD + len(s)) < LEAD for s in held])[LEAD:]
             for at, found in windows(buf):
-                keep = real[at : at + WINDOW]
+                marks = np.flatnonzero(lead[at : at + WINDOW])
                 for table, halves in zip(tables, found, strict=True):
                     for half in halves:
-                        np.add.at(table, half[keep], _U(1))
+                        np.add.at(table, half, _U(1))
+                        np.subtract.at(table, half[marks], _U(1))  # no marks of the lead
 
         for texts in portions((b.column(0) for b in batches), 200):
-            for text in texts.to_pylist():
-                held.append(sequence(tokens(text)))
-                chars += len(held[-1])
+            for text in sequences(split(texts)):
+                held.append(text)
+                chars += len(text)
                 if chars > 1_000_000:
                     add()
                     held, chars = [], 0
@@ -289,58 +316,76 @@ def _score(sequences: list[bytes], tables: list[np.ndarray]) -> np.ndarray:
         for table, out, halves in zip(tables, found, cell, strict=True):
             for plane, half in zip(out, halves, strict=True):
                 np.take(table, half.astype(np.intp), mode="clip", out=plane[at : at + len(half)])
+    found = found.reshape(-1, found.shape[-1])
     gates = _GATE[buf[LEAD - 1 : -1]]
-    buf = buf[LEAD:]
-    kinds = len(sequences) * GATES
+    buf = buf[LEAD:].astype(_U)
     # weights, and an offset as that of an input that is 1; a row a bit, so that every step runs along the bytes
-    weights = np.full((len(tables) + 1, 8, kinds), WEIGHT / STEP, np.float32)
+    weights = np.full((len(tables) + 1, 8, GATES * len(sequences)), WEIGHT / STEP, np.float32)
     weights[-1] = 0
     rates = np.full((len(weights), 1, 1), RATE / STEP**2, np.float32)
     rates[-1] = OFFSET_RATE
     cost = np.zeros(len(sequences))
-    # room for the longest stretch, taken once
-    most = max(int(np.clip(lengths - at, 0, size).sum()) for at, size in _stretches(int(lengths[0])))
-    room = np.empty((2, *weights.shape[:2], most), np.float32)
+    # room for a part, taken once
+    room = np.empty(len(tables) * 8 * min(PART, int(lengths.sum())), np.float32)
     for at, size in _stretches(int(lengths[0])):
         active = int(np.searchsorted(-lengths, -at))
-        sizes = np.minimum(lengths[:active] - at, size)
-        doc = np.repeat(np.arange(active), sizes)
-        place = np.arange(len(doc)) + np.repeat(starts[:active] + at - (np.cumsum(sizes) - sizes), sizes)
-        kind = doc * GATES + gates[place]
-        order = np.argsort(kind.astype(np.uint16), kind="stable")
-        place, kind = place[order], kind[order]
-        begin = np.flatnonzero(np.diff(kind, prepend=-1))
-        mine, counts = kind[begin], np.diff(begin, append=len(kind))
-        sign = np.take(_SIGN, buf[place], axis=1, mode="clip")
-        inputs, part = room[:, :, :, : len(place)]
-        inputs[-1] = 1
-        for halves, x in zip(found, inputs, strict=False):
-            for half, plane in enumerate(halves):
-                way = np.take(plane, place, mode="clip")
-                for k in range(4):  # signed bytes, the lowest first
-                    x[4 * half + k] = way << (24 - 8 * k) >> 24
-        given = weights[:, :, mine]
-        if len(place) > LONG * len(mine):
-            for j, (a, b) in enumerate(zip(begin.tolist(), [*begin[1:].tolist(), len(place)], strict=True)):
-                np.multiply(inputs[:, :, a:b], given[:, :, j, None], out=part[:, :, a:b])
-        else:
-            np.multiply(inputs, np.repeat(given, counts, axis=2), out=part)
-        z = part.sum(axis=0)
-        z *= sign
-        np.negative(z, out=z)
-        np.clip(z, -20, 20, out=z)
-        inverse = np.exp(z, out=z)  # 1 / probability of the bit that came
-        inverse += 1
-        four = inverse[:4] * inverse[4:]
-        two = four[:2] * four[2:]  # below e^81
-        bits = np.add.reduceat(np.log(two[0].astype(np.float64) * two[1]), begin)
-        cost[:active] += np.bincount(mine // GATES, weights=bits, minlength=active)
-        off = np.reciprocal(inverse, out=inverse)
-        np.subtract(1, off, out=off)
-        off *= sign
-        shrink = (1 / np.maximum(counts / 16, 1)).astype(np.float32)
-        inputs *= off
-        weights[:, :, mine] = given + np.add.reduceat(inputs, begin, axis=2) * (rates * shrink)
+        spans = np.minimum(lengths[:active] - at, size)
+        ends = np.cumsum(spans)
+        last = 0
+        while last < active:  # as many documents as make a part
+            first, done = last, int(ends[last - 1]) if last else 0
+            last = int(np.searchsorted(ends, done + PART, "right"))
+            n, docs, sizes = int(ends[last - 1]) - done, last - first, spans[first:last]
+            place = np.arange(n)
+            place += np.repeat(starts[first:last] + at - (ends[first:last] - sizes - done), sizes)
+            # by gate, then by document
+            gate = np.take(gates, place, mode="clip")
+            counts = np.bincount(gate * docs + np.repeat(np.arange(docs), sizes), minlength=GATES * docs)
+            place = np.take(place, np.concatenate([np.flatnonzero(gate == g) for g in range(GATES)]), mode="clip")
+            mine = np.flatnonzero(counts)
+            counts = counts[mine]
+            begin = np.cumsum(counts) - counts
+            doc = mine % docs
+            mine = mine // docs * len(sequences) + doc + first
+            inputs = room[: len(tables) * 8 * n].reshape(len(tables), 8, n)
+            way = np.take(found, place, axis=1, mode="clip")
+            byte = np.empty_like(way)
+            for k in range(4):  # signed bytes, the lowest first
+                np.left_shift(way, 24 - 8 * k, out=byte)
+                byte >>= 24
+                inputs.reshape(-1, 4, n)[:, k] = byte
+            given = weights[:, :, mine]
+            if n > LONG * len(mine):
+                parts = np.empty((*given.shape[:2], n), np.float32)
+                for j, (a, c) in enumerate(zip(begin.tolist(), counts.tolist(), strict=True)):
+                    parts[:, :, a : a + c] = given[:, :, j, None]
+            else:
+                parts = np.repeat(given, counts, axis=2)
+            parts[:-1] *= inputs
+            z = parts[0]
+            for more in parts[1:]:
+                z += more
+            sign = np.left_shift(np.take(buf, place, mode="clip"), _BIT)  # a bit that came is 1: turns the sign
+            sign &= _TOP
+            turned = z.view(_U)
+            turned ^= sign
+            np.clip(z, -20, 20, out=z)
+            inverse = np.exp(z, out=z)  # 1 / probability of the bit that came
+            inverse += 1
+            four = inverse[:4] * inverse[4:]
+            two = four[:2] * four[2:]  # below e^81
+            bits = np.add.reduceat(np.log(two[0].astype(np.float64) * two[1]), begin)
+            cost[first:last] += np.bincount(doc, weights=bits, minlength=docs)
+            off = np.reciprocal(inverse, out=inverse)
+            np.subtract(1, off, out=off)
+            sign ^= _TOP
+            turned ^= sign
+            shrink = (1 / np.maximum(counts / 16, 1)).astype(np.float32)
+            inputs *= off
+            steps = np.empty_like(given)
+            np.add.reduceat(inputs, begin, axis=2, out=steps[:-1])
+            np.add.reduceat(off, begin, axis=1, out=steps[-1])
+            weights[:, :, mine] = given + steps * (rates * shrink)
     return -cost / math.log(10)
 
 
@@ -356,40 +401,58 @@ def _blocks(rows: DataFrame, predictors: Predictors) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, block = model.value.tables(), TaskContext.get().partitionId() << 33
 
-        def out(held: list[tuple]) -> pa.RecordBatch:
-            words: dict[bytes, int] = {}
-            at, times, distinct, n_tokens, sequences = array("q"), array("q"), [], [], []
-            for *_, text in held:
-                found = tokens(text)
-                sequences.append(sequence(found))
-                found.append(END)
-                n_tokens.append(len(found))
-                counts = Counter(found)
-                distinct.append(len(counts))
-                at.extend([words.setdefault(w, len(words)) for w in counts])
-                times.extend(counts.values())
-            scores = score(sequences, tables)
-            places, n = np.array(at), np.array(distinct)
-            trained = np.bincount(places, weights=np.array(times) * np.repeat([h[2] for h in held], n), minlength=len(words))
-            order = np.argsort(np.repeat(np.arange(len(n)), n) * len(words) + places)
-            columns = [block, [h[0] for h in held], [h[1] for h in held], n_tokens, [len(s) for s in sequences], scores, list(words),
-                       trained.astype(np.int64), n, planes(np.diff(places[order], prepend=0), np.array(times)[order])]
-            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+        def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            of = {c: rows.column(c).combine_chunks() for c in rows.column_names}
+            found = split(of["text"])
+            doc = np.repeat(np.arange(len(found)), pc.list_value_length(found).to_numpy())
+            given = sequences(found)
+            scores = score(given, tables)
+            flat = found.flatten()
+            real = pc.greater(pc.binary_length(flat), 0)
+            doc, flat = doc[real.to_numpy(zero_copy_only=False)], flat.filter(real).dictionary_encode()
+            # each document's distinct words, and the end, as places in the block's list; their times
+            end, m = len(flat.dictionary), len(found)
+            keys = np.concatenate([doc * (end + 1) + flat.indices.to_numpy(), np.arange(m) * (end + 1) + end])
+            keys.sort()
+            first = np.flatnonzero(np.diff(keys, prepend=-1))
+            times = np.diff(first, append=len(keys))
+            of_doc, places = np.divmod(keys[first], end + 1)
+            train = of["train"].to_numpy(zero_copy_only=False)
+            trained = np.bincount(places, weights=times * train[of_doc], minlength=end + 1).astype(np.int64)
+            words = pa.concat_arrays([flat.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+            lists = [of["doc_id"], of["held"], np.bincount(doc, minlength=m) + 1, [len(s) for s in given], scores, words, trained,
+                     np.bincount(of_doc, minlength=m)]
+            lists = [x if isinstance(x, pa.Array) else pa.array(x, t.value_type) for x, t in zip(lists, schema.types[1:-1], strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), *(pa.ListArray.from_arrays([0, len(x)], x).cast(t) for x, t in zip(lists, schema.types[1:-1], strict=True)),
+                 pa.array([planes(np.diff(places, prepend=0), times)], pa.binary())], schema=schema)
 
         held, chars = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(c) for c in ("doc_id", "held", "train", "text")), strict=True):
-                held.append(tuple(v.as_py() for v in row))
-                chars += len(held[-1][3] or "") + 100
+            begin = 0
+            for i, size in enumerate(pc.utf8_length(batch.column("text")).fill_null(0).to_pylist(), 1):
+                chars += size + 100
                 if chars > BLOCK_CHARS:
-                    yield out(held)
-                    held, chars, block = [], 0, block + 1
+                    yield out([*held, batch.slice(begin, i - begin)])
+                    held, chars, begin, block = [], 0, i, block + 1
+            if begin < len(batch):
+                held.append(batch.slice(begin))
         if held:
             yield out(held)
 
     return rows.mapInArrow(run, BLOCK)
 
 
+def corpus_counts(thin: DataFrame) -> DataFrame:
+    """(of_block, at, trained, c, first) of (of_block, at, word, trained): c sums
+    trained over the word's rows, of which the smallest block's is the first."""
+    # a row a block and word: however frequent a word is, its rows are as many as the blocks
+    same = Window.partitionBy("word")
+    return thin.select("of_block", "at", "trained", F.sum("trained").over(same).alias("c"),
+                       (F.min("of_block").over(same) == F.col("of_block")).alias("first"))
+
+
 def score_documents(docs: DataFrame, predictors: Predictors, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens (with the end), n_known
     (those that occur in training), train_tokens, base_score, score, n_bytes (of
@@ -411,11 +474,7 @@ def score_documents(docs: DataFrame, predictors: Predictors, id_col: str = "doc_
     blocks = staged(_blocks(rows, predictors), "mixing-blocks")
     thin = blocks.select("block", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w")).select(
         F.col("block").alias("of_block"), "at", F.col("w.words").alias("word"), F.col("w.trained").alias("trained"))
-    # a row a block and word: however frequent a word is, its rows are as many as the blocks
-    same = Window.partitionBy("word")
-    counts = thin.select("of_block", "at", "trained", F.sum("trained").over(same).alias("c"),
-                         (F.row_number().over(same.orderBy("of_block")) == 1).alias("first"))
-    counts = staged(counts, "mixing-counts")
+    counts = staged(corpus_counts(thin), "mixing-counts")
     n, v = (int(x or 0) for x in counts.agg(F.sum("trained"), F.count_if(F.col("first") & (F.col("c") > 0))).first())
     elsewhere = counts.where(F.col("c") != F.col("trained")).select("of_block", "at", "c")  # the others the block knows
     whole = n + ADDED * (v + 1)

@@ -199,3 +199,44 @@ def test_tables_hold_the_logits_on_the_way_to_a_half_byte():
     for v in range(16):
         for k in range(4):
             assert (got[:, v, k] == nodes[:, 1 << k | v >> (4 - k)]).all()
+
+
+def test_words_split_together_are_those_of_each_text():
+    texts = ["", None, " ", "a  b", " \x1c\x1d\x1e\x1f\x85 x\x0b\x0cy\r\nz\t", "Ä b\xa0C ÄÖ", "\x00 a", "AZ[@`", *(f"A{chr(c)}b{chr(c)}" for c in range(300))]
+    found = mixing.split(mixing.pa.array(texts, mixing.pa.string()))
+    words = [[w.encode() for w in x if w] for x in found.to_pylist()]
+    assert words == [mixing.tokens(t) for t in texts]
+    assert mixing.sequences(found) == [mixing.sequence(w) for w in words]
+
+
+def test_parts_of_a_stretch_do_not_change_scores(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [b" ".join(rng.choice([b"one", b"two", b"x" * 40, "é".encode()], n).tolist()) + b"\n" for n in (0, 3, 3, 90, 90, 900, 2000)]
+    tables = [rng.integers(-2**31, 2**31 - 1, 16 << s, dtype=np.int32) for s in mixing.SLOTS]
+    whole = mixing.score(texts, tables).tolist()
+    monkeypatch.setattr(mixing, "PART", mixing.LONGEST)
+    assert mixing.score(texts, tables).tolist() == whole
+    assert [mixing.score([t], tables)[0] for t in texts] == whole
+
+
+def test_a_block_counts_each_documents_words(spark):
+    rows = [(1, "b a b"), (2, None), (3, "A c"), (4, " "), (None, "a a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    flags = df.selectExpr("doc_id", "doc_id is null held", "doc_id > 1 train", "text").na.fill(False, ["train"])
+    r, = mixing._blocks(flags, mixing.fit(df)).collect()
+    assert (r.doc_ids, r.n_tokens, r.n_bytes, r.distinct) == ([1, 2, 3, 4, None], [4, 1, 3, 1, 3], [6, 1, 4, 1, 4], [3, 1, 3, 1, 2])
+    words = [bytes(w) for w in r.words]
+    assert dict(zip(words, r.trained)) == {b"b": 0, b"a": 1, b"c": 1, b"\n": 3}
+    at, times = mixing.from_planes(bytes(r.postings), 2)
+    places = iter(zip(np.cumsum(at).tolist(), times.tolist()))
+    got = [{words[p]: t for p, t in (next(places) for _ in range(n))} for n in r.distinct]
+    assert got == [dict(Counter([*mixing.tokens(t), b"\n"])) for _, t in rows]
+
+
+def test_corpus_counts_sort_the_words_once(spark):
+    df = spark.createDataFrame([(i, "a b") for i in range(20)], "doc_id long, text string")
+    thin = df.selectExpr("doc_id of_block", "0 at", "text word", "1L trained")
+    plan = mixing.corpus_counts(thin)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and plan.count("Sort [") == 1
+    rows = mixing.corpus_counts(thin).collect()
+    assert {r.c for r in rows} == {20} and [r.of_block for r in rows if r.first] == [0]
